@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from spanframe.llm import bpe, rans
+from spanframe.llm import bpe, rans, simhash
 from spanframe.llm.common import shared_dir
 
 
@@ -22,12 +23,18 @@ def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read_tokens(spark, path)
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_output": op3_token_output,
+    "op4_simhash": op4_simhash,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
