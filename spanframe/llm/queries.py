@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanframe.llm import bpe, rans, simhash
+from spanframe.llm import bpe, mixing, quality, rans, simhash
 from spanframe.llm.common import shared_dir
 
 
@@ -28,6 +28,14 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.with_copies(_table(spark, sf_dir, "documents")).drop("copies")
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(_table(spark, sf_dir, "documents")).drop("posterior")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -35,7 +43,9 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_output": op3_token_output,
     "op4_simhash": op4_simhash,
+    "op5_mixing": op5_mixing,
+    "op7_quality_rules": op7_quality_rules,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.OP5_SQL}
