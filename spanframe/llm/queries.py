@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanframe.llm import bpe, mixing, quality, rans, simhash
+from spanframe.llm import bpe, classifier, mixing, quality, rans, simhash, vectors
 from spanframe.llm.common import shared_dir
 
 
@@ -40,12 +40,25 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    found = classifier.scored(docs, classifier.fit(docs, labels, usable=~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_output": op3_token_output,
     "op4_simhash": op4_simhash,
     "op5_mixing": op5_mixing,
     "op7_quality_rules": op7_quality_rules,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.OP5_SQL}
