@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanframe.llm import bpe, classifier, mixing, quality, rans, simhash, vectors
+from spanframe.llm import bpe, classifier, lines, mixing, quality, rans, simhash, substrings, vectors
 from spanframe.llm.common import shared_dir
 
 
@@ -17,6 +17,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.deduplicated(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_removed_lines", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.without_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/spanframe/tokens-{uuid.uuid4().hex}"
     rans.write_tokens(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -52,6 +61,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_token_output": op3_token_output,
     "op4_simhash": op4_simhash,
     "op5_mixing": op5_mixing,
@@ -61,4 +72,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_classifier": op10_quality_classifier,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.OP5_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_line_dedup": lines.OP1_SQL, "op5_mixing": mixing.OP5_SQL}
