@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanframe.llm import bpe, classifier, lines, mixing, quality, rans, simhash, substrings, vectors
+from spanframe.llm import bpe, classifier, html, lines, mixing, quality, rans, simhash, substrings, vectors
 from spanframe.llm.common import shared_dir
 
 
@@ -41,6 +41,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.with_copies(_table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extracted(_table(spark, sf_dir, "pages"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(_table(spark, sf_dir, "documents")).drop("posterior")
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_output": op3_token_output,
     "op4_simhash": op4_simhash,
     "op5_mixing": op5_mixing,
+    "op6_html_extraction": op6_html_extraction,
     "op7_quality_rules": op7_quality_rules,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
