@@ -19,16 +19,21 @@ import re
 from array import array
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Entries of a worker's table of encoded pieces; it starts anew beyond that.
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 1_000_000
 #: Characters of text that are encoded together.
 CHUNK_CHARS = 1 << 20
+#: Words in one call of the library.
+JOINED = 256
 
 _safe = re.compile(r"(?<=\S)(?= \S)")
+#: Letters in front of a piece, of ranges that every version of Unicode has as letters.
+_letters = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 
 
 def _ids_bytes(ids) -> bytes:
@@ -38,25 +43,67 @@ def _ids_bytes(ids) -> bytes:
 class PieceEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids.
 
-    many: encodes a list of strings to a list of id sequences, each string by itself.
+    many: encodes a list of strings to a list of id sequences, each string by
+    itself. spaced: for each id, whether its token begins with a space. A run of
+    letters with its space is a pre-token of its own, so a piece is coded as its
+    letters and the rest; words are sent to the library in long strings, and since
+    only their first tokens begin with a space, the ids can be dealt to them again.
     """
 
-    def __init__(self, many: Callable[[list[str]], list]):
-        self.many = many
+    def __init__(self, many: Callable[[list[str]], list], spaced: np.ndarray):
+        self.many, self.spaced = many, spaced
         self.after: dict[str, bytes | None] = {}  # by piece without the space in front; None: not a safe piece
+        self.words: dict[str, bytes] = {}  # by word without the space in front
+        self.rests: dict[str, bytes] = {"": b""}
 
     def _encode(self, strings: list[str]) -> list[bytes]:
         return [_ids_bytes(x) for x in self.many(strings)] if strings else []
 
+    def _learn_words(self, new: list[str]) -> None:
+        runs = [new[s : s + JOINED] for s in range(0, len(new), JOINED)]
+        for run, ids in zip(runs, self.many(["".join(f" {w}" for w in run) for run in runs]) if runs else [], strict=True):
+            ids = np.array(ids, np.uint32)
+            cuts = np.flatnonzero(self.spaced[ids])
+            if len(cuts) != len(run) or cuts[0]:
+                self.words.update(zip(run, self._encode([f" {w}" for w in run]), strict=True))
+                continue
+            data, ends = ids.astype("<u4").tobytes(), [*(4 * cuts[1:]).tolist(), 4 * len(ids)]
+            begin = 0
+            for w, end in zip(run, ends, strict=True):
+                self.words[w] = data[begin:end]
+                begin = end
+
     def _learn(self, found: set[str]) -> None:
-        new = [p for p in found if p not in self.after]
-        safe = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()]
-        self.after.update(zip(safe, self._encode([f" {p}" for p in safe]), strict=True))
-        self.after.update((p, None) for p in set(new).difference(safe))
+        split, whole = [], []
+        for p in found:
+            if p in self.after:
+                continue
+            m = _letters.match(p)
+            if m is None:
+                if p and not p[0].isspace() and not p[-1].isspace():
+                    whole.append(p)
+                else:
+                    self.after[p] = None
+                continue
+            k = m.end()
+            rest = p[k:]
+            if rest and p[-1].isspace():
+                self.after[p] = None
+            elif rest and rest[0] > "\x7f":  # perhaps a letter
+                whole.append(p)
+            else:
+                split.append((p, p[:k], rest))
+        self._learn_words(list({w for _, w, _ in split}.difference(self.words)))
+        rests = list({r for _, _, r in split}.difference(self.rests))
+        self.rests.update(zip(rests, self._encode(rests), strict=True))
+        self.after.update((p, self.words[w] + self.rests[r]) for p, w, r in split)
+        self.after.update(zip(whole, self._encode([f" {p}" for p in whole]), strict=True))
 
     def texts(self, texts: list[str]) -> list[bytes]:
-        if len(self.after) > MEMO_ENTRIES:
-            self.after.clear()
+        for table in (self.after, self.words, self.rests):
+            if len(table) > MEMO_ENTRIES:
+                table.clear()
+        self.rests[""] = b""
         split = [t.split(" ") for t in texts]
         found: set[str] = set()
         for parts in split:
@@ -92,7 +139,8 @@ def tiktoken_encoder(path: str) -> tuple[PieceEncoder, object]:
     """A worker makes each once."""
     if ("tiktoken", path) not in _made:
         encoding = tiktoken_encoding(path)
-        _made["tiktoken", path] = PieceEncoder(lambda strings: list(map(encoding.encode_ordinary, strings))), encoding
+        spaced = np.array([encoding.decode_single_token_bytes(i)[:1] == b" " for i in range(encoding.n_vocab)])
+        _made["tiktoken", path] = PieceEncoder(lambda strings: list(map(encoding.encode_ordinary, strings)), spaced), encoding
     return _made["tiktoken", path]
 
 
@@ -103,7 +151,10 @@ def tokenizers_encoder(path: str) -> PieceEncoder:
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
-        _made["tokenizers", path] = (PieceEncoder(lambda strings: [x.ids for x in tokenizer.encode_batch_fast(strings, add_special_tokens=False)]),)
+        space = tokenizer.pre_tokenizer.pre_tokenize_str(" a")[0][0][0]  # how the vocabulary writes a space
+        spaced = np.array([tokenizer.id_to_token(i).startswith(space) for i in range(tokenizer.get_vocab_size())])
+        many = lambda strings: [x.ids for x in tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+        _made["tokenizers", path] = (PieceEncoder(many, spaced),)
     return _made["tokenizers", path][0]
 
 
