@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanframe.llm.common import words_of
+from spanframe.llm.common import partitions, words_of, written
 
 WINDOW = 35
 ANCHOR = 12
@@ -126,8 +126,11 @@ def _few(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int]]:
         yield begin, batch.num_rows
 
 
-def repeated_spans(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """rows: (doc, tie, text). (doc, tie, span): windows that also start elsewhere; a span is start << 8 | windows from there on."""
+def repeated_spans(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, dealt: DataFrame | None = None) -> DataFrame:
+    """rows: (doc, tie, text, ...), doc and tie never null. (doc, tie, span): windows that also start elsewhere; a span is start << 8 | windows from there on.
+
+    dealt: rows partitioned by doc and tie, if the caller has them so.
+    """
     if not anchor < window < 256:
         raise ValueError("a window has more words than an anchor, and under 256")
 
@@ -138,9 +141,10 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
                 row = pa.array(text + b)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(start << 8 | count, pa.int64()), pa.array(low.view(np.int64)), pa.array(whole.view(np.int64))], names=["doc", "tie", "span", "anchor", "path"])
 
-    found = rows.mapInArrow(all_paths, "doc bigint, tie int, span bigint, anchor bigint, path bigint")
+    found = rows.select("doc", "tie", "text").mapInArrow(all_paths, "doc bigint, tie int, span bigint, anchor bigint, path bigint")
     twice = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("path").alias("p0"), F.max("path").alias("p1")).filter("n > 1")
-    at_twice = found.join(twice.select("anchor", (F.col("p0") == F.col("p1")).alias("single")), "anchor")
+    # written, since three branches read it with other columns each, which would else be three exchanges of all paths
+    at_twice = written(found.join(twice.select("anchor", (F.col("p0") == F.col("p1")).alias("single")), "anchor"), "paths")
     straight = at_twice.filter("single").select("doc", "tie", "span")
     branching = at_twice.filter("NOT single").drop("single")
     branches = branching.groupBy("anchor", "path").agg(F.count("*").alias("n"), F.min(F.struct("doc", "tie", "span")).alias("at"))
@@ -148,7 +152,9 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     unsure = branches.groupBy("anchor").agg(F.min("n").alias("least")).filter("least = 1").select("anchor")
     asked = branches.join(unsure, "anchor", "left_semi").select("at.*", "anchor", (F.col("n") == 1).alias("once"))
     by_doc = asked.groupBy("doc", "tie").agg(F.collect_list(F.struct("anchor", "span", "once")).alias("asked"))  # no more than the document has words
-    read = rows.join(by_doc, rows["doc"].eqNullSafe(by_doc["doc"]) & (rows["tie"] == by_doc["tie"])).select(rows["doc"], rows["tie"], "text", "asked")
+    source = rows if dealt is None else dealt
+    # every column goes along, so that this is the same exchange of texts that the caller joins the spans with
+    read = source.join(by_doc, ["doc", "tie"]).select("doc", "tie", "text", "asked", *[c for c in rows.columns if c not in ("doc", "tie", "text")])
 
     def all_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,9 +186,12 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
     there are. Rows without an id are treated alike, with a null id. An empty
     table gives an empty result. Further columns are not read.
     """
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.hash(F.col(text_col).cast("string")).alias("tie"), F.col(text_col).cast("string").alias("text"))
-    spans = repeated_spans(rows, window).groupBy("doc", "tie").agg(F.collect_list("span").alias("spans"))
-    both = rows.join(spans, rows["doc"].eqNullSafe(spans["doc"]) & (rows["tie"] == spans["tie"]), "left").select(rows["doc"], "text", "spans")
+    text = F.col(text_col).cast("string")
+    # rows are told apart by a hash of id and text and another of the text; texts are dealt out once, for both joins
+    rows = docs.select(F.xxhash64(F.col(id_col), text).alias("doc"), F.hash(text).alias("tie"), text.alias("text"), F.col(id_col).cast("bigint").alias("id"))
+    dealt = rows.repartition(partitions(docs.sparkSession), "doc", "tie")
+    spans = repeated_spans(rows, window, dealt=dealt).groupBy("doc", "tie").agg(F.collect_list("span").alias("spans"))
+    both = dealt.join(spans, ["doc", "tie"], "left").select("id", "text", "spans", "tie", "doc")
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
