@@ -6,6 +6,7 @@ import os
 import duckdb
 import pytest
 
+import spanframe.plans.more_queries  # noqa: F401
 from spanframe.plans import queries
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
