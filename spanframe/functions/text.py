@@ -17,6 +17,12 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value worked out once, though body uses it within lambdas."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 # --- normalisers -----------------------------------------------------------------------------
 
 
@@ -164,8 +170,12 @@ def same_multiset(a: Column, b: Column) -> Column:
 
 def contiguous_matches(haystack: Column, needle: Column) -> Column:
     """All offsets, from 0, at which needle stands in haystack; none for an empty needle."""
-    last = F.size(haystack) - F.size(needle)
-    return F.when((F.size(needle) == 0) | (last < 0), F.array().cast("array<int>")).otherwise(F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.slice(haystack, i + 1, F.size(needle)) == needle))
+
+    def of(h: Column, n: Column) -> Column:
+        last = F.size(h) - F.size(n)
+        return F.when((F.size(n) == 0) | (last < 0), F.array().cast("array<int>")).otherwise(F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.slice(h, i + 1, F.size(n)) == n))
+
+    return let(haystack, lambda h: let(needle, lambda n: of(h, n)))
 
 
 def shared_tokens(a: Column, b: Column) -> Column:
@@ -179,7 +189,12 @@ def is_repetitive(found: Column, least: int = 20) -> Column:
 
 def has_token_run(found: Column, run: int = 4) -> Column:
     """One token run times in a row."""
-    return F.when(F.size(found) < run, False).otherwise(F.exists(F.sequence(F.lit(1), F.greatest(F.size(found) - run + 1, F.lit(1))), lambda i: F.size(F.array_distinct(F.slice(found, i, run))) == 1))
+
+    def of(t: Column) -> Column:
+        same = lambda i: F.forall(F.slice(t, i + 1, run - 1), lambda x: x == F.get(t, i - 1))
+        return F.when(F.size(t) < run, False).otherwise(F.exists(F.sequence(F.lit(1), F.greatest(F.size(t) - run + 1, F.lit(1))), same))
+
+    return let(found, of)
 
 
 def is_strange(text: Column, least_letters: float = 0.45) -> Column:
@@ -231,9 +246,12 @@ def compacted_texts(texts: Column) -> Column:
 
 def evenly_timed(found: Column, start: Column, end: Column) -> Column:
     """Tokens with equal shares of an interval in whole milliseconds: array of (token, start_ms, end_ms)."""
-    n = F.size(found)
-    at = lambda i: (start + F.floor((end - start) * i / n)).cast("bigint")
-    return F.transform(found, lambda t, i: F.struct(t.alias("token"), at(i).alias("start_ms"), at(i + 1).alias("end_ms")))
+
+    def of(n: Column) -> Column:
+        at = lambda i: (start + F.floor((end - start) * i / n)).cast("bigint")
+        return F.transform(found, lambda t, i: F.struct(t.alias("token"), at(i).alias("start_ms"), at(i + 1).alias("end_ms")))
+
+    return let(F.size(found), of)
 
 
 def clip_bounds(start: Column, end: Column, total: Column, padding: int = 750, least: int = 1500) -> Column:
@@ -251,10 +269,14 @@ def clip_bounds(start: Column, end: Column, total: Column, padding: int = 750, l
 def bigram_dice(a: Column, b: Column) -> Column:
     """Dice coefficient of the multisets of character pairs; 1 for equal texts, 0 where one has no pair."""
     pairs = lambda x: F.when(F.length(x) < 2, F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(F.length(x) - 1, F.lit(1))), lambda i: F.substring(x, i, F.lit(2))))
-    x, y = pairs(a), pairs(b)
     times = lambda xs, g: F.size(F.filter(xs, lambda e: e == g))
-    common = F.aggregate(F.array_distinct(x), F.lit(0), lambda acc, g: acc + F.least(times(x, g), times(y, g)))
-    return F.when(a == b, 1.0).when((F.length(a) < 2) | (F.length(b) < 2), 0.0).otherwise(2.0 * common / (F.length(a) + F.length(b) - 2))
+    common = lambda x, y: F.aggregate(F.array_distinct(x), F.lit(0), lambda acc, g: acc + F.least(times(x, g), times(y, g)))
+
+    def of(p: Column, q: Column) -> Column:
+        shared = let(pairs(p), lambda x: let(pairs(q), lambda y: common(x, y)))
+        return F.when(p == q, 1.0).when((F.length(p) < 2) | (F.length(q) < 2), 0.0).otherwise(2.0 * shared / (F.length(p) + F.length(q) - 2))
+
+    return let(a, lambda p: let(b, lambda q: of(p, q)))
 
 
 def ratio(a: str, b: str, junk: bool = False) -> float:

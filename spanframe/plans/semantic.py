@@ -35,8 +35,10 @@ def semantic_windows(timeline: DataFrame, keys: Sequence[str], hard_gap: int = 1
 
     def number(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("sequence_index").reset_index(drop=True)
-        part, n, begin, out = 0, 0, None, []
-        for s, e, soft_end in zip(frame["start_ms"], frame["end_ms"], frame["soft"], strict=True):
+        part, n, begin, out, last = 0, 0, None, [], None
+        for run, s, e, soft_end in zip(frame["run"], frame["start_ms"], frame["end_ms"], frame["soft"], strict=True):
+            if run != last:
+                part, n, begin, last = 0, 0, None, run
             if n and (n >= most_words or e - begin > longest or soft_end and n >= least_words):
                 part, n, begin = part + 1, 0, None
             n, begin = n + 1, s if begin is None else begin
@@ -44,7 +46,7 @@ def semantic_windows(timeline: DataFrame, keys: Sequence[str], hard_gap: int = 1
         return frame[[*keys, "run", "sequence_index"]].assign(part=out)
 
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in [*keys, "run", "sequence_index"])
-    parts = rows.select(*keys, "run", "sequence_index", "start_ms", "end_ms", "soft").groupBy(*keys, "run").applyInPandas(number, f"{kinds}, part bigint")
+    parts = rows.select(*keys, "run", "sequence_index", "start_ms", "end_ms", "soft").groupBy(*keys).applyInPandas(number, f"{kinds}, part bigint")
     numbered = rows.join(parts, [*keys, "run", "sequence_index"])
     window = F.dense_rank().over(Window.partitionBy(*keys).orderBy("run", "part")) - 1
     near = lambda a, b: F.array_join(F.collect_list("text").over(by.rowsBetween(a, b)), " ")
