@@ -24,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Entries of a worker's table of encoded pieces; it starts anew beyond that.
-MEMO_ENTRIES = 1_000_000
+#: Entries of a worker's table of encoded pieces, which starts anew beyond that: what costs most to encode is kept longest.
+MEMO_ENTRIES = {"tiktoken": 250_000, "tokenizers": 1_000_000}
 #: Characters of text that are encoded together.
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 4 << 20
 #: Words in one call of the library.
 JOINED = 256
 
@@ -50,8 +50,8 @@ class PieceEncoder:
     only their first tokens begin with a space, the ids can be dealt to them again.
     """
 
-    def __init__(self, many: Callable[[list[str]], list], spaced: np.ndarray):
-        self.many, self.spaced = many, spaced
+    def __init__(self, many: Callable[[list[str]], list], spaced: np.ndarray, most: int):
+        self.many, self.spaced, self.most = many, spaced, most
         self.after: dict[str, bytes | None] = {}  # by piece without the space in front; None: not a safe piece
         self.words: dict[str, bytes] = {}  # by word without the space in front
         self.rests: dict[str, bytes] = {"": b""}
@@ -75,9 +75,7 @@ class PieceEncoder:
 
     def _learn(self, found: set[str]) -> None:
         split, whole = [], []
-        for p in found:
-            if p in self.after:
-                continue
+        for p in found.difference(self.after):
             m = _letters.match(p)
             if m is None:
                 if p and not p[0].isspace() and not p[-1].isspace():
@@ -101,7 +99,7 @@ class PieceEncoder:
 
     def texts(self, texts: list[str]) -> list[bytes]:
         for table in (self.after, self.words, self.rests):
-            if len(table) > MEMO_ENTRIES:
+            if len(table) > self.most:
                 table.clear()
         self.rests[""] = b""
         split = [t.split(" ") for t in texts]
@@ -140,7 +138,7 @@ def tiktoken_encoder(path: str) -> tuple[PieceEncoder, object]:
     if ("tiktoken", path) not in _made:
         encoding = tiktoken_encoding(path)
         spaced = np.array([encoding.decode_single_token_bytes(i)[:1] == b" " for i in range(encoding.n_vocab)])
-        _made["tiktoken", path] = PieceEncoder(lambda strings: list(map(encoding.encode_ordinary, strings)), spaced), encoding
+        _made["tiktoken", path] = PieceEncoder(lambda strings: list(map(encoding.encode_ordinary, strings)), spaced, MEMO_ENTRIES["tiktoken"]), encoding
     return _made["tiktoken", path]
 
 
@@ -154,7 +152,7 @@ def tokenizers_encoder(path: str) -> PieceEncoder:
         space = tokenizer.pre_tokenizer.pre_tokenize_str(" a")[0][0][0]  # how the vocabulary writes a space
         spaced = np.array([tokenizer.id_to_token(i).startswith(space) for i in range(tokenizer.get_vocab_size())])
         many = lambda strings: [x.ids for x in tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
-        _made["tokenizers", path] = (PieceEncoder(many, spaced),)
+        _made["tokenizers", path] = (PieceEncoder(many, spaced, MEMO_ENTRIES["tokenizers"]),)
     return _made["tokenizers", path][0]
 
 

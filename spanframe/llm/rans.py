@@ -28,6 +28,8 @@ from spanframe.llm.common import partitions
 
 BLOCK_IDS = 1024
 FRAME_IDS = 1 << 21
+#: Ids below are counted in a table, others by sorting.
+COUNTED_IDS = 1 << 22
 MAGIC = b"SFR1"
 LOW = np.uint64(1 << 31)
 _HEAD = "<4sBIIII"  # magic, bits, symbols, blocks, ids, documents
@@ -35,7 +37,14 @@ _HEAD = "<4sBIIII"  # magic, bits, symbols, blocks, ids, documents
 
 def shared_table(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """symbols, their index for each id, frequencies that sum to 1 << bits, bits."""
-    symbols, index, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    if int(ids.max()) < COUNTED_IDS:
+        counts = np.bincount(ids)
+        symbols = np.flatnonzero(counts)
+        place = np.zeros(len(counts), np.uint32)
+        place[symbols] = np.arange(len(symbols))
+        index, counts = place[ids], counts[symbols]
+    else:
+        symbols, index, counts = np.unique(ids, return_inverse=True, return_counts=True)
     bits = max(12, int(len(symbols) - 1).bit_length() + 3)
     freq = np.maximum(1, counts * ((1 << bits) - len(symbols)) // len(ids)).astype(np.int64)
     freq[np.argmax(freq)] += (1 << bits) - freq.sum()  # what rounding left; never below 1: each share was rounded down and has room for 1
