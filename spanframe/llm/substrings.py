@@ -143,6 +143,8 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
 
     found = rows.select("doc", "tie", "text").mapInArrow(all_paths, "doc bigint, tie int, span bigint, anchor bigint, path bigint")
     twice = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("path").alias("p0"), F.max("path").alias("p1")).filter("n > 1")
+    # written, so that no aggregation stands in the stage of the join: then Spark can split the paths of a frequent anchor
+    twice = written(twice, "anchors")
     # written, since three branches read it with other columns each, which would else be three exchanges of all paths
     at_twice = written(found.join(twice.select("anchor", (F.col("p0") == F.col("p1")).alias("single")), "anchor"), "paths")
     straight = at_twice.filter("single").select("doc", "tie", "span")
