@@ -11,6 +11,11 @@ The upper levels are walked by Spark: a node pair there is a task, nodes with
 more than NODE_ROWS fingerprints being cut in blocks, so that no task holds more
 than two blocks. The levels below are walked inside a task on sorted arrays. A
 task returns a forest, not all its pairs, so large groups stay linear in size.
+
+one_of_each asks for a similarity instead. Fingerprints of texts at 0.8 differ in
+about 10 bits, and a trie with such a budget is next to a comparison of all pairs;
+so its candidates come from bands of minima of the same shingle hashes, and each is
+confirmed by the shingles themselves.
 """
 
 from __future__ import annotations
@@ -32,6 +37,12 @@ SEED = 42
 NODE_ROWS = 1 << 15
 #: Pairs compared, and node pairs followed, at once.
 AT_ONCE = 1 << 20
+#: Bands of one_of_each and minima in a band: of pairs at 0.8, 1 - (1 - 0.8 ** 5) ** 24 = 0.9999 share one.
+BANDS, BAND_ROWS = 24, 5
+
+_random = np.random.default_rng(SEED)
+_factors = _random.integers(0, 2**63, BANDS * BAND_ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+_terms = _random.integers(0, 2**63, BANDS * BAND_ROWS, np.uint64)
 
 
 def majority(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -223,9 +234,96 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(groups, "fp").select(id_col, "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, bits: int = 4) -> DataFrame:
-    """docs with one row of each component: that of the smallest id; of repeated rows of that id, one. Rows without an id stay."""
-    found = near_duplicates(docs, id_col, text_col, shingle, bits)
-    keep = found.groupBy("component_id").agg(F.min(id_col).alias("keep_id")).select(F.col("keep_id").alias("__keep"))
-    kept = docs.join(keep, F.col(id_col).cast("bigint") == F.col("__keep"), "left_semi")
-    return kept.dropDuplicates([id_col]).unionByName(docs.filter(F.col(id_col).isNull()))
+def shingle_set(text: str | None, size: int) -> set[bytes]:
+    """The runs that shingle_hashes hashes, as bytes."""
+    words = b" ".join(words_of(text)).lower().split()
+    k = min(size, len(words))
+    return {b" ".join(words[i : i + k]) for i in range(len(words) - k + 1)} if words else set()
+
+
+def jaccard(a: set[bytes], b: set[bytes]) -> float:
+    """Shared shingles by all; 1 for two texts without words."""
+    shared = len(a & b)
+    return shared / (len(a) + len(b) - shared) if a or b else 1.0
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """One key a band: equal for two sets with probability j ** BAND_ROWS, j being their similarity. A set without hashes has zeros."""
+    if not len(hashes):
+        return np.zeros(BANDS, np.uint64)
+    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for s in range(0, len(hashes), 1024):
+        np.minimum(least, (hashes[s : s + 1024] * _factors[:, None] + _terms[:, None]).min(axis=1), out=least)
+    keys = (least.reshape(BANDS, BAND_ROWS) >> np.uint64(11)) * _factors.reshape(BANDS, BAND_ROWS)
+    return keys.sum(axis=1, dtype=np.uint64)
+
+
+def sketches(rows: DataFrame, shingle: int) -> DataFrame:
+    """rows: (id, tie, text). (id, tie, digest, bands): the digest of the words in lower case, and band_keys of the shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, keys = [], []
+            for text in batch.column(2):
+                words = words_of(text.as_py())
+                digests.append(xxhash.xxh3_128_digest(b" ".join(words).lower()))
+                keys.append(band_keys(np.array(shingle_hashes(words, shingle), np.uint64)).view(np.int64))
+            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+            bands = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * BANDS, pa.int32()), pa.array(flat, pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digests, pa.binary()), bands], names=["id", "tie", "digest", "bands"])
+
+    return rows.mapInArrow(run, "id bigint, tie bigint, digest binary, bands array<bigint>")
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose texts, (node, text), have at least this similarity of shingle sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = [jaccard(shingle_set(x.as_py(), shingle), shingle_set(y.as_py(), shingle)) >= similarity for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+
+    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+
+
+def similar_rows(rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """rows: (id, tie, text) with no null id. (id, tie, component): id and tie of each text, once, and the component of all confirmed links.
+
+    Candidates are texts with an equal band. A bucket of equal bands is first
+    compared with its least node, which joins dense groups in linear work; then
+    all its pairs that lie in different components so far are compared as well,
+    so no candidate that could add a link is left out.
+    """
+    own = written(sketches(rows, shingle), "sketches")
+    reps = own.groupBy("digest").agg(F.min(F.struct("id", "tie", "bands")).alias("r"))
+    reps = written(reps.select(F.monotonically_increasing_id().alias("node"), "r.*"), "texts")
+    banded = reps.select("node", F.posexplode("bands").alias("band", "key"))
+    shared = banded.groupBy("band", "key").agg(F.min("node").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    members = written(banded.join(shared, ["band", "key"]), "buckets")
+    used = members.select("node").distinct().join(reps.select("node", "id", "tie"), "node")
+    texts = written(rows.join(used, ["id", "tie"]).select("node", "text").dropDuplicates(["node"]), "candidates")
+    stars = written(members.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    links = written(confirmed(stars, texts, shingle, similarity), "links")
+    parts = connected_components(links, "near")
+    placed = members.join(parts, "node", "left").select("band", "key", "node", F.coalesce("component", "node").alias("part"))
+    mixed = placed.groupBy("band", "key").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("band", "key")
+    open_ = placed.join(mixed, ["band", "key"])
+    other = open_.select("band", "key", F.col("node").alias("b"), F.col("part").alias("other"))
+    rest = open_.withColumnRenamed("node", "a").join(other, ["band", "key"]).filter("a < b AND part <> other").select("a", "b").distinct()
+    more = confirmed(rest.join(stars, ["a", "b"], "left_anti"), texts, shingle, similarity)
+    parts = connected_components(links.unionByName(written(more, "links")), "near")
+    return reps.join(parts, "node", "left").select("id", "tie", F.coalesce("component", "node").alias("component"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, similarity: float = 0.8) -> DataFrame:
+    """docs with one row of each component of texts whose shingle sets have at least this similarity: that of the smallest id; of repeated rows of that id and text, one.
+
+    Unlike texts under one id are different rows. Texts without words are alike. Rows without an id stay.
+    """
+    tied = docs.withColumn("__id", F.col(id_col).cast("bigint")).withColumn("__tie", F.xxhash64(F.col(text_col).cast("string")))
+    some = tied.filter("__id IS NOT NULL")
+    found = similar_rows(some.select(F.col("__id").alias("id"), F.col("__tie").alias("tie"), F.col(text_col).cast("string").alias("text")), shingle, similarity)
+    keep = found.groupBy("component").agg(F.min(F.struct("id", "tie")).alias("r")).select(F.col("r.id").alias("__id"), F.col("r.tie").alias("__tie"))
+    kept = some.join(keep, ["__id", "__tie"], "left_semi").dropDuplicates(["__id", "__tie"])
+    return kept.select(*docs.columns).unionByName(docs.filter(F.col(id_col).cast("bigint").isNull()))

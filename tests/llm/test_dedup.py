@@ -126,6 +126,34 @@ def test_one_of_each_keeps_the_least_id(spark):
     assert kept.filter("doc_id IS NULL").count() == 1
 
 
+def test_one_of_each_reaches_a_similarity_of_0_8(spark):
+    import random
+
+    rng = random.Random(11)
+    data, want = [], {}
+    for k in range(120):
+        base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+        near = list(base)
+        for at in rng.sample(range(200), 2 + k % 8):
+            near[at] = "changed"
+        data += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(near))]
+        x, y = ({tuple(t[i : i + 5]) for i in range(196)} for t in (base, near))
+        want[k] = len(x & y) / len(x | y)
+    data += [(1000, "one text of its own under an id"), (1000, "and quite another one under it")]
+    kept = Counter(r[0] for r in simhash.one_of_each(spark.createDataFrame(data, "doc_id bigint, text string"), shingle=5).collect())
+    assert {k for k, j in want.items() if 2 * k + 1 not in kept} == {k for k, j in want.items() if j >= 0.8}
+    assert all(kept[2 * k] == 1 for k in want) and kept[1000] == 2
+    assert sum(0.8 <= j < 0.85 for j in want.values()) > 5 and sum(j < 0.8 for j in want.values()) > 5
+
+
+def test_one_of_each_follows_chains_within_a_bucket(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "band_keys", lambda hashes: np.zeros(simhash.BANDS, np.uint64))
+    words = [f"w{k}" for k in range(200)]
+    texts = [" ".join(words[8 * k : 8 * k + 100]) for k in range(8)] + ["quite another text that is long enough"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert sorted(r[0] for r in simhash.one_of_each(rows, shingle=5).collect()) == [0, 8]
+
+
 def test_components_of_long_paths_and_stars(spark):
     edges = [(k, k + 1) for k in range(60)] + [(1000, k) for k in range(1001, 1400)] + [(2000, 2000)]
     got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()))
