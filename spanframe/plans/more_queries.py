@@ -44,7 +44,7 @@ def final_blocks_events(spark, d):
 
 @query()
 def words_to_blocks_conversations(spark, d):
-    lines = table(spark, d, "conversations").select("conv_id", "turn", "role", F.posexplode(F.split(F.substring("text", 1, 300), r"\s+")).alias("i", "text")).filter("text <> ''")
+    lines = table(spark, d, "conversations").select("conv_id", "turn", "role", F.posexplode(F.split("text", r"\s+")).alias("i", "text")).filter("text <> ''")
     words = lines.select("conv_id", (F.col("turn") * 1_000_000 + F.col("i") * 350).alias("start_ms"), (F.col("turn") * 1_000_000 + F.col("i") * 350 + 300).alias("end_ms"), "text", F.col("role").alias("speaker_id"), F.lit(1.0).alias("probability"))
     return semantic.words_to_blocks(words, ["conv_id"]).select("conv_id", "speaker_id", "block", "start_ms", "last_ms", "text", "n_words", "display_end")
 

@@ -286,7 +286,7 @@ def capped_groups_events(spark, d):
 
 @query()
 def optimal_groups_conversations(spark, d):
-    lines = table(spark, d, "conversations").select("conv_id", "turn", F.posexplode(F.split(F.substring("text", 1, 400), r"\s+")).alias("i", "word"))
+    lines = table(spark, d, "conversations").select("conv_id", "turn", F.posexplode(F.split("text", r"\s+")).alias("i", "word"))
     timed = lines.filter("word <> ''").withColumn("start_ms", F.col("turn") * 1_000_000 + F.col("i") * 350).withColumn("end_ms", F.col("start_ms") + 300)
     return sequences.optimal_groups(timed, ["conv_id", "turn"], ["i"], "start_ms", "end_ms", "word").select("conv_id", "turn", "i", "part")
 
