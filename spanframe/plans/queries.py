@@ -433,7 +433,7 @@ def shared_tokens_of_turns(spark, d):
 
 @query()
 def similar_turns(spark, d):
-    turns = table(spark, d, "conversations").select("conv_id", "turn", F.substring("text", 1, 200).alias("a"))
+    turns = table(spark, d, "conversations").select("conv_id", "turn", F.col("text").alias("a"))
     after = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("a").alias("b"))
     return turns.join(after, ["conv_id", "turn"]).select("conv_id", "turn", text.similarity(F.col("a"), F.col("b")).alias("ratio"), text.blended_similarity(F.col("a"), F.col("b")).alias("blended"), text.bigram_dice(F.col("a"), F.col("b")).alias("dice"))
 

@@ -15,3 +15,9 @@ def test_blocks_and_groups_hold_every_word(spark, tmp_path):
     blocks = more_queries.words_to_blocks_conversations(spark, d).orderBy("start_ms").collect()
     assert " ".join(r["text"] for r in blocks).split() == " ".join(said).split() and sum(r["n_words"] for r in blocks) == 153
     assert queries.optimal_groups_conversations(spark, d).count() == 153
+
+
+def test_similar_turns_differ_behind_a_common_beginning(spark, tmp_path):
+    begin = "the same beginning " * 20
+    row = queries.similar_turns(spark, conversations(spark, tmp_path, [begin + "apples and pears", begin + "quick brown foxes"])).first()
+    assert row["ratio"] < 1 and row["blended"] < 1 and row["dice"] < 1
