@@ -104,14 +104,14 @@ def conflict_free_options(spark, d):
 def displaced_texts_conversations(spark, d):
     from pyspark.sql import Window
 
-    rows = table(spark, d, "conversations").select("conv_id", "turn", F.substring("text", 1, 120).alias("source"))
+    rows = table(spark, d, "conversations").select("conv_id", "turn", F.col("text").alias("source"))
     moved = F.when(F.col("conv_id") % 3 == 0, F.coalesce(F.lead("source").over(Window.partitionBy("conv_id").orderBy("turn")), F.col("source"))).otherwise(F.col("source"))
     return checks.displaced_texts(rows.withColumn("back", moved), ["conv_id"], "turn", "source", "back").select("conv_id", "turn", "offset", "reason")
 
 
 @query()
 def final_qa_conversations(spark, d):
-    rows = table(spark, d, "conversations").select("conv_id", (F.col("conv_id") * 1000 + F.col("turn")).alias("uid"), F.col("turn").alias("block_index"), (F.col("turn") * 4000).alias("start_ms"), (F.col("turn") * 4000 + 3500).alias("end_ms"), (F.col("turn") * 4000).alias("speech_start"), (F.col("turn") * 4000 + 3600).alias("speech_end"), F.col("text").alias("source"), F.substring("text", 1, 60).alias("target"), F.lit(False).alias("review_required"))
+    rows = table(spark, d, "conversations").select("conv_id", (F.col("conv_id") * 1000 + F.col("turn")).alias("uid"), F.col("turn").alias("block_index"), (F.col("turn") * 4000).alias("start_ms"), (F.col("turn") * 4000 + 3500).alias("end_ms"), (F.col("turn") * 4000).alias("speech_start"), (F.col("turn") * 4000 + 3600).alias("speech_end"), F.col("text").alias("source"), F.col("text").alias("target"), F.lit(False).alias("review_required"))
     return checks.final_qa(rows, ["conv_id"], "uid", "source", "target")
 
 

@@ -21,3 +21,13 @@ def test_similar_turns_differ_behind_a_common_beginning(spark, tmp_path):
     begin = "the same beginning " * 20
     row = queries.similar_turns(spark, conversations(spark, tmp_path, [begin + "apples and pears", begin + "quick brown foxes"])).first()
     assert row["ratio"] < 1 and row["blended"] < 1 and row["dice"] < 1
+
+
+def test_displaced_texts_and_final_qa_see_the_end_of_a_text(spark, tmp_path):
+    begin = "all of these turns begin with one long sentence that says nothing of what follows it and goes on for quite a while " * 2
+    rows = [(3, k, "user", begin + end) for k, end in enumerate(["apples", "boats 7", "clouds"])]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    moved = {r["turn"]: (r["offset"], r["reason"]) for r in more_queries.displaced_texts_conversations(spark, str(tmp_path)).collect()}
+    assert moved == {0: (1, "exact_neighbour"), 1: (1, "exact_neighbour")}
+    found = more_queries.final_qa_conversations(spark, str(tmp_path)).collect()
+    assert sum(r["code"] == "line_over_limit" for r in found) == 3 and not any(r["code"] == "numeric_anchor_mismatch" for r in found)
