@@ -7,7 +7,7 @@ overlap and the speakers are unknown or the same. Components are found in Spark
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -57,10 +57,8 @@ def best_selection(options: Mapping[str, Sequence[Sequence[Word]]], scores: Mapp
     best: tuple[tuple, list[int], dict[str, int]] | None = None
     names = sorted(options)
 
-    def walk(chosen: dict[str, int], left: dict[str, list[int]], total: tuple) -> None:
+    def branches(chosen: dict[str, int], left: dict[str, list[int]], total: tuple) -> Iterator[tuple]:
         nonlocal best
-        if table.checks > most_checks:
-            return
         if not left:
             rank = [chosen[u] for u in names]
             if best is None or (total, [-x for x in rank]) > (best[0], [-x for x in best[1]]):
@@ -75,10 +73,17 @@ def best_selection(options: Mapping[str, Sequence[Sequence[Word]]], scores: Mapp
         for i in sorted(left[u], key=lambda i: ([-x for x in scores[u][i]], i)):
             rest = {v: [j for j in found if table.fits(u, i, v, j)] for v, found in left.items() if v != u}
             if all(rest.values()):
-                walk({**chosen, u: i}, rest, add(total, scores[u][i]))
-
-    if all(options.values()):
-        walk({}, {u: list(range(len(o))) for u, o in options.items()}, zero)
+                yield {**chosen, u: i}, rest, add(total, scores[u][i])
+
+    # A stack of open branches, as components can be longer than Python's recursion limit.
+    start = {u: list(range(len(o))) for u, o in options.items()}
+    open_ = [branches({}, start, zero)] if all(options.values()) else []
+    while open_ and table.checks <= most_checks:
+        following = next(open_[-1], None)
+        if following is None:
+            open_.pop()
+        else:
+            open_.append(branches(*following))
     return None if best is None or table.checks > most_checks else best[2]
 
 

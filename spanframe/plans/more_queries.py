@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from spanframe.functions import text
-from spanframe.operators import conflicts, intervals
+from spanframe.operators import conflicts, intervals, sequences
 from spanframe.plans import captions, checks, semantic
 from spanframe.plans.queries import USER, query
 from spanframe.plans.relations import IV, event_intervals, table
@@ -90,14 +90,19 @@ def strange_documents(spark, d):
 
 @query()
 def conflict_free_options(spark, d):
-    """Overlapping events of one user are a component; each may stay or move behind its end."""
+    """Overlapping events of one user may stay or move behind their ends; those whose options can overlap are a component."""
     ev = event_intervals(spark, d)
     named = ev.withColumnsRenamed({"event_id": "other", "start_ms": "s2", "end_ms": "e2"}).select("user_id", "other", "s2", "e2")
     busy = intervals.interval_join(ev, named, USER, ("start_ms", "end_ms"), ("s2", "e2")).filter("event_id <> other").select("user_id", "event_id", "start_ms", "end_ms", "event_type").distinct()
     word = lambda shift: F.array(F.struct((F.col("start_ms") + shift).alias("start_ms"), (F.col("end_ms") + shift).alias("end_ms"), F.col("event_type").alias("speaker_id")))
     options = F.array(*[F.struct(F.lit(i).cast("bigint").alias("option"), word(900_000 * i).alias("words"), F.array(F.lit(int(i == 0))).alias("score")) for i in range(4)])
     rows = busy.select("user_id", F.col("event_id").cast("string").alias("uid"), F.explode(options).alias("o")).select("user_id", "uid", "o.*")
-    return conflicts.selected_options(rows, "user_id", "uid", "option", "words", "score")
+    words = rows.select("user_id", "uid", F.explode("words").alias("w")).select("user_id", "uid", "w.start_ms", "w.end_ms")
+    near = words.withColumnsRenamed({"uid": "other", "start_ms": "s2", "end_ms": "e2"})
+    pairs = intervals.interval_join(words, near, USER, ("start_ms", "end_ms"), ("s2", "e2")).filter("uid < other").select("uid", "other")
+    parts = sequences.overlap_components(pairs, "uid", "other").withColumnRenamed("node", "uid")
+    found = conflicts.selected_options(rows.drop("user_id").join(parts, "uid"), "component", "uid", "option", "words", "score")
+    return found.join(busy.select("user_id", F.col("event_id").cast("string").alias("uid")), "uid").select("user_id", "uid", "option", "solved")
 
 
 @query()
