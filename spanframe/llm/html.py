@@ -40,7 +40,7 @@ _token = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>",
     re.S | re.I,
 )
-_attribute = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+_attribute = re.compile(r"(?<![\w:.-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _parts = re.compile(r"[A-Za-z]+")
 BLOCKS = frozenset("html head body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption address header footer nav aside form fieldset details summary dialog menu center hgroup".split())
 _breaks = frozenset("br hr img input".split())
@@ -53,6 +53,17 @@ AWAY_WORDS = frozenset(
     "alert newsletter subscribe signup share sharing social related recommended recommendations breadcrumb breadcrumbs menu nav navbar navigation pagination pager footer masthead popup modal overlay toolbar search login widget contentinfo complementary".split()
 )
 MAIN_WORDS = frozenset("article content post entry story body main text".split())
+#: What no name drops: roots, marks of the main text, its headings and paragraphs. First words of names that tell a state, as in has-sidebar.
+NAMED_STAYS = frozenset("html body article main p h1 h2 h3 h4 h5 h6".split())
+STATES = frozenset("has no is with without".split())
+
+
+def names_away(tag: str, names: list[tuple[str, str]]) -> bool:
+    """Whether a name of the element is an away word, or holds one and tells no state."""
+    if tag in NAMED_STAYS:
+        return False
+    each = ([w.lower() for w in _parts.findall(name)] for _, v in names for name in v.split())
+    return any(w and w[0] not in STATES and not AWAY_WORDS.isdisjoint(w) for w in each)
 
 
 class Page:
@@ -62,7 +73,38 @@ class Page:
         self.html = html or ""
 
     def events(self) -> Iterator[tuple[str, object]]:
-        """("open", (key, tag, away)), ("close", None) for block elements, ("text", raw), ("gap", None) for white space from tags."""
+        """("open", (key, tag, away, words)), ("close", None) for block elements, ("text", raw), ("gap", None) for white space from tags.
+
+        If all that a page marks as its main text stands inside elements that are
+        away by their names, those names describe a layout and drop nothing.
+        """
+        found = list(self._events())
+        if any(kind == "open" and what[3] for kind, what in found):
+            lifted = self._lifted(found)
+        else:
+            lifted = set()
+        for k, (kind, what) in enumerate(found):
+            yield kind, (what[0], what[1], what[2] or what[3] and k not in lifted, what[4]) if kind == "open" else what
+
+    def _lifted(self, found: list[tuple[str, object]]) -> set[int]:
+        """The positions of the elements away by name around the main text, if it has no other place."""
+        stack: list[tuple[int, bool, bool]] = []
+        around: dict[bool, list[tuple[bool, set[int]]]] = {True: [], False: []}
+        for k, (kind, what) in enumerate(found):
+            if kind == "close":
+                stack.pop()
+            elif kind == "open":
+                _, tag, by_tag, by_name, words = what
+                strong = tag in ("article", "main")
+                if not any(x[1] for x in stack) and not by_tag and (strong or tag in ("div", "section") and not by_name and words & MAIN_WORDS):
+                    up = {x[0] for x in stack if x[2]}
+                    around[strong].append((not up, up))
+                stack.append((k, by_tag, by_name))
+        places = around[True] or around[False]
+        return set() if any(free for free, _ in places) else set().union(*(up for _, up in places))
+
+    def _events(self) -> Iterator[tuple[str, object]]:
+        """events, with (key, tag, away by tag, away by name, words) of what opens."""
         stack: list[str] = []
         at = 0
         for m in _token.finditer(self.html):
@@ -90,10 +132,9 @@ class Page:
                 names = [(x[0].lower(), x[1] or x[2] or x[3]) for x in _attribute.findall(rest)] if rest and "=" in rest else []
                 words = {w.lower() for _, v in names for w in _parts.findall(v)}
                 key = tag + "".join(sorted("." + "".join(_parts.findall(v)).lower()[:20] for k, v in names if k in ("class", "role")))
-                away = tag in AWAY_TAGS or bool(words & AWAY_WORDS) and tag not in ("html", "body") and not (tag in ("article", "main"))
-                away = away or tag == "header" and "article" not in stack and "main" not in stack
+                away = tag in AWAY_TAGS or tag == "header" and "article" not in stack and "main" not in stack
                 stack.append(tag)
-                yield "open", (key, tag, away, words)
+                yield "open", (key, tag, away, bool(words & AWAY_WORDS) and names_away(tag, names), words)
         if at < len(self.html):
             yield "text", self.html[at:]
         for _ in stack:

@@ -222,6 +222,19 @@ def test_pages(spark):
     assert found["site.org"]["region"].endswith("article") and found["site.org"]["pages"] == 5
 
 
+def test_names_of_layouts_headings_and_paragraphs_drop_no_main_text():
+    def text(body):
+        _, found = html.stream(body)
+        return html.main_text(body, html.main_path([(p, n, m) for p, (n, m) in found.items()]))
+
+    inner = '<article><h2 id="related-work">Work</h2><p id="notice-1">One</p><div data-id="ad">Two</div><div class="ad">no</div><div class="ad-slot">no</div><h3 id="discussion">End</h3></article>'
+    want = "Work\n\nOne\n\nTwo\n\nEnd"
+    for wrapper in ("layout has-sidebar", "sidebar-layout", "banner"):
+        assert text(f'<body><div class="{wrapper}">{inner}<section id="comments"><p>no</p></section></div></body>') == want
+    assert text(f'<body>{inner}<section id="comments"><article><p>{"no " * 99}</p></article></section></body>') == want
+    assert text('<body><div class="sidebar-layout"><div class="content"><p>Yes</p></div><div class="sidebar">no</div></div></body>') == "Yes"
+
+
 def test_wrappers_align():
     one, _ = html.stream("<div><h2>a</h2><p>b</p><h2>c</h2><p>d</p></div>")
     two, _ = html.stream("<div><h2>a</h2><p>b</p><ul><li>x</li><li>y</li></ul></div>")
