@@ -395,12 +395,14 @@ def number_anchors_documents(spark, d):
 b AS (SELECT item_id, ' ' || array_to_string(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+'), ' ') || ' ' AS b FROM benchmark)
 SELECT doc_id, item_id FROM t, b WHERE contains(t, b)""")
 def benchmark_contiguous_match(spark, d):
-    """A passage can only stand where its first eight tokens do: an equi join, then the whole check."""
+    """A passage can only stand where its first eight tokens do, or all of a shorter one: an equi join, then the whole check."""
     wide = 8
     passages = table(spark, d, "benchmark").select("item_id", text.tokens(F.col("text")).alias("needle")).withColumn("head", F.xxhash64(F.slice("needle", 1, wide)))
+    widths = [r[0] for r in passages.select(F.least(F.size("needle"), F.lit(wide))).distinct().collect()]
     docs = table(spark, d, "documents").select("doc_id", text.tokens(F.col("text")).alias("found"))
-    starts = F.transform(F.sequence(F.lit(1), F.greatest(F.size("found") - wide + 1, F.lit(1))), lambda i: F.xxhash64(F.slice("found", i, wide)))
-    heads = docs.select("doc_id", "found", F.explode(F.array_distinct(starts)).alias("head"))
+    of_width = lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.size("found") - w + 1, F.lit(1))), lambda i: F.xxhash64(F.slice("found", i, w)))
+    starts = [of_width(w) for w in widths]
+    heads = docs.select("doc_id", "found", F.explode(F.array_distinct(F.concat(*starts) if starts else F.array().cast("array<bigint>"))).alias("head"))
     hit = heads.join(passages, "head")
     padded = lambda c: F.concat(F.lit(" "), F.array_join(c, " "), F.lit(" "))
     return hit.filter(F.contains(padded("found"), padded("needle"))).select("doc_id", "item_id").distinct()
