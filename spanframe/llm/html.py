@@ -1,38 +1,53 @@
 """Main text of HTML pages by wrappers, inferred as union-free regular expressions.
 
-A page's tags make a stream of tokens. Runs of equal sibling groups in it become
-repeated groups, so most pages of a template have one stream. The distinct streams
-of a host are aligned one after the other: what only one side has becomes optional,
-what follows its like becomes repeated, and texts become slots. The result is the
-host's wrapper. The wrapper's region of main text is the slot-bearing node that
-holds the article: a node so marked on the host's pages, or else the one that holds
-most of the text outside navigation, forms, advertisements and the like. A page's
-text is what stands in its host's region, block by block; a page on which the region
-is missing gives all its text outside those places.
-
-Streams and text lengths are counted by host before they are moved, and merged in
-salted groups first, so a host with a third of all pages is a few rows from each task.
+1. A page's tags make a tree of tokens. Runs of equal sibling groups in it become
+   repeated groups, so most pages of a template have one stream. The distinct streams
+   of a host are aligned one after the other: what only one side has becomes optional,
+   what follows its like becomes repeated, and texts become slots. The result is the
+   host's wrapper; its nodes are numbered in page order.
+2. Every page is matched with its host's wrapper, so each of its blocks of text stands
+   at a node. A text that stands in one place on nearly all pages of the host belongs to
+   the expression: it is fixed. What differs from page to page fills a slot.
+3. The main region is where the wrapper's slots hold text: the articles that the host
+   marks as such, or else the smallest node with most of the slot text. A page's text
+   is what fills the region's slots. A page that has nothing at the region gives its
+   slots elsewhere.
+
+Elements that HTML itself keeps apart from the text (nav, aside, footer, form, ...)
+give no text. Names in class, id and role are a fallback for what differs on every
+page and yet is no article, such as adverts and reader comments: a whole name of a
+short list drops an element beside or below the region, never one around it.
+
+Copies don't look like templates: pages count as one if their longest block is the same.
+Walks and alignments are loops without recursion, near-linear in the page's size.
 """
 
 from __future__ import annotations
 
 import html as entities
-import json
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanframe.llm.common import written
 
 SALTS = 32
-#: Total bytes of wrappers up to which they are broadcast; else pages and wrappers are joined by host.
+#: Total bytes of wrappers, and of decisions, up to which they are broadcast; else pages meet them by host.
 BROADCAST_BYTES = 16 << 20
 #: The longest group of siblings that is looked for as a repetition.
 LONGEST_GROUP = 4
+#: A text is fixed if it stands in its element's place on this share of the host's unlike pages with text there, and on so many at least.
+FIXED_SHARE, FIXED_PAGES = 0.9, 4
+#: Part of a node's slot text that one child must hold for the region to narrow to it.
+NARROWS = 0.6
+#: Size of sibling lists (product) up to which they are aligned by a full table.
+TABLE_CELLS = 2500
 
 _raw = "script|style|textarea|title|noscript|template|iframe|xmp|noembed|noframes|svg|select"
 _token = re.compile(
@@ -41,322 +56,535 @@ _token = re.compile(
     re.S | re.I,
 )
 _attribute = re.compile(r"(?<![\w:.-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
-_parts = re.compile(r"[A-Za-z]+")
+#: What a key leaves out of names: long numbers, and what isn't a word.
+_no_key = re.compile(r"\d{3,}|[^\w]+")
+_tag_part = re.compile("[^.@]*")
 BLOCKS = frozenset("html head body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption address header footer nav aside form fieldset details summary dialog menu center hgroup".split())
 _breaks = frozenset("br hr img input".split())
 _cells = frozenset("td th".split())
 _closes_p = BLOCKS - _cells
-#: Elements, and words in class, id or role, that no main text stands in.
+#: Elements that no main text stands in; also header, but in an article or main.
 AWAY_TAGS = frozenset("nav aside footer form fieldset dialog menu head button".split())
-AWAY_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar comment comments respond replies reply discussion disqus cookie cookies consent gdpr notice notices notification "
-    "alert newsletter subscribe signup share sharing social related recommended recommendations breadcrumb breadcrumbs menu nav navbar navigation pagination pager footer masthead popup modal overlay toolbar search login widget contentinfo complementary".split()
+#: Whole names in class, id or role of what is no article though it differs on every page.
+AWAY_NAMES = re.compile(
+    r"(?:ads?|ad[-_].*|.*[-_]ads?|advert.*|sponsor(?:ed)?(?:[-_].*)?|promo(?:tion)?s?(?:[-_].*)?|side[-_]?bar|banner|masthead|comments?|comments?[-_](?:list|section|area|form|thread|box)|respond|replies|disqus.*|"
+    r"cookies?(?:[-_].*)?|consent.*|gdpr.*|notices?|alert|newsletter.*|subscribe.*|sign-?up.*|share|sharing|share[-_].*|social(?:[-_].*)?|related|related[-_](?:posts|articles|links|stories|news)|recommend(?:ed|ations)(?:[-_].*)?|"
+    r"breadcrumbs?|menu|nav|navbar|navigation|.*[-_](?:nav|menu)|(?:nav|menu)[-_].*|pagination|pager|footer|(?:site|page)[-_](?:footer|header)|popup|modal|overlay|toolbar|search(?:[-_]form)?|login|widgets?|contentinfo|complementary)",
+    re.I,
 )
-MAIN_WORDS = frozenset("article content post entry story body main text".split())
-#: What no name drops: roots, marks of the main text, its headings and paragraphs. First words of names that tell a state, as in has-sidebar.
+#: What no name drops.
 NAMED_STAYS = frozenset("html body article main p h1 h2 h3 h4 h5 h6".split())
-STATES = frozenset("has no is with without".split())
-
-
-def names_away(tag: str, names: list[tuple[str, str]]) -> bool:
-    """Whether a name of the element is an away word, or holds one and tells no state."""
-    if tag in NAMED_STAYS:
-        return False
-    each = ([w.lower() for w in _parts.findall(name)] for _, v in names for name in v.split())
-    return any(w and w[0] not in STATES and not AWAY_WORDS.isdisjoint(w) for w in each)
-
-
-class Page:
-    """Walks a page: block elements on a stack, text in blocks."""
-
-    def __init__(self, html: str | None):
-        self.html = html or ""
-
-    def events(self) -> Iterator[tuple[str, object]]:
-        """("open", (key, tag, away, words)), ("close", None) for block elements, ("text", raw), ("gap", None) for white space from tags.
-
-        If all that a page marks as its main text stands inside elements that are
-        away by their names, those names describe a layout and drop nothing.
-        """
-        found = list(self._events())
-        if any(kind == "open" and what[3] for kind, what in found):
-            lifted = self._lifted(found)
-        else:
-            lifted = set()
-        for k, (kind, what) in enumerate(found):
-            yield kind, (what[0], what[1], what[2] or what[3] and k not in lifted, what[4]) if kind == "open" else what
-
-    def _lifted(self, found: list[tuple[str, object]]) -> set[int]:
-        """The positions of the elements away by name around the main text, if it has no other place."""
-        stack: list[tuple[int, bool, bool]] = []
-        around: dict[bool, list[tuple[bool, set[int]]]] = {True: [], False: []}
-        for k, (kind, what) in enumerate(found):
-            if kind == "close":
-                stack.pop()
-            elif kind == "open":
-                _, tag, by_tag, by_name, words = what
-                strong = tag in ("article", "main")
-                if not any(x[1] for x in stack) and not by_tag and (strong or tag in ("div", "section") and not by_name and words & MAIN_WORDS):
-                    up = {x[0] for x in stack if x[2]}
-                    around[strong].append((not up, up))
-                stack.append((k, by_tag, by_name))
-        places = around[True] or around[False]
-        return set() if any(free for free, _ in places) else set().union(*(up for _, up in places))
-
-    def _events(self) -> Iterator[tuple[str, object]]:
-        """events, with (key, tag, away by tag, away by name, words) of what opens."""
-        stack: list[str] = []
-        at = 0
-        for m in _token.finditer(self.html):
-            if m.start() > at:
-                yield "text", self.html[at : m.start()]
-            at = m.end()
-            tag = m[3] or m[6]
-            if tag is None:
-                continue
-            tag, closing, rest = tag.lower(), m[2] or m[5], m[4] if m[3] else m[7]
-            if tag in _breaks:
-                yield "gap", None
-            elif tag not in BLOCKS:
-                if tag == "button" and not closing:
-                    yield "gap", None
-            elif closing:
-                if tag in stack:
-                    while stack.pop() != tag:
-                        yield "close", None
-                    yield "close", None
+#: Nodes that a region never narrows to.
+_leaves = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr blockquote pre figcaption caption #".split())
+
+
+class Node:
+    """A node of a page or wrapper: flag is "", "?", "+" or "*"; the key "#" is a text slot, "(a b)" a group; named keys begin with "!"."""
+
+    __slots__ = ("at", "flag", "into", "key", "kids", "off", "waiting")
+
+    def __init__(self, key: str, flag: str = ""):
+        self.key, self.flag = key, flag
+        self.kids: list[Node] = []
+        self.waiting: list[list[Node]] = []  # lists of children still to be aligned with kids
+        self.into: Node | None = None  # the node this one was merged into
+        self.at, self.off = 0, 0
+
+    @property
+    def tag(self) -> str:
+        return _tag_part.match(self.key.lstrip("!"))[0]
+
+
+def _either(a: str, b: str, more: str = "") -> str:
+    flags = a + b + more
+    optional, repeated = "?" in flags or "*" in flags, "+" in flags or "*" in flags
+    return "*" if optional and repeated else "?" if optional else "+" if repeated else ""
+
+
+def _absorb(x: Node, y: Node, todo: list[Node], more: str = "") -> None:
+    x.flag = _either(x.flag, y.flag, more)
+    if y.kids or x.kids:
+        x.waiting.append(y.kids)
+    x.waiting += y.waiting
+    y.waiting, y.into = [], x
+    if x.waiting:
+        todo.append(x)
+
+
+def matching(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Increasing index pairs of equal keys: a longest common part of short lists; of long ones what keys that stand once in both fix, and the next like key between those."""
+    n, m, low = len(a), len(b), 0
+    while low < n and low < m and a[low] == b[low]:
+        low += 1
+    high = 0
+    while high < n - low and high < m - low and a[n - 1 - high] == b[m - 1 - high]:
+        high += 1
+    head, tail = [(k, k) for k in range(low)], [(n - high + k, m - high + k) for k in range(high)]
+    n, m = n - high, m - high
+    if n == low or m == low:
+        return head + tail
+    if (n - low) * (m - low) <= TABLE_CELLS:
+        best = [[0] * (m - low + 1) for _ in range(n - low + 1)]
+        for i in range(n - low - 1, -1, -1):
+            for j in range(m - low - 1, -1, -1):
+                best[i][j] = best[i + 1][j + 1] + 1 if a[low + i] == b[low + j] else max(best[i + 1][j], best[i][j + 1])
+        i = j = 0
+        while i < n - low and j < m - low:
+            if a[low + i] == b[low + j]:
+                head.append((low + i, low + j))
+                i, j = i + 1, j + 1
+            elif best[i + 1][j] >= best[i][j + 1]:
+                i += 1
             else:
-                if tag in _closes_p and stack and stack[-1] == "p" or tag in ("li", "dt", "dd", "tr") and stack and stack[-1] == tag:
-                    stack.pop()
-                    yield "close", None
-                names = [(x[0].lower(), x[1] or x[2] or x[3]) for x in _attribute.findall(rest)] if rest and "=" in rest else []
-                words = {w.lower() for _, v in names for w in _parts.findall(v)}
-                key = tag + "".join(sorted("." + "".join(_parts.findall(v)).lower()[:20] for k, v in names if k in ("class", "role")))
-                away = tag in AWAY_TAGS or tag == "header" and "article" not in stack and "main" not in stack
-                stack.append(tag)
-                yield "open", (key, tag, away, bool(words & AWAY_WORDS) and names_away(tag, names), words)
-        if at < len(self.html):
-            yield "text", self.html[at:]
-        for _ in stack:
-            yield "close", None
-
-
-# A node of a wrapper: [key, flag, children]; flag is "", "?", "+" or "*". Key "#" is a text slot, "()" a group.
-
-
-def _either(a: str, b: str) -> str:
-    optional, repeated = any(x in "?*" and x for x in (a, b)), any(x in "+*" and x for x in (a, b))
-    return {(0, 0): "", (1, 0): "?", (0, 1): "+", (1, 1): "*"}[optional, repeated]
-
-
-def _same(a: list, b: list) -> bool:
-    return a[0] == b[0] and (a[0] != "()" or [x[0] for x in a[2]] == [x[0] for x in b[2]])
-
-
-def merged(a: list, b: list) -> list:
-    """The node of two alike."""
-    return [a[0], _either(a[1], b[1]), aligned(a[2], b[2])]
-
-
-def repeated(nodes: list) -> list:
+                j += 1
+        return head + tail
+    once_a, once_b = Counter(a[low:n]), Counter(b[low:m])
+    where = {key: low + j for j, key in enumerate(b[low:m]) if once_b[key] == 1}
+    pairs = [(i, where[a[i]]) for i in range(low, n) if once_a[a[i]] == 1 and a[i] in where]
+    ends: list[int] = []  # the longest increasing run of pairs
+    last: list[int] = []
+    before: list[int] = []
+    for k, (_, j) in enumerate(pairs):
+        at = bisect_left(ends, j)
+        before.append(last[at - 1] if at else -1)
+        ends[at : at + 1] = [j]
+        last[at : at + 1] = [k]
+    anchors, k = [], last[-1] if last else -1
+    while k >= 0:
+        anchors.append(pairs[k])
+        k = before[k]
+    places: dict[str, list[int]] = {}
+    for j in range(low, m):
+        places.setdefault(b[j], []).append(j)
+    i = j = low
+    for stop, other in [*reversed(anchors), (n, m)]:
+        while i < stop:
+            found = places.get(a[i], [])
+            at = bisect_left(found, j)
+            if at < len(found) and found[at] < other:
+                head.append((i, found[at]))
+                j = found[at] + 1
+            i += 1
+        if stop < n:
+            head.append((stop, other))
+            i, j = stop + 1, other + 1
+    return head + tail
+
+
+def _group_key(nodes: list[Node]) -> str:
+    return "(" + " ".join(x.key for x in nodes) + ")"
+
+
+def _folded(kids: list[Node], todo: list[Node]) -> list[Node]:
     """Neighbouring equal groups as one repeated group each."""
     for size in range(1, LONGEST_GROUP + 1):
-        out: list = []
-        for node in nodes:
+        if len(kids) < 1 + min(size, 2):
+            break
+        out: list[Node] = []
+        for node in kids:
             out.append(node)
-            while len(out) >= 2 * size and all(_same(x, y) for x, y in zip(out[-2 * size : -size], out[-size:], strict=True)):
-                one = [merged(x, y) for x, y in zip(out[-2 * size : -size], out[-size:], strict=True)]
-                del out[-2 * size :]
-                if size == 1:
-                    one[0][1] = _either(one[0][1], "+")
-                    out += one
-                else:
-                    out.append(["()", "+", one])
-            if size > 1 and len(out) > size and out[-size - 1][0] == "()" and len(out[-size - 1][2]) == size and all(_same(x, y) for x, y in zip(out[-size - 1][2], out[-size:], strict=True)):
+            if size == 1:
+                if len(out) > 1 and out[-2].key == node.key:
+                    _absorb(out[-2], out.pop(), todo, "+")
+            elif len(out) > size:
                 group = out[-size - 1]
-                group[2] = [merged(x, y) for x, y in zip(group[2], out[-size:], strict=True)]
+                if group.key[0] == "(" and group.key == _group_key(out[-size:]):
+                    pass
+                elif len(out) >= 2 * size and all(x.key == y.key for x, y in zip(out[-2 * size : -size], out[-size:], strict=True)):
+                    group = Node(_group_key(out[-size:]), "+")
+                    group.kids = out[-2 * size : -size]
+                    out[-2 * size : -size] = [group]
+                else:
+                    continue
+                for x, y in zip(group.kids, out[-size:], strict=True):
+                    _absorb(x, y, todo)
                 del out[-size:]
-        nodes = out
-    return nodes
-
-
-def aligned(a: list, b: list) -> list:
-    """Two lists of siblings as one that matches both."""
-    if len(a) == len(b) and all(_same(x, y) for x, y in zip(a, b, strict=True)):
-        return [merged(x, y) for x, y in zip(a, b, strict=True)]
-    n, m = len(a), len(b)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if _same(a[i], b[j]) else max(best[i + 1][j], best[i][j + 1])
-    out, i, j = [], 0, 0
-    while i < n or j < m:
-        if i < n and j < m and _same(a[i], b[j]):
-            out.append(merged(a[i], b[j]))
-            i, j = i + 1, j + 1
-        else:
-            left = j == m or i < n and best[i + 1][j] >= best[i][j + 1]
-            node = a[i] if left else b[j]
-            out.append([node[0], _either(node[1], "?"), node[2]])
-            i, j = (i + 1, j) if left else (i, j + 1)
-    return repeated(out)
-
-
-def expression(nodes: list) -> str:
+        kids = out
+    return kids
+
+
+def _settle(todo: list[Node]) -> None:
+    """Aligns all children that wait."""
+    while todo:
+        x = todo.pop()
+        while x.waiting:
+            a, b = x.kids, x.waiting.pop()
+            keys = [y.key for y in a], [y.key for y in b]
+            if keys[0] == keys[1]:
+                for y, z in zip(a, b, strict=True):
+                    _absorb(y, z, todo)
+                continue
+            out: list[Node] = []
+            i = j = 0
+            for p, q in [*matching(*keys), (len(a), len(b))]:
+                for only in a[i:p] + b[j:q]:
+                    only.flag = _either(only.flag, "?")
+                    out.append(only)
+                if p < len(a):
+                    _absorb(a[p], b[q], todo)
+                    out.append(a[p])
+                i, j = p + 1, q + 1
+            x.kids = _folded(out, todo)
+
+
+def aligned(a: Node, b: Node) -> Node:
+    """The wrapper a, which now also matches b."""
+    todo: list[Node] = []
+    _absorb(a, b, todo)
+    _settle(todo)
+    return a
+
+
+def expression(root: Node) -> str:
     """A wrapper as a regular expression over tags and text slots."""
-    out = []
-    for key, flag, children in nodes:
-        if key == "#":
-            out.append("#" + flag)
-            continue
-        inner = expression(children)
-        one = inner if key == "()" else f"<{key}>{inner}</>"
-        out.append(f"({one}){flag}" if flag or key == "()" else one)
+    out: list[str] = []
+    stack: list[Node | str] = list(reversed(root.kids))
+    while stack:
+        x = stack.pop()
+        if isinstance(x, str):
+            out.append(x)
+        elif x.key == "#":
+            out.append("#" + x.flag)
+        else:
+            group = x.key[0] == "("
+            out.append(("(" if group or x.flag else "") + ("" if group else f"<{x.key}>"))
+            stack.append(("" if group else "</>") + (f"){x.flag}" if group or x.flag else ""))
+            stack += reversed(x.kids)
     return "".join(out)
 
 
-def stream(html: str | None) -> tuple[list, dict[str, list[int]]]:
-    """(nodes of the page, {path: [characters of text inside that aren't away, 1 if marked as the article]})."""
-    root: list = ["", "", []]
-    nodes, paths, aways = [root], [""], [False]
-    found: dict[str, list[int]] = {}
-    for kind, what in Page(html).events():
-        if kind == "open":
-            key, tag, away, words = what
-            node = [key, "", []]
-            nodes[-1][2].append(node)
-            nodes.append(node)
-            paths.append(f"{paths[-1]}>{key}")
-            aways.append(aways[-1] or away)
-            if not aways[-1]:
-                mark = 3 if tag == "article" else 2 if tag == "main" or "main" in words else 1 if tag in ("div", "section") and words & MAIN_WORDS else 0
-                kept = found.setdefault(paths[-1], [0, mark])
-                kept[1] = max(kept[1], mark)
-        elif kind == "close":
-            nodes[-1][2] = repeated(nodes[-1][2])
-            nodes.pop()
-            paths.pop()
-            aways.pop()
-        elif kind == "text" and not what.isspace():
-            if not nodes[-1][2] or nodes[-1][2][-1][0] != "#":
-                nodes[-1][2].append(["#", "", []])
-            if not aways[-1] and paths[-1]:
-                found.setdefault(paths[-1], [0, 0])[0] += len(what)
-    return repeated(root[2]), found
-
-
-def main_path(stats: list[tuple[str, int, int]]) -> str:
-    """The region among (path, characters directly in it, mark): of the best mark with text, the one with most text inside; else the deepest with most of it."""
-    inside: dict[str, int] = {}
-    marks: dict[str, int] = {}
-    for path, chars, mark in stats:
-        marks[path] = max(mark, marks.get(path, 0))
-        parts = path.split(">")
-        for k in range(2, len(parts) + 1):
-            up = ">".join(parts[:k])
-            inside[up] = inside.get(up, 0) + chars
-    with_text = [(marks.get(p, 0), n, p) for p, n in inside.items() if n]
-    if not with_text:
-        return ""
-    top = max(m for m, _, _ in with_text)
-    if top:
-        return max((n, p) for m, n, p in with_text if m == top)[1]
-    whole = max(n for _, n, _ in with_text)
-    blocks = [(p.count(">"), n, p) for _, n, p in with_text if 2 * n > whole and not re.search(r">(p|h\d|li|td|tr|blockquote|pre)[^>]*$", p)]
-    return max(blocks)[2] if blocks else ""
-
-
-def main_text(html: str | None, region: str) -> str:
-    """The blocks of the region, or where the page has none of it of the whole page, joined by blank lines."""
-    all_blocks: list[str] = []
-    own_blocks: list[str] = []
+def flat(root: Node) -> str:
+    """A tree as lines (depth, flag, key) in page order."""
+    out: list[str] = []
+    stack = [(0, x) for x in reversed(root.kids)]
+    while stack:
+        depth, x = stack.pop()
+        out.append(f"{depth}\t{x.flag}\t{x.key}")
+        stack += [(depth + 1, y) for y in reversed(x.kids)]
+    return "\n".join(out)
+
+
+def unflat(lines: str) -> tuple[Node, list[Node], list[int]]:
+    """(root, all nodes in page order, for each the number of the first node behind its subtree); node k has at = k."""
+    root = Node("")
+    nodes, ends, up = [root], [0], [root]
+    for line in lines.split("\n") if lines else []:
+        depth, flag, key = line.split("\t")
+        x = Node(key, flag)
+        x.at = len(nodes)
+        for y in up[int(depth) + 1 :]:
+            ends[y.at] = len(nodes)
+        del up[int(depth) + 1 :]
+        up[-1].kids.append(x)
+        up.append(x)
+        nodes.append(x)
+        ends.append(0)
+    for y in up:
+        ends[y.at] = len(nodes)
+    return root, nodes, ends
+
+
+def read_page(html: str | None) -> tuple[Node, list[tuple[Node, Node, bool, int, str]]]:
+    """(tree of the page, blocks (node, the element around its own, away by tag, characters in links, text)). Articles and mains also give a block without text, which says that they are there."""
+    source = html or ""
+    root = Node("")
+    stack: list[tuple[str, Node, bool]] = [("", root, False)]  # tag, node, away
+    opened: Counter[str] = Counter()
+    todo: list[Node] = []
+    blocks: list[tuple[Node, Node, bool, int, str]] = []
     held: list[str] = []
-    paths, aways, inside = [""], [False], 0
-    seen = False
+    first: tuple[Node, Node, bool] | None = None
+    links = in_link = at = 0
 
     def flush() -> None:
-        text = " ".join("".join(held).split())
+        nonlocal first, links
+        if first is not None:
+            text = " ".join("".join(held).split())
+            if text:
+                blocks.append((*first, links, text))
         held.clear()
-        if text:
-            (own_blocks if inside else all_blocks).append(text)
-
-    for kind, what in Page(html).events():
-        if kind == "text":
-            if not aways[-1]:
-                held.append(entities.unescape(what) if "&" in what else what)
-        elif kind == "gap":
+        first, links = None, 0
+
+    def text_at(raw: str) -> None:
+        nonlocal first, links
+        tag, node, away = stack[-1]
+        if not raw.isspace():
+            if not node.kids or node.kids[-1].key != "#":
+                node.kids.append(Node("#"))
+            if away:
+                return
+            if first is None:
+                first = node.kids[-1], stack[max(0, len(stack) - 2)][1], away
+            if in_link:
+                links += len(raw)
+        if not away:
+            held.append(entities.unescape(raw) if "&" in raw else raw)
+
+    def close() -> None:
+        tag, node, _ = stack.pop()
+        if tag not in _cells:
+            flush()
+        opened[tag] -= 1
+        node.kids = _folded(node.kids, todo)
+        if todo:
+            _settle(todo)
+
+    for m in _token.finditer(source):
+        if m.start() > at:
+            text_at(source[at : m.start()])
+        at = m.end()
+        tag = m[3] or m[6]
+        if tag is None:
+            continue
+        tag, closing, rest = tag.lower(), m[2] or m[5], m[4] if m[3] else m[7]
+        if tag in _breaks or tag == "button" and not closing:
             held.append(" ")
-        elif kind == "open":
-            key, tag, away, _ = what
+        elif tag == "a":
+            in_link = 0 if closing else 1
+        elif tag not in BLOCKS:
+            pass
+        elif closing:
+            if opened[tag] > 0:
+                while stack[-1][0] != tag:
+                    close()
+                close()
+        else:
+            if tag in _closes_p and stack[-1][0] == "p" or tag in ("li", "dt", "dd", "tr") and stack[-1][0] == tag:
+                close()
+            names = [(x[0].lower(), x[1] or x[2] or x[3]) for x in _attribute.findall(rest)] if rest and "=" in rest else []
+            key = tag + "".join(sorted(("@" if k == "role" else ".") + _no_key.sub("", v).lower()[:20] for k, v in names if k != "id"))
+            if tag not in NAMED_STAYS and any(AWAY_NAMES.fullmatch(name) for _, v in names for name in v.split()):
+                key = "!" + key
+            marked = tag in ("article", "main") or any(k == "role" and v.strip().lower() == "main" for k, v in names)
+            away = stack[-1][2] or tag in AWAY_TAGS or tag == "header" and not opened["article"] and not opened["main"]
             if tag in _cells:
                 held.append(" ")
             else:
                 flush()
-            paths.append(f"{paths[-1]}>{key}")
-            aways.append(aways[-1] or away)
-            if paths[-1] == region and not aways[-1]:
-                inside += 1
-                seen = True
-        else:
-            if paths[-1].rpartition(">")[2].partition(".")[0] not in _cells:
-                flush()
-            if paths[-1] == region and not aways[-1]:
-                inside -= 1
-            paths.pop()
-            aways.pop()
+            node = Node(key)
+            stack[-1][1].kids.append(node)
+            stack.append((tag, node, away))
+            opened[tag] += 1
+            in_link = 0
+            if marked and not away:
+                blocks.append((node, node, away, 0, ""))
+    if at < len(source):
+        text_at(source[at:])
+    while len(stack) > 1:
+        close()
     flush()
-    return "\n\n".join(own_blocks if seen else all_blocks)
-
-
-def _host(url):
+    root.kids = _folded(root.kids, todo)
+    _settle(todo)
+    return root, blocks
+
+
+def _merged(node: Node) -> Node:
+    """What a node was merged into."""
+    found = node
+    while found.into is not None:
+        found = found.into
+    while node.into is not None:
+        node.into, node = found, node.into
+    return found
+
+
+def matched(wrapper: Node, page: Node) -> None:
+    """Sets at, the number of its node in the wrapper, for all nodes of a page; below a node that the wrapper lacks that of the nearest around, and off where such a node is named."""
+    stack = [(wrapper, page)]
+    while stack:
+        w, p = stack.pop()
+        p.at = w.at
+        keys = [x.key for x in w.kids], [x.key for x in p.kids]
+        pairs = [(k, k) for k in range(len(keys[0]))] if keys[0] == keys[1] else matching(*keys)
+        stack += [(w.kids[i], p.kids[j]) for i, j in pairs]
+        if len(pairs) < len(p.kids):
+            there = {j for _, j in pairs}
+            lost = [(x, 0) for j, x in enumerate(p.kids) if j not in there]
+            while lost:
+                x, off = lost.pop()
+                x.at, x.off = w.at, off | (x.key[0] == "!")
+                lost += [(y, x.off) for y in x.kids]
+
+
+def decided(nodes: list[Node], ends: list[int], chars: dict[int, int], links: dict[int, int], pages: dict[int, int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """(ranges of nodes that make the main region, ranges in it that are dropped) of a wrapper, by the slot text at its nodes.
+
+    chars: characters of slot text at a node outside elements that are away by
+    tag; links: those of them in links; pages: unlike pages with text there.
+    """
+    n = len(nodes)
+    parent = [0] * n
+    for x in nodes:
+        for y in x.kids:
+            parent[y.at] = x.at
+    # a named element counts unless something is lost by it: nothing marked stands outside of all named ones
+    named = [False] * n
+    marked: list[int] = []
+    for x in nodes[1:]:
+        named[x.at] = named[parent[x.at]] or x.key[0] == "!"
+        marked += [x.at] * (x.tag in ("article", "main") or x.key.endswith("@main"))
+
+    def sums(skip_named: bool) -> list[int]:
+        inside = [max(0, chars.get(k, 0) - links.get(k, 0)) if not (skip_named and named[k]) else 0 for k in range(n)]
+        for k in range(n - 1, 0, -1):
+            inside[parent[k]] += inside[k]
+        return inside
+
+    inside = sums(True)
+    regions = [k for k in marked if inside[k] and not named[k]]
+    if not regions:
+        everything = sums(False)
+        regions = [k for k in marked if everything[k]]
+        if regions or not inside[0]:
+            inside = everything
+    if regions:
+        top = "article" if any(nodes[k].tag == "article" for k in regions) else ""
+        regions = [k for k in regions if not top or nodes[k].tag == top]
+        reach = [pages.get(k, 0) for k in range(n)]
+        for k in range(n - 1, 0, -1):
+            reach[parent[k]] = max(reach[parent[k]], reach[k])
+        mean = {k: inside[k] / max(1, reach[k]) for k in regions}
+        regions = [k for k in regions if 4 * mean[k] >= max(mean.values())]
+        outer: list[int] = []
+        for k in sorted(regions):
+            if not outer or k >= ends[outer[-1]]:
+                outer.append(k)
+        regions = outer
+        marks = True
+    else:
+        at = 0
+        while True:
+            best = max((y for y in nodes[at].kids if y.tag not in _leaves), key=lambda y: (inside[y.at], -y.at), default=None)
+            if best is None or inside[best.at] <= NARROWS * inside[at]:
+                break
+            at = best.at
+        regions = [at]
+        marks = False
+    around: set[int] = set()
+    for k in regions:
+        while k:
+            around.add(k)
+            k = parent[k]
+    drops = [(x.at, ends[x.at]) for x in nodes[1:] if x.key[0] == "!" and x.at not in around]
+    if not marks:  # lists of links are menus
+        total, linked = [chars.get(k, 0) for k in range(n)], [links.get(k, 0) for k in range(n)]
+        for k in range(n - 1, 0, -1):
+            total[parent[k]] += total[k]
+            linked[parent[k]] += linked[k]
+        drops += [(x.at, ends[x.at]) for x in nodes[1:] if x.tag in ("ul", "ol", "div", "section", "table") and x.at not in around and 2 * linked[x.at] > total[x.at] > 0]
+    return [(k, ends[k]) for k in regions], sorted(set(drops))
+
+
+def _host(url: Column) -> Column:
     """The host of a URL without a leading www. or m.; of a null one the empty string."""
     return F.regexp_replace(F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)), r"^(www|m)\.", "")
 
 
 def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, wrapper, region, pages): the expression that matches a host's pages, and the path of its main text."""
+    """(host, tree, wrapper, pages): the tree of a host's pages, the expression it stands for, and the number of pages.
+
+    Null and empty pages have the empty tree; pages without a host share one
+    wrapper. Equal streams are counted before they are moved, and merged in
+    salted groups first. An empty table has no wrappers.
+    """
     rows = pages.select(_host(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, kinds, keys, chars, marks = [], [], [], [], []
-            for host, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                nodes, found = stream(text.as_py())
-                for kind, key, n, mark in [("stream", json.dumps(nodes, separators=(",", ":")), 0, 0), *(("path", p, n, m) for p, (n, m) in found.items())]:
-                    hosts.append(host)
-                    kinds.append(kind)
-                    keys.append(key)
-                    chars.append(n)
-                    marks.append(mark)
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(kinds, pa.string()), pa.array(keys, pa.string()), pa.array(chars, pa.int64()), pa.array(marks, pa.int32())], names=["host", "kind", "key", "chars", "mark"])
-
-    def merge(table: pa.Table) -> tuple[list, list, int]:
-        nodes: list | None = None
-        stats, count = [], 0
-        for row in sorted(table.to_pylist(), key=lambda r: (r["kind"], -r["n"], r["key"])):
-            if row["kind"] == "path":
-                stats.append((row["key"], row["chars"], row["mark"]))
-            else:
-                count += row["n"]
-                nodes = json.loads(row["key"]) if nodes is None else aligned(nodes, json.loads(row["key"]))
-        return nodes or [], stats, count
+            trees = [flat(read_page(text.as_py())[0]) for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(trees, pa.string())], names=["host", "tree"])
+
+    def merged(table: pa.Table) -> tuple[str, str, int]:
+        found = sorted(zip(table.column("n").to_pylist(), table.column("tree").to_pylist(), strict=True), key=lambda x: (-x[0], x[1]))
+        root = Node("")
+        for k, (_, tree) in enumerate(found):
+            root = aligned(root, unflat(tree)[0]) if k else unflat(tree)[0]
+        return flat(root), expression(root), sum(x[0] for x in found)
 
     def some(table: pa.Table) -> pa.Table:
-        nodes, _, count = merge(table.filter(pyarrow.compute.equal(table.column("kind"), "stream")))
-        kept = table.filter(pyarrow.compute.equal(table.column("kind"), "path")).select(["host", "kind", "key", "chars", "mark", "n"])
-        if not count:
-            return kept
-        mine = pa.table({"host": table.column("host").slice(0, 1), "kind": pa.array(["stream"]), "key": pa.array([json.dumps(nodes)]), "chars": pa.array([0], pa.int64()), "mark": pa.array([0], pa.int32()), "n": pa.array([count], pa.int64())})
-        return pa.concat_tables([kept.cast(mine.schema), mine])
+        tree, _, n = merged(table)
+        return pa.table({"host": table.column("host").slice(0, 1), "tree": [tree], "n": pa.array([n], pa.int64())})
 
     def whole(table: pa.Table) -> pa.Table:
-        nodes, stats, count = merge(table)
-        return pa.table({"host": table.column("host").slice(0, 1), "wrapper": [expression(nodes)], "region": [main_path(stats)], "pages": pa.array([count], pa.int64())})
+        tree, wrapper, n = merged(table)
+        return pa.table({"host": table.column("host").slice(0, 1), "tree": [tree], "wrapper": [wrapper], "pages": pa.array([n], pa.int64())})
+
+    counted = rows.mapInArrow(read, "host string, tree string").groupBy("host", "tree").agg(F.count("*").alias("n"))
+    salted = counted.withColumn("salt", F.pmod(F.xxhash64("tree"), F.lit(SALTS))).groupBy("host", "salt").applyInArrow(some, "host string, tree string, n bigint")
+    return salted.groupBy("host").applyInArrow(whole, "host string, tree string, wrapper string, pages bigint")
+
+
+def placed(pages: DataFrame, found: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    """(id, url, host, context, blocks (node, box, off, links, text)): the pages' blocks at the nodes of their wrappers, found: (host, tree). A box is the element around that of the text."""
+    id_type, url_type = (pages.schema[c].dataType.simpleString() for c in (id_col, url_col))
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), _host(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html"))
+    size = found.agg(F.sum(F.length("host") + F.length("tree"))).first()[0] or 0
+    known = None
+    if size <= BROADCAST_BYTES:
+        known = found.sparkSession.sparkContext.broadcast({r["host"]: r["tree"] for r in found.select("host", "tree").collect()})
+        rows = rows.withColumn("tree", F.lit(None).cast("string"))
+    else:  # a host's pages follow its wrapper, in as many partitions as salts
+        salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
+        trees = found.select(F.lit(None).cast(id_type).alias("id"), F.lit(None).cast(url_type).alias("url"), "host", F.lit(None).cast("string").alias("html"), "tree", salts.alias("salt"), F.lit(0).alias("page"))
+        rows = rows.withColumn("tree", F.lit(None).cast("string")).withColumn("salt", F.pmod(F.xxhash64("id", "url", "html"), F.lit(SALTS))).withColumn("page", F.lit(1))
+        rows = trees.unionByName(rows).repartition("host", "salt").sortWithinPartitions("host", "salt", "page").select("id", "url", "host", "html", "tree")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: dict[str, Node] = {}
+        kind = pa.list_(pa.struct([("node", pa.int32()), ("box", pa.int32()), ("off", pa.int32()), ("links", pa.int32()), ("text", pa.string())]))
+        for batch in batches:
+            keep: list[int] = []
+            out: list[list[dict]] = []
+            for k, (host, text, tree) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4), strict=True)):
+                if tree.is_valid:
+                    made = {host: unflat(tree.as_py())[0]}
+                    continue
+                if host not in made:
+                    if len(made) > 256:
+                        made.clear()
+                    made[host] = unflat(known.value[host])[0]
+                root, blocks = read_page(text.as_py())
+                matched(made[host], root)
+                keep.append(k)
+                out.append([{"node": x.at, "box": y.at, "off": 2 * x.off + away, "links": links, "text": t} for x, y, away, links, t in ((_merged(x), _merged(y), *more) for x, y, *more in blocks)])
+            part = batch.take(pa.array(keep, pa.int64()))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(out, kind)], names=["id", "url", "host", "blocks"])
+
+    blocks = rows.mapInArrow(read, f"id {id_type}, url {url_type}, host string, blocks array<struct<node:int,box:int,off:int,links:int,text:string>>")
+    longest = F.aggregate("blocks", F.struct(F.lit(0).alias("n"), F.lit("").alias("text")), lambda acc, b: F.when(F.length(b["text"]) > acc["n"], F.struct(F.length(b["text"]).alias("n"), b["text"].alias("text"))).otherwise(acc))
+    return blocks.withColumn("context", F.xxhash64(longest["text"]))
+
+
+def decisions(found: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(host, keep, drop, fixed): ranges of wrapper nodes, and digests of the fixed texts with their nodes. A row a host, of the size of its wrapper."""
+    each = blocks.select("host", "context", F.explode("blocks").alias("b")).filter("b.off = 0 AND b.text <> ''")
+    each = each.select("host", "context", "b.node", "b.box", F.xxhash64("b.box", "b.text").alias("digest"), F.length("b.text").alias("chars"), "b.links")
+    once = written(each.groupBy("host", "box", "digest", "node", "context").agg(F.max("chars").cast("bigint").alias("chars"), F.max("links").cast("bigint").alias("links")), "texts")
+    boxes = once.select("host", "box", "context").distinct().groupBy("host", "box").agg(F.count("*").alias("pages"))
+    often = once.select("host", "box", "digest", "context").distinct().groupBy("host", "box", "digest").agg(F.count("*").alias("on")).filter(F.col("on") >= FIXED_PAGES)
+    fixed = written(often.join(boxes, ["host", "box"]).filter(F.col("on") >= FIXED_SHARE * F.col("pages")).select("host", "box", "digest"), "fixed")
+    sums = [F.sum("chars").alias("chars"), F.sum("links").alias("links")]
+    at_node = once.groupBy("host", "node", "context").agg(*sums).groupBy("host", "node").agg(F.count("*").alias("pages"), *sums)
+    mass = once.groupBy("host", "box", "digest", "node").agg(*sums).join(fixed, ["host", "box", "digest"])
+    of_fixed = mass.groupBy("host", "node").agg(F.sum("chars").alias("f_chars"), F.sum("links").alias("f_links"))
+    slots = at_node.join(of_fixed, ["host", "node"], "left")
+    slot = F.struct("node", "pages", (F.col("chars") - F.coalesce("f_chars", F.lit(0))).alias("chars"), (F.col("links") - F.coalesce("f_links", F.lit(0))).alias("links"))
+    by_host = slots.groupBy("host").agg(F.collect_list(slot).alias("slots")).join(fixed.groupBy("host").agg(F.collect_list("digest").alias("fixed")), "host", "left")
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranges = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
+        for batch in batches:
+            keep, drop = [], []
+            for tree, slots in zip(batch.column(1), batch.column(2), strict=True):
+                _, nodes, ends = unflat(tree.as_py())
+                rows = slots.as_py() or []
+                found = decided(nodes, ends, *({r["node"]: r[name] for r in rows} for name in ("chars", "links", "pages")))
+                for out, part in zip((keep, drop), found, strict=True):
+                    out.append([{"lo": a, "hi": b} for a, b in part])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keep, ranges), pa.array(drop, ranges), batch.column(3)], names=["host", "keep", "drop", "fixed"])
 
-    schema = "host string, kind string, key string, chars bigint, mark int"
-    counted = rows.mapInArrow(read, schema).groupBy("host", "kind", "key").agg(F.sum("chars").alias("chars"), F.max("mark").alias("mark"), F.count("*").alias("n"))
-    salted = counted.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS))).groupBy("host", "salt").applyInArrow(some, f"{schema}, n bigint")
-    return salted.groupBy("host").applyInArrow(whole, "host string, wrapper string, region string, pages bigint")
+    both = found.select("host", "tree").join(by_host, "host", "left").select("host", "tree", "slots", F.coalesce("fixed", F.array().cast("array<bigint>")).alias("fixed"))
+    return both.mapInArrow(decide, "host string, keep array<struct<lo:int,hi:int>>, drop array<struct<lo:int,hi:int>>, fixed array<bigint>")
 
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -364,17 +592,18 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     Null and empty pages have the empty text. Pages without a host are aligned
     with each other. Repeated rows give repeated results; an empty table an
-    empty one. Further columns are not read.
+    empty one. Pages of any depth and width are walked without recursion.
+    Further columns are not read.
     """
-    found = written(wrappers(pages, url_col, html_col), "wrappers").select(F.col("host").alias("__host"), "region")
-    size = found.agg(F.sum(F.length("__host") + F.length("region") + 32)).first()[0] or 0
-    rows = pages.select(F.col(id_col), F.col(url_col), F.col(html_col).cast("string").alias("__html"), _host(F.col(url_col)).alias("__own"))
-    both = rows.join(F.broadcast(found) if size <= BROADCAST_BYTES else found, F.col("__own") == F.col("__host"), "left").select(id_col, url_col, "__html", "region")
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [main_text(h.as_py(), r) for h, r in zip(batch.column(2), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=[id_col, url_col, "text", "n_chars"])
-
-    kinds = {c: pages.schema[c].dataType.simpleString() for c in (id_col, url_col)}
-    return both.mapInArrow(read, f"{id_col} {kinds[id_col]}, {url_col} {kinds[url_col]}, text string, n_chars bigint")
+    found = written(wrappers(pages, url_col, html_col), "wrappers")
+    blocks = written(placed(pages, found, id_col, url_col, html_col), "blocks")
+    chosen = written(decisions(found, blocks), "decisions").withColumnRenamed("host", "__host")
+    size = chosen.agg(F.sum(F.length("__host") + 8 * (F.size("keep") + F.size("drop") + F.size("fixed")) + 64)).first()[0] or 0
+    both = blocks.join(F.broadcast(chosen) if size <= BROADCAST_BYTES else chosen, F.col("host") == F.col("__host"), "left")
+    within = lambda b, ranges: F.exists(ranges, lambda r: (r["lo"] <= b["node"]) & (b["node"] < r["hi"]))
+    slots = F.filter("blocks", lambda b: (b["off"] == 0) & (b["text"] != "") & ~within(b, "drop") & ~F.array_contains("fixed", F.xxhash64(b["box"], b["text"])))
+    there = F.exists("blocks", lambda b: (b["off"] % 2 == 0) & within(b, "keep"))
+    mine = both.withColumn("slots", slots).withColumn("there", there)
+    used = F.when(F.col("there"), F.filter("slots", lambda b: within(b, "keep"))).otherwise(F.col("slots"))
+    text = F.array_join(F.transform(used, lambda b: b["text"]), "\n\n")
+    return mine.select(F.col("id").alias(id_col), F.col("url").alias(url_col), text.alias("text")).withColumn("n_chars", F.length("text").cast("bigint"))

@@ -1,5 +1,4 @@
 import hashlib
-import html as entities
 import random
 import re
 import zlib
@@ -11,7 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from spanframe.llm import bpe, classifier, html, mixing, quality, rans
+from spanframe.llm import bpe, classifier, mixing, quality, rans
 from tests.llm.fixtures import documents, empty, rows
 
 
@@ -188,66 +187,3 @@ def test_classifier_edges(spark):
     nothing = classifier.fit(empty(spark), labels.limit(0))
     assert classifier.scored(documents(spark), nothing).select("score").distinct().count() == 1
     assert classifier.scored(empty(spark), model).count() == 0
-
-
-PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{x:1}</style><script>var a = "</p><p>no";</script></head><body class="home">
-<header><h1>Site</h1></header><nav><ul><li>Home<li>About</ul></nav><div class="cookie-notice"><p>We use cookies</p></div>%s
-<aside><p>Side</p></aside><form><p>Name <input></p></form><section id="comments"><p>First!</p></section><footer>&copy; me</footer></body></html>"""
-
-
-def page(k, body):
-    return (k, f"https://www.site.org:80/{k}?q=1", PAGE % body, "x", "y", 7)
-
-
-def test_pages(spark):
-    a = '<article><h1>Title %d</h1><p><b>One</b> two&nbsp;&amp;lt;<br>three<p>Four\n  <i>fi</i>ve<div class="ad">Buy</div><ul><li>x<li>y</ul><table><tr><td>c<td>d</table><!-- <p>gone</p> --><footer>by me</footer></article>'
-    pages = [page(k, a % k) for k in range(4)] + [
-        (10, None, None, None, None, None),
-        (11, None, "", None, None, None),
-        (12, "http://other.net/a", "<p>Plain text &lt;b&gt; here<p>and there", None, None, None),
-        (13, "http://third.net/", "<body><div id=menu>no</div><div class=content><p>Some long main text of this page.</p><div><p>More.</p></div></div><div class=sidebar><p>no</p></div>", None, None, None),
-        (14, "http://broken.net/", '<div title="a > b"><p>ok<p', None, None, None),
-        page(0, a % 0),
-    ]
-    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string, host string, region string, text int")
-    out = html.extracted(frame)
-    got = {r["page_id"]: r["text"] for r in out.collect()}
-    for k in range(4):
-        assert got[k] == f"Title {k}\n\nOne two &lt; three\n\nFour five\n\nx\n\ny\n\nc d"
-    assert got[10] == got[11] == "" and got[12] == "Plain text <b> here\n\nand there"
-    assert got[13] == "Some long main text of this page.\n\nMore." and got[14].startswith("ok")
-    assert out.count() == len(pages) and out.filter("n_chars <> length(text)").count() == 0
-    assert html.extracted(frame.limit(0)).count() == 0
-    found = {r["host"]: r for r in html.wrappers(frame).collect()}
-    assert found["site.org"]["region"].endswith("article") and found["site.org"]["pages"] == 5
-
-
-def test_names_of_layouts_headings_and_paragraphs_drop_no_main_text():
-    def text(body):
-        _, found = html.stream(body)
-        return html.main_text(body, html.main_path([(p, n, m) for p, (n, m) in found.items()]))
-
-    inner = '<article><h2 id="related-work">Work</h2><p id="notice-1">One</p><div data-id="ad">Two</div><div class="ad">no</div><div class="ad-slot">no</div><h3 id="discussion">End</h3></article>'
-    want = "Work\n\nOne\n\nTwo\n\nEnd"
-    for wrapper in ("layout has-sidebar", "sidebar-layout", "banner"):
-        assert text(f'<body><div class="{wrapper}">{inner}<section id="comments"><p>no</p></section></div></body>') == want
-    assert text(f'<body>{inner}<section id="comments"><article><p>{"no " * 99}</p></article></section></body>') == want
-    assert text('<body><div class="sidebar-layout"><div class="content"><p>Yes</p></div><div class="sidebar">no</div></div></body>') == "Yes"
-
-
-def test_wrappers_align():
-    one, _ = html.stream("<div><h2>a</h2><p>b</p><h2>c</h2><p>d</p></div>")
-    two, _ = html.stream("<div><h2>a</h2><p>b</p><ul><li>x</li><li>y</li></ul></div>")
-    both = html.aligned(one, two)
-    assert html.expression(one) == "<div>(<h2>#</><p>#</>)+</>"
-    assert html.expression(two) == "<div><h2>#</><p>#</><ul>(<li>#</>)+</></>"
-    assert "?" in html.expression(both) and "+" in html.expression(both)
-
-
-def test_pages_against_a_plain_reading(spark, sf_dir):
-    frame = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    got = {r["page_id"]: r["text"] for r in html.extracted(frame).collect()}
-    for r in frame.collect():
-        inside = re.search(r"<article>(.*)</article>", r["html"], re.S)[1]
-        blocks = [" ".join(entities.unescape(re.sub(r"<br>", " ", re.sub(r"</?b>", "", x))).split()) for x in re.split(r"</?p>|</?h1>", inside)]
-        assert got[r["page_id"]] == "\n\n".join(filter(None, blocks))
