@@ -14,9 +14,11 @@ anchors, hence only paths of one anchor need comparing. With Spark joins:
    spans and the places of edits. There one source coordinate of each path is read
    again, and its windows are compared one by one.
 
-Anchors, paths and windows are compared by 64-bit hashes under their anchor's
-64-bit hash, 128 bits together. All groups are aggregated before they are moved,
-and a document's spans are gathered only with that document.
+Anchors only bring together what may be equal. Whether paths and windows are equal
+is told from their words: by the 128-bit BLAKE2 digest of their bytes, taken where
+they stand in the text. A text that repeats itself at once gives one row for the
+run of its equal paths, and one for each distinct window. All groups are aggregated
+before they are moved, and a document's spans are gathered only with that document.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,11 +39,11 @@ ANCHOR = 12
 #: Bytes of text whose words are hashed together.
 CHUNK_BYTES = 1 << 20
 
+#: A span is start << SPAN_BITS | number of windows, both in words.
+SPAN_BITS = 31
+_SPAN = (1 << SPAN_BITS) - 1
 _U = np.uint64
-_BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95  # odd, so they have inverses modulo 2 ** 64
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+SEED = 0x5EED
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -50,53 +53,47 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_BYTES = _mix(np.arange(1, 257, dtype=np.uint64) * _U(0x632BE59BD9B4E019))
-
-
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base ** i and base ** -i modulo 2 ** 64 for i up to n."""
-    if base not in _POWERS or len(_POWERS[base][0]) <= n:
-        size = max(n + 1, 1 << 16)
-        inverse = pow(base, -1, 1 << 64)
-        made = []
-        for b in (base, inverse):
-            p = np.full(size, b, np.uint64)
-            p[0] = 1
-            made.append(np.multiply.accumulate(p))
-        _POWERS[base] = tuple(made)
-    return _POWERS[base]
-
-
-class Hashed:
-    """Words of a few documents, hashed together; first and count say which are a document's."""
+class Words:
+    """Words of a few documents; cuts says where each document's begin."""
 
     def __init__(self, texts: list[str | None]):
-        data = b"\n".join((t or "").encode("utf-8", "surrogatepass") for t in texts)
-        raw = np.frombuffer(data, np.uint8)
-        gap = np.concatenate(([True], _SPACE[raw], [True]))
-        turn = np.flatnonzero(gap[1:] != gap[:-1])
-        begin, end = turn[::2], turn[1::2]
-        up, down = _powers(_BYTE_BASE, len(raw))
-        sums = np.concatenate(([_U(0)], np.cumsum(_BYTES[raw] * up[: len(raw)], dtype=np.uint64)))
-        words = _mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
-        size = np.fromiter((len((t or "").encode("utf-8", "surrogatepass")) + 1 for t in texts), np.int64, len(texts))
-        self.cuts = np.searchsorted(begin, np.concatenate(([0], np.cumsum(size))))
-        self.n = len(words)
-        up, self.down = _powers(_WORD_BASE, self.n)
-        self.sums = np.concatenate(([_U(0)], np.cumsum(words * up[: self.n], dtype=np.uint64)))
-
-    def runs(self, start: np.ndarray, length) -> np.ndarray:
-        """Hashes of the runs of length words from start on."""
-        return _mix((self.sums[start + length] - self.sums[start]) * self.down[start] + np.asarray(length, np.uint64))
+        each = [words_of(t) for t in texts]
+        self.cuts = np.concatenate(([0], np.cumsum([len(w) for w in each], dtype=np.int64)))
+        self.all = [w for words in each for w in words]
+        self.n = len(self.all)
+        self.joined = b" ".join(self.all)
+        self.ends = np.cumsum(np.fromiter(map(len, self.all), np.int64, self.n) + 1)
+
+    def anchors(self, length: int) -> np.ndarray:
+        """Hashes of all runs of length words, by doubling runs of XXH64 hashes of words."""
+        of = xxhash.xxh64_intdigest
+        power = np.fromiter((of(w, SEED) for w in self.all), np.uint64, self.n)
+        out, held, size = None, 0, 1  # out: hashes of runs of held words
+        while True:
+            if length & size:
+                k = self.n - held - size + 1
+                out = power if out is None else _mix(out[:k] * _U(0x9E3779B97F4A7C15) + power[held : held + k])
+                held += size
+            if held == length:
+                return out[: self.n - length + 1]
+            k = self.n - 2 * size + 1
+            power = _mix(power[:k] * _U(0xD1342543DE82EF95) + power[size : size + k])
+            size *= 2
+
+    def digests(self, start: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """(n, 2) signed halves of the 128-bit digests of count words from start on, joined by spaces."""
+        begin = np.where(start > 0, self.ends[start - 1], 0)
+        end = self.ends[start + count - 1] - 1
+        joined, made = memoryview(self.joined), hashlib.blake2b
+        return np.frombuffer(b"".join([made(joined[a:b], digest_size=16).digest() for a, b in zip(begin.tolist(), end.tolist(), strict=True)]), "<i8").reshape(-1, 2)
 
 
 def paths(texts: list[str | None], window: int, anchor: int) -> tuple[np.ndarray, ...]:
-    """(text, start word in it, windows, anchor hash, path hash) of every path: neighbouring windows with one anchor."""
-    h = Hashed(texts)
-    none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
+    """(text, start word in it, windows, times, anchor hash, digest) of every path: neighbouring windows with one anchor. Equal paths that follow each other are one row, times says how many."""
+    h = Words(texts)
     if h.n < window:
-        return none
-    grams = h.runs(np.arange(h.n - anchor + 1), anchor)
+        return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64), np.zeros((0, 2), np.int64))
+    grams = h.anchors(anchor)
     wide = window - anchor + 1
     at = np.arange(h.n - window + 1)
     low, where = grams[: len(at)].copy(), at.copy()
@@ -111,7 +108,14 @@ def paths(texts: list[str | None], window: int, anchor: int) -> tuple[np.ndarray
     begin = np.flatnonzero(new)
     stop = np.flatnonzero(ok & np.concatenate((new[1:] | ~ok[1:], [True])))
     count = stop - begin + 1
-    return doc[begin], begin - h.cuts[doc[begin]], count, low[begin], h.runs(begin, count + window - 1)
+    if not len(begin):
+        return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64), np.zeros((0, 2), np.int64))
+    digest = h.digests(begin, count + window - 1)
+    head = np.concatenate(([True], (doc[begin[1:]] != doc[begin[:-1]]) | (begin[1:] != begin[:-1] + count[:-1]) | (digest[1:] != digest[:-1]).any(axis=1)))
+    first = np.flatnonzero(head)
+    times = np.diff(np.append(first, len(head)))
+    b = begin[first]
+    return doc[b], b - h.cuts[doc[b]], count[first] * times, times, low[b], digest[first]
 
 
 def _few(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int]]:
@@ -127,9 +131,11 @@ def _few(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int]]:
 
 
 def repeated_spans(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, dealt: DataFrame | None = None) -> DataFrame:
-    """rows: (doc, tie, text, ...), doc and tie never null. (doc, tie, span): windows that also start elsewhere; a span is start << 8 | windows from there on.
+    """rows: (doc, tie, text, ...), doc and tie never null. (doc, tie, span): windows that also start elsewhere; a span is start << SPAN_BITS | windows from there on.
 
-    dealt: rows partitioned by doc and tie, if the caller has them so.
+    Null texts and those under a window have no spans. Rows of one doc and tie
+    are one document. dealt: rows partitioned by doc and tie, if the caller has
+    them so.
     """
     if not anchor < window < 256:
         raise ValueError("a window has more words than an anchor, and under 256")
@@ -137,23 +143,28 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     def all_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b, e in _few(batch, 2):
-                text, start, count, low, whole = paths(batch.column(2).slice(b, e - b).to_pylist(), window, anchor)
+                text, start, count, times, low, digest = paths(batch.column(2).slice(b, e - b).to_pylist(), window, anchor)
                 row = pa.array(text + b)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(start << 8 | count, pa.int64()), pa.array(low.view(np.int64)), pa.array(whole.view(np.int64))], names=["doc", "tie", "span", "anchor", "path"])
-
-    found = rows.select("doc", "tie", "text").mapInArrow(all_paths, "doc bigint, tie int, span bigint, anchor bigint, path bigint")
-    twice = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("path").alias("p0"), F.max("path").alias("p1")).filter("n > 1")
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(row), batch.column(1).take(row), pa.array(start << SPAN_BITS | count, pa.int64()), pa.array(times, pa.int64()), pa.array(low.view(np.int64)), pa.array(digest[:, 0]), pa.array(digest[:, 1])],
+                    names=["doc", "tie", "span", "times", "anchor", "p", "q"],
+                )
+
+    path = ["anchor", "p", "q"]
+    found = rows.select("doc", "tie", "text").mapInArrow(all_paths, "doc bigint, tie int, span bigint, times bigint, anchor bigint, p bigint, q bigint")
+    bounds = [f(c).alias(f"{c}{k}") for c in "pq" for k, f in enumerate((F.min, F.max))]
+    twice = found.groupBy("anchor").agg(F.sum("times").alias("n"), *bounds).filter("n > 1")
     # written, so that no aggregation stands in the stage of the join: then Spark can split the paths of a frequent anchor
-    twice = written(twice, "anchors")
+    twice = written(twice.select("anchor", F.expr("p0 = p1 AND q0 = q1").alias("single")), "anchors")
     # written, since three branches read it with other columns each, which would else be three exchanges of all paths
-    at_twice = written(found.join(twice.select("anchor", (F.col("p0") == F.col("p1")).alias("single")), "anchor"), "paths")
+    at_twice = written(found.join(twice, "anchor"), "paths")
     straight = at_twice.filter("single").select("doc", "tie", "span")
     branching = at_twice.filter("NOT single").drop("single")
-    branches = branching.groupBy("anchor", "path").agg(F.count("*").alias("n"), F.min(F.struct("doc", "tie", "span")).alias("at"))
-    whole = branching.join(branches.filter("n > 1").select("anchor", "path"), ["anchor", "path"], "left_semi").select("doc", "tie", "span")
+    branches = branching.groupBy(*path).agg(F.sum("times").alias("n"), F.min(F.struct("doc", "tie", "span", "times")).alias("at"))
+    whole = branching.join(branches.filter("n > 1").select(*path), path, "left_semi").select("doc", "tie", "span")
     unsure = branches.groupBy("anchor").agg(F.min("n").alias("least")).filter("least = 1").select("anchor")
     asked = branches.join(unsure, "anchor", "left_semi").select("at.*", "anchor", (F.col("n") == 1).alias("once"))
-    by_doc = asked.groupBy("doc", "tie").agg(F.collect_list(F.struct("anchor", "span", "once")).alias("asked"))  # no more than the document has words
+    by_doc = asked.groupBy("doc", "tie").agg(F.collect_list(F.struct("anchor", "span", "times", "once")).alias("asked"))  # no more than the document has words
     source = rows if dealt is None else dealt
     # every column goes along, so that this is the same exchange of texts that the caller joins the spans with
     read = source.join(by_doc, ["doc", "tie"]).select("doc", "tie", "text", "asked", *[c for c in rows.columns if c not in ("doc", "tie", "text")])
@@ -161,22 +172,29 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     def all_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b, e in _few(batch, 2):
-                h = Hashed(batch.column(2).slice(b, e - b).to_pylist())
+                h = Words(batch.column(2).slice(b, e - b).to_pylist())
                 lists = batch.column(3).slice(b, e - b)
                 sizes = lists.value_lengths().to_numpy()
                 flat = lists.flatten()
-                low, span, once = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+                low, span, times, once = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(4))
                 text = np.repeat(np.arange(e - b), sizes)
-                count = span & 255
+                count = (span & _SPAN) // np.maximum(times, 1)  # of equal paths one is enough: they aren't once
                 k = np.repeat(np.arange(len(span)), count)
-                at = (span >> 8)[k] + np.arange(len(k)) - np.repeat(np.cumsum(count) - count, count)
-                hashes = h.runs(h.cuts[text[k]] + at, window)
-                row = pa.array(text[k] + b)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(at << 8 | 1, pa.int64()), pa.array(low[k], pa.int64()), pa.array(hashes.view(np.int64)), pa.array(once[k], pa.bool_())], names=["doc", "tie", "span", "anchor", "win", "once"])
-
-    windows = read.mapInArrow(all_windows, "doc bigint, tie int, span bigint, anchor bigint, win bigint, once boolean")
-    shared = windows.groupBy("anchor", "win").count().filter("count > 1").select("anchor", "win")
-    ends = windows.filter("once").join(shared, ["anchor", "win"], "left_semi").select("doc", "tie", "span")
+                at = (span >> SPAN_BITS)[k] + np.arange(len(k)) - np.repeat(np.cumsum(count) - count, count)
+                digest = h.digests(h.cuts[text[k]] + at, np.full(len(k), window)) if len(k) else np.zeros((0, 2), np.int64)
+                # one row for each distinct window of a text
+                keys, first, group = np.unique(np.column_stack((text[k], digest)), axis=0, return_index=True, return_inverse=True) if len(k) else (np.zeros((0, 3), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+                order = np.argsort(group.reshape(-1), kind="stable")
+                order = order[once[k][order]]
+                held = np.bincount(group.reshape(-1)[order], minlength=len(keys))
+                spans = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(held))), pa.int32()), pa.array((at << SPAN_BITS | 1)[order], pa.int64()))
+                n = np.bincount(group.reshape(-1), minlength=len(keys))
+                row = pa.array(keys[:, 0] + b)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), spans, pa.array(n, pa.int64()), pa.array(low[k[first]], pa.int64()), pa.array(keys[:, 1]), pa.array(keys[:, 2])], names=["doc", "tie", "spans", "n", "anchor", "p", "q"])
+
+    windows = read.mapInArrow(all_windows, "doc bigint, tie int, spans array<bigint>, n bigint, anchor bigint, p bigint, q bigint")
+    shared = windows.groupBy(*path).agg(F.sum("n").alias("n")).filter("n > 1").select(*path)
+    ends = windows.filter(F.size("spans") > 0).join(shared, path, "left_semi").select("doc", "tie", F.explode("spans").alias("span"))
     return straight.unionByName(whole).unionByName(ends)
 
 
@@ -204,8 +222,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
                 if spans.is_valid and words:
                     span = spans.values.to_numpy()
                     cover = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(cover, span >> 8, 1)
-                    np.add.at(cover, (span >> 8) + (span & 255) + window - 1, -1)
+                    np.add.at(cover, span >> SPAN_BITS, 1)
+                    np.add.at(cover, (span >> SPAN_BITS) + (span & _SPAN) + window - 1, -1)
                     left = np.flatnonzero(np.cumsum(cover[:-1]) == 0)
                     words = [words[i] for i in left.tolist()]
                 n_removed.append(n_words[-1] - len(words))

@@ -51,6 +51,22 @@ def test_substrings_keep_text_and_empty_table(spark):
     assert substrings.without_repeats(empty(spark)).count() == 0
 
 
+def test_words_that_a_polynomial_hash_confuses(spark):
+    """Texts equal but for two words of the Thue-Morse pattern, one the complement of the other, share no window."""
+    pattern = "".join("ab"[k.bit_count() & 1] for k in range(4096))
+    other = pattern.translate(str.maketrans("ab", "ba"))
+    rest = [f"w{k}" for k in range(34)]
+    texts = [" ".join([*rest[:17], x, *rest[17:]]) for x in (pattern, other)]
+    texts += [" ".join([*rest, *rest, *(f"v{k}" for k in range(9))]), None, "na " * 500 + "b " * 40, "x y z " * 200]
+    got = {r[0]: tuple(r[1:]) for r in substrings.without_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    assert [got[k] for k in range(len(texts))] == brute_repeats(texts, 35) and got[0][1] == got[1][1] == 0
+
+
+def test_a_repetitive_text_is_a_few_rows():
+    text, start, count, times, low, digest = substrings.paths(["na " * 5000, "x y z " * 3000, None, "short"], 35, 12)
+    assert len(text) < 20 and sum(count) == 5000 - 34 + 9000 - 34 and set(text.tolist()) == {0, 1}
+
+
 def brute_fingerprint(text, size):
     w = split(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not w:
