@@ -5,15 +5,17 @@ dictionaries. The difference of the two sizes over their sum, and how well the
 text compresses at all, are calibrated to a probability by logistic regression on
 labelled rows that no dictionary has seen.
 
-Fitting takes at most SAMPLE_ROWS labelled rows of each class, chosen by a hash of
-the id; half of them make the dictionaries, half the calibration. Nothing else
-has a bound: every text is scored whole.
+Bounds of fitting, all of them parameters of this module: SAMPLE_ROWS labelled rows
+of each class at most, chosen by a hash of the id; half of them make the
+dictionaries, half the calibration. Sampled texts are read whole. A dictionary is
+trained on TRAIN_PIECES pieces at most, which a hash of the piece draws from all
+pieces of all sampled texts of its class. The calibration measures whole texts, and
+every document is scored whole.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,8 +29,8 @@ from spanframe.llm.common import written
 
 SAMPLE_ROWS = 2000
 PIECE_BYTES = 1024
-#: A dictionary, what it is trained on, and the windows of that size taken from each text for it.
-DICT_BYTES, TRAIN_BYTES, WINDOWS = 64 << 10, 8 << 20, 8
+#: Size of a dictionary, and the most pieces that it is trained on.
+DICT_BYTES, TRAIN_PIECES = 64 << 10, 8192
 LEVEL = 1
 #: Compressed bytes by which a short text's difference is drawn to 0.
 SHRINK = 48
@@ -63,21 +65,35 @@ def _compressors(good: bytes, bad: bytes) -> list[zstandard.ZstdCompressor]:
     return made
 
 
-def dictionary(texts: list[str]) -> bytes:
+def dictionary(pieces: list[bytes]) -> bytes:
     """A trained dictionary; of too few or too small samples their own bytes, which serve as a raw one."""
-    pieces = []
-    for t in texts:
-        data = t.encode("utf-8", "surrogatepass")
-        step = max(PIECE_BYTES, len(data) // WINDOWS)
-        pieces += [data[s : s + PIECE_BYTES] for s in range(0, len(data), step)]
-    step = max(1, sum(map(len, pieces)) // TRAIN_BYTES)
-    pieces = pieces[::step]
     try:
         return zstandard.train_dictionary(DICT_BYTES, pieces).as_bytes()
     except zstandard.ZstdError:
         return b"".join(pieces)[-DICT_BYTES:] or b"\0" * 8
 
 
+def own_lines(rows: DataFrame) -> DataFrame:
+    """rows: (id, label, text), one a document. The same without the lines that several of the documents hold: they say nothing of quality."""
+    each = rows.select("id", "label", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    once = each.groupBy("line").agg(F.count_distinct("id").alias("n")).filter("n = 1").select("line")
+    left = each.join(once, "line", "left_semi").groupBy("id", "label").agg(F.sort_array(F.collect_list(F.struct("at", "line"))).alias("l"))  # a document's lines
+    return left.select("id", "label", F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("text"))
+
+
+def training_pieces(rows: DataFrame) -> DataFrame:
+    """rows: (id, label, text). (label, piece): all pieces of whole texts, without those of white space alone."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                data = text.as_py().encode("utf-8", "surrogatepass")
+                pieces = [p for s in range(0, len(data), PIECE_BYTES) if (p := data[s : s + PIECE_BYTES]).strip()]
+                yield pa.RecordBatch.from_arrays([pa.array([label] * len(pieces), pa.int32()), pa.array(pieces, pa.binary())], names=["label", "piece"])
+
+    return rows.select("label", "text").mapInArrow(cut, "label int, piece binary")
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> tuple[float, ...]:
     """Newton's method; columns but the first are penalised a little."""
     w = np.zeros(x.shape[1])
@@ -124,13 +140,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # rows that repeat an id would break the bound
     chosen = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).cast("string").alias("text")).filter(F.col("text").isNotNull()).join(few, F.col("__doc") == F.col("__id"))
     chosen = written(chosen.groupBy("__id", "__label").agg(F.min("text").alias("text")).withColumn("half", half), "labelled-texts")
-    # only the windows that the dictionary can use come to the driver
-    span = WINDOWS * PIECE_BYTES
-    window = F.when(F.length("text") <= span, F.col("text")).otherwise(F.concat(*[F.substring(F.col("text"), (F.lit(1) + F.floor(F.length("text") * k / WINDOWS)).cast("int"), F.lit(PIECE_BYTES)) for k in range(WINDOWS)]))
-    texts = {label: [r[0] for r in chosen.filter((F.col("half") == 0) & (F.col("__label") == label)).orderBy(order).select(window).collect()] for label in (1, 0)}
-    seen = Counter(line for found in texts.values() for t in found for line in set(t.split("\n")))
-    # lines that several texts share say nothing of their quality
-    made = [dictionary(["\n".join(x for x in t.split("\n") if seen[x] == 1) for t in texts[label]]) for label in (1, 0)]
+    learned = own_lines(chosen.filter("half = 0").select(F.col("__id").alias("id"), F.col("__label").alias("label"), "text"))
+    pieces = written(training_pieces(learned), "pieces")
+    drawn = lambda label: pieces.filter(F.col("label") == label).orderBy(F.xxhash64("piece"), "piece").limit(TRAIN_PIECES)
+    made = [dictionary([bytes(r[0]) for r in drawn(label).select("piece").collect()]) for label in (1, 0)]  # TRAIN_PIECES * PIECE_BYTES at most
     measured = _measured(chosen.filter("half = 1").select(F.struct("__id", "__label").alias("id"), "text"), *made, chosen.select(F.struct("__id", "__label").alias("id")).schema["id"].dataType.simpleString(), None)
     rows = sorted(measured.select("id.__label", "id.__id", "value").collect(), key=lambda r: (r[0], r[1]))
     y = np.array([r[0] for r in rows], float)

@@ -22,14 +22,18 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir, or what setCheckpointDir was given.
+
+    Where neither is set, a session on one machine gets a folder of its own; a
+    cluster must name one, since a folder of the driver's machine is none.
+    """
     sc = spark.sparkContext
-    at = sc.getConf().get("spark.checkpoint.dir", None)
+    at = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if at is None:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spanframe-checkpoints-"))
         at = sc.getCheckpointDir()
-        if at is None:
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="spanframe-checkpoints-"))
-            at = sc.getCheckpointDir()
     return at.rstrip("/")
 
 

@@ -30,11 +30,12 @@ def connected_components(edges: DataFrame, label: str = "components") -> DataFra
     state = _print(now)
     while state[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # aggregates are written first: in the stage of a join they would keep Spark from splitting the edges of a big star
+        least = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), label)
         # large star: neighbours above a node go to the least of its neighbourhood
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = written(both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), label)
         # small star: a node and its neighbours below it go to the least of them
-        below = large.groupBy("a").agg(F.min("b").alias("m"))
+        below = written(large.groupBy("a").agg(F.min("b").alias("m")), label)
         moved = large.join(below, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         new = written(moved.unionByName(below.withColumnRenamed("m", "b")).distinct(), label)
         after = _print(new)

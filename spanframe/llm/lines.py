@@ -20,7 +20,8 @@ from spanframe.llm.quality import let
 
 #: One line in so many begins a chunk.
 DIVISOR = 3
-ROLL = 31
+#: The rolling hash: of lines a and b, (a * ROLL + b) modulo a prime; ROLL and the prime keep their order apart in every divisor.
+ROLL, PRIME = 1_000_003, 2_147_483_647
 
 
 def line_hash(line: Column) -> Column:
@@ -33,7 +34,7 @@ def chunks(text: Column) -> Column:
 
     def of_lines(lines: Column) -> Column:
         def of_hashes(h: Column) -> Column:
-            inner = F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda i: (i == 0) | ((i >= 2) & ((F.get(h, i - 2) * ROLL + F.get(h, i - 1)) % DIVISOR == 0)))
+            inner = F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda i: (i == 0) | ((i >= 2) & ((F.get(h, i - 2) * ROLL + F.get(h, i - 1)) % PRIME % DIVISOR == 0)))
             return let(inner, lambda s: F.transform(s, lambda at, k: F.struct(at.alias("at"), F.slice(lines, at + 1, F.coalesce(F.get(s, k + 1), F.size(lines)) - at).alias("lines"))))
 
         return let(F.transform(lines, line_hash), of_hashes)
@@ -63,9 +64,11 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Rows that repeat id and text are one document and keep the same; of rows
     without an id, equal ones likewise. An empty table gives an empty result.
     """
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text")).withColumn("tie", F.hash("text"))
-    gone = removed_chunks(rows.select("doc", "tie", "text"))
-    both = rows.join(gone, rows["doc"].eqNullSafe(gone["doc"]) & (rows["tie"] == gone["tie"]), "left").select("row", "text", "gone")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc"), F.hash(text).alias("tie"))
+    gone = removed_chunks(docs.select(F.col(id_col).alias("doc"), F.hash(text).alias("tie"), text.alias("text")))
+    # the text travels once, inside the row
+    both = rows.join(gone, rows["doc"].eqNullSafe(gone["doc"]) & (rows["tie"] == gone["tie"]), "left").select("row", F.col("row")[text_col].cast("string").alias("text"), "gone")
     kept = F.filter(chunks(F.col("text")), lambda c: ~F.array_contains("gone", c["at"]))
     left = F.when(F.col("gone").isNull(), F.split("text", "\n")).otherwise(F.flatten(F.transform(kept, lambda c: c["lines"])))
     both = both.withColumn("n_lines", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("bigint"))
@@ -85,7 +88,7 @@ WITH lined AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FRO
 each AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) - 1 AS i FROM lined),
 hashed AS (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM each),
 marked AS (
-  SELECT doc_id, i, line, CASE WHEN i = 0 THEN 1 WHEN i >= 2 AND (lag(h, 2) OVER w * 31 + lag(h, 1) OVER w) % 3 = 0 THEN 1 ELSE 0 END AS opens
+  SELECT doc_id, i, line, CASE WHEN i = 0 THEN 1 WHEN i >= 2 AND (lag(h, 2) OVER w * 1000003 + lag(h, 1) OVER w) % 2147483647 % 3 = 0 THEN 1 ELSE 0 END AS opens
   FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 numbered AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM marked),
 chunked AS (

@@ -10,7 +10,7 @@ of its id falls below the fraction; rate is its source's target over its size.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanframe.llm.common import SPACES, written
@@ -33,23 +33,17 @@ def unit_hash(column: Column, seed: str) -> Column:
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...], share: float, limit: float) -> DataFrame:
     """sizes: (source, size). Per source: source, source_size, target. One row a source stands in one task."""
-    sizes.groupBy("source").agg(F.sum("size").alias("source_size")).createOrReplaceTempView("spanframe_mix_sizes")
-    cycle = ", ".join(f"{float(w)!r}D" for w in weights)
-    return sizes.sparkSession.sql(f"""
-        WITH named AS (
-          SELECT source, source_size, {limit!r}D * source_size AS cap,
-                 element_at(array({cycle}), cast((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % {len(weights)} AS int) + 1) AS weight,
-                 {share!r}D * sum(source_size) OVER () AS whole
-          FROM spanframe_mix_sizes),
-        summed AS (
-          SELECT *, sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weight_on,
-                 coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0D) AS cap_before
-          FROM named),
-        marked AS (SELECT *, cap * weight_on + cap_before * weight <= whole * weight AS full FROM summed),
-        levelled AS (
-          SELECT *, (whole - sum(CASE WHEN full THEN cap ELSE 0D END) OVER ()) / nullif(sum(CASE WHEN full THEN 0D ELSE weight END) OVER (), 0D) AS level
-          FROM marked)
-        SELECT source, source_size, CASE WHEN full THEN cap ELSE least(cap, level * weight) END AS target FROM levelled""")
+    all_of = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    order = Window.orderBy(F.col("cap") / F.col("weight"), F.asc_nulls_last("source"))
+    named = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    nth = F.row_number().over(Window.orderBy(F.asc_nulls_last("source"))) - 1
+    named = named.withColumn("cap", F.lit(float(limit)) * F.col("source_size")).withColumn("weight", F.get(F.array(*[F.lit(float(w)) for w in weights]), nth % len(weights)))
+    named = named.withColumn("whole", F.lit(float(share)) * F.sum("source_size").over(all_of))
+    summed = named.withColumn("weight_on", F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing))).withColumn("cap_before", F.coalesce(F.sum("cap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
+    marked = summed.withColumn("full", F.col("cap") * F.col("weight_on") + F.col("cap_before") * F.col("weight") <= F.col("whole") * F.col("weight"))
+    left = F.col("whole") - F.sum(F.when(F.col("full"), F.col("cap")).otherwise(0.0)).over(all_of)
+    weight = F.nullif(F.sum(F.when(F.col("full"), 0.0).otherwise(F.col("weight"))).over(all_of), F.lit(0.0))
+    return marked.withColumn("level", left / weight).select("source", "source_size", F.when(F.col("full"), F.col("cap")).otherwise(F.least("cap", F.col("level") * F.col("weight"))).alias("target"))
 
 
 def with_copies(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, limit: float = 2.0, seed: str = "mix:", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: bool = False) -> DataFrame:
@@ -77,7 +71,11 @@ def with_copies(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share:
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: docs with every row as often as with_copies says."""
+    """The mix itself: docs with every row as often as with_copies says.
+
+    Null and empty texts and null sources are rows like others; repeated rows
+    are emitted alike; columns with any names pass through; an empty table stays empty.
+    """
     rows = with_copies(docs, keep=True, **options).filter("copies > 0")
     return rows.select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("__n")).select("row.*")
 

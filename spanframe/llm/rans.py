@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanframe.llm import bpe
@@ -202,8 +202,7 @@ def read_tokens(spark: SparkSession, path: str, keep_ids: bool = False) -> DataF
     """
     files = spark.read.schema(FILE_SCHEMA).parquet(path)
     sizes = files.groupBy("part").agg(F.sum("n_ids").alias("ids"))
-    sizes.createOrReplaceTempView("spanframe_token_parts")
-    bases = spark.sql("SELECT part, coalesce(sum(ids) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base FROM spanframe_token_parts")
+    bases = sizes.select("part", F.coalesce(F.sum("ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
     frames = files.join(F.broadcast(bases), "part").select((F.col("base") + F.col("part_start")).alias("start"), "body")
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + (", ids binary" if keep_ids else "")
 

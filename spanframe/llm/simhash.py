@@ -7,7 +7,7 @@ trie is walked twice, once from each half, with that budget within the first
 the first can't have. In both, a pair of nodes is followed down together with
 the bits that differ so far, and dropped as soon as they exceed the budget.
 
-The upper levels are walked by Spark: a node pair there is a task, nodes with
+The upper levels are walked by Spark joins: a node pair there is a task, nodes with
 more than NODE_ROWS fingerprints being cut in blocks, so that no task holds more
 than two blocks. The levels below are walked inside a task on sorted arrays. A
 task returns a forest, not all its pairs, so large groups stay linear in size.
@@ -35,6 +35,8 @@ from spanframe.llm.components import connected_components, forest
 SEED = 42
 #: Distinct fingerprints on one side of a task.
 NODE_ROWS = 1 << 15
+#: Levels that Spark walks at most, and at a time; up to so many pairs of nodes are broadcast.
+MOST_LEVELS, STEP, BROADCAST_PAIRS = 20, 4, 1 << 20
 #: Pairs compared, and node pairs followed, at once.
 AT_ONCE = 1 << 20
 #: Bands of one_of_each and minima in a band: of pairs at 0.8, 1 - (1 - 0.8 ** 5) ** 24 = 0.9999 share one.
@@ -177,31 +179,52 @@ def trie_pairs(a: np.ndarray, b: np.ndarray | None, depth: int, near: int, total
     return forest(x, y, len(a) + (0 if own else len(b)))
 
 
+def node_pairs(nodes: DataFrame, levels: int, near: tuple[int, int]) -> DataFrame:
+    """(walk, p, q), p <= q: pairs of the nodes at levels, nodes: (walk, p, ...), whose paths differ in at most near[walk] bits.
+
+    The trie is walked from its root, STEP levels at a time: a pair gives the
+    pairs of its children that exist, and goes as soon as it exceeds the budget.
+    """
+    pairs = nodes.sparkSession.createDataFrame([(0, 0, 0, 0), (1, 0, 0, 0)], "walk int, p int, q int, differ int")
+    budget = F.when(F.col("walk") == 0, near[0]).otherwise(near[1])
+    for top in range(0, levels, STEP):
+        more = min(STEP, levels - top)
+        there = nodes.select("walk", F.shiftright("p", levels - top - more).alias("p")).distinct()
+        child = lambda side: F.explode(F.expr(f"transform(sequence(0, {(1 << more) - 1}), x -> shiftleft({side}, {more}) | x)"))  # noqa: B023, E731
+        pairs = pairs.withColumn("p", child("p")).join(there, ["walk", "p"], "left_semi").withColumn("q", child("q")).filter("p <= q")
+        low = F.lit((1 << more) - 1)
+        pairs = pairs.withColumn("differ", F.col("differ") + F.bit_count(F.col("p").bitwiseXOR(F.col("q")).bitwiseAND(low))).filter(F.col("differ") <= budget)
+        pairs = pairs.join(there.withColumnRenamed("p", "q"), ["walk", "q"], "left_semi")
+    return pairs.select("walk", "p", "q")
+
+
 def similar_fingerprints(reps: DataFrame, bits: int = 4) -> DataFrame:
-    """reps: (fp, rep) with distinct fp. Edges (a, b) between reps; their components are those of all links of at most bits differing bits."""
+    """reps: (fp, rep) with distinct fp and no nulls. Edges (a, b) between reps; their components are those of all links of at most bits differing bits.
+
+    An empty table gives no edges. Equal fingerprints are the caller's to group.
+    Beyond 2 ** MOST_LEVELS nodes of NODE_ROWS they grow in blocks instead.
+    """
     near_a, near_b = bits // 2, (bits - 1) // 2
     n = reps.count()
-    levels = min(20, max(4, (max(1, n - 1) // NODE_ROWS).bit_length() + 2))
-    masks = lambda near: [m for m in range(1 << levels) if m.bit_count() <= near]
+    levels = min(MOST_LEVELS, max(4, (max(1, n - 1) // NODE_ROWS).bit_length() + 2))
     turned = F.expr("(shiftleft(fp, 32) | shiftrightunsigned(fp, 32))")
     both = reps.withColumn("walk", F.lit(0)).withColumn("v", F.col("fp")).unionByName(reps.withColumn("walk", F.lit(1)).withColumn("v", turned))
     both = both.withColumn("p", F.shiftrightunsigned("v", 64 - levels).cast("int"))
-    blocks = both.groupBy("walk", "p").agg(F.ceil(F.count("*") / F.lit(float(NODE_ROWS))).cast("int").alias("n_blocks"))  # 2 << levels rows at most
-    lists = F.when(F.col("walk") == 0, F.array(*map(F.lit, masks(near_a)))).otherwise(F.array(*map(F.lit, masks(near_b))))
-    own = F.broadcast(blocks)
-    sides = both.join(own, ["walk", "p"]).withColumn("i", F.expr("cast(pmod(xxhash64(v), n_blocks) as int)")).drop("n_blocks")
-    sides = sides.withColumn("q", F.explode(F.transform(lists, lambda m: F.col("p").bitwiseXOR(m))))
-    sides = sides.join(F.broadcast(blocks.select("walk", F.col("p").alias("q"), "n_blocks")), ["walk", "q"])
-    sides = sides.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    sides = sides.select(
-        (F.col("walk") + 2 * F.least("p", "q").cast("bigint")).alias("k1"),
-        F.greatest("p", "q").alias("k2"),
-        F.when(F.col("p") < F.col("q"), F.col("i")).when(F.col("p") > F.col("q"), F.col("j")).otherwise(F.least("i", "j")).alias("k3"),
-        F.when(F.col("p") < F.col("q"), F.col("j")).when(F.col("p") > F.col("q"), F.col("i")).otherwise(F.greatest("i", "j")).alias("k4"),
-        F.when(F.col("p") != F.col("q"), (F.col("p") > F.col("q")).cast("int")).otherwise((F.col("i") > F.col("j")).cast("int")).alias("side"),
-        "v",
-        "rep",
-    )
+    blocks = written(both.groupBy("walk", "p").agg(F.ceil(F.count("*") / F.lit(float(NODE_ROWS))).cast("int").alias("n_blocks")), "nodes")  # 2 << levels rows at most
+    tasks = node_pairs(blocks, levels, (near_a, near_b))
+    tasks = tasks.join(blocks.select("walk", "p", F.col("n_blocks").alias("n_p")), ["walk", "p"]).join(blocks.select("walk", F.col("p").alias("q"), F.col("n_blocks").alias("n_q")), ["walk", "q"])
+    tasks = written(tasks.select("walk", "p", "q", "n_p", "n_q"), "node-pairs")
+    few = tasks.count() <= BROADCAST_PAIRS
+    hint = F.broadcast if few else (lambda df: df)
+    block = lambda many: F.expr(f"cast(pmod(xxhash64(v), {many}) as int)")
+    others = lambda many: F.explode(F.sequence(F.lit(0), F.col(many) - 1))
+    low = both.join(hint(tasks), ["walk", "p"]).withColumn("i", block("n_p")).withColumn("j", others("n_q"))
+    # within a node, blocks i and j meet once: the lower one is the left side
+    own = F.col("p") == F.col("q")
+    low = low.select("walk", "p", "q", F.when(own, F.least("i", "j")).otherwise(F.col("i")).alias("k3"), F.when(own, F.greatest("i", "j")).otherwise(F.col("j")).alias("k4"), (own & (F.col("i") > F.col("j"))).cast("int").alias("side"), "v", "rep")
+    high = both.withColumnRenamed("p", "q").join(hint(tasks.filter("p < q")), ["walk", "q"]).withColumn("k4", block("n_q")).withColumn("k3", others("n_p"))
+    sides = low.unionByName(high.select("walk", "p", "q", "k3", "k4", F.lit(1).alias("side"), "v", "rep"))
+    sides = sides.select((F.col("walk") + 2 * F.col("p").cast("bigint")).alias("k1"), F.col("q").alias("k2"), "k3", "k4", "side", "v", "rep")
 
     def walk(key: tuple, table: pa.Table) -> pa.Table:
         k1, k2, k3, k4 = (x.as_py() for x in key)

@@ -103,15 +103,17 @@ def _links(groups: DataFrame, n: int, threshold: float) -> DataFrame:
         centroids = None
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        between = None
         for batch in batches:
             for s in range(0, batch.num_rows, 2048):
                 part = batch.slice(s, 2048)
                 x = _unit(_matrix(part.column(0)))
                 c = centroids if centroids is not None else np.eye(1, x.shape[1])
+                if between is None:
+                    between = margin * np.sqrt(np.maximum(0, 2 - 2 * (c @ c.T)))
                 dots = x @ c.T
                 home = dots.argmax(axis=1)
-                apart = np.sqrt(np.maximum(0, 2 - 2 * (c @ c.T)))[home]
-                near = dots[np.arange(len(x)), home][:, None] - dots <= margin * apart
+                near = dots[np.arange(len(x)), home][:, None] - dots <= between[home]
                 near[np.arange(len(x)), home] = False
                 at, other = np.nonzero(near)
                 cuts = np.concatenate(([0], np.cumsum(near.sum(axis=1)))).astype(np.int32)

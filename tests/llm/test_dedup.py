@@ -123,11 +123,20 @@ def test_trie_walks_find_every_link(seed):
     assert len(a) < len(v) and half
 
 
+@pytest.mark.parametrize("levels,near", [(4, (2, 1)), (7, (2, 1)), (9, (1, 0))])
+def test_node_pairs_match_all_pairs(spark, levels, near):
+    rng = np.random.default_rng(levels)
+    nodes = {(w, int(p)) for w in (0, 1) for p in rng.integers(0, 1 << levels, 60)}
+    got = list(map(tuple, simhash.node_pairs(spark.createDataFrame(sorted(nodes), "walk int, p int"), levels, near).collect()))
+    assert len(got) == len(set(got)) and set(got) == {(w, p, q) for w, p in nodes for x, q in nodes if w == x and p <= q and (p ^ q).bit_count() <= near[w]}
+
+
 def test_simhash_blocks_of_crowded_nodes(spark, monkeypatch):
     rng = np.random.default_rng(3)
     v = np.unique(np.uint64(0xABCDEF) ^ (np.uint64(1) << rng.integers(0, 64, 400, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 400, dtype=np.uint64)))
     reps = spark.createDataFrame([(int(x.view(np.int64)), k) for k, x in enumerate(v)], "fp bigint, rep bigint")
     monkeypatch.setattr(simhash, "NODE_ROWS", 40)
+    monkeypatch.setattr(simhash, "BROADCAST_PAIRS", 0)
     found = connected_components(simhash.similar_fingerprints(reps))
     x = np.bitwise_count(v[:, None] ^ v[None, :]) <= 4
     np.fill_diagonal(x, False)
@@ -177,6 +186,13 @@ def test_components_of_long_paths_and_stars(spark):
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_boundaries_know_the_order_of_lines(spark):
+    lines_ = [f"line {k}" for k in range(60)]
+    pairs = [(f"{a}\n{b}\nend", f"{b}\n{a}\nend") for a, b in zip(lines_[::2], lines_[1::2], strict=True)]
+    cut = [r["n"] for r in spark.createDataFrame([(t,) for p in pairs for t in p], "text string").select(F.size(lines.chunks(F.col("text"))).alias("n")).collect()]
+    assert any(x != y for x, y in zip(cut[::2], cut[1::2], strict=True))
+
+
 def test_lines_match_a_plain_version(spark):
     data = [r for r in rows()[:-2]]
     heard = {}
@@ -184,7 +200,7 @@ def test_lines_match_a_plain_version(spark):
     def cut(text):
         each = (text or "").split("\n")
         h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in each]
-        starts = [i for i in range(len(each)) if i == 0 or i >= 2 and (h[i - 2] * 31 + h[i - 1]) % 3 == 0]
+        starts = [i for i in range(len(each)) if i == 0 or i >= 2 and (h[i - 2] * 1_000_003 + h[i - 1]) % 2_147_483_647 % 3 == 0]
         return [(a, each[a:b]) for a, b in zip(starts, [*starts[1:], len(each)], strict=True)]
 
     want = {}
