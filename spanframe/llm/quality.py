@@ -78,7 +78,7 @@ def counts(docs: DataFrame, text_col: str = "text", prefix: str = "") -> DataFra
     lines = lambda x: F.struct(F.size(x).cast("bigint").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"))
     found = docs.withColumn("__w", let(words, both)).withColumn("__l", let(full_lines, lines))
     names = [F.col(f"__w.{n}").alias(prefix + n) for n in ("n_words", "word_chars", "n_repeat_words", "n_distinct")] + [F.col(f"__l.{n}").alias(prefix + n) for n in ("n_lines", "n_dup_lines")]
-    single = [(n, without(p)) for n, p in (("n_symbols", r"[#*$%&|<>]"), ("n_letters", r"\p{L}"), ("n_digits", r"\p{N}"), ("n_lower", r"[\p{Ll}\p{Lo}\p{Lm}]"), ("n_bangs", r"!"), ("n_ends", r"[.?!。？！]"))]
+    single = [(n, without(p)) for n, p in (("n_symbols", r"[#*$%&|<>]"), ("n_letters", r"\p{L}++"), ("n_digits", r"\p{N}++"), ("n_lower", r"[\p{Ll}\p{Lo}\p{Lm}]++"), ("n_bangs", r"!"), ("n_ends", r"[.?!。？！]"))]
     single = {n: c.cast("bigint") for n, c in single}
     single["n_alnum"] = single["n_letters"] + single.pop("n_digits")
     single["n_bare"] = F.regexp_count(text, F.lit(r"(?<![^\x20\x09-\x0D])[^\p{L}\p{N}\x20\x09-\x0D]++(?![^\x20\x09-\x0D])")).cast("bigint")
