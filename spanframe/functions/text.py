@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from difflib import SequenceMatcher
 from functools import lru_cache
@@ -214,6 +215,18 @@ def contains_phrase(text: Column, phrases: Sequence[str]) -> Column:
     return out
 
 
+def is_credit(text: Column, heads: Sequence[str], tails: Sequence[str]) -> Column:
+    """Three tokens: one of heads, then two of tails."""
+    found = tokens(text)
+    return (F.size(found) == 3) & F.coalesce(F.get(found, F.lit(0)).isin(*heads) & F.get(found, F.lit(1)).isin(*tails) & F.get(found, F.lit(2)).isin(*tails), F.lit(False))
+
+
+def corroborated_blank(text: Column, phrases: Sequence[str], stages: Column, decoded: Column) -> Column:
+    """A phrase of known false hits counts as one if a stage of decoding, stages: array of (stage, text), came back blank, or this decoding did."""
+    blank = lambda t: F.trim(F.coalesce(t, F.lit(""))) == ""
+    return lexical(text).isin(*phrases) & (blank(decoded) | F.exists(F.coalesce(stages, F.array().cast("array<struct<stage:string,text:string>>")), lambda s: blank(s["text"])))
+
+
 def names_present(text: Column, names: Sequence[str], suffixes: Sequence[str] = ()) -> Column:
     """Sorted names that stand in the text as whole words, with one of the suffixes behind an apostrophe perhaps."""
     tail = rf"(?:['’](?:{'|'.join(map(re.escape, suffixes))}))?" if suffixes else ""
@@ -295,12 +308,14 @@ def similarity(a: Column, b: Column, junk: bool = False) -> Column:
 
 
 def blended(a: str, b: str) -> float:
-    """The better of characters with token overlap and of token order with characters, of normalised texts."""
+    """The better of characters with token overlap and of token order with characters, of normalised texts; tokens are multisets."""
     if not a or not b:
         return 0.0
+    if a == b:
+        return 1.0
     x, y = a.split(), b.split()
     chars, order = ratio(a, b), SequenceMatcher(None, x, y, autojunk=False).ratio()
-    dice = 2 * len(set(x) & set(y)) / (len(set(x)) + len(set(y)))
+    dice = 2 * (Counter(x) & Counter(y)).total() / (len(x) + len(y))
     return max(0.65 * chars + 0.35 * dice, 0.55 * order + 0.45 * chars)
 
 
@@ -352,26 +367,31 @@ def edit_audit(a: Column, b: Column) -> Column:
 # --- layout ----------------------------------------------------------------------------------
 
 
+def shown(line: str) -> int:
+    """Characters without tags."""
+    return len(re.sub(TAGS, "", line))
+
+
 def two_lines(words: Sequence[str], target: int, hard: int) -> tuple[str, str] | None:
-    """The split with least excess over target, then most balanced, then with the shorter first line."""
-    best = None
+    """The split into two lines of at most hard characters: least over target, then with the shortest longest line, then most even, then with the longer first line."""
+    ranked = []
     for k in range(1, len(words)):
-        a, b = " ".join(words[:k]), " ".join(words[k:])
-        if max(len(a), len(b)) <= hard:
-            score = (max(0, len(a) - target) + max(0, len(b) - target), abs(len(a) - len(b)), len(a) > len(b), k)
-            if best is None or score < best[0]:
-                best = score, (a, b)
-    return best[1] if best else None
+        pair = " ".join(words[:k]), " ".join(words[k:])
+        a, b = map(shown, pair)
+        if a <= hard and b <= hard:
+            ranked.append((max(a - target, 0) + max(b - target, 0), max(a, b), abs(a - b), -a, k, pair))
+    return min(ranked)[-1] if ranked else None
 
 
 def wrapped(text: str, target: int = 42, most: int = 2, hard: int = 84) -> str | None:
-    """One line up to target, else two; None where no layout keeps to hard."""
-    words = text.split()
-    one = " ".join(words)
-    if len(one) <= target or most == 1 or len(words) == 1:
-        return one if len(one) <= hard else None
-    pair = two_lines(words, target, hard)
-    return "\n".join(pair) if pair else one if len(one) <= hard else None
+    """Lines that the text brings itself stay; else one line up to target, or two. Null where a line is empty or no layout keeps to hard and most."""
+    own = [re.sub(r"[ \t\f\v]+", " ", line).strip() for line in text.replace("\r\n", "\n").replace("\r", "\n").split("\n")]
+    if not all(own) or len(own) > most or any(ord(c) < 32 and c not in "\n\r\t\f\v" for c in text):
+        return None
+    if len(own) > 1 or shown(own[0]) <= target or most == 1:
+        return "\n".join(own) if all(shown(line) <= hard for line in own) else None
+    pair = two_lines(own[0].split(" "), target, hard) if most == 2 else None
+    return "\n".join(pair) if pair else None
 
 
 def wrap_text(text: Column, target: int = 42, most: int = 2, hard: int = 84) -> Column:
@@ -446,6 +466,29 @@ def filled_words(tokens_wanted: Sequence[str], timed: Sequence[tuple[str, int, i
     return None if any(b[1] < a[1] for a, b in zip(out, out[1:], strict=False)) else out
 
 
+def initialism_words(segment: str, words: Sequence[str]) -> list[str] | None:
+    """words with the one letter back that an initialism with dots lost in front, as in "B.C." for "A.B.C."; None unless exactly one word lacks one and the segment has it so."""
+    parts = segment.split()
+    if len(parts) != len(words):
+        return None
+    differing = [k for k, (p, w) in enumerate(zip(parts, words, strict=True)) if p != w]
+    if len(differing) != 1:
+        return None
+    k = differing[0]
+    whole = re.fullmatch(r"(\w\.)((?:\w\.)+\w?[^\w\s]*)", parts[k])
+    return [*words[:k], parts[k], *words[k + 1 :]] if whole and whole[2] == words[k] else None
+
+
+def repaired_initialisms(segment: Column, words: Column) -> Column:
+    """initialism_words of columns; words that need no repair, or can't have it, stay null."""
+
+    @F.pandas_udf("array<string>")
+    def udf(s: pd.Series, w: pd.Series) -> pd.Series:
+        return pd.Series([None if a is None or b is None else initialism_words(a, list(b)) for a, b in zip(s, w, strict=True)])
+
+    return udf(segment, words)
+
+
 def repair_omissions(wanted: Column, words: Column, start: Column, end: Column) -> Column:
     """filled_words of columns: wanted is an array of tokens, words an array of (token, start_ms, end_ms) structs."""
 

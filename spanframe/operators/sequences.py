@@ -8,6 +8,8 @@ emitted themselves run in applyInPandas, one key's sequence at a time.
 from __future__ import annotations
 
 import math
+import re
+import tempfile
 from collections.abc import Callable, Iterable, Sequence
 
 import pandas as pd
@@ -145,6 +147,13 @@ def _grouped(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str
     return df.groupBy(*keys).applyInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + f", {name} bigint")
 
 
+def _apart(df: DataFrame, keys: Sequence[str], order: Sequence[str], start: str, end: str, gap: int) -> DataFrame:
+    """df with __chunk: a new one wherever a row starts more than gap behind all before it, so that a recurrence need not see a whole key."""
+    by = Window.partitionBy(*keys).orderBy(*order)
+    reach = F.max(end).over(by.rowsBetween(Window.unboundedPreceding, -1))
+    return sessions(df.withColumn("__far", F.col(start) > reach + gap), keys, order, F.col("__far"), "__chunk").drop("__far")
+
+
 def capped_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], start: str, end: str, size: str, longest: int = 6000, most: int = 78, gap: int = 3500, name: str = "part") -> DataFrame:
     """Greedy grouping: a row opens a group if the group would last over longest, hold over most of size, or the gap is over gap."""
 
@@ -156,13 +165,16 @@ def capped_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], star
             held, last = held + n, max(last, e)
             yield group
 
-    return _grouped(df, keys, order, name, number)
+    # such a gap opens a group whatever came before
+    found = _grouped(_apart(df, keys, order, start, end, gap), [*keys, "__chunk"], order, "__part", number)
+    return found.withColumn(name, (F.dense_rank().over(Window.partitionBy(*keys).orderBy("__chunk", "__part")) - 1).cast("bigint")).drop("__chunk", "__part")
 
 
-def optimal_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], start: str, end: str, text: str, cost: Callable[..., float | None] | None = None, most_rows: int = 24, name: str = "part", **limits) -> DataFrame:
+def optimal_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], start: str, end: str, text: str, cost: Callable[..., float | None] | None = None, most_rows: int = 24, name: str = "part", following_text: bool = False, **limits) -> DataFrame:
     """Least-cost segmentation by dynamic programming with at most most_rows rows a group; of equal costs the shortest last group.
 
-    cost(starts, ends, texts, following_start) gives a group's cost, None where it may not be.
+    cost(starts, ends, texts, following) gives a group's cost, None where it may not be; following is the
+    next row's start, or with following_text its (start, text).
     A row that no feasible group holds stands alone.
     """
     price = cost or (lambda s, e, t, nxt: reading_cost(s, e, t, nxt, **limits))
@@ -172,7 +184,7 @@ def optimal_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], sta
         n = len(rows)
         best, cut = [0.0] + [math.inf] * n, [0] * (n + 1)
         for stop in range(1, n + 1):
-            following = starts[stop] if stop < n else None
+            following = None if stop == n else (starts[stop], texts[stop]) if following_text else starts[stop]
             for begin in range(stop - 1, max(-1, stop - 1 - most_rows), -1):
                 own = price(starts[begin:stop], ends[begin:stop], texts[begin:stop], following)
                 if own is None and begin == stop - 1:
@@ -208,11 +220,46 @@ def reading_cost(starts: list[int], ends: list[int], texts: list[str], following
     return total - min(gap, 800) / 180
 
 
-def trimmed_overlaps(df: DataFrame, keys: Sequence[str], start: str, end: str, least: int = 400) -> DataFrame:
-    """Sequential trim: a row starts no earlier than the row before now ends, and short ones grow to least into free time; rows left without time go."""
+def line_balance(text: str, target: int = 42) -> float:
+    """What it costs to break a text in two at the space next to its middle: eight a character over target and two for all the unevenness."""
+    n = len(text)
+    if n <= target:
+        return 0.0
+    at = min((k for k, c in enumerate(text) if c == " "), key=lambda k: abs(2 * k - n), default=None)
+    if at is None:
+        return float((n - target) ** 2)
+    parts = at, n - at - 1
+    return 8.0 * sum(max(0, p - target) for p in parts) + 2.0 * abs(parts[0] - parts[1]) / n
+
+
+def phrase_cost(starts: Sequence[int], ends: Sequence[int], texts: Sequence[str], following: tuple[int, str] | None, most_words: int = 18, longest: int = 7000, shortest: int = 1200, total_chars: int = 84, target: int = 42, rate: float = 17.0) -> float | None:
+    """Cost of a phrase by its spoken time: distance from a comfortable duration and density, line balance, speed, its end, and how the next word (start, text) goes on. None where it may not be."""
+    n, text = len(texts), " ".join(texts)
+    chars, spoken, gap = len(text), ends[-1] - starts[0], None if following is None else following[0] - ends[-1]
+    if n > most_words or n > 1 and (spoken > longest or chars > total_chars + 18):
+        return None
+    comfortable = max(shortest, min(longest - 500, round(1000 * chars / rate)))
+    sentence, clause = (bool(re.search(p, texts[-1])) for p in (SENTENCE_END, CLAUSE_END))
+    terms = [
+        ((spoken - comfortable) / 1000) ** 2,
+        ((chars - 0.7 * total_chars) / 35) ** 2,
+        line_balance(text, target),
+        (5.0 if chars >= 8 or re.search(SENTENCE_END, text) else 8.0) if n == 1 else 3.0 if n == 2 and chars < 12 else 0.0,
+        max(0.0, (chars / max(spoken / 1000, 0.25) - 20) / 3) ** 2,
+        -5.0 if sentence else -2.0 if clause else 0.0,
+    ]
+    if gap is not None:
+        terms.append(-min(max(gap, 0), 800) / 180)
+        if gap < 120 and not sentence and not clause:
+            terms.append(5.0 if following[1].lstrip()[:1].islower() else 2.0)
+    return sum(terms)
+
+
+def trimmed_overlaps(df: DataFrame, keys: Sequence[str], start: str, end: str, least: int = 400, ties: Sequence[str] = ()) -> DataFrame:
+    """Sequential trim, in order of start, end and ties: a row starts no earlier than the row before now ends, and short ones grow to least into free time; rows left without time go."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([start, end], kind="stable").reset_index(drop=True)
+        rows = rows.sort_values([start, end, *ties], kind="stable").reset_index(drop=True)
         begins, stops = rows[start].tolist(), rows[end].tolist()
         last, keep = None, []
         for k in range(len(rows)):
@@ -228,7 +275,18 @@ def trimmed_overlaps(df: DataFrame, keys: Sequence[str], start: str, end: str, l
         out[start], out[end] = [b for _, b, _ in keep], [s for _, _, s in keep]
         return out
 
-    return df.groupBy(*keys).applyInPandas(run, df.schema)
+    # a row behind all before it, and behind what they may grow to, depends on none of them
+    apart = _apart(df, keys, [start, end, *ties], start, end, least)
+    return apart.groupBy(*keys, "__chunk").applyInPandas(lambda rows: run(rows).drop(columns="__chunk"), df.schema)
+
+
+def interval_components(df: DataFrame, keys: Sequence[str], node: str, start: str, end: str) -> DataFrame:
+    """(node, component): nodes that overlap others of their key, and the least node that overlaps lead to. One window instead of a graph."""
+    by = Window.partitionBy(*keys).orderBy(start, end, node)
+    reach = F.max(end).over(by.rowsBetween(Window.unboundedPreceding, -1))
+    runs = sessions(df.filter(F.col(end) > F.col(start)).withColumn("__far", F.col(start) >= reach), keys, [start, end, node], F.col("__far"), "__run")
+    own = Window.partitionBy(*keys, "__run")
+    return runs.withColumn("component", F.min(node).over(own)).withColumn("__n", F.count("*").over(own)).filter("__n > 1").select(node, "component")
 
 
 def overlap_components(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -238,14 +296,14 @@ def overlap_components(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFram
     rounds grow with the logarithm of a component's width; each round's table goes
     to the checkpoint folder.
     """
-    spark = pairs.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = pairs.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = sc.getConf().get("spark.checkpoint.dir", None)
         if folder is None:
-            import tempfile
-
+            if not re.fullmatch(r"local(\[.*\])?", sc.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             folder = tempfile.mkdtemp(prefix="spanframe-checkpoints-")
-        spark.sparkContext.setCheckpointDir(folder)
+        sc.setCheckpointDir(folder)
     edges = pairs.select(F.col(a).alias("x"), F.col(b).alias("y")).unionByName(pairs.select(F.col(b).alias("x"), F.col(a).alias("y"))).distinct().checkpoint()
     labels = edges.select(F.col("x").alias("node"), F.col("x").alias("label")).distinct()
     while True:

@@ -70,8 +70,9 @@ def require_zero(report: DataFrame) -> None:
 
 
 def gated(df: DataFrame, report: DataFrame) -> DataFrame:
-    """df if the one-row report has passed, else nothing of it; stays lazy."""
-    return df.crossJoin(F.broadcast(report.limit(1).select(F.col("passed").alias("__passed")))).filter("__passed").drop("__passed")
+    """df if every row of the counters report has passed, else nothing of it; stays lazy. An empty report lets through."""
+    passed = report.agg(F.coalesce(F.every("passed"), F.lit(True)).alias("__passed"))  # one row
+    return df.crossJoin(F.broadcast(passed)).filter("__passed").drop("__passed")
 
 
 def link_issues(parents: DataFrame, children: DataFrame, key: str, wants_child: Column, fields: Mapping[str, str]) -> DataFrame:

@@ -25,7 +25,7 @@ def final_qa(blocks: DataFrame, keys: Sequence[str], uid: str, source: str, targ
         "block_index_mismatch": ("error", F.col("block_index") != F.col("position")),
         "empty_text": ("error", F.trim(F.coalesce(t, F.lit(""))) == ""),
         "more_than_two_lines": ("error", F.size(lines) > 2),
-        "line_over_limit": ("error", F.col("layout").isNull() & t.isNotNull() | F.exists(lines, lambda x: text.visible_length(x) > 2 * line_limit)),
+        "line_over_limit": ("error", F.col("layout").isNull() & (F.size(lines) <= 2) & (F.trim(t) != "") | F.exists(lines, lambda x: text.visible_length(x) > 2 * line_limit)),
         "high_cps": ("warning", text.chars_per_second(text.visible_length(t), F.col("start_ms"), F.col("end_ms")) > most_cps),
         "special_name_mismatch": ("error", ~text.names_present(s, names).eqNullSafe(text.names_present(t, names)) if names else F.lit(False)),
         "numeric_anchor_mismatch": ("error", numbers(s) != numbers(t)),
@@ -51,27 +51,54 @@ def displaced_texts(blocks: DataFrame, keys: Sequence[str], index: str, source:
     """(keys, index, offset, score, own_score, reason): texts that came back for another block.
 
     A text is scored against its own source and those up to width blocks away. One
-    that is exactly a near block's source alone, or far better there than here, is
-    flagged; one that is rather better counts if its neighbour is displaced by
-    as much.
+    that is exactly one near block's source, or far better there than here, is
+    flagged. One that is exactly the source of one other block anywhere in its key,
+    or rather better near by, counts if its neighbour is displaced by as much.
+    Sources are met by an equi join on the normalised text, so the whole key is searched.
     """
     rows = blocks.select(*keys, index, F.col(source).alias("s"), F.col(back).alias("b"))
-    own = rows.withColumn("own_score", text.blended_similarity(F.col("b"), F.col("s")))
-    pairs = iv.band_join(own, keys, index, width, ["s"]).withColumn("score", text.blended_similarity(F.col("b"), F.col("other_s")))
-    exact = text.lexical(F.col("b")) == text.lexical(F.col("other_s"))
-    by = Window.partitionBy(*keys, index)
-    ranked = pairs.withColumn("exact", exact).withColumn("n_exact", F.sum(F.col("exact").cast("int")).over(by)).withColumn("r", F.row_number().over(by.orderBy(F.desc("score"), "offset"))).filter("r = 1")
-    gain = F.col("score") - F.col("own_score")
-    marked = ranked.withColumn("strong", F.when(F.col("exact") & (F.col("n_exact") == 1) & (F.col("own_score") < 1), "exact_neighbour").when((F.col("score") >= high) & (gain >= margin), "better_neighbour"))
-    candidates = marked.filter(F.col("strong").isNotNull() | ((F.col("score") >= moderate) & (gain >= small)))
-    runs = sequences.islands(candidates, keys, index, "offset")
-    return runs.withColumn("reason", F.coalesce("strong", F.when(F.col("in_run"), "displaced_run"))).filter("reason IS NOT NULL").select(*keys, index, "offset", "score", "own_score", "reason")
+    own = rows.withColumn("own_score", text.blended_similarity(F.col("b"), F.col("s"))).withColumn("same", text.lexical(F.col("b")))
+    pairs = iv.band_join(own.drop("same"), keys, index, width, ["s"]).withColumn("score", text.blended_similarity(F.col("b"), F.col("other_s")))
+    near = pairs.withColumn("r", F.row_number().over(Window.partitionBy(*keys, index).orderBy(F.desc("score"), "offset"))).filter("r = 1").select(*keys, index, F.col("offset").alias("near_offset"), F.col("score").alias("near_score"))
+    # places are counted for each text, and only a text with one place goes on
+    places = blocks.select(*keys, F.col(index).alias("at"), text.lexical(F.col(source)).alias("same")).filter("same <> ''").distinct()
+    alone = places.groupBy(*keys, "same").agg(F.count("*").alias("n"), F.min("at").alias("place")).filter("n = 1").drop("n")
+    exact_far = own.join(alone, [*keys, "same"]).filter(F.col("place") != F.col(index)).select(*keys, index, (F.col("place") - F.col(index)).alias("far_offset"))
+    close = iv.band_join(own.select(*keys, index, "same", "s"), keys, index, width, ["s"])
+    exact_near = close.filter(text.lexical(F.col("other_s")) == F.col("same")).groupBy(*keys, index).agg(F.count("*").alias("n_near"), F.min("offset").alias("exact_offset")).filter("n_near = 1")
+    by = [*keys, index]
+    all_ = own.withColumn("itself", text.lexical(F.col("s")) == F.col("same")).join(near, by, "left").join(exact_near.drop("n_near"), by, "left").join(exact_far, by, "left")
+    gain = F.col("near_score") - F.col("own_score")
+    elsewhere = ~F.col("itself") & (F.col("own_score") < 1)
+    kind = (
+        F.when(elsewhere & F.col("exact_offset").isNotNull(), "exact_neighbour")
+        .when(elsewhere & F.col("far_offset").isNotNull(), "exact_elsewhere")
+        .when((F.col("near_score") >= high) & (gain >= margin), "better_neighbour")
+        .when((F.col("near_score") >= moderate) & (gain >= small), "rather_better")
+    )
+    marked = all_.withColumn("kind", kind).filter("kind IS NOT NULL")
+    offset = F.when(F.col("kind") == "exact_neighbour", F.col("exact_offset")).when(F.col("kind") == "exact_elsewhere", F.col("far_offset")).otherwise(F.col("near_offset"))
+    score = F.when(F.col("kind").startswith("exact"), 1.0).otherwise(F.col("near_score"))
+    runs = sequences.islands(marked.withColumn("offset", offset).withColumn("score", score), keys, index, "offset")
+    strong = F.when(F.col("kind").isin("exact_neighbour", "better_neighbour"), F.col("kind"))
+    return runs.withColumn("reason", F.coalesce(strong, F.when(F.col("in_run"), "displaced_run"))).filter("reason IS NOT NULL").select(*keys, index, "offset", "score", "own_score", "reason")
 
 
-def anchor_displacements(blocks: DataFrame, keys: Sequence[str], index: str, source: str, target: str, names: Sequence[str], width: int = 6) -> DataFrame:
-    """(keys, index, other): blocks whose target has two anchors or more, all those of exactly one near source, and not those of its own."""
+def anchor_displacements(blocks: DataFrame, keys: Sequence[str], index: str, source: str, target: str, names: Sequence[str], width: int | None = 6) -> DataFrame:
+    """(keys, index, other): blocks whose target has two anchors or more, all those of exactly one source, and not those of its own.
+
+    Sources are those up to width blocks away; where none of them has the
+    anchors, those of the whole key, and with width None these from the start.
+    """
     signature = lambda c: F.array_sort(F.concat(text.names_present(c, names), text.number_anchors(c)))
     rows = blocks.select(*keys, index, signature(F.col(source)).alias("own"), signature(F.col(target)).alias("got")).filter(F.size("got") >= 2).filter("own <> got")
     sources = blocks.select(*keys, F.col(index).alias("other"), signature(F.col(source)).alias("got"))
-    near = rows.join(sources, [*keys, "got"]).filter(F.abs(F.col("other") - F.col(index)) <= width)
-    return near.groupBy(*keys, index).agg(F.count("*").alias("n"), F.min("other").alias("other")).filter("n = 1").select(*keys, index, "other")
+    # of a signature that many sources share, one of them and their number are enough for the whole key
+    shared = sources.groupBy(*keys, "got").agg(F.count("*").alias("n"), F.min("other").alias("other")).filter("n = 1").drop("n")
+    anywhere = rows.join(shared, [*keys, "got"]).select(*keys, index, "other")
+    if width is None:
+        return anywhere
+    band = F.expr(f"sequence({index} - {width}, {index} + {width})")
+    near = rows.withColumn("other", F.explode(band)).join(sources, [*keys, "other", "got"]).groupBy(*keys, index).agg(F.count("*").alias("n"), F.min("other").alias("other"))
+    rest = anywhere.join(near.select(*keys, index), [*keys, index], "left_anti")
+    return near.filter("n = 1").select(*keys, index, "other").unionByName(rest)

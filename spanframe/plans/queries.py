@@ -291,18 +291,19 @@ def optimal_groups_conversations(spark, d):
     return sequences.optimal_groups(timed, ["conv_id", "turn"], ["i"], "start_ms", "end_ms", "word").select("conv_id", "turn", "i", "part")
 
 
-@query()
+@query(f"""WITH RECURSIVE {IV}, o AS (SELECT user_id, event_id, start_ms, end_ms, row_number() OVER (PARTITION BY user_id ORDER BY start_ms, end_ms, event_id) AS r, lead(start_ms) OVER (PARTITION BY user_id ORDER BY start_ms, end_ms, event_id) AS nxt FROM iv),
+f AS (SELECT user_id, CAST(0 AS BIGINT) AS r, CAST(NULL AS BIGINT) AS event_id, CAST(NULL AS BIGINT) AS start_ms, CAST(NULL AS BIGINT) AS end_ms, CAST(NULL AS BIGINT) AS reach FROM o GROUP BY user_id
+ UNION ALL SELECT o.user_id, o.r, o.event_id, b, e, CASE WHEN e > b THEN e ELSE f.reach END FROM f JOIN o ON o.user_id = f.user_id AND o.r = f.r + 1,
+ LATERAL (SELECT greatest(o.start_ms, coalesce(f.reach, o.start_ms)) AS b) x, LATERAL (SELECT CASE WHEN o.end_ms - b < 400 THEN greatest(o.end_ms, least(b + 400, coalesce(o.nxt, b + 400))) ELSE o.end_ms END AS e) y)
+SELECT user_id, event_id, start_ms, end_ms FROM f WHERE r > 0 AND end_ms > start_ms""")
 def trimmed_overlaps_events(spark, d):
-    return sequences.trimmed_overlaps(event_intervals(spark, d).select("user_id", "event_id", "start_ms", "end_ms"), USER, "start_ms", "end_ms")
+    return sequences.trimmed_overlaps(event_intervals(spark, d).select("user_id", "event_id", "start_ms", "end_ms"), USER, "start_ms", "end_ms", ties=["event_id"])
 
 
 @query(f"""WITH RECURSIVE {IV}, p AS (SELECT a.event_id AS x, b.event_id AS y FROM iv a JOIN iv b ON a.user_id = b.user_id AND a.event_id <> b.event_id AND a.start_ms < b.end_ms AND b.start_ms < a.end_ms),
 reach(node, other) AS (SELECT x, x FROM p UNION SELECT node, y FROM reach JOIN p ON other = x) SELECT node, min(other) AS component FROM reach GROUP BY node""")
 def overlap_components_events(spark, d):
-    ev = event_intervals(spark, d).select("user_id", "event_id", "start_ms", "end_ms")
-    other = ev.withColumnsRenamed({"event_id": "other", "start_ms": "s2", "end_ms": "e2"})
-    pairs = intervals.interval_join(ev, other, USER, ("start_ms", "end_ms"), ("s2", "e2")).filter("event_id < other")
-    return sequences.overlap_components(pairs, "event_id", "other")
+    return sequences.interval_components(event_intervals(spark, d), USER, "event_id", "start_ms", "end_ms").withColumnRenamed("event_id", "node")
 
 
 # --- selection and batches ---------------------------------------------------------------------
@@ -402,10 +403,11 @@ def benchmark_contiguous_match(spark, d):
     docs = table(spark, d, "documents").select("doc_id", text.tokens(F.col("text")).alias("found"))
     of_width = lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.size("found") - w + 1, F.lit(1))), lambda i: F.xxhash64(F.slice("found", i, w)))
     starts = [of_width(w) for w in widths]
-    heads = docs.select("doc_id", "found", F.explode(F.array_distinct(F.concat(*starts) if starts else F.array().cast("array<bigint>"))).alias("head"))
-    hit = heads.join(passages, "head")
+    # only (doc_id, head) is exploded; texts meet passages again for the few documents that share a head
+    heads = docs.select("doc_id", F.explode(F.array_distinct(F.concat(*starts) if starts else F.array().cast("array<bigint>"))).alias("head"))
+    hit = heads.join(passages, "head").select("doc_id", "item_id", "needle")
     padded = lambda c: F.concat(F.lit(" "), F.array_join(c, " "), F.lit(" "))
-    return hit.filter(F.contains(padded("found"), padded("needle"))).select("doc_id", "item_id").distinct()
+    return hit.join(docs, "doc_id").filter(F.contains(padded("found"), padded("needle"))).select("doc_id", "item_id").distinct()
 
 
 @query("SELECT page_id, CAST(length(regexp_replace(html, '<[^>]*>|\\{\\\\[^}]*\\}', '', 'g')) AS INT) AS visible FROM pages")

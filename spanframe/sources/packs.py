@@ -49,8 +49,8 @@ def member_problem(archive: zipfile.ZipFile, guard: Guard) -> str | None:
     return None
 
 
-def read_packs(spark: SparkSession, path: str, guard: Guard = Guard()) -> DataFrame:
-    """(path, member, sha256, content, problem): a row for each member; of a pack that the guard refuses, or that is broken, one row with the problem."""
+def members_of(files: DataFrame, guard: Guard = Guard()) -> DataFrame:
+    """files: (path, content). (path, member, sha256, content, problem): a row for each member; of a pack that the guard refuses, or that is broken, one row with the problem."""
     names = ["path", "member", "sha256", "content", "problem"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,7 +68,12 @@ def read_packs(spark: SparkSession, path: str, guard: Guard = Guard()) -> DataFr
                 for row in rows:
                     yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.string(), pa.string(), pa.string(), pa.binary(), pa.string()), strict=True)], names=names)
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "path string, member string, sha256 string, content binary, problem string")
+    return files.select("path", "content").mapInArrow(run, "path string, member string, sha256 string, content binary, problem string")
+
+
+def read_packs(spark: SparkSession, path: str, guard: Guard = Guard()) -> DataFrame:
+    """members_of the files at a path."""
+    return members_of(spark.read.format("binaryFile").load(path), guard)
 
 
 def pack_lines(members: DataFrame, pattern: str = r"^batch_\d{3}\.jsonl$") -> DataFrame:
@@ -102,8 +107,8 @@ def pack_bytes(batches: Mapping[int, Sequence[str]], manifest: Mapping[str, obje
     return out.getvalue()
 
 
-def packs(df: DataFrame, keys: Sequence[str], batch: str, order: str, columns: Sequence[str]) -> DataFrame:
-    """(keys, pack): one pack a key, its rows in batches; a pack's rows are one group, which its guard bounds."""
+def packs(df: DataFrame, keys: Sequence[str], batch: str, order: str, columns: Sequence[str], guard: Guard = Guard()) -> DataFrame:
+    """(keys, pack): one pack a key, its rows in batches. A pack is one file and so one group: keys whose rows exceed guard.total_bytes are refused before they are gathered."""
     line = F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"})
     rows = df.select(*keys, F.col(batch).cast("bigint").alias("b"), F.col(order).cast("bigint").alias("o"), line.alias("line"))
 
@@ -114,4 +119,6 @@ def packs(df: DataFrame, keys: Sequence[str], batch: str, order: str, columns: S
         names = {k: v.as_py() for k, v in zip(keys, key, strict=True)}
         return pa.table({k: table.column(k).slice(0, 1) for k in keys} | {"pack": pa.array([pack_bytes(found, {"key": {k: str(v) for k, v in names.items()}, "records": table.num_rows})], pa.binary())})
 
-    return rows.groupBy(*keys).applyInArrow(run, ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys) + ", pack binary")
+    sizes = rows.groupBy(*keys).agg(F.sum(F.octet_length("line") + 1).alias("__bytes"))
+    fits = sizes.filter(F.when(F.col("__bytes") > guard.total_bytes, F.raise_error(F.lit("a pack would exceed its guard")).cast("boolean")).otherwise(F.lit(True)))
+    return rows.join(fits.select(*keys), list(keys), "left_semi").groupBy(*keys).applyInArrow(run, ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys) + ", pack binary")
