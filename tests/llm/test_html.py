@@ -15,11 +15,11 @@ def page(k, body):
     return (k, f"https://www.site.org:80/{k}?q=1", PAGE % body, "x", "y", 7)
 
 
-def texts(spark, bodies, host="http://h.net"):
-    """Texts of pages of one host."""
-    frame = spark.createDataFrame([(k, f"{host}/{k}", b) for k, b in enumerate(bodies)], "page_id bigint, url string, html string")
-    found = {r["page_id"]: r["text"] for r in html.extracted(frame).collect()}
-    return [found[k] for k in range(len(bodies))]
+def texts(spark, *hosts):
+    """Texts of pages, a list a host."""
+    pages = [(1000 * h + k, f"http://h{h}.net/{k}", b) for h, bodies in enumerate(hosts) for k, b in enumerate(bodies)]
+    found = {r["page_id"]: r["text"] for r in html.extracted(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
+    return [[found[1000 * h + k] for k in range(len(bodies))] for h, bodies in enumerate(hosts)]
 
 
 def prose(rng, n=30):
@@ -53,10 +53,10 @@ def test_pages(spark):
 def test_names_of_layouts_headings_and_paragraphs_drop_no_main_text(spark):
     inner = '<article><h2 id="related-work">Work</h2><div class="related-work"><p>Prior</p></div><section id="discussion"><p>Talk</p></section><p id="notice-1">One</p><div data-id="ad">Two</div><div class="ad">no</div><div class="ad-slot">no</div><h3 id="discussion">End</h3></article>'
     want = "Work\n\nPrior\n\nTalk\n\nOne\n\nTwo\n\nEnd"
-    for wrapper in ("layout has-sidebar", "sidebar-layout", "banner"):
-        assert texts(spark, [f'<body><div class="{wrapper}">{inner}<section id="comments"><p>no</p></section></div></body>']) == [want]
-    assert texts(spark, [f'<body>{inner}<section id="comments"><article><p>{"no " * 99}</p></article></section></body>']) == [want]
-    assert texts(spark, ['<body><div class="sidebar-layout"><div class="content"><p>Yes</p></div><div class="sidebar">no</div></div></body>']) == ["Yes"]
+    pages = [f'<body><div class="{wrapper}">{inner}<section id="comments"><p>no</p></section></div></body>' for wrapper in ("layout has-sidebar", "sidebar-layout", "banner")]
+    pages.append(f'<body>{inner}<section id="comments"><article><p>{"no " * 99}</p></article></section></body>')
+    last = '<body><div class="sidebar-layout"><div class="content"><p>Yes</p></div><div class="sidebar">no</div></div></body>'
+    assert texts(spark, *[[p] for p in pages], [last]) == [[want]] * 4 + [["Yes"]]
 
 
 def test_the_wrapper_tells_fixed_text_from_slots(spark):
@@ -72,24 +72,19 @@ def test_the_wrapper_tells_fixed_text_from_slots(spark):
             + f'{more}<p>All rights reserved by the makers of this site.</p></div><div class="x3"><ul><li><a href="/a">{prose(rng, 2)}</a><li><a href="/b">{prose(rng, 2)}</a></ul></div></body>'
         )
         want.append("\n\n".join([title, *paragraphs, *re.findall("<div><p>(.*?)</p></div>", more)]))
-    assert texts(spark, bodies) == want
     # the menu stands directly beside the paragraphs
     flat = [b.replace('<div class="x2">', "").replace('</div><div class="x3">', '<div class="x3">') for b in bodies]
-    assert texts(spark, flat) == want
+    assert texts(spark, bodies, flat) == [want, want]
 
 
-def test_copies_are_no_template(spark):
-    rng = random.Random(4)
-    shared = [prose(rng, 40) for _ in range(3)]
-    bodies = [f"<body><p>n{k}</p><article>{''.join(f'<p>{p}</p>' for p in shared)}</article>" for k in range(9)]
-    assert texts(spark, bodies) == ["\n\n".join(shared)] * 9
-
-
-def test_layouts_of_one_host(spark):
+def test_copies_are_no_template_and_layouts_of_one_host(spark):
     rng = random.Random(5)
+    shared = [prose(rng, 40) for _ in range(3)]
+    copies = [f"<body><p>n{k}</p><article>{''.join(f'<p>{p}</p>' for p in shared)}</article>" for k in range(9)]
     a = [f"<body><nav>n</nav><article><p>{prose(rng)}</p></article></body>" for _ in range(6)]
     b = [f"<body><div class=wide><div><article><h1>{prose(rng, 3)}</h1><p>{prose(rng)}</p></article></div><p>{prose(rng, 4)}</p></div></body>" for _ in range(3)]
-    found = texts(spark, a + b)
+    found, same = texts(spark, a + b, copies)
+    assert same == ["\n\n".join(shared)] * 9
     assert found[:6] == [re.search("<p>(.*?)</p>", x)[1] for x in a]
     assert found[6:] == ["\n\n".join(re.search("<h1>(.*?)</h1><p>(.*?)</p>", x).groups()) for x in b]
 
@@ -100,9 +95,8 @@ def test_deep_and_wide_pages(spark):
     wide = "<article>" + "".join(f"<{t}>{k}</{t}>" for k, t in enumerate(rng.choices(tags, k=20_000))) + "</article>"
     deep = "<div>" * 10_000 + "<p>deep</p>" + "</div>" * 10_000
     unclosed = "<div><p>" * 10_000 + "end"
-    for _ in range(2):
-        assert texts(spark, [deep, deep.replace("deep", "down"), unclosed]) == ["deep", "down", "end"]
-        assert texts(spark, [wide])[0] == "\n\n".join(map(str, range(20_000)))
+    found = texts(spark, [deep, deep.replace("deep", "down"), unclosed], [wide])
+    assert found == [["deep", "down", "end"], ["\n\n".join(map(str, range(20_000)))]]
 
 
 def test_by_host_without_broadcast(spark, monkeypatch):
