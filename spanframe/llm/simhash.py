@@ -42,6 +42,9 @@ AT_ONCE = 1 << 20
 #: Bands of one_of_each and minima in a band: of pairs at 0.8, 1 - (1 - 0.8 ** 5) ** 24 = 0.9999 share one.
 BANDS, BAND_ROWS = 24, 5
 
+#: Rows of a bucket's block, and how many standard deviations fewer minima than expected may agree: 3 of 100,000 pairs at the threshold have fewer.
+BUCKET_ROWS, SURE = 2048, 4.0
+
 _random = np.random.default_rng(SEED)
 _factors = _random.integers(0, 2**63, BANDS * BAND_ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 _terms = _random.integers(0, 2**63, BANDS * BAND_ROWS, np.uint64)
@@ -270,32 +273,70 @@ def jaccard(a: set[bytes], b: set[bytes]) -> float:
     return shared / (len(a) + len(b) - shared) if a or b else 1.0
 
 
-def band_keys(hashes: np.ndarray) -> np.ndarray:
-    """One key a band: equal for two sets with probability j ** BAND_ROWS, j being their similarity. A set without hashes has zeros."""
-    if not len(hashes):
-        return np.zeros(BANDS, np.uint64)
+def minima(hashes: np.ndarray) -> np.ndarray:
+    """The least value of a set under each of BANDS * BAND_ROWS permutations: two sets agree on each with a probability of their similarity."""
     least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, np.uint64)
     for s in range(0, len(hashes), 1024):
         np.minimum(least, (hashes[s : s + 1024] * _factors[:, None] + _terms[:, None]).min(axis=1), out=least)
+    return least
+
+
+def band_keys(least: np.ndarray) -> np.ndarray:
+    """One key a band from minima: equal for two sets with probability j ** BAND_ROWS, j being their similarity."""
     keys = (least.reshape(BANDS, BAND_ROWS) >> np.uint64(11)) * _factors.reshape(BANDS, BAND_ROWS)
     return keys.sum(axis=1, dtype=np.uint64)
 
 
 def sketches(rows: DataFrame, shingle: int) -> DataFrame:
-    """rows: (id, tie, text). (id, tie, digest, bands): the digest of the words in lower case, and band_keys of the shingles."""
+    """rows: (id, tie, text). (id, tie, digest, bands, marks): the digest of the words in lower case, band_keys of the shingles, and 16 bits of each of their minima."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests, keys = [], []
+            digests, keys, marks = [], [], []
             for text in batch.column(2):
                 words = words_of(text.as_py())
                 digests.append(xxhash.xxh3_128_digest(b" ".join(words).lower()))
-                keys.append(band_keys(np.array(shingle_hashes(words, shingle), np.uint64)).view(np.int64))
+                least = minima(np.array(shingle_hashes(words, shingle), np.uint64))
+                keys.append(band_keys(least).view(np.int64))
+                marks.append((least >> np.uint64(40)).astype("<u2").tobytes())
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
             bands = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * BANDS, pa.int32()), pa.array(flat, pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digests, pa.binary()), bands], names=["id", "tie", "digest", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digests, pa.binary()), bands, pa.array(marks, pa.binary())], names=["id", "tie", "digest", "bands", "marks"])
+
+    return rows.mapInArrow(run, "id bigint, tie bigint, digest binary, bands array<bigint>, marks binary")
 
-    return rows.mapInArrow(run, "id bigint, tie bigint, digest binary, bands array<bigint>")
+
+def likely_pairs(members: DataFrame, marks: DataFrame, similarity: float) -> DataFrame:
+    """(a, b), a < b: nodes of one bucket, members: (band, key, node, part), in different parts, whose minima agree often enough for this similarity; marks: (node, marks).
+
+    That is at most SURE standard deviations below the share that is expected.
+    Buckets are compared block by block inside tasks, so their pairs are no rows.
+    """
+    n = BANDS * BAND_ROWS
+    enough = int(np.floor(n * similarity - SURE * np.sqrt(n * similarity * (1 - similarity))))
+    buckets = written(members.groupBy("band", "key").agg(F.ceil(F.count("*") / F.lit(float(BUCKET_ROWS))).cast("int").alias("n_blocks")), "bucket-blocks")
+    rows = members.join(marks, "node").join(buckets, ["band", "key"]).withColumn("i", F.expr("cast(pmod(xxhash64(node), n_blocks) as int)"))
+    rows = rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+    rows = rows.select("band", "key", F.least("i", "k").alias("lo"), F.greatest("i", "k").alias("hi"), (F.col("i") > F.col("k")).cast("int").alias("side"), "node", "part", "marks")
+
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
+        node, part, side = (table.column(c).to_numpy() for c in ("node", "part", "side"))
+        sketch = np.frombuffer(b"".join(table.column("marks").to_pylist()), "<u2").reshape(len(node), n)
+        left = np.flatnonzero(side == 0)
+        right = left if key[2].as_py() == key[3].as_py() else np.flatnonzero(side == 1)
+        found: list[np.ndarray] = []
+        across = np.ascontiguousarray(sketch[right].T)
+        for x in left:
+            agree = np.zeros(len(right), np.int16)
+            for r in range(n):
+                agree += across[r] == sketch[x, r]
+            ok = right[(agree >= enough) & (part[right] != part[x])]
+            ok = ok[ok > x] if right is left else ok
+            found.append(np.column_stack((np.full(len(ok), node[x]), node[ok])))
+        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+        return pa.table({"a": pa.array(pairs.min(axis=1, initial=np.iinfo(np.int64).max) if len(pairs) else pairs[:, 0], pa.int64()), "b": pa.array(pairs.max(axis=1, initial=-1) if len(pairs) else pairs[:, 1], pa.int64())})
+
+    return rows.groupBy("band", "key", "lo", "hi").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -314,12 +355,12 @@ def similar_rows(rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """rows: (id, tie, text) with no null id. (id, tie, component): id and tie of each text, once, and the component of all confirmed links.
 
     Candidates are texts with an equal band. A bucket of equal bands is first
-    compared with its least node, which joins dense groups in linear work; then
-    all its pairs that lie in different components so far are compared as well,
-    so no candidate that could add a link is left out.
+    compared with its least node, which joins dense groups in linear work; of the
+    others, those in different components so far are compared by their minima
+    inside tasks, and those that are likely alike by their shingles.
     """
     own = written(sketches(rows, shingle), "sketches")
-    reps = own.groupBy("digest").agg(F.min(F.struct("id", "tie", "bands")).alias("r"))
+    reps = own.groupBy("digest").agg(F.min(F.struct("id", "tie", "bands", "marks")).alias("r"))
     reps = written(reps.select(F.monotonically_increasing_id().alias("node"), "r.*"), "texts")
     banded = reps.select("node", F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("band", "key").agg(F.min("node").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
@@ -331,9 +372,8 @@ def similar_rows(rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
     parts = connected_components(links, "near")
     placed = members.join(parts, "node", "left").select("band", "key", "node", F.coalesce("component", "node").alias("part"))
     mixed = placed.groupBy("band", "key").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("band", "key")
-    open_ = placed.join(mixed, ["band", "key"])
-    other = open_.select("band", "key", F.col("node").alias("b"), F.col("part").alias("other"))
-    rest = open_.withColumnRenamed("node", "a").join(other, ["band", "key"]).filter("a < b AND part <> other").select("a", "b").distinct()
+    open_ = placed.join(written(mixed, "mixed-buckets"), ["band", "key"])
+    rest = likely_pairs(open_, reps.select("node", "marks"), similarity)
     more = confirmed(rest.join(stars, ["a", "b"], "left_anti"), texts, shingle, similarity)
     parts = connected_components(links.unionByName(written(more, "links")), "near")
     return reps.join(parts, "node", "left").select("id", "tie", F.coalesce("component", "node").alias("component"))

@@ -171,6 +171,18 @@ def test_one_of_each_reaches_a_similarity_of_0_8(spark):
     assert sum(0.8 <= j < 0.85 for j in want.values()) > 5 and sum(j < 0.8 for j in want.values()) > 5
 
 
+def test_likely_pairs_of_a_bucket_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BUCKET_ROWS", 7)
+    rng = np.random.default_rng(6)
+    n = simhash.BANDS * simhash.BAND_ROWS
+    base = rng.integers(0, 1 << 16, (5, n))
+    marks = [np.where(rng.random(n) < 0.1 * (k % 6), rng.integers(0, 1 << 16, n), base[k % 5]).astype("<u2") for k in range(40)]
+    members = spark.createDataFrame([(0, 1, k, k % 9) for k in range(40)], "band int, key bigint, node bigint, part bigint")
+    found = simhash.likely_pairs(members, spark.createDataFrame([(k, bytearray(m.tobytes())) for k, m in enumerate(marks)], "node bigint, marks binary"), 0.8)
+    want = {(a, b) for a in range(40) for b in range(a + 1, 40) if a % 9 != b % 9 and (marks[a] == marks[b]).sum() >= 0.8 * n - 4 * (0.16 * n) ** 0.5 - 1e-9 - 1 and (marks[a] == marks[b]).sum() >= int(0.8 * n - 4 * (0.16 * n) ** 0.5)}
+    assert sorted(map(tuple, found.collect())) == sorted(want) and want
+
+
 def test_one_of_each_follows_chains_within_a_bucket(spark, monkeypatch):
     monkeypatch.setattr(simhash, "band_keys", lambda hashes: np.zeros(simhash.BANDS, np.uint64))
     words = [f"w{k}" for k in range(200)]
