@@ -355,7 +355,7 @@ def similar_rows(rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """rows: (id, tie, text) with no null id. (id, tie, component): id and tie of each text, once, and the component of all confirmed links.
 
     Candidates are texts with an equal band. A bucket of equal bands is first
-    compared with its least node, which joins dense groups in linear work; of the
+    compared with its hub, the node that shares most, which joins dense groups in linear work; of the
     others, those in different components so far are compared by their minima
     inside tasks, and those that are likely alike by their shingles.
     """
@@ -363,11 +363,15 @@ def similar_rows(rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
     reps = own.groupBy("digest").agg(F.min(F.struct("id", "tie", "bands", "marks")).alias("r"))
     reps = written(reps.select(F.monotonically_increasing_id().alias("node"), "r.*"), "texts")
     banded = reps.select("node", F.posexplode("bands").alias("band", "key"))
-    shared = banded.groupBy("band", "key").agg(F.min("node").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    members = written(banded.join(shared, ["band", "key"]), "buckets")
+    shared = banded.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")
+    sharing = written(banded.join(shared, ["band", "key"]), "sharing")
+    # the node that shares most buckets with most others is likely the text that the others were made from
+    weight = written(sharing.groupBy("node").agg(F.sum("n").alias("w")), "weights")
+    hubs = written(sharing.join(weight, "node").groupBy("band", "key").agg(F.min(F.struct(-F.col("w"), "node")).alias("h")).select("band", "key", F.col("h.node").alias("hub")), "hubs")
+    members = written(sharing.drop("n").join(hubs, ["band", "key"]), "buckets")
     used = members.select("node").distinct().join(reps.select("node", "id", "tie"), "node")
     texts = written(rows.join(used, ["id", "tie"]).select("node", "text").dropDuplicates(["node"]), "candidates")
-    stars = written(members.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    stars = written(members.filter("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct(), "stars")
     links = written(confirmed(stars, texts, shingle, similarity), "links")
     parts = connected_components(links, "near")
     placed = members.join(parts, "node", "left").select("band", "key", "node", F.coalesce("component", "node").alias("part"))
