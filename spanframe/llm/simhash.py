@@ -22,9 +22,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,8 +42,10 @@ AT_ONCE = 1 << 20
 #: Bands of one_of_each and minima in a band: of pairs at 0.8, 1 - (1 - 0.8 ** 5) ** 24 = 0.9999 share one.
 BANDS, BAND_ROWS = 24, 5
 
-#: Rows of a bucket's block, and how many standard deviations fewer minima than expected may agree: 3 of 100,000 pairs at the threshold have fewer.
-BUCKET_ROWS, SURE = 2048, 4.0
+#: Rows and bytes of text of a bucket's block.
+BUCKET_ROWS, BUCKET_BYTES = 2048, 4 << 20
+#: How many standard deviations fewer minima than expected may agree: 3 of 100,000 pairs at the threshold have fewer.
+SURE = 4.0
 
 _random = np.random.default_rng(SEED)
 _factors = _random.integers(0, 2**63, BANDS * BAND_ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -306,37 +308,94 @@ def sketches(rows: DataFrame, shingle: int) -> DataFrame:
     return rows.mapInArrow(run, "id bigint, tie bigint, digest binary, bands array<bigint>, marks binary")
 
 
-def likely_pairs(members: DataFrame, marks: DataFrame, similarity: float) -> DataFrame:
-    """(a, b), a < b: nodes of one bucket, members: (band, key, node, part), in different parts, whose minima agree often enough for this similarity; marks: (node, marks).
+def likely(x: int, right: np.ndarray, band: int, keys: np.ndarray, marks: np.ndarray, enough: int) -> np.ndarray:
+    """Those of right that agree with x on enough minima and, being in one bucket of this band, share none of an earlier band, where they are met already; the likeliest first."""
+    agree = np.count_nonzero(marks[right] == marks[x], axis=1)
+    ok = agree >= enough
+    right, agree = right[ok], agree[ok]
+    first = ~(keys[right, :band] == keys[x, :band]).any(axis=1)
+    return right[first][np.argsort(-agree[first], kind="stable")]
+
+
+def block_arrays(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """Of a pair of blocks: node, part as a number from 0, band keys, minima, and the indexes of either side."""
+    node, side = table.column("node").to_numpy(), table.column("side").to_numpy()
+    part = np.unique(table.column("part").to_numpy(), return_inverse=True)[1]
+    keys = pc.list_flatten(table.column("bands")).to_numpy().reshape(len(node), BANDS)
+    marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), "<u2").reshape(len(node), BANDS * BAND_ROWS)
+    return node, part, keys, marks, np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+
 
-    That is at most SURE standard deviations below the share that is expected.
-    Buckets are compared block by block inside tasks, so their pairs are no rows.
+def likely_rows(members: DataFrame, nodes: DataFrame, enough: int) -> DataFrame:
+    """(band, key, lo, hi, side, node, part): of pairs of blocks of a bucket, the nodes that agree with one of another part on enough minima.
+
+    members: (band, key, node, part); nodes: (node, bands, marks, n_bytes). Blocks
+    are bounded in rows and in bytes of text. Rows are nodes, however many pairs they are in.
     """
-    n = BANDS * BAND_ROWS
-    enough = int(np.floor(n * similarity - SURE * np.sqrt(n * similarity * (1 - similarity))))
-    buckets = written(members.groupBy("band", "key").agg(F.ceil(F.count("*") / F.lit(float(BUCKET_ROWS))).cast("int").alias("n_blocks")), "bucket-blocks")
-    rows = members.join(marks, "node").join(buckets, ["band", "key"]).withColumn("i", F.expr("cast(pmod(xxhash64(node), n_blocks) as int)"))
+    sized = members.join(nodes, "node")
+    blocks = F.greatest(F.count("*") / F.lit(float(BUCKET_ROWS)), F.sum("n_bytes") / F.lit(float(BUCKET_BYTES)))
+    buckets = written(sized.groupBy("band", "key").agg(F.ceil(F.greatest(blocks, F.lit(1.0))).cast("int").alias("n_blocks")), "bucket-blocks")
+    rows = members.join(buckets, ["band", "key"]).withColumn("i", F.expr("cast(pmod(xxhash64(node), n_blocks) as int)"))
     rows = rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    rows = rows.select("band", "key", F.least("i", "k").alias("lo"), F.greatest("i", "k").alias("hi"), (F.col("i") > F.col("k")).cast("int").alias("side"), "node", "part", "marks")
-
-    def compare(key: tuple, table: pa.Table) -> pa.Table:
-        node, part, side = (table.column(c).to_numpy() for c in ("node", "part", "side"))
-        sketch = np.frombuffer(b"".join(table.column("marks").to_pylist()), "<u2").reshape(len(node), n)
-        left = np.flatnonzero(side == 0)
-        right = left if key[2].as_py() == key[3].as_py() else np.flatnonzero(side == 1)
-        found: list[np.ndarray] = []
-        across = np.ascontiguousarray(sketch[right].T)
+    rows = rows.select("band", "key", F.least("i", "k").alias("lo"), F.greatest("i", "k").alias("hi"), (F.col("i") > F.col("k")).cast("int").alias("side"), "node", "part")
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        _, part, keys, marks, left, right = block_arrays(table)
+        within = key[2].as_py() == key[3].as_py()
+        met = np.zeros(table.num_rows, bool)
         for x in left:
-            agree = np.zeros(len(right), np.int16)
-            for r in range(n):
-                agree += across[r] == sketch[x, r]
-            ok = right[(agree >= enough) & (part[right] != part[x])]
-            ok = ok[ok > x] if right is left else ok
-            found.append(np.column_stack((np.full(len(ok), node[x]), node[ok])))
-        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pa.array(pairs.min(axis=1, initial=np.iinfo(np.int64).max) if len(pairs) else pairs[:, 0], pa.int64()), "b": pa.array(pairs.max(axis=1, initial=-1) if len(pairs) else pairs[:, 1], pa.int64())})
+            others = left[left > x] if within else right
+            others = likely(x, others[part[others] != part[x]], key[0].as_py(), keys, marks, enough)
+            met[others] = True
+            met[x] |= len(others) > 0
+        return table.select(["band", "key", "lo", "hi", "side", "node", "part"]).filter(pa.array(met))
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.join(nodes.drop("n_bytes"), "node").groupBy("band", "key", "lo", "hi").applyInArrow(run, kinds)
+
+
+def bucket_links(members: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(a, b): links of this similarity between nodes of one bucket in different parts, as many as join what all such links join.
 
-    return rows.groupBy("band", "key", "lo", "hi").applyInArrow(compare, "a bigint, b bigint").distinct()
+    members: (band, key, node, part); nodes: (node, bands, marks, n_bytes); texts:
+    (node, text). The minima of a pair may agree on SURE standard deviations less
+    than expected. Pairs that do are compared by their shingles inside the task that
+    holds their two blocks, unless links found there join them already, so that
+    pairs next to the threshold are no rows, however many a group has.
+    """
+    n = BANDS * BAND_ROWS
+    enough = int(np.floor(n * similarity - SURE * np.sqrt(n * similarity * (1 - similarity))))
+    rows = written(likely_rows(members, nodes, enough), "likely")
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        node, part, keys, marks, left, right = block_arrays(table)
+        text = table.column("text")
+        within = key[2].as_py() == key[3].as_py()
+        sets: dict[int, np.ndarray] = {}
+        links: list[tuple[int, int]] = []
+
+        def of(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = np.unique(np.array(shingle_hashes(words_of(text[i].as_py()), shingle), np.uint64))
+            return sets[i]
+
+        def alike(x: int, y: int) -> bool:
+            a, b = of(x), of(y)
+            if min(len(a), len(b)) < similarity * max(len(a), len(b)) - 1e-6 or not len(a):
+                return False
+            shared = np.count_nonzero(a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b)
+            # hashes refuse, shingles confirm
+            return shared >= similarity * (len(a) + len(b) - shared) - 1e-6 and jaccard(shingle_set(text[x].as_py(), shingle), shingle_set(text[y].as_py(), shingle)) >= similarity
+
+        for x in left.tolist():
+            others = left[left > x] if within else right
+            for y in likely(x, others[part[others] != part[x]], key[0].as_py(), keys, marks, enough).tolist():
+                if part[x] != part[y] and alike(x, y):
+                    part[part == part[y]] = part[x]
+                    links.append((min(node[x], node[y]), max(node[x], node[y])))
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    return rows.join(nodes.select("node", "bands", "marks"), "node").join(texts.select("node", "text"), "node").groupBy("band", "key", "lo", "hi").applyInArrow(run, "a bigint, b bigint")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -355,9 +414,9 @@ def similar_rows(rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """rows: (id, tie, text) with no null id. (id, tie, component): id and tie of each text, once, and the component of all confirmed links.
 
     Candidates are texts with an equal band. A bucket of equal bands is first
-    compared with its hub, the node that shares most, which joins dense groups in linear work; of the
-    others, those in different components so far are compared by their minima
-    inside tasks, and those that are likely alike by their shingles.
+    compared with its hub, the node that shares most, which joins dense groups in
+    linear work; of the others, those in different components so far are compared
+    inside tasks, by their minima and, where these agree often enough, by their shingles.
     """
     own = written(sketches(rows, shingle), "sketches")
     reps = own.groupBy("digest").agg(F.min(F.struct("id", "tie", "bands", "marks")).alias("r"))
@@ -370,15 +429,14 @@ def similar_rows(rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
     hubs = written(sharing.join(weight, "node").groupBy("band", "key").agg(F.min(F.struct(-F.col("w"), "node")).alias("h")).select("band", "key", F.col("h.node").alias("hub")), "hubs")
     members = written(sharing.drop("n").join(hubs, ["band", "key"]), "buckets")
     used = members.select("node").distinct().join(reps.select("node", "id", "tie"), "node")
-    texts = written(rows.join(used, ["id", "tie"]).select("node", "text").dropDuplicates(["node"]), "candidates")
+    texts = written(rows.join(used, ["id", "tie"]).select("node", "text", F.octet_length("text").cast("bigint").alias("n_bytes")).dropDuplicates(["node"]), "candidates")
     stars = written(members.filter("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct(), "stars")
     links = written(confirmed(stars, texts, shingle, similarity), "links")
     parts = connected_components(links, "near")
     placed = members.join(parts, "node", "left").select("band", "key", "node", F.coalesce("component", "node").alias("part"))
     mixed = placed.groupBy("band", "key").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("band", "key")
     open_ = placed.join(written(mixed, "mixed-buckets"), ["band", "key"])
-    rest = likely_pairs(open_, reps.select("node", "marks"), similarity)
-    more = confirmed(rest.join(stars, ["a", "b"], "left_anti"), texts, shingle, similarity)
+    more = bucket_links(open_, texts.select("node", "n_bytes").join(reps.select("node", "bands", "marks"), "node"), texts, shingle, similarity)
     parts = connected_components(links.unionByName(written(more, "links")), "near")
     return reps.join(parts, "node", "left").select("id", "tie", F.coalesce("component", "node").alias("component"))
 

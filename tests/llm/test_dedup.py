@@ -171,16 +171,36 @@ def test_one_of_each_reaches_a_similarity_of_0_8(spark):
     assert sum(0.8 <= j < 0.85 for j in want.values()) > 5 and sum(j < 0.8 for j in want.values()) > 5
 
 
-def test_likely_pairs_of_a_bucket_in_blocks(spark, monkeypatch):
+def test_links_of_a_bucket_in_blocks(spark, monkeypatch):
+    import random
+
     monkeypatch.setattr(simhash, "BUCKET_ROWS", 7)
-    rng = np.random.default_rng(6)
-    n = simhash.BANDS * simhash.BAND_ROWS
-    base = rng.integers(0, 1 << 16, (5, n))
-    marks = [np.where(rng.random(n) < 0.1 * (k % 6), rng.integers(0, 1 << 16, n), base[k % 5]).astype("<u2") for k in range(40)]
-    members = spark.createDataFrame([(0, 1, k, k % 9) for k in range(40)], "band int, key bigint, node bigint, part bigint")
-    found = simhash.likely_pairs(members, spark.createDataFrame([(k, bytearray(m.tobytes())) for k, m in enumerate(marks)], "node bigint, marks binary"), 0.8)
-    want = {(a, b) for a in range(40) for b in range(a + 1, 40) if a % 9 != b % 9 and (marks[a] == marks[b]).sum() >= 0.8 * n - 4 * (0.16 * n) ** 0.5 - 1e-9 - 1 and (marks[a] == marks[b]).sum() >= int(0.8 * n - 4 * (0.16 * n) ** 0.5)}
-    assert sorted(map(tuple, found.collect())) == sorted(want) and want
+    monkeypatch.setattr(simhash, "BUCKET_BYTES", 4000)
+    rng = random.Random(6)
+    base = [[f"w{rng.randrange(5000)}" for _ in range(100 + 20 * k)] for k in range(5)]
+    texts = []
+    for k in range(44):
+        own = list(base[k % 5])
+        for at in rng.sample(range(len(own)), k % 7):
+            own[at] = f"x{k}"
+        texts.append(" ".join(own))
+    texts[43] = "Too Short"
+    sketch = [simhash.minima(np.array(simhash.shingle_hashes(t.encode().split(), 5), np.uint64)) for t in texts]
+    # all share band 0 and band 3, half of them also band 2
+    bands = [[7 if b in (0, 3) else 9 if b == 2 and k % 2 else 100 * k + b for b in range(simhash.BANDS)] for k in range(44)]
+    members = spark.createDataFrame([(b, bands[k][b], k, k % 9) for k in range(44) for b in (0, 2, 3) if b != 2 or k % 2], "band int, key bigint, node bigint, part bigint")
+    nodes = spark.createDataFrame([(k, bands[k], bytearray((m >> np.uint64(40)).astype("<u2").tobytes()), len(texts[k])) for k, m in enumerate(sketch)], "node bigint, bands array<bigint>, marks binary, n_bytes bigint")
+    found = set(map(tuple, simhash.bucket_links(members, nodes, spark.createDataFrame(list(enumerate(texts)), "node bigint, text string"), 5, 0.8).collect()))
+    want = {(a, b) for a in range(44) for b in range(a + 1, 44) if a % 9 != b % 9 and simhash.jaccard(simhash.shingle_set(texts[a], 5), simhash.shingle_set(texts[b], 5)) >= 0.8}
+    assert found and found <= want
+
+    def parts(links):
+        label = [(k % 9) for k in range(44)]
+        for a, b in links:
+            label = [label[a] if x == label[b] else x for x in label]
+        return {frozenset(k for k in range(44) if label[k] == x) for x in set(label)}
+
+    assert parts(found) == parts(want)
 
 
 def test_one_of_each_follows_chains_within_a_bucket(spark, monkeypatch):
