@@ -400,14 +400,14 @@ def benchmark_contiguous_match(spark, d):
     wide = 8
     passages = table(spark, d, "benchmark").select("item_id", text.tokens(F.col("text")).alias("needle")).withColumn("head", F.xxhash64(F.slice("needle", 1, wide)))
     widths = [r[0] for r in passages.select(F.least(F.size("needle"), F.lit(wide))).distinct().collect()]
-    docs = table(spark, d, "documents").select("doc_id", text.tokens(F.col("text")).alias("found"))
+    docs = table(spark, d, "documents").select("doc_id", "text")
     of_width = lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.size("found") - w + 1, F.lit(1))), lambda i: F.xxhash64(F.slice("found", i, w)))
     starts = [of_width(w) for w in widths]
     # only (doc_id, head) is exploded; texts meet passages again for the few documents that share a head
-    heads = docs.select("doc_id", F.explode(F.array_distinct(F.concat(*starts) if starts else F.array().cast("array<bigint>"))).alias("head"))
+    heads = docs.select("doc_id", text.tokens(F.col("text")).alias("found")).select("doc_id", F.explode(F.array_distinct(F.concat(*starts) if starts else F.array().cast("array<bigint>"))).alias("head"))
     hit = heads.join(passages, "head").select("doc_id", "item_id", "needle")
     padded = lambda c: F.concat(F.lit(" "), F.array_join(c, " "), F.lit(" "))
-    return hit.join(docs, "doc_id").filter(F.contains(padded("found"), padded("needle"))).select("doc_id", "item_id").distinct()
+    return hit.join(docs, "doc_id").filter(F.contains(padded(text.tokens(F.col("text"))), padded("needle"))).select("doc_id", "item_id").distinct()
 
 
 @query("SELECT page_id, CAST(length(regexp_replace(html, '<[^>]*>|\\{\\\\[^}]*\\}', '', 'g')) AS INT) AS visible FROM pages")
