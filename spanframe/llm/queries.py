@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanframe.llm import bpe, classifier, html, lines, mixing, quality, rans, simhash, substrings, vectors
+from spanframe.llm import audit, bpe, classifier, codes, html, leaks, lines, mixing, quality, rans, simhash, substrings, vectors
 from spanframe.llm.common import shared_dir
 
 
@@ -75,6 +75,21 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per kept vector: vec_id, code, error, label_error, codebooks_sha256. Null vectors and such with null or non-finite components are dropped; repeated rows get the same code each. An empty table gives an empty result."""
+    return codes.digests(*codes.compressed(_table(spark, sf_dir, "embeddings")))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated. Null texts have no words; repeated rows get the same result each. An empty table gives an empty result."""
+    return leaks.digests(leaks.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per part, filter_order and step: kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley. Null texts are empty, null langs the empty string; a null doc_id repeats no text. An empty table gives an empty result."""
+    return audit.audited(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -86,9 +101,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_decontamination": op12_decontamination,
+    "op13_filter_audit": op13_filter_audit,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_line_dedup": lines.OP1_SQL, "op5_mixing": mixing.OP5_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_line_dedup": lines.OP1_SQL, "op5_mixing": mixing.OP5_SQL, "op11_vector_codes": codes.OP11_SQL, "op12_decontamination": leaks.OP12_SQL, "op13_filter_audit": audit.OP13_SQL}
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
