@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanframe.operators.ordering import BLOCK_ROWS, chained, numbered, written
+
 
 def balanced_sizes(total: int, target: int = 400, least: int = 350, most: int = 500) -> list[int]:
     """Sizes that differ by one at most, none over most: as many batches as come near target and keep to least where they can."""
@@ -47,21 +49,22 @@ def contiguous_shares(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return marked.withColumn("share", F.size(F.filter(bounds, lambda b: b <= F.col("__row")))).drop("__row", "__n")
 
 
-def byte_batches(df: DataFrame, keys: Sequence[str], order: str, size: str, most_rows: int = 200, most_bytes: int = 1_500_000) -> DataFrame:
-    """df with batch: a batch ends before it would hold over most_rows rows or most_bytes; a larger row stands alone.
+def byte_batches(df: DataFrame, keys: Sequence[str], order: str, size: str, most_rows: int = 200, most_bytes: int = 1_500_000, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """df with batch, from 0: a batch ends before it would hold over most_rows rows or most_bytes; a larger row stands alone.
 
-    A recurrence: folded in the JVM over a key's ordered sizes.
+    A recurrence, whose state is where a batch begins; a key's rows are cut in
+    blocks that are tasks of their own. A null size counts as 0.
     """
-    state = F.struct(F.lit(-1).cast("bigint").alias("batch"), F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("bytes"), F.array().cast("array<struct<o:bigint,batch:bigint>>").alias("out"))
 
-    def step(acc, row):
-        opens = (acc["batch"] < 0) | (acc["n"] >= most_rows) | (acc["bytes"] + row["size"] > most_bytes)
-        batch = acc["batch"] + opens.cast("bigint")
-        return F.struct(batch.alias("batch"), (F.when(opens, 0).otherwise(acc["n"]) + 1).cast("bigint").alias("n"), (F.when(opens, 0).otherwise(acc["bytes"]) + row["size"]).cast("bigint").alias("bytes"), F.concat(acc["out"], F.array(F.struct(row["o"].alias("o"), batch.alias("batch")))).alias("out"))
+    def following(i: int, n: int, sizes: list[int]) -> int:
+        held, k = sizes[i], i + 1
+        while k < n and k - i < most_rows and held + sizes[k] <= most_bytes:
+            held, k = held + sizes[k], k + 1
+        return k
 
-    gathered = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(order).cast("bigint").alias("o"), F.col(size).cast("bigint").alias("size")))).alias("rows"))
-    placed = gathered.select(*keys, F.explode(F.aggregate("rows", state, step)["out"]).alias("b")).select(*keys, F.col("b.o").alias(order), F.col("b.batch").alias("batch"))
-    return df.join(placed, [*keys, order])
+    sized = df.withColumn("__size", F.coalesce(F.col(size).cast("bigint"), F.lit(0).cast("bigint")))
+    placed = written(numbered(sized, keys, [order], "__at"), "sized")
+    return chained(placed, keys, "__at", ["__size"], following, "__at", most_rows, block_rows, "batch").drop("__at", "__size")
 
 
 def silence_gaps(busy: DataFrame, keys: Sequence[str], least: int = 1000, start: str = "start_ms", end: str = "end_ms") -> DataFrame:

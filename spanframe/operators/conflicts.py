@@ -8,9 +8,14 @@ overlap and the speakers are unknown or the same. Components are found in Spark
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from spanframe.operators.ordering import written
+from spanframe.operators.sequences import sessions
 
 Word = tuple[int, int, str | None]  # start, end, speaker
 
@@ -109,12 +114,108 @@ def selected_options(df: DataFrame, component: str, uid: str, option: str, words
     return df.groupBy(component).applyInPandas(run, f"{component} {kind(component)}, {uid} {kind(uid)}, {option} bigint, solved boolean")
 
 
-def improved(start: dict[str, int], candidates: Callable[[dict[str, int]], Sequence[dict[str, int]]], signature: Callable[[dict[str, int]], frozenset], rounds: int = 4) -> dict[str, int]:
-    """Rounds that accept a change only if its conflicts are a strict subset of those before."""
-    for _ in range(rounds):
-        now = signature(start)
-        better = next((c for c in candidates(start) if signature(c) < now), None)
-        if better is None:
+def overlapping_pairs(words: Mapping[str, Sequence[Word]]) -> frozenset[tuple[str, str]]:
+    """Pairs of members, the lesser first, of which words overlap unsafely: one sweep over all words."""
+    pairs, active = set(), []
+    for s, e, p, u in sorted(((s, e, p, u) for u, own in words.items() for s, e, p in own), key=lambda w: w[:2]):
+        active = [x for x in active if x[1] > s]
+        pairs |= {(min(u, x[3]), max(u, x[3])) for x in active if x[3] != u and (x[2] is None or p is None or x[2] == p)}
+        active.append((s, e, p, u))
+    return frozenset(pairs)
+
+
+def _clusters(pairs: frozenset[tuple[str, str]]) -> list[list[str]]:
+    near: dict[str, set[str]] = {}
+    for a, b in pairs:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    out, seen = [], set()
+    for u in sorted(near):
+        if u in seen:
+            continue
+        stack, own = [u], set()
+        while stack:
+            x = stack.pop()
+            if x not in own:
+                own.add(x)
+                stack += near[x] - own
+        seen |= own
+        out.append(sorted(own))
+    return out
+
+
+def improved_once(members: Sequence[str], bounds: Mapping[str, tuple[int, int]], options: Mapping[str, Sequence[Sequence[Word]]], scores: Mapping[str, Sequence[tuple]], selected: Mapping[str, int], radius: int, most_gap: int, most_checks: int) -> dict[str, int]:
+    """One round: each cluster of conflicting members, with up to radius neighbours on both sides that no gap over most_gap parts from it, is given options that conflict with nothing; this counts only if the conflicts left are a strict subset of those before.
+
+    members are in order; bounds are their coarse times.
+    """
+    now, at = dict(selected), {u: k for k, u in enumerate(members)}
+    signature = lambda chosen: overlapping_pairs({u: options[u][chosen[u]] for u in members})
+    apart = lambda k: bounds[members[k]][0] - bounds[members[k - 1]][1] > most_gap
+    for seed in sorted(_clusters(signature(now)), key=lambda c: min(at[u] for u in c)):
+        before = signature(now)
+        if not any(a in seed or b in seed for a, b in before):
+            continue
+        low, high = min(at[u] for u in seed), max(at[u] for u in seed)
+        first = next((k for k in range(low, max(0, low - radius), -1) if apart(k)), max(0, low - radius))
+        last = next((k - 1 for k in range(high + 1, min(len(members), high + radius + 1)) if apart(k)), min(len(members), high + radius + 1) - 1)
+        inside = members[first : last + 1]
+        fixed = [options[u][now[u]] for u in members if u not in set(inside)]
+        fits = {u: [i for i, o in enumerate(options[u]) if not any(conflict(o, f) for f in fixed)] for u in inside}
+        found = best_selection({u: [options[u][i] for i in k] for u, k in fits.items()}, {u: [scores[u][i] for i in k] for u, k in fits.items()}, most_checks) if all(fits.values()) else None
+        if found is None:
+            continue
+        trial = now | {u: fits[u][k] for u, k in found.items()}
+        if signature(trial) < before:
+            now = trial
+    return now
+
+
+def stabilized(df: DataFrame, keys: Sequence[str], uid: str, position: str, start: str, end: str, options: str, selected: str, rounds: int = 4, radius: int = 2, most_gap: int = 2000, most_checks: int = 2_097_152) -> DataFrame:
+    """(keys, uid, selected, round): the option of each member after at most so many rounds of improved_once, and the last round that changed it (0: none).
+
+    options is an array of (words array of (start_ms, end_ms, speaker_id), score
+    array of numbers); selected the 0-based number of the option now taken. A key's
+    members are cut into sections where one starts more than most_gap behind
+    whatever an earlier one may take; sections are groups. Each round is written
+    to the shared folder, and only sections that the last one changed go on.
+    Members without options keep what they have; an empty relation stays empty.
+    """
+    some = df.filter(F.size(options) > 0)
+    reach = F.greatest(F.col(end), F.array_max(F.flatten(F.transform(options, lambda o: F.transform(o["words"], lambda w: w["end_ms"])))))
+    begin = F.least(F.col(start), F.array_min(F.flatten(F.transform(options, lambda o: F.transform(o["words"], lambda w: w["start_ms"])))))
+    by = Window.partitionBy(*keys).orderBy(position)
+    # a section may only end where all that follows, in order, begins late enough
+    marked = some.withColumns({"__reach": reach, "__begin": begin})
+    so_far = F.max("__reach").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    to_come = F.min("__begin").over(by.rowsBetween(0, Window.unboundedFollowing))
+    cut = sessions(marked.withColumn("__far", to_come - so_far > most_gap), keys, [position], F.col("__far"), "__section").drop("__reach", "__begin", "__far")
+    columns = [*keys, "__section", uid, position, start, end, options, selected]
+    now = written(cut.select(*columns).withColumn("round", F.lit(0)), "selection")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in now.schema.fields)
+
+    def a_round(number: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+        def run(rows: pd.DataFrame) -> pd.DataFrame:
+            rows = rows.sort_values(position).reset_index(drop=True)
+            names = [f"{k:09d}" for k in range(len(rows))]  # in order as text, too
+            words = {u: [[(w["start_ms"], w["end_ms"], w["speaker_id"]) for w in o["words"]] for o in found] for u, found in zip(names, rows[options], strict=True)}
+            scores = {u: [tuple(o["score"]) for o in found] for u, found in zip(names, rows[options], strict=True)}
+            before = dict(zip(names, rows[selected].tolist(), strict=True))
+            after = improved_once(names, dict(zip(names, zip(rows[start], rows[end], strict=True), strict=True)), words, scores, before, radius, most_gap, most_checks)
+            rows["round"] = [number if after[u] != before[u] else r for u, r in zip(names, rows["round"], strict=True)]
+            rows[selected] = [after[u] for u in names]
+            return rows
+
+        return run
+
+    done = []
+    for number in range(1, rounds + 1):
+        after = written(now.groupBy(*keys, "__section").applyInPandas(a_round(number), kinds), "selection")
+        done_here = Window.partitionBy(*keys, "__section")
+        split = after.withColumn("__moved", F.max("round").over(done_here) == number)
+        done.append(split.filter(~F.col("__moved")).drop("__moved"))
+        now = written(split.filter("__moved").drop("__moved"), "selection")
+        if now.isEmpty():
             break
-        start = better
-    return start
+    done.append(now)
+    return reduce(DataFrame.unionByName, done).select(*keys, uid, selected, "round")

@@ -184,25 +184,3 @@ def dominant_column(frames: DataFrame, keys: Sequence[str], values: str, least_f
     ranked = counted.withColumn("share", F.col("frames") / F.sum("frames").over(by)).withColumn("__r", F.row_number().over(by.orderBy(F.desc("frames"), "winner")))
     top = ranked.filter("__r = 1").drop("__r")
     return top.withColumn("winner", F.when((F.col("frames") >= least_frames) & (F.col("share") >= least_share), F.col("winner")))
-
-
-def budgeted_merge(spans: Sequence[dict], limit: int, longest: int, trusted: Sequence[tuple[int, int]] = ()) -> list[dict]:
-    """Joins the neighbours with the smallest gap until at most limit spans are left.
-
-    A join may not be longer than longest or cross a trusted interval; where none
-    is left to join, more than limit spans stay. For the spans of one key, which
-    a plan's budget bounds; use it in applyInPandas.
-    """
-    out = sorted((dict(s) for s in spans), key=lambda s: (s["start_ms"], s["end_ms"]))
-    while len(out) > limit:
-        options = []
-        for k, (a, b) in enumerate(zip(out, out[1:], strict=False)):
-            gap = (a["end_ms"], b["start_ms"])
-            if max(a["end_ms"], b["end_ms"]) - a["start_ms"] <= longest and not any(s < gap[1] and gap[0] < e for s, e in trusted):
-                options.append((gap[1] - gap[0], k))
-        if not options:
-            break
-        k = min(options)[1]
-        out[k] = out[k] | {"end_ms": max(out[k]["end_ms"], out[k + 1]["end_ms"])}
-        del out[k + 1]
-    return out

@@ -54,46 +54,109 @@ def semantic_windows(timeline: DataFrame, keys: Sequence[str], hard_gap: int = 1
     return out.withColumn("context_before", F.first("before").over(whole)).withColumn("context_after", F.last("after").over(whole)).drop("before", "after", "soft", "run", "part")
 
 
+#: Modulus and base of the hashes of runs of tokens.
+_PRIME, _BASE = (1 << 61) - 1, 1_000_003
+
+
+class TokenIndex:
+    """Where runs of tokens stand: rolling hashes of all runs of a length, worked out once a length; a place counts once its tokens are compared."""
+
+    def __init__(self, tokens: Sequence[str]):
+        self.tokens = list(tokens)
+        self.numbers: dict[str, int] = {}
+        self.prefix, self.powers = [0], [1]
+        for t in self.tokens:
+            self.prefix.append((self.prefix[-1] * _BASE + self.numbers.setdefault(t, len(self.numbers) + 1)) % _PRIME)
+            self.powers.append(self.powers[-1] * _BASE % _PRIME)
+        self.by_length: dict[int, dict[int, list[int]]] = {}
+
+    def places(self, needle: Sequence[str]) -> list[int]:
+        """Where needle begins; empty runs stand nowhere."""
+        n = len(needle)
+        if not 0 < n <= len(self.tokens) or any(t not in self.numbers for t in needle):
+            return []
+        if n not in self.by_length:
+            found: dict[int, list[int]] = {}
+            for i in range(len(self.tokens) - n + 1):
+                found.setdefault((self.prefix[i + n] - self.prefix[i] * self.powers[n]) % _PRIME, []).append(i)
+            self.by_length[n] = found
+        value = 0
+        for t in needle:
+            value = (value * _BASE + self.numbers[t]) % _PRIME
+        return [i for i in self.by_length[n].get(value, []) if self.tokens[i : i + n] == list(needle)]
+
+
+def safe_from(gaps: Sequence[int | None], speakers: Sequence[str | None], scenes: Sequence[str | None], most_gap: int) -> list[int]:
+    """Of each word the earliest first word of a span that ends at it without an inner gap over most_gap, a second speaker or a second scene. gaps: in front of each word."""
+    out, low = [], 0
+    last: list[tuple[str, int] | None] = [None, None]  # the speaker and scene named last, and the earliest place after any other one
+    for k, gap in enumerate(gaps):
+        if k and gap is not None and gap > most_gap:
+            low = k
+        for i, named in enumerate((speakers[k], scenes[k])):
+            if named is not None:
+                if last[i] is not None and last[i][0] != named:
+                    low = max(low, last[i][1] + 1)
+                last[i] = named, k
+        out.append(low)
+    return out
+
+
 def exact_cover(tokens: Sequence[str], candidates: Sequence[tuple[int, int, Sequence[str]]], safe=lambda first, last: True) -> list[tuple[int, int, int]] | None:
     """The fewest candidate spans (first, last, candidate) that cover all tokens in order, long spans first; None if there are none.
 
     candidates: (priority, id, tokens). A candidate counts if its tokens stand
-    exactly once, on a safe span; of equal spans the least priority, then id.
+    exactly once, on a safe span; of equal spans the least priority, then id. A
+    shortest path over the places between tokens: each keeps the step that led to it.
     """
+    index = TokenIndex(tokens)
     spans: dict[tuple[int, int], tuple[int, int]] = {}
     for rank, name, needle in candidates:
-        n = len(needle)
-        places = [i for i in range(len(tokens) - n + 1) if list(tokens[i : i + n]) == list(needle)] if n else []
-        if len(places) == 1 and safe(places[0], places[0] + n - 1):
-            at = places[0], places[0] + n - 1
+        places = index.places(needle)
+        if len(places) == 1 and safe(places[0], places[0] + len(needle) - 1):
+            at = places[0], places[0] + len(needle) - 1
             spans[at] = min(spans.get(at, (rank, name)), (rank, name))
-    best: dict[int, list[tuple[int, int, int]]] = {0: []}
+    begin: dict[int, list[int]] = {}
+    for first, last in spans:
+        begin.setdefault(first, []).append(last)
+    steps: dict[int, tuple[int, int]] = {0: (0, -1)}  # by place: spans so far, and where the last of them begins
     for at in range(len(tokens)):
-        if at in best:
-            for first, last in sorted((s for s in spans if s[0] == at), key=lambda s: -s[1]):
-                path = [*best[at], (first, last, spans[first, last][1])]
-                if last + 1 not in best or len(path) < len(best[last + 1]):
-                    best[last + 1] = path
-    return best.get(len(tokens)) if tokens else None
-
-
-def exact_results(windows: DataFrame, candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
+        if at in steps:
+            for last in sorted(begin.get(at, []), reverse=True):
+                if last + 1 not in steps or steps[at][0] + 1 < steps[last + 1][0]:
+                    steps[last + 1] = steps[at][0] + 1, at
+    if not tokens or len(tokens) not in steps:
+        return None
+    path, at = [], len(tokens)
+    while at:
+        first = steps[at][1]
+        path.append((first, at - 1, spans[first, at - 1][1]))
+        at = first
+    return path[::-1]
+
+
+def exact_results(windows: DataFrame, candidates: DataFrame, keys: Sequence[str], most_gap: int = 1000) -> DataFrame:
     """(keys, window, first, last, candidate): exact covers of windows by candidate texts. windows: semantic_windows; candidates: (keys, window, priority, candidate, text).
 
     Unresolved windows have no rows. A window's words and candidates meet in one
-    small group, which the window's caps bound.
+    small group, which the window's caps bound; of candidates of one text only the
+    first by priority and id goes there.
     """
     by = [*keys, "window"]
-    own = windows.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("sequence_index", "normalized"))), lambda x: x["normalized"]).alias("tokens"))
-    named = candidates.withColumn("needle", F.split(text.normalized(F.col("text")), " ")).groupBy(*by).agg(F.collect_list(F.struct("priority", "candidate", "needle")).alias("found"))
+    word = F.struct("sequence_index", "normalized", "start_ms", "end_ms", "speaker_id", "scene_id")
+    own = windows.groupBy(*by).agg(F.array_sort(F.collect_list(word)).alias("words"))
+    needle = candidates.withColumn("needle", F.split(text.normalized(F.col("text")), " "))
+    named = needle.groupBy(*by, "needle").agg(F.min(F.struct("priority", "candidate")).alias("c")).groupBy(*by).agg(F.collect_list(F.struct("c.priority", "c.candidate", "needle")).alias("found"))
 
     def cover(batches):
         for rows in batches:
             out = []
-            for row in rows.itertuples(index=False):
-                values = row._asdict()
-                path = exact_cover(list(values["tokens"]), [(f["priority"], f["candidate"], list(f["needle"])) for f in values["found"]])
-                out += [[*(values[k] for k in by), *span] for span in path or []]
+            for row in rows.to_dict("records"):
+                words = row["words"]
+                gaps = [None, *(b["start_ms"] - a["end_ms"] for a, b in zip(words, words[1:], strict=False))]
+                low = safe_from(gaps, [w["speaker_id"] for w in words], [w["scene_id"] for w in words], most_gap)
+                path = exact_cover([w["normalized"] for w in words], [(f["priority"], f["candidate"], list(f["needle"])) for f in row["found"]], lambda first, last, low=low: first >= low[last])
+                out += [[*(row[k] for k in by), *span] for span in path or []]
             yield pd.DataFrame(out, columns=[*by, "first", "last", "candidate"])
 
     joined = own.join(named, by)

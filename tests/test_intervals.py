@@ -91,14 +91,10 @@ def test_chop_rebase_and_checks(spark):
     assert sorted(r["problem"] or "" for r in bad.collect()) == ["", "empty interval", "missing bound", "negative start", "overlaps the one before"]
 
 
-def test_dominant_column_and_merge_budget(spark):
+def test_dominant_column(spark):
     frames = spark.createDataFrame([("a", [0.1, 0.9]), ("a", [0.2, 0.8]), ("a", [0.9, 0.1]), ("b", [0.5, 0.5])], "u string, p array<double>")
     got = {r["u"]: (r["winner"], r["frames"]) for r in iv.dominant_column(frames, ["u"], "p", least_frames=2, least_share=0.6).collect()}
     assert got == {"a": (2, 2), "b": (None, 1)}
-    spans = [{"start_ms": s, "end_ms": s + 10} for s in (0, 15, 40, 60)]
-    assert [(x["start_ms"], x["end_ms"]) for x in iv.budgeted_merge(spans, 2, 1000)] == [(0, 25), (40, 70)]
-    assert len(iv.budgeted_merge(spans, 1, 1000, trusted=[(11, 14), (51, 59)])) == 3
-    assert len(iv.budgeted_merge(spans, 1, 25)) == 3
 
 
 def test_coverage_report(spark):

@@ -12,10 +12,13 @@ import pytest
 
 import spanframe.plans.more_queries  # noqa: F401
 import spanframe.plans.row_queries  # noqa: F401
+import spanframe.plans.span_queries  # noqa: F401
 from spanframe.operators import sequences
 from spanframe.plans import queries
 
 PLAIN = {"optimal_groups_conversations", "similar_turns", "semantic_windows_events", "words_to_blocks_conversations", "orphan_captions_events", "conflict_free_options", "displaced_texts_conversations", "final_qa_conversations", "planned_parts_events"}
+#: Those with plain versions in test_span_queries.
+PLAIN |= {"budgeted_merge_events", "suspicious_spans_conversations", "merged_evidence_events", "stabilized_options_events", "exact_covers_conversations"}
 
 
 def test_every_query_has_sql_or_a_plain_version():

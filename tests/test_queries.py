@@ -8,6 +8,7 @@ import pytest
 
 import spanframe.plans.more_queries  # noqa: F401
 import spanframe.plans.row_queries  # noqa: F401
+import spanframe.plans.span_queries  # noqa: F401
 from spanframe.plans import queries
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
