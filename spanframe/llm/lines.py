@@ -24,6 +24,11 @@ DIVISOR = 3
 ROLL, PRIME = 1_000_003, 2_147_483_647
 
 
+def tie(text: Column) -> Column:
+    """128 bits that tell texts under one id, or without any, apart."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
 def line_hash(line: Column) -> Column:
     """The first 32 bits of the line's MD5."""
     return F.conv(F.substring(F.md5(line.cast("binary")), 1, 8), 16, 10).cast("bigint")
@@ -65,8 +70,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     without an id, equal ones likewise. An empty table gives an empty result.
     """
     text = F.col(text_col).cast("string")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc"), F.hash(text).alias("tie"))
-    gone = removed_chunks(docs.select(F.col(id_col).alias("doc"), F.hash(text).alias("tie"), text.alias("text")))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc"), tie(text).alias("tie"))
+    gone = removed_chunks(docs.select(F.col(id_col).alias("doc"), tie(text).alias("tie"), text.alias("text")))
     # the text travels once, inside the row
     both = rows.join(gone, rows["doc"].eqNullSafe(gone["doc"]) & (rows["tie"] == gone["tie"]), "left").select("row", F.col("row")[text_col].cast("string").alias("text"), "gone")
     kept = F.filter(chunks(F.col("text")), lambda c: ~F.array_contains("gone", c["at"]))
@@ -77,7 +82,11 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def with_kept_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
-    """docs with its text replaced by what deduplicated keeps, and chars_col, where docs has it, by its length."""
+    """docs with its text replaced by what deduplicated keeps, and chars_col, where docs has it, by its length.
+
+    Null and empty texts stay as they are; rows that repeat id and text, or text
+    without an id, keep the same; an empty table stays empty.
+    """
     found = deduplicated(docs, id_col, text_col)
     new = {text_col: F.col("kept")} | ({chars_col: F.length("kept").cast(docs.schema[chars_col].dataType)} if chars_col in docs.columns else {})
     return found.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])

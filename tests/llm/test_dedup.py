@@ -281,3 +281,16 @@ def test_vectors_match_brute_force(spark, monkeypatch, rows_a_cell):
         want = brute_links([(i, v if i not in (100, 101) else [1.0] * 6) for i, v in data], 0.9)
     assert set(map(tuple, vectors.near_vectors(frame).collect())) == want
     assert vectors.near_vectors(frame.limit(0)).count() == 0
+
+
+def test_rows_without_an_id_whose_32_bit_hashes_are_equal(spark):
+    """Texts of one 32-bit hash are two documents: only the one that repeats a passage loses it."""
+    passage = "\n".join(f"a line that many texts share {k}" for k in range(12))
+    made = spark.range(300_000).select(F.when(F.col("id") % 2 == 0, F.concat(F.lit(passage + "\n"), F.concat_ws(" ", F.lit("end"), "id"))).otherwise(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(14)), lambda k: F.concat_ws(" ", F.lit("own"), "id", k)), "\n")).alias("text"), (F.col("id") % 2).alias("odd"))
+    pairs = made.groupBy(F.hash("text").alias("h")).agg(F.collect_set("odd").alias("kinds"), F.collect_list("text").alias("texts")).filter("size(kinds) = 2").collect()
+    assert pairs
+    texts = [t for r in pairs for t in r["texts"]]
+    docs = spark.createDataFrame([(1, passage)] + [(None, t) for t in texts], "doc_id bigint, text string")
+    lost = {r["row"]["text"]: r["n_removed_lines"] for r in lines.deduplicated(docs).collect()}
+    assert all(n == 0 for t, n in lost.items() if t.startswith("own"))
+    assert sum(n == 0 for t, n in lost.items() if not t.startswith("own")) == 1  # the first copy stays

@@ -46,7 +46,7 @@ def test_pages(spark):
     assert got[13] == "Some long main text of this page.\n\nMore." and got[14].startswith("ok")
     assert out.count() == len(pages) and out.filter("n_chars <> length(text)").count() == 0
     assert html.extracted(frame.limit(0)).count() == 0
-    found = {r["host"]: r for r in html.wrappers(frame).collect()}
+    found = {r["host"]: r for r in html.wrappers(html.read_pages(frame)).collect()}
     assert found["site.org"]["pages"] == 5 and "<article><h1>#</>" in found["site.org"]["wrapper"]
 
 
@@ -60,7 +60,7 @@ def test_names_of_layouts_headings_and_paragraphs_drop_no_main_text(spark):
 
 
 def test_the_wrapper_tells_fixed_text_from_slots(spark):
-    """No mark and no name: what all pages of the host share goes, also inside the region; what differs stays."""
+    """No mark and no name: what all pages of the host share above and below the slots goes; what differs stays."""
     rng = random.Random(3)
     bodies, want = [], []
     for k in range(12):
@@ -99,6 +99,89 @@ def test_deep_and_wide_pages(spark):
     assert found == [["deep", "down", "end"], ["\n\n".join(map(str, range(20_000)))]]
 
 
+def test_fixed_text_of_articles_stays(spark):
+    """Headings and closing lines that every page of a host has are text of its articles."""
+    rng = random.Random(11)
+    parts = [[prose(rng, 4), prose(rng), prose(rng)] for _ in range(6)]
+    pages = [f"<body><p>Menu</p><article><h1>{a}</h1><h2>Ingredients</h2><p>{b}</p><h2>Method</h2><p>{c}</p><p>See also the notes.</p></article><p>All rights reserved.</p></body>" for a, b, c in parts]
+    # without a mark, what stands between slots
+    plain = [p.replace("<article>", "<div class=text>").replace("</article>", "</div>") for p in pages]
+    want = [[a, "Ingredients", b, "Method", c] for a, b, c in parts]
+    assert texts(spark, pages, plain) == [["\n\n".join([*w, "See also the notes."]) for w in want], ["\n\n".join(w) for w in want]]
+
+
+def test_all_articles_of_a_page_stay(spark):
+    rng = random.Random(12)
+    parts = [[prose(rng, 200), prose(rng, 10)] for _ in range(6)]
+    pages = [f"<body><nav>n</nav><article><p>{a}</p></article><div><article><p>{b}</p></article></div><article><p>The same everywhere</p></article></body>" for a, b in parts]
+    assert texts(spark, pages) == [[f"{a}\n\n{b}\n\nThe same everywhere" for a, b in parts]]
+
+
+def test_names_inside_articles(spark):
+    """Inside an article names drop adverts and comments; forms and lists of links go by what they hold."""
+    rng = random.Random(13)
+    pages, want = [], []
+    for _ in range(6):
+        w = [prose(rng, 6) for _ in range(6)]
+        pages.append(
+            f"<body><article><p>{w[0]}</p><blockquote class=social>{w[1]}</blockquote><div class=search><p>{w[2]}</p></div><div class=alert>{w[3]}</div><fieldset><p>{w[4]}</p></fieldset>"
+            f"<div class=search><p>Find {w[0]}</p><input name=q></div><fieldset><p>Name {w[1]}</p><select><option>x</select></fieldset><div class='advert'>{w[2]}</div><section class=comments><p>{w[3]}</p></section>"
+            f"<div class=related><a href=/1>{w[4]}</a></div><p>{w[5]}</p><form><p>Mail {w[0]}</p></form></article></body>"
+        )
+        want.append("\n\n".join(w))
+    assert texts(spark, pages) == [want]
+
+
+def test_classes_with_one_beginning(spark):
+    """Elements whose classes differ behind their twentieth character are different ones."""
+    rng = random.Random(14)
+    head = "component-of-the-page-number"
+    pages, want = [], []
+    for k in range(9):
+        a, b = prose(rng, 3), prose(rng, 60)
+        menu = f"<div class={head}-menubar><p>{a}</p></div>"
+        pages.append(f"<body>{menu * (k % 3)}<div class={head}-maintext><p>{b}</p></div>{menu}</body>")
+        want.append(b)
+    assert texts(spark, pages) == [want]
+
+
+def test_long_groups_are_repetitions():
+    group = "<h2>a</h2><p>b</p><ul><li>c</li></ul><blockquote>d</blockquote><pre>e</pre><p>f</p><table><tr><td>g</table>"
+    assert html.expression(tree(f"<div>{group * 3}</div>")).endswith(")+</>")
+    assert html.flat(tree(f"<div>{group * 3}</div>")).count("blockquote") == html.flat(tree(f"<div>{group * 7}</div>")).count("blockquote") == 2
+
+
+def test_generated_templates(spark):
+    """Hosts with templates of their own: fixed frames, named and unnamed, around an article of known blocks."""
+    rng = random.Random(15)
+    hosts, want = [], []
+    for h in range(6):
+        inner = ["article", "main", "article class=post", "div role=main", "div class=entry-body", "section id=text"][h]
+        frame_top = rng.choice(["<header><h1>Site</h1></header>", "<div class=top><p>Site name</p></div>", "<div class=navbar><a href=/>Home</a></div>"])
+        bodies, texts_of = [], []
+        for k in range(8):
+            blocks = [("h1", prose(rng, 4))] + [(rng.choice(["p", "h2", "p", "blockquote"]), prose(rng, rng.randint(8, 40))) for _ in range(rng.randint(2, 9))]
+            side = "".join(f"<li><a href=/{j}>{prose(rng, 2)}</a>" for j in range(4))
+            html_of = "".join(f"<{t}>{x}</{t}>" for t, x in blocks)
+            bodies.append(f"<html><body>{frame_top}<{inner}>{html_of}</{inner.split()[0]}><div class=sidebar><ul>{side}</ul></div><section id=comments><p>{prose(rng, 12)}</p></section><footer>(c) {k}</footer></body></html>")
+            texts_of.append("\n\n".join(x for _, x in blocks))
+        hosts.append(bodies)
+        want.append(texts_of)
+    assert texts(spark, *hosts) == want
+
+
+def test_many_streams_merge_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(html, "FAN", 4)
+    rng = random.Random(16)
+    bodies, want = [], []
+    for _ in range(60):
+        ps = [prose(rng, 5) for _ in range(rng.randint(1, 5))]
+        shape = [rng.choice(["p", "h2", "pre"]) for _ in ps]
+        bodies.append(f"<body><div><p>Menu</p></div><article>{''.join(f'<{t}>{p}</{t}>' for t, p in zip(shape, ps, strict=True))}</article></body>")
+        want.append("\n\n".join(ps))
+    assert texts(spark, bodies) == [want]
+
+
 def test_by_host_without_broadcast(spark, monkeypatch):
     rng = random.Random(7)
     frame = spark.createDataFrame([(k, f"http://h{k % 3}.net/{k}", f"<body><div><p>Menu</p></div><div><p>{prose(rng)}</p></div>") for k in range(60)], "page_id bigint, url string, html string")
@@ -148,9 +231,10 @@ def test_matching_is_a_common_subsequence(seed, monkeypatch):
     for i, x in enumerate(a):
         for j, y in enumerate(b):
             longest[i + 1][j + 1] = longest[i][j] + 1 if x == y else max(longest[i][j + 1], longest[i + 1][j])
-    assert len(html.matching(a, b)) == longest[-1][-1]
-    monkeypatch.setattr(html, "TABLE_CELLS", 0)
-    for pairs in (html.matching(a, b),):
+    for held in (html.HELD_BITS, 40, 0):
+        monkeypatch.setattr(html, "HELD_BITS", held)
+        pairs = html.matching(a, b)
+        assert len(pairs) == longest[-1][-1]
         assert all(a[i] == b[j] for i, j in pairs) and all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
 
 
