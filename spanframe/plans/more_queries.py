@@ -73,12 +73,13 @@ def orphan_captions_events(spark, d):
     return captions.orphan_captions(caps, ev.filter("event_type = 'view'").select("user_id", "start_ms", "end_ms", "text"), ev.filter("event_type = 'signup'").select("user_id", "start_ms", "end_ms"), USER)
 
 
-@query(f"""WITH {IV} SELECT event_id, printf('%02d:%02d:%02d,%03d', pos // 3600000, pos // 60000 % 60, pos // 1000 % 60, pos % 1000) AS stamp, pos AS parsed, greatest(0, pos - 750) AS clip_start FROM (SELECT event_id, start_ms % 90000000 AS pos FROM iv) WHERE pos >= 750""")
+@query(f"""WITH {IV} SELECT event_id, printf('%02d:%02d:%02d,%03d', pos // 3600000, pos // 60000 % 60, pos // 1000 % 60, pos % 1000) AS stamp, pos AS parsed, greatest(0, a + shift) AS clip_start, least(80000000, b + shift) AS clip_end
+FROM (SELECT *, CASE WHEN a < 0 THEN -a WHEN b > 80000000 THEN -least(b - 80000000, greatest(a, 0)) ELSE 0 END AS shift FROM (SELECT event_id, pos, pos - 750 AS a, pos + 850 AS b FROM (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN event_id % 1500 ELSE start_ms % 90000000 END AS pos FROM iv)))""")
 def timestamps_events(spark, d):
-    at = event_intervals(spark, d).select("event_id", (F.col("start_ms") % 90_000_000).alias("at")).filter("at >= 750")
+    at = event_intervals(spark, d).select("event_id", F.when(F.col("event_id") % 7 == 0, F.col("event_id") % 1500).otherwise(F.col("start_ms") % 90_000_000).alias("at"))
     stamp = at.withColumn("stamp", text.format_timestamp(F.col("at")))
-    clip = text.clip_bounds(F.col("at"), F.col("at") + 100, F.lit(1_000_000_000).cast("bigint"))
-    return stamp.select("event_id", "stamp", text.parse_timestamp(F.col("stamp")).alias("parsed"), clip["clip_start"].alias("clip_start"))
+    clip = text.clip_bounds(F.col("at"), F.col("at") + 100, F.lit(80_000_000).cast("bigint"))
+    return stamp.select("event_id", "stamp", text.parse_timestamp(F.col("stamp")).alias("parsed"), clip["clip_start"].alias("clip_start"), clip["clip_end"].alias("clip_end"))
 
 
 @query("""WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS t, text FROM documents)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession, Window
@@ -10,24 +9,19 @@ from pyspark.sql import functions as F
 
 from spanframe.functions import text
 from spanframe.operators import intervals, select, sequences, validate
+from spanframe.operators.ordering import shared_folder
 from spanframe.plans import captions, contracts
 from spanframe.plans.queries import ORDER, USER, query
 from spanframe.plans.relations import IV, event_intervals, table
-from spanframe.sources import jsonlines, packs
+from spanframe.sources import jsonlines
 
 TOKENS = "regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')"
 PADDED = f"(' ' || array_to_string({TOKENS}, ' ') || ' ')"
 
 
 def folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; on one machine without that setting a folder of its own."""
-    sc = spark.sparkContext
-    at = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if at is None:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        at = tempfile.mkdtemp(prefix="spanframe-files-")
-    return f"{at.rstrip('/')}/spanframe/{uuid.uuid4().hex}"
+    """A new folder below the shared one."""
+    return f"{shared_folder(spark)}/spanframe/{uuid.uuid4().hex}"
 
 
 # --- predicates and text -------------------------------------------------------------------------
@@ -82,13 +76,13 @@ def wrapped_sentences(spark, d):
     return rows.select("conv_id", "turn", "i", text.wrap_text(F.col("sentence")).alias("layout"))
 
 
-@query("""WITH t AS (SELECT conv_id, turn, string_split(text, ' ') AS w FROM conversations),
-b AS (SELECT conv_id, turn, CAST(turn * 6000 AS BIGINT) AS start_ms, turn * 6000 + 250 * least(len(w), 40) AS last_ms, array_to_string(w[1:20], ' ') AS text FROM t),
+@query("""WITH t AS (SELECT conv_id, turn, text, string_split(text, ' ') AS w FROM conversations),
+b AS (SELECT conv_id, turn, CAST(turn * 60000 AS BIGINT) AS start_ms, turn * 60000 + 250 * len(w) AS last_ms, text FROM t),
 n AS (SELECT *, lead(start_ms) OVER (PARTITION BY conv_id ORDER BY start_ms, last_ms) AS following, least(greatest(last_ms + 220, start_ms + greatest(700, CAST(ceil(length(text) / 20.0 * 1000) AS BIGINT))), start_ms + 7000) AS wanted FROM b)
 SELECT conv_id, turn, CASE WHEN following IS NULL THEN wanted ELSE least(wanted, CASE WHEN following - 80 >= last_ms THEN following - 80 ELSE following - 1 END) END AS display_end FROM n""")
 def assigned_timings_conversations(spark, d):
     words = F.split("text", " ")
-    rows = table(spark, d, "conversations").select("conv_id", "turn", (F.col("turn") * 6000).alias("start_ms"), (F.col("turn") * 6000 + 250 * F.least(F.size(words), F.lit(40))).alias("last_ms"), F.array_join(F.slice(words, 1, 20), " ").alias("text"))
+    rows = table(spark, d, "conversations").select("conv_id", "turn", (F.col("turn") * 60_000).alias("start_ms"), (F.col("turn") * 60_000 + 250 * F.size(words)).alias("last_ms"), "text")
     return sequences.assigned_timings(rows, ["conv_id"], "start_ms", "last_ms", "text").select("conv_id", "turn", "display_end")
 
 
@@ -224,20 +218,6 @@ def collected_returns_orders(spark, d):
     return contracts.collected_returns(owners, back.unionByName(owners.filter("o_orderkey % 25 = 5")), "o_orderkey", "worker")
 
 
-@query("""SELECT conv_id, turn + 1 AS line, role, text FROM conversations WHERE turn < 3""")
-def pack_round_trip(spark, d):
-    """Packs are written, read through the guard, held against their manifests, and their lines read back."""
-    rows = table(spark, d, "conversations").filter("turn < 3").withColumn("batch", F.lit(0))
-    at = folder(spark)
-    made = packs.packs(rows, ["conv_id"], "batch", "turn", ["conv_id", "turn", "role", "text"])
-    made.write.parquet(at)
-    members = packs.members_of(spark.read.parquet(at).select(F.col("conv_id").cast("string").alias("path"), F.col("pack").alias("content")))
-    issues = contracts.pack_issues(members, contracts.listed_members(members))
-    lines = packs.pack_lines(members).join(issues.select("path"), "path", "left_anti")
-    value = F.from_json("value", "conv_id bigint, turn bigint, role string, text string")
-    return lines.select(value.alias("v")).select("v.conv_id", (F.col("v.turn") + 1).alias("line"), "v.role", "v.text")
-
-
 @query("SELECT s_suppkey, s_name, s_nationkey FROM supplier")
 def jsonl_round_trip(spark, d):
     at = folder(spark)

@@ -11,6 +11,7 @@ import pyarrow.parquet as pq
 import pytest
 
 import spanframe.plans.more_queries  # noqa: F401
+import spanframe.plans.pack_queries  # noqa: F401
 import spanframe.plans.row_queries  # noqa: F401
 import spanframe.plans.span_queries  # noqa: F401
 from spanframe.operators import sequences
