@@ -8,7 +8,7 @@ import json
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,15 +25,17 @@ def relation_digest(df: DataFrame, keys: Sequence[str], order: Sequence[str], co
     """(keys, n, digest): one digest of each key's ordered rows.
 
     Rows are digested one by one, runs of chunk_rows digests together, and the
-    digests of the runs again where there are several; so no key is gathered whole.
+    digests of the runs again. Rows are numbered by ranges, so a key is as many
+    tasks as its rows ask for.
     """
-    by = Window.partitionBy(*keys).orderBy(*order)
-    rows = df.select(*keys, row_digest(*columns).alias("d"), (F.row_number().over(by) - 1).alias("at"))
+    from spanframe.operators.ordering import numbered
+
+    names = dict.fromkeys([*keys, *order, *columns])
+    rows = numbered(df.select(*names), keys, order, "__at").select(*keys, row_digest(*columns).alias("d"), F.col("__at").alias("at"))
     rows = rows.withColumn("chunk", F.floor(F.col("at") / chunk_rows))
     joined = lambda at, value: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(at, value))), lambda r: r[value]), "")
     chunks = rows.groupBy(*keys, "chunk").agg(F.count("*").alias("rows"), F.sha2(joined("at", "d"), 256).alias("c"))
-    whole = chunks.groupBy(*keys).agg(F.sum("rows").alias("n"), F.count("*").alias("chunks"), F.min("c").alias("one"), joined("chunk", "c").alias("all"))
-    return whole.select(*keys, "n", F.when(F.col("chunks") == 1, F.col("one")).otherwise(F.sha2("all", 256)).alias("digest"))
+    return chunks.groupBy(*keys).agg(F.sum("rows").alias("n"), F.sha2(joined("chunk", "c"), 256).alias("digest"))
 
 
 def content_uid(prefix: str, episode: Column, index: Column, *parts: Column) -> Column:

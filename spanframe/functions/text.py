@@ -12,7 +12,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from difflib import SequenceMatcher
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -221,14 +221,20 @@ def is_credit(text: Column, heads: Sequence[str], tails: Sequence[str]) -> Colum
     return (F.size(found) == 3) & F.coalesce(F.get(found, F.lit(0)).isin(*heads) & F.get(found, F.lit(1)).isin(*tails) & F.get(found, F.lit(2)).isin(*tails), F.lit(False))
 
 
-def corroborated_blank(text: Column, phrases: Sequence[str], stages: Column, decoded: Column) -> Column:
-    """A phrase of known false hits counts as one if a stage of decoding, stages: array of (stage, text), came back blank, or this decoding did."""
-    blank = lambda t: F.trim(F.coalesce(t, F.lit(""))) == ""
-    return lexical(text).isin(*phrases) & (blank(decoded) | F.exists(F.coalesce(stages, F.array().cast("array<struct<stage:string,text:string>>")), lambda s: blank(s["text"])))
+def known_false_hit(text: Column, always: Sequence[str], sometimes: Sequence[str], stage: Column, one_ms: Column, stages: Column, at_stage: str = "exact_target_crop", blank_in: Sequence[str] = ("blind_padded", "prompted_padded")) -> Column:
+    """Whether a decode of a short clip is a known false hit, never null.
+
+    Phrases of always are; those of sometimes if they came at one stage with a
+    word of one millisecond, and all stages of blank_in are there and came back
+    blank. stages: map of stage and text.
+    """
+    said = lexical(F.coalesce(text, F.lit("")))
+    blank = reduce(lambda a, b: a & b, [F.coalesce(F.map_contains_key(stages, F.lit(n)), F.lit(False)) & (F.trim(F.coalesce(F.element_at(stages, n), F.lit(""))) == "") for n in blank_in])
+    return said.isin(*always) | (said.isin(*sometimes) & F.coalesce(stage == at_stage, F.lit(False)) & F.coalesce(one_ms, F.lit(False)) & blank)
 
 
 def names_present(text: Column, names: Sequence[str], suffixes: Sequence[str] = ()) -> Column:
-    """Sorted names that stand in the text as whole words, with one of the suffixes behind an apostrophe perhaps."""
+    """Sorted names that stand in the text as whole words, with one of the suffixes behind an apostrophe perhaps. A pattern a name, inside the JVM: for a short list; names.names_in finds many at once."""
     tail = rf"(?:['’](?:{'|'.join(map(re.escape, suffixes))}))?" if suffixes else ""
     found = [F.when(text.rlike(rf"(?<![\p{{L}}\p{{N}}]){re.escape(n)}{tail}(?![\p{{L}}\p{{N}}])"), n) for n in sorted(set(names))]
     return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
@@ -418,26 +424,6 @@ def joined_words(words: Column) -> Column:
     return F.trim(F.when(spaced, F.array_join(words, "")).otherwise(F.array_join(words, " ")))
 
 
-def readings(text: str, variants: Mapping[str, Iterable[str]]) -> list[str]:
-    """All texts that come of replacing some variants by their names."""
-    found = {text}
-    for name, others in variants.items():
-        for v in others:
-            pattern = rf"(?<!\w){re.escape(v)}(?!\w)"
-            found |= {re.sub(pattern, name, t) for t in found}
-    return sorted(found)
-
-
-def name_readings(text: Column, variants: Mapping[str, Sequence[str]]) -> Column:
-    table = {k: list(v) for k, v in variants.items()}
-
-    @F.pandas_udf("array<string>")
-    def udf(values: pd.Series) -> pd.Series:
-        return values.map(lambda t: None if t is None else readings(t, table))
-
-    return udf(text)
-
-
 # --- repair ----------------------------------------------------------------------------------
 
 
@@ -466,17 +452,25 @@ def filled_words(tokens_wanted: Sequence[str], timed: Sequence[tuple[str, int, i
     return None if any(b[1] < a[1] for a, b in zip(out, out[1:], strict=False)) else out
 
 
+_dotted, _headless = re.compile(r"(?:[^\W\d_]\.){2,}"), re.compile(r"\.(?:[^\W\d_]\.)+")
+
+
 def initialism_words(segment: str, words: Sequence[str]) -> list[str] | None:
-    """words with the one letter back that an initialism with dots lost in front, as in "B.C." for "A.B.C."; None unless exactly one word lacks one and the segment has it so."""
+    """words with the first letter back that an initialism with dots has lost, as in ".K." for "M.K."; None unless exactly one word lacks one, and all others are the segment's."""
     parts = segment.split()
     if len(parts) != len(words):
         return None
-    differing = [k for k, (p, w) in enumerate(zip(parts, words, strict=True)) if p != w]
+    plain = [unicodedata.normalize("NFKC", w).strip() for w in words]
+    whole = [unicodedata.normalize("NFKC", p) for p in parts]
+    differing = [k for k, (p, w) in enumerate(zip(whole, plain, strict=True)) if p.casefold() != w.casefold()]
     if len(differing) != 1:
         return None
     k = differing[0]
-    whole = re.fullmatch(r"(\w\.)((?:\w\.)+\w?[^\w\s]*)", parts[k])
-    return [*words[:k], parts[k], *words[k + 1 :]] if whole and whole[2] == words[k] else None
+    letters = [re.sub(r"[\W\d_]", "", x).casefold() for x in (whole[k], plain[k])]
+    if not (_dotted.fullmatch(whole[k]) and _headless.fullmatch(plain[k]) and letters[0][1:] == letters[1]):
+        return None
+    lead = words[k][: len(words[k]) - len(words[k].lstrip())]
+    return [*words[:k], lead + parts[k], *words[k + 1 :]]
 
 
 def repaired_initialisms(segment: Column, words: Column) -> Column:

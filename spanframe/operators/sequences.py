@@ -220,41 +220,6 @@ def reading_cost(starts: list[int], ends: list[int], texts: list[str], following
     return total - min(gap, 800) / 180
 
 
-def line_balance(text: str, target: int = 42) -> float:
-    """What it costs to break a text in two at the space next to its middle: eight a character over target and two for all the unevenness."""
-    n = len(text)
-    if n <= target:
-        return 0.0
-    at = min((k for k, c in enumerate(text) if c == " "), key=lambda k: abs(2 * k - n), default=None)
-    if at is None:
-        return float((n - target) ** 2)
-    parts = at, n - at - 1
-    return 8.0 * sum(max(0, p - target) for p in parts) + 2.0 * abs(parts[0] - parts[1]) / n
-
-
-def phrase_cost(starts: Sequence[int], ends: Sequence[int], texts: Sequence[str], following: tuple[int, str] | None, most_words: int = 18, longest: int = 7000, shortest: int = 1200, total_chars: int = 84, target: int = 42, rate: float = 17.0) -> float | None:
-    """Cost of a phrase by its spoken time: distance from a comfortable duration and density, line balance, speed, its end, and how the next word (start, text) goes on. None where it may not be."""
-    n, text = len(texts), " ".join(texts)
-    chars, spoken, gap = len(text), ends[-1] - starts[0], None if following is None else following[0] - ends[-1]
-    if n > most_words or n > 1 and (spoken > longest or chars > total_chars + 18):
-        return None
-    comfortable = max(shortest, min(longest - 500, round(1000 * chars / rate)))
-    sentence, clause = (bool(re.search(p, texts[-1])) for p in (SENTENCE_END, CLAUSE_END))
-    terms = [
-        ((spoken - comfortable) / 1000) ** 2,
-        ((chars - 0.7 * total_chars) / 35) ** 2,
-        line_balance(text, target),
-        (5.0 if chars >= 8 or re.search(SENTENCE_END, text) else 8.0) if n == 1 else 3.0 if n == 2 and chars < 12 else 0.0,
-        max(0.0, (chars / max(spoken / 1000, 0.25) - 20) / 3) ** 2,
-        -5.0 if sentence else -2.0 if clause else 0.0,
-    ]
-    if gap is not None:
-        terms.append(-min(max(gap, 0), 800) / 180)
-        if gap < 120 and not sentence and not clause:
-            terms.append(5.0 if following[1].lstrip()[:1].islower() else 2.0)
-    return sum(terms)
-
-
 def trimmed_overlaps(df: DataFrame, keys: Sequence[str], start: str, end: str, least: int = 400, ties: Sequence[str] = ()) -> DataFrame:
     """Sequential trim, in order of start, end and ties: a row starts no earlier than the row before now ends, and short ones grow to least into free time; rows left without time go."""
 

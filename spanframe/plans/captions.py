@@ -136,3 +136,41 @@ def speaker_votes(frames: DataFrame, utterances: DataFrame, keys: Sequence[str],
     ranked = voted.withColumn("share", F.col("n") / F.sum("n").over(by)).withColumn("r", F.row_number().over(by.orderBy(F.desc("n"), "winner"))).filter("r = 1")
     good = (F.col("n") >= least_frames) & (F.col("share") >= least_share) & (F.col("mean") >= least_mean) & (F.col("peak") >= least_peak)
     return utterances.select(uid).join(ranked.select(uid, F.when(good, F.col("winner")).alias("winner")), uid, "left")
+
+
+def span_speakers(spans: DataFrame, turns: DataFrame, keys: Sequence[str], uid: str, speaker: str = "speaker", least_share: float = 0.8) -> DataFrame:
+    """(uid, speaker): the one speaker whose turns overlap a span and together cover least_share of it; null if several overlap, none does, or too little is covered."""
+    named = turns.select(*keys, F.col("start_ms").alias("ts"), F.col("end_ms").alias("te"), F.col(speaker).alias("__speaker"))
+    hit = iv.interval_join(spans.select(*keys, uid, *BOUNDS), named, list(keys), BOUNDS, ("ts", "te"))
+    clipped = hit.select(*keys, uid, "__speaker", F.greatest("start_ms", "ts").alias("start_ms"), F.least("end_ms", "te").alias("end_ms"))
+    united = iv.coalesce_intervals(clipped, [*keys, uid, "__speaker"])
+    sums = united.groupBy(*keys, uid).agg(F.sum(F.col("end_ms") - F.col("start_ms")).alias("covered"), F.count_distinct("__speaker").alias("n"), F.min("__speaker").alias("one"))
+    both = spans.select(*keys, uid, *BOUNDS).join(sums, [*keys, uid], "left")
+    return both.select(uid, F.when((F.col("n") == 1) & (F.col("covered") >= least_share * (F.col("end_ms") - F.col("start_ms"))), F.col("one")).alias(speaker))
+
+
+def word_gate(words: DataFrame, vad: DataFrame, reviews: DataFrame, keys: Sequence[str], word: str, uid: str, least_ratio: float = 0.5, most_outside: int = 120) -> DataFrame:
+    """(word, overlap_ms, ratio, leading, trailing, longest_outside, verdict) of each word: compliant, exception or unsafe.
+
+    A word is compliant if vad intervals, counted each for itself, overlap it by
+    least_ratio and no part over most_outside long lies outside all of them. One
+    that isn't is an exception if a confirmed review (uid, start_ms, end_ms) of its
+    own utterance holds it whole. Empty words overlap nothing and are unsafe.
+    """
+    regions = vad.select(*keys, F.col("start_ms").alias("vs"), F.col("end_ms").alias("ve"))
+    hit = iv.interval_join(words.select(*keys, word, *BOUNDS), regions, list(keys), BOUNDS, ("vs", "ve"))
+    sums = hit.groupBy(*keys, word).agg(F.sum(F.least("end_ms", "ve") - F.greatest("start_ms", "vs")).alias("overlap_ms"), F.min("vs").alias("first"), F.max_by("ve", F.struct("vs", "ve")).alias("last"))
+    gaps = iv.subtract_intervals(words.select(*keys, F.col("start_ms").alias("ws"), F.col("end_ms").alias("we")), vad, list(keys), ("ws", "we"), BOUNDS).groupBy(*keys, F.col("ws").alias("start_ms"), F.col("we").alias("end_ms")).agg(F.max(F.col("gap_end") - F.col("gap_start")).alias("longest_outside"))
+    confirmed = reviews.select(F.col(uid), F.col("start_ms").alias("rs"), F.col("end_ms").alias("re"))
+    inside = words.select(word, uid, *BOUNDS).join(confirmed, uid).filter("rs <= start_ms AND end_ms <= re").select(word, F.lit(True).alias("held")).distinct()
+    rows = words.join(sums, [*keys, word], "left").join(gaps, [*keys, *BOUNDS], "left").join(inside, word, "left")
+    length = F.col("end_ms") - F.col("start_ms")
+    overlap = F.coalesce("overlap_ms", F.lit(0)).cast("bigint")
+    ratio = F.coalesce(F.try_divide(overlap, length), F.lit(0.0))
+    outside = F.coalesce("longest_outside", F.lit(0)).cast("bigint")
+    fine = (length > 0) & (ratio >= least_ratio) & (outside <= most_outside)
+    edge = lambda c: F.when(F.col("overlap_ms").isNull(), length).otherwise(c)
+    return rows.select(
+        word, overlap.alias("overlap_ms"), ratio.alias("ratio"), edge(F.greatest("first", "start_ms") - F.col("start_ms")).alias("leading"), edge(F.col("end_ms") - F.least("last", "end_ms")).alias("trailing"),
+        outside.alias("longest_outside"), F.when(fine, "compliant").when(F.col("held"), "exception").otherwise("unsafe").alias("verdict"),
+    )

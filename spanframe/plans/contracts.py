@@ -10,15 +10,20 @@ from pyspark.sql import functions as F
 
 from spanframe.functions import identity
 from spanframe.operators import validate
+from spanframe.operators.ordering import numbered, ranged, running
 
 
 def sourced(parts: Mapping[str, DataFrame], order: Sequence[str]) -> DataFrame:
-    """All parts as one relation, with part, line (from 1, in order, within the part) and position (from 0, over all parts in order of their names)."""
-    each = [df.withColumn("part", F.lit(name)).withColumn("line", F.row_number().over(Window.orderBy(*order))) for name, df in sorted(parts.items())]
-    both = reduce(DataFrame.unionByName, each)
-    counts = both.groupBy("part").agg(F.count("*").alias("__n"))  # a row a part
-    base = counts.withColumn("__base", F.coalesce(F.sum("__n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
-    return both.join(F.broadcast(base), "part").withColumn("position", F.col("__base") + F.col("line") - 1).drop("__base")
+    """All parts as one relation, with part, line (from 1, in order, within the part) and position (from 0, over all parts in order of their names). Rows are numbered by ranges, whatever a part holds."""
+    both = reduce(DataFrame.unionByName, [df.withColumn("part", F.lit(name)) for name, df in sorted(parts.items())])
+    rows = ranged(both, ["part"], order)
+    lined = running(rows, ["part"], order, {"line": F.lit(1).cast("bigint")})
+    counts = dict(sorted(map(tuple, rows.groupBy("part").count().collect())))  # a row a part, as many as the caller names
+    base, held = {}, 0
+    for name in sorted(parts):
+        base[name], held = held, held + counts.get(name, 0)
+    before = F.create_map(*[F.lit(x) for pair in base.items() for x in pair])
+    return lined.withColumn("position", (before[F.col("part")] + F.col("line") - 1).cast("bigint")).drop("__range")
 
 
 def span_safety(words: DataFrame, spans: DataFrame, keys: Sequence[str], index: str, start: str, end: str, speaker: str, scene: str, most_gap: int = 1000) -> DataFrame:
@@ -47,10 +52,9 @@ def return_issues(sent: DataFrame, back: DataFrame, key: str, order: str, fields
     found = sent.sparkSession.createDataFrame(columns, "code string, item string")
     keys = validate.key_issues(sent, back, key).select("code", F.col(key).cast("string").alias("item"))
     common = sent.select(key).join(back.select(key), key, "left_semi")
-    by = Window.orderBy(order)
-    mine = sent.join(common, key, "left_semi").select(key, (F.row_number().over(by) - 1).alias("at"))
-    theirs = back.join(common, key, "left_semi").select(F.col(key).alias("got"), (F.row_number().over(by) - 1).alias("at"))
-    moved = mine.join(theirs, "at").filter(~F.col(key).eqNullSafe(F.col("got"))).select(F.lit("order").alias("code"), F.col(key).cast("string").alias("item"))
+    mine = numbered(sent.join(common, key, "left_semi").select(key, order), [], [order, key], "__no").select(key, "__no")
+    theirs = numbered(back.join(common, key, "left_semi").select(key, order), [], [order, key], "__no").select(F.col(key).alias("got"), "__no")
+    moved = mine.join(theirs, "__no").filter(~F.col(key).eqNullSafe(F.col("got"))).select(F.lit("order").alias("code"), F.col(key).cast("string").alias("item"))
     return found.unionByName(keys).unionByName(moved)
 
 
@@ -105,9 +109,8 @@ def carried_edits(before: DataFrame, edits: DataFrame, after: DataFrame, uid: st
     code says why a row can't be carried: it moved, a fixed column changed, or its
     flags changed otherwise. A reviewed row that is carried is pending again.
     """
-    by = Window.orderBy(index)
-    old = before.select(uid, F.row_number().over(by).alias("__a"), F.struct(*fixed).alias("__f"), F.col(flags).alias("__o"))
-    new = after.select(uid, F.row_number().over(by).alias("__b"), F.struct(*fixed).alias("__g"), F.col(flags).alias("__p"))
+    old = numbered(before, [], [index, uid], "__a").select(uid, "__a", F.struct(*fixed).alias("__f"), F.col(flags).alias("__o"))
+    new = numbered(after, [], [index, uid], "__b").select(uid, "__b", F.struct(*fixed).alias("__g"), F.col(flags).alias("__p"))
     both = old.join(new, uid, "full_outer").join(edits, uid, "left")
     grown = (F.size(F.array_except("__o", "__p")) == 0) & (F.size(F.array_except(F.array_except("__p", "__o"), F.array(*map(F.lit, addable)).cast("array<string>"))) == 0)
     code = F.when(F.col("__a").isNull(), "new").when(F.col("__b").isNull(), "gone").when(F.col("__a") != F.col("__b"), "moved").when(~F.col("__f").eqNullSafe(F.col("__g")), "field_changed").when(~grown, "flags_changed")

@@ -93,15 +93,16 @@ def strange_documents(spark, d):
 def conflict_free_options(spark, d):
     """Overlapping events of one user may stay or move behind their ends; those whose options can overlap are a component."""
     ev = event_intervals(spark, d)
-    named = ev.withColumnsRenamed({"event_id": "other", "start_ms": "s2", "end_ms": "e2"}).select("user_id", "other", "s2", "e2")
-    busy = intervals.interval_join(ev, named, USER, ("start_ms", "end_ms"), ("s2", "e2")).filter("event_id <> other").select("user_id", "event_id", "start_ms", "end_ms", "event_type").distinct()
+    # those that overlap another one, by one window instead of a join of pairs
+    busy = ev.join(sequences.interval_components(ev, USER, "event_id", "start_ms", "end_ms").select("event_id"), "event_id", "left_semi")
     word = lambda shift: F.array(F.struct((F.col("start_ms") + shift).alias("start_ms"), (F.col("end_ms") + shift).alias("end_ms"), F.col("event_type").alias("speaker_id")))
     options = F.array(*[F.struct(F.lit(i).cast("bigint").alias("option"), word(900_000 * i).alias("words"), F.array(F.lit(int(i == 0))).alias("score")) for i in range(4)])
     rows = busy.select("user_id", F.col("event_id").cast("string").alias("uid"), F.explode(options).alias("o")).select("user_id", "uid", "o.*")
-    words = rows.select("user_id", "uid", F.explode("words").alias("w")).select("user_id", "uid", "w.start_ms", "w.end_ms")
-    near = words.withColumnsRenamed({"uid": "other", "start_ms": "s2", "end_ms": "e2"})
-    pairs = intervals.interval_join(words, near, USER, ("start_ms", "end_ms"), ("s2", "e2")).filter("uid < other").select("uid", "other")
-    parts = sequences.overlap_components(pairs, "uid", "other").withColumnRenamed("node", "uid")
+    # one window over the options' words, and one union of its labels by member: no pairs are made
+    words = rows.select("user_id", "uid", F.concat_ws("#", "uid", "option").alias("w"), F.explode("words").alias("t")).select("user_id", "uid", "w", "t.start_ms", "t.end_ms")
+    runs = sequences.interval_components(words, USER, "w", "start_ms", "end_ms")
+    labels = runs.select(F.substring_index("w", "#", 1).alias("uid"), F.concat(F.lit("run "), "component").alias("run")).distinct()
+    parts = sequences.overlap_components(labels, "uid", "run").withColumnRenamed("node", "uid")
     found = conflicts.selected_options(rows.drop("user_id").join(parts, "uid"), "component", "uid", "option", "words", "score")
     return found.join(busy.select("user_id", F.col("event_id").cast("string").alias("uid")), "uid").select("user_id", "uid", "option", "solved")
 

@@ -12,7 +12,11 @@ from spanframe.sources import packs, typed_packs
 
 #: Conversations of one pack.
 OF_PACK = 8
-NUMBER = F.regexp_extract("path", r"(\d+)\.zip$", 1).cast("bigint")
+
+
+def _number():
+    """The number of a pack, from its path."""
+    return F.regexp_extract("path", r"(\d+)\.zip$", 1).cast("bigint")
 
 
 def _packed(turns: DataFrame) -> DataFrame:
@@ -70,7 +74,7 @@ UNION ALL SELECT pack, 'batch_001.jsonl', unnest(['digest_differs', 'bad_line',
 UNION ALL SELECT pack, 'asr_hallucinations.jsonl', 'unknown_utterance' FROM turns WHERE pack % 5 = 4 AND position = 0 AND turn % 4 = 3""")
 def correction_pack_issues_conversations(spark: SparkSession, d: str) -> DataFrame:
     """What is wrong with each pack of corrections."""
-    return typed_packs.read_corrections(correction_packs(spark, d))["issues"].select(NUMBER.alias("pack"), "member", "code")
+    return typed_packs.read_corrections(correction_packs(spark, d))["issues"].select(_number().alias("pack"), "member", "code")
 
 
 @query(f"""WITH {_TURNS}
@@ -81,7 +85,7 @@ def correction_pack_rows_conversations(spark: SparkSession, d: str) -> DataFrame
     """The three typed relations of the packs without issues."""
     found = typed_packs.read_corrections(correction_packs(spark, d))
     bad = found["issues"].select("path").distinct()
-    part = lambda name, *columns: found[name].join(bad, "path", "left_anti").select(F.lit(name.removesuffix("s")).alias("kind"), NUMBER.alias("pack"), *[F.col(c).alias(n) for c, n in zip(columns, ("id", "start_ms", "end_ms", "text"), strict=True)])
+    part = lambda name, *columns: found[name].join(bad, "path", "left_anti").select(F.lit(name.removesuffix("s")).alias("kind"), _number().alias("pack"), *[F.col(c).alias(n) for c, n in zip(columns, ("id", "start_ms", "end_ms", "text"), strict=True)])
     return part("utterances", "utterance_uid", "start_ms", "end_ms", "text").unionByName(part("holes", "hole_uid", "clip_start_ms", "clip_end_ms", "audio_member")).unionByName(part("candidates", "candidate_uid", "clip_start_ms", "clip_end_ms", "utterance_uid"))
 
 
@@ -114,4 +118,4 @@ UNION ALL SELECT pack, member, 'missing_record' FROM f WHERE kind = 5 AND positi
 def translation_return_issues_conversations(spark: SparkSession, d: str) -> DataFrame:
     """What is wrong with translations that came back."""
     members, sent = returned_packs(spark, d)
-    return typed_packs.read_returns(members, sent)["issues"].select(NUMBER.alias("pack"), "member", "code")
+    return typed_packs.read_returns(members, sent)["issues"].select(_number().alias("pack"), "member", "code")

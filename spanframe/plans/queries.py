@@ -533,7 +533,7 @@ def row_digest_nation(spark, d):
 
 
 @query("""WITH r AS (SELECT n_regionkey, n_nationkey, sha256('{"n_name":"' || n_name || '","n_nationkey":' || n_nationkey || '}') AS d FROM nation)
-SELECT n_regionkey, count(*) AS n, sha256(string_agg(d, '' ORDER BY n_nationkey)) AS digest FROM r GROUP BY n_regionkey""")
+SELECT n_regionkey, count(*) AS n, sha256(sha256(string_agg(d, '' ORDER BY n_nationkey))) AS digest FROM r GROUP BY n_regionkey""")
 def relation_digest_nation(spark, d):
     return identity.relation_digest(table(spark, d, "nation"), ["n_regionkey"], ["n_nationkey"], ["n_name", "n_nationkey"])
 

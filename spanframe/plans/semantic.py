@@ -188,3 +188,37 @@ def words_to_blocks(words: DataFrame, keys: Sequence[str], hard_gap: int = 1000,
     timed = sequences.assigned_timings(blocks, lane, "start_ms", "last_ms", "text")
     order = Window.partitionBy(*keys).orderBy("start_ms", "speaker_id")
     return timed.withColumn("block", F.row_number().over(order) - 1).select(*keys, "speaker_id", "block", "start_ms", "last_ms", "text", "n_words", "least_probability", "display_end")
+
+
+def group_statistics(words: DataFrame, vad: DataFrame, keys: Sequence[str], group: str) -> DataFrame:
+    """(keys, group, start_ms, end_ms, n_words, max_gap, least_probability, mean_probability, segments, crossings, repaired, digests, without_digest, coverage, regions, flags) of each group of words, in one aggregation and one coverage.
+
+    words: (keys, group, start_ms, end_ms, probability, segment_id, timing_source,
+    alignment_sha256). Gaps and crossings are between neighbours in order of time;
+    a null segment is passed over. Null probabilities don't count. flags:
+    decoder_segment_crossing, repaired_word_provenance, partial_alignment_digest,
+    several_alignment_digests.
+    """
+    by = [*keys, group]
+    order = Window.partitionBy(*by).orderBy("start_ms", "end_ms")
+    before = F.last("segment_id", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    source = F.trim(F.coalesce("timing_source", F.lit("")))
+    marked = words.withColumns({
+        "__gap": F.col("start_ms") - F.lag("end_ms").over(order),
+        "__cross": F.coalesce(F.col("segment_id") != before, F.lit(False)),
+        "__repaired": F.startswith(source, F.lit("synthetic_")) | F.endswith(source, F.lit("_repair")),
+        "__digest": F.when(F.trim(F.coalesce("alignment_sha256", F.lit(""))) != "", F.lower(F.trim("alignment_sha256"))),
+    })
+    found = marked.groupBy(*by).agg(
+        F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"), F.count("*").alias("n_words"), F.coalesce(F.max("__gap"), F.lit(0)).cast("bigint").alias("max_gap"),
+        F.min("probability").alias("least_probability"), F.avg("probability").alias("mean_probability"), F.count_distinct("segment_id").alias("segments"), F.count_if("__cross").alias("crossings"),
+        F.count_if("__repaired").alias("repaired"), F.count_distinct("__digest").alias("digests"), F.count_if(F.col("__digest").isNull()).alias("without_digest"),
+    )
+    regions = vad.select(*keys, "vad_region_index", F.col("start_ms").alias("vs"), F.col("end_ms").alias("ve"))
+    hit = iv.interval_join(found.select(*by, F.col("start_ms").alias("gs"), F.col("end_ms").alias("ge")), regions, list(keys), ("gs", "ge"), ("vs", "ve"))
+    indexes = hit.groupBy(*by).agg(F.array_sort(F.collect_set("vad_region_index")).alias("regions"))
+    united = iv.coalesce_intervals(hit.select(*by, F.greatest("gs", "vs").alias("start_ms"), F.least("ge", "ve").alias("end_ms")), by).groupBy(*by).agg(F.sum(F.col("end_ms") - F.col("start_ms")).alias("__covered"))
+    both = found.join(united, by, "left").join(indexes, by, "left")
+    flags = {"decoder_segment_crossing": F.col("crossings") > 0, "repaired_word_provenance": F.col("repaired") > 0, "partial_alignment_digest": (F.col("digests") > 0) & (F.col("without_digest") > 0), "several_alignment_digests": F.col("digests") > 1}
+    length = F.greatest(F.lit(1), F.col("end_ms") - F.col("start_ms"))
+    return both.select(*found.columns, F.least(F.lit(1.0), F.coalesce("__covered", F.lit(0)) / length).alias("coverage"), F.coalesce("regions", F.array().cast(indexes.schema["regions"].dataType)).alias("regions"), F.array_compact(F.array(*[F.when(c, n) for n, c in flags.items()])).alias("flags"))

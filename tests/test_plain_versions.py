@@ -10,6 +10,7 @@ from difflib import SequenceMatcher
 import pyarrow.parquet as pq
 import pytest
 
+import spanframe.plans.evidence_queries  # noqa: F401
 import spanframe.plans.more_queries  # noqa: F401
 import spanframe.plans.pack_queries  # noqa: F401
 import spanframe.plans.row_queries  # noqa: F401
@@ -20,6 +21,7 @@ from spanframe.plans import queries
 PLAIN = {"optimal_groups_conversations", "similar_turns", "semantic_windows_events", "words_to_blocks_conversations", "orphan_captions_events", "conflict_free_options", "displaced_texts_conversations", "final_qa_conversations", "planned_parts_events"}
 #: Those with plain versions in test_span_queries.
 PLAIN |= {"budgeted_merge_events", "suspicious_spans_conversations", "merged_evidence_events", "stabilized_options_events", "exact_covers_conversations"}
+PLAIN |= {"name_sets_conversations"}  # test_evidence_queries
 
 
 def test_every_query_has_sql_or_a_plain_version():

@@ -6,6 +6,7 @@ import os
 import duckdb
 import pytest
 
+import spanframe.plans.evidence_queries  # noqa: F401
 import spanframe.plans.more_queries  # noqa: F401
 import spanframe.plans.pack_queries  # noqa: F401
 import spanframe.plans.row_queries  # noqa: F401
