@@ -5,12 +5,12 @@ dictionaries. The difference of the two sizes over their sum, and how well the
 text compresses at all, are calibrated to a probability by logistic regression on
 labelled rows that no dictionary has seen.
 
-Bounds of fitting, all of them parameters of this module: SAMPLE_ROWS labelled rows
-of each class at most, chosen by a hash of the id; half of them make the
-dictionaries, half the calibration. Sampled texts are read whole. A dictionary is
-trained on TRAIN_PIECES pieces at most, which a hash of the piece draws from all
-pieces of all sampled texts of its class. The calibration measures whole texts, and
-every document is scored whole.
+The bound of fitting is a parameter of this module: SAMPLE_ROWS labelled rows of each
+class at most, chosen by a hash of the id; half of them make the dictionaries, half
+the calibration. Sampled texts are read whole. A dictionary is trained on all pieces
+of the sampled texts of its class: TASK_PIECES of them at once, and where there are
+more on the dictionaries of such groups, in turn. The calibration measures whole
+texts, and every document is scored whole.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ from spanframe.llm.common import written
 
 SAMPLE_ROWS = 2000
 PIECE_BYTES = 1024
-#: Size of a dictionary, and the most pieces that it is trained on.
-DICT_BYTES, TRAIN_PIECES = 64 << 10, 8192
+#: Size of a dictionary, and how many pieces one task trains one on.
+DICT_BYTES, TASK_PIECES = 64 << 10, 8192
 LEVEL = 1
 #: Compressed bytes by which a short text's difference is drawn to 0.
 SHRINK = 48
@@ -94,6 +94,21 @@ def training_pieces(rows: DataFrame) -> DataFrame:
     return rows.select("label", "text").mapInArrow(cut, "label int, piece binary")
 
 
+def trained(pieces: DataFrame) -> bytes:
+    """The dictionary of all pieces: (piece). More than TASK_PIECES are dealt by hash to groups, whose dictionaries, cut in pieces, stand for them; rounds go on until one task can hold what is left."""
+
+    def some(table: pa.Table) -> pa.Table:
+        made = dictionary(sorted(bytes(p) for p in table.column("piece").to_pylist()))
+        return pa.table({"piece": pa.array([made[s : s + PIECE_BYTES] for s in range(0, len(made), PIECE_BYTES)], pa.binary())})
+
+    order = [F.xxhash64("piece"), F.col("piece")]
+    while (n := pieces.count()) > TASK_PIECES:
+        groups = -(-n // TASK_PIECES)
+        salted = pieces.withColumn("group", F.pmod(F.xxhash64("piece", F.monotonically_increasing_id()), F.lit(groups)))
+        pieces = written(written(salted, "grouped").groupBy("group").applyInArrow(some, "piece binary"), "pieces")
+    return dictionary([bytes(r[0]) for r in pieces.orderBy(*order).collect()])  # TASK_PIECES * PIECE_BYTES at most
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> tuple[float, ...]:
     """Newton's method; columns but the first are penalised a little."""
     w = np.zeros(x.shape[1])
@@ -142,8 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = written(chosen.groupBy("__id", "__label").agg(F.min("text").alias("text")).withColumn("half", half), "labelled-texts")
     learned = own_lines(chosen.filter("half = 0").select(F.col("__id").alias("id"), F.col("__label").alias("label"), "text"))
     pieces = written(training_pieces(learned), "pieces")
-    drawn = lambda label: pieces.filter(F.col("label") == label).orderBy(F.xxhash64("piece"), "piece").limit(TRAIN_PIECES)
-    made = [dictionary([bytes(r[0]) for r in drawn(label).select("piece").collect()]) for label in (1, 0)]  # TRAIN_PIECES * PIECE_BYTES at most
+    made = [trained(pieces.filter(F.col("label") == label).select("piece")) for label in (1, 0)]
     measured = _measured(chosen.filter("half = 1").select(F.struct("__id", "__label").alias("id"), "text"), *made, chosen.select(F.struct("__id", "__label").alias("id")).schema["id"].dataType.simpleString(), None)
     rows = sorted(measured.select("id.__label", "id.__id", "value").collect(), key=lambda r: (r[0], r[1]))
     y = np.array([r[0] for r in rows], float)

@@ -266,6 +266,25 @@ def test_training_pieces_cover_whole_texts(spark):
     assert sum(len(r["piece"]) for r in pieces) == len("shared\nown line\n") + 5000
 
 
+def test_dictionaries_of_many_pieces_are_trained_in_rounds(spark, monkeypatch):
+    """All pieces take part: what only one group's texts hold compresses with the dictionary of the groups' dictionaries."""
+    import random
+
+    import zstandard
+
+    rng = random.Random(2)
+    phrases = ["".join(rng.choice("abcdefghij ") for _ in range(60)) for _ in range(40)]
+    pieces = [" ".join(rng.choice(phrases) for _ in range(12)).encode() for _ in range(2500)]
+    frame = spark.createDataFrame([(p,) for p in pieces], "piece binary").repartition(3)
+    sizes = {}
+    for most in (8192, 700):
+        monkeypatch.setattr(classifier, "TASK_PIECES", most)
+        made = zstandard.ZstdCompressionDict(classifier.trained(frame))
+        sizes[most] = sum(len(zstandard.ZstdCompressor(level=1, dict_data=made).compress(p)) for p in pieces[:200])
+    plain = sum(len(zstandard.ZstdCompressor(level=1).compress(p)) for p in pieces[:200])
+    assert sizes[700] < 1.3 * sizes[8192] < 0.5 * plain
+
+
 def test_classifier_edges(spark):
     labels = spark.createDataFrame([(k, k % 2, 0) for k in range(18)] + [(3, None, 0), (None, 1, 0)], "doc_id bigint, quality int, score int")
     model = classifier.fit(documents(spark), labels)
