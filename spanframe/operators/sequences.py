@@ -8,14 +8,15 @@ emitted themselves run in applyInPandas, one key's sequence at a time.
 from __future__ import annotations
 
 import math
-import re
-import tempfile
 from collections.abc import Callable, Iterable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanframe.operators import segmentation
+from spanframe.operators.ordering import same_rows, shared_folder
+
 SENTENCE_END = r"[.!?…][\"'”’»)]*\s*$"
 CLAUSE_END = r"[,;:][\"'”’»)]*\s*$"
 TURN_START = r"^\s*[-–—]\s*\S"
@@ -170,38 +171,36 @@ def capped_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], star
     return found.withColumn(name, (F.dense_rank().over(Window.partitionBy(*keys).orderBy("__chunk", "__part")) - 1).cast("bigint")).drop("__chunk", "__part")
 
 
-def optimal_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], start: str, end: str, text: str, cost: Callable[..., float | None] | None = None, most_rows: int = 24, name: str = "part", following_text: bool = False, **limits) -> DataFrame:
+def optimal_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], start: str, end: str, text: str, cost: Callable[..., float | None] | None = None, most_rows: int = 24, name: str = "part", following_text: bool = False, block_rows: int = 5000, **limits) -> DataFrame:
     """Least-cost segmentation by dynamic programming with at most most_rows rows a group; of equal costs the shortest last group.
 
     cost(starts, ends, texts, following) gives a group's cost, None where it may not be; following is the
     next row's start, or with following_text its (start, text).
-    A row that no feasible group holds stands alone.
+    A row that no feasible group holds stands alone. Keys of up to block_rows rows
+    are a task each; longer ones are solved by blocks that compose (segmentation).
     """
     price = cost or (lambda s, e, t, nxt: reading_cost(s, e, t, nxt, **limits))
 
+    def of_rows(begin: int, stop: int, starts: list, ends: list, texts: list) -> float | None:
+        following = None if stop == len(starts) else (starts[stop], texts[stop]) if following_text else starts[stop]
+        return price(starts[begin:stop], ends[begin:stop], texts[begin:stop], following)
+
     def number(rows: pd.DataFrame) -> Iterable[int]:
-        starts, ends, texts = rows[start].tolist(), rows[end].tolist(), rows[text].tolist()
-        n = len(rows)
-        best, cut = [0.0] + [math.inf] * n, [0] * (n + 1)
-        for stop in range(1, n + 1):
-            following = None if stop == n else (starts[stop], texts[stop]) if following_text else starts[stop]
-            for begin in range(stop - 1, max(-1, stop - 1 - most_rows), -1):
-                own = price(starts[begin:stop], ends[begin:stop], texts[begin:stop], following)
-                if own is None and begin == stop - 1:
-                    own = 1e6
-                if own is not None and best[begin] + own < best[stop]:
-                    best[stop], cut[stop] = best[begin] + own, begin
-        bounds, at = [], n
-        while at:
-            bounds.append(cut[at])
-            at = cut[at]
-        marks = set(bounds)
+        data = rows[start].tolist(), rows[end].tolist(), rows[text].tolist()
+        marks = set(segmentation.path_from(segmentation.solved(len(rows), lambda a, b: of_rows(a, b, *data), most_rows, {0: 0})[1], len(rows)))
         group = -1
-        for k in range(n):
+        for k in range(len(rows)):
             group += k in marks
             yield group
 
-    return _grouped(df, keys, order, name, number)
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("__n"))
+    long = sizes.filter(F.col("__n") > block_rows).drop("__n")
+    if long.isEmpty():
+        return _grouped(df, keys, order, name, number)
+    same = long.withColumnsRenamed({k: f"__l_{k}" for k in keys})
+    short = df.join(same, [F.col(k).eqNullSafe(F.col(f"__l_{k}")) for k in keys], "left_anti")
+    blocks = segmentation.segmented(same_rows(df, long, keys), keys, order, [start, end, text], of_rows, most_rows, block_rows, name)
+    return _grouped(short, keys, order, name, number).unionByName(blocks)
 
 
 def reading_cost(starts: list[int], ends: list[int], texts: list[str], following: int | None, most_chars: int = 84, longest: int = 7000, least: int = 700, chars_per_second: float = 20.0, wanted_chars: float = 58.8) -> float | None:
@@ -263,12 +262,7 @@ def overlap_components(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFram
     """
     sc = pairs.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = sc.getConf().get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not re.fullmatch(r"local(\[.*\])?", sc.master):
-                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-            folder = tempfile.mkdtemp(prefix="spanframe-checkpoints-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(pairs.sparkSession))
     edges = pairs.select(F.col(a).alias("x"), F.col(b).alias("y")).unionByName(pairs.select(F.col(b).alias("x"), F.col(a).alias("y"))).distinct().checkpoint()
     labels = edges.select(F.col("x").alias("node"), F.col("x").alias("label")).distinct()
     while True:

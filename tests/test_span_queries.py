@@ -10,7 +10,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from spanframe.operators import batching, conflicts, ordering, select, spans
+from spanframe.operators import batching, conflicts, ordering, select, sequences, spans
 from spanframe.plans import queries, semantic, suspicion
 from tests.test_composites import brute_selection
 from tests.test_plain_versions import clean, collected, events, turns  # noqa: F401
@@ -152,6 +152,23 @@ def test_budgeted_in_rounds(spark, task_rows):
         assert got == want
 
 
+@pytest.mark.parametrize("block_rows", [24, 100])
+def test_optimal_groups_of_a_long_key(spark, block_rows):
+    """A key cut in blocks gives the groups of one dynamic program over all its rows."""
+    rng = random.Random(block_rows)
+    rows = []
+    for key, n in (("long", 700), (None, 130), ("short", 20)):
+        at = 0
+        for _ in range(n):
+            at += rng.choice([10, 200, 400, 900, 3000])
+            word = "".join(rng.choice("abcdefg") for _ in range(rng.choice([1, 4, 7, 30, 90]))) + rng.choice(["", "", ".", ","])
+            rows.append((key, at, at + 200, word))
+            at += 200
+    df = spark.createDataFrame(rows, "k string, s bigint, e bigint, t string").repartition(3)
+    cut = lambda b: {(r["k"], r["s"]): r["part"] for r in sequences.optimal_groups(df, ["k"], ["s"], "s", "e", "t", block_rows=b, most_rows=12).collect()}
+    assert cut(block_rows) == cut(10_000)
+
+
 # --- suspicious spans
 
 
