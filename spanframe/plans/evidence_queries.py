@@ -10,6 +10,7 @@ from spanframe.plans import captions, checks, semantic
 from spanframe.plans.queries import USER, query
 from spanframe.plans.relations import IV, event_intervals, table, union_sql
 from spanframe.plans.row_queries import folder
+from spanframe.sources import captions as recognised
 from spanframe.streaming import incremental, memory
 
 #: Names of a list, and how many it has at most.
@@ -144,3 +145,43 @@ def remembered_units_events(spark: SparkSession, d: str) -> DataFrame:
     stream = spark.readStream.schema(schema).parquet(f"{d}/events.parque[t]").select("user_id", "event_id", F.col("event_type").alias("input"))
     found = memory.remembered(stream, ["user_id"], "event_id", incremental.binding("upper", {}), str.upper)
     return memory.drained(found, f"{at}/out", f"{at}/checkpoint")
+
+
+@query(f"""WITH {IV}, u AS (SELECT user_id, event_id, start_ms - 86400000 AS start_ms, end_ms + 86400000 AS end_ms FROM iv WHERE event_type = 'signup'), f AS (SELECT user_id, start_ms AS moment, value / 500 AS p, 1 - value / 500 AS q FROM iv WHERE event_type <> 'signup'),
+h AS (SELECT event_id, greatest(p, q) AS top, CASE WHEN p >= q THEN 0 ELSE 1 END AS winner FROM u JOIN f ON f.user_id = u.user_id AND moment >= start_ms AND moment < end_ms),
+v AS (SELECT event_id, winner, count(*) AS n, avg(top) AS mean, max(top) AS peak FROM h GROUP BY 1, 2), r AS (SELECT *, n / sum(n) OVER (PARTITION BY event_id) AS share, row_number() OVER (PARTITION BY event_id ORDER BY n DESC, winner) AS k FROM v)
+SELECT u.event_id, CASE WHEN n >= 2 AND share >= 0.6 AND mean >= 0.6 AND peak >= 0.7 THEN winner END AS winner FROM u LEFT JOIN r ON r.event_id = u.event_id AND k = 1""")
+def speaker_votes_events(spark: SparkSession, d: str) -> DataFrame:
+    """A day around sign-ups as utterances; other events are frames that two speakers share by value."""
+    ev = event_intervals(spark, d)
+    frames = ev.filter("event_type <> 'signup'").select("user_id", F.col("start_ms").alias("at_ms"), F.array(F.col("value") / 500, 1 - F.col("value") / 500).alias("probabilities"))
+    utterances = ev.filter("event_type = 'signup'").select("user_id", "event_id", (F.col("start_ms") - 86_400_000).alias("start_ms"), (F.col("end_ms") + 86_400_000).alias("end_ms"))
+    return captions.speaker_votes(frames, utterances, USER, "event_id", least_frames=2, least_share=0.6, least_mean=0.6, least_peak=0.7)
+
+
+@query(f"""WITH {IV}, i AS (SELECT user_id, event_id, start_ms, CASE WHEN event_type = 'signup' THEN end_ms + 86400000 ELSE end_ms END AS end_ms, event_type || CASE WHEN event_type = 'signup' THEN ' view click' ELSE CASE WHEN event_id % 3 = 0 THEN 'ed' ELSE '' END END AS text FROM iv),
+c AS (SELECT *, string_split(text, ' ')[1] AS t FROM i WHERE len(string_split(text, ' ')) = 1), h AS (SELECT c.user_id, c.event_id, p.event_id AS parent, p.end_ms - p.start_ms AS long, list_contains(string_split(p.text, ' '), t) AS exact, 1 - list_min(list_transform(string_split(p.text, ' '), lambda x: levenshtein(x, t) / greatest(length(x), length(t)))) AS near
+ FROM c JOIN i p ON p.user_id = c.user_id AND p.event_id <> c.event_id AND p.start_ms <= c.start_ms AND c.end_ms <= p.end_ms AND p.end_ms - p.start_ms >= 2 * (c.end_ms - c.start_ms)),
+s AS (SELECT *, CASE WHEN exact THEN 1.0 ELSE near END AS similarity FROM h), r AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY long DESC, similarity DESC, parent) AS k FROM s WHERE similarity >= 0.65)
+SELECT user_id, event_id, parent, similarity FROM r WHERE k = 1""")
+def acoustic_duplicates_events(spark: SparkSession, d: str) -> DataFrame:
+    """A day behind sign-ups as long texts, other events as short ones inside them."""
+    ev = event_intervals(spark, d)
+    signup = F.col("event_type") == "signup"
+    said = F.when(signup, F.concat("event_type", F.lit(" view click"))).otherwise(F.concat("event_type", F.when(F.col("event_id") % 3 == 0, "ed").otherwise("")))
+    rows = ev.select("user_id", "event_id", "start_ms", F.when(signup, F.col("end_ms") + 86_400_000).otherwise(F.col("end_ms")).alias("end_ms"), said.alias("text"))
+    return captions.acoustic_duplicates(rows, USER, "event_id", most_tokens=2)
+
+
+@query(r"""WITH w AS (SELECT conv_id, turn, list_filter(string_split_regex(coalesce(text, ''), '[\s\p{Z}]+'), lambda x: x <> '') AS w FROM conversations),
+e AS (SELECT conv_id, turn, unnest(w) AS text, generate_subscripts(w, 1) - 1 AS i FROM w)
+SELECT conv_id, text, CAST(turn * 100000 + i * 300 AS BIGINT) AS start_ms, CAST(turn * 100000 + i * 300 + 250 AS BIGINT) AS end_ms, row_number() OVER (PARTITION BY conv_id ORDER BY turn, i) - 1 AS word_index FROM e WHERE i % 7 <> 3""")
+def recognised_words_conversations(spark: SparkSession, d: str) -> DataFrame:
+    """Conversations as nested output of a recogniser, read back as words in order; every seventh word lasts no time and is no word."""
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"(?U)[\s\p{Z}]+"), lambda w: w != "")
+    second = lambda i, more: ((F.col("turn") * 100_000 + i * 300 + more) / 1000).alias("x")
+    each = F.transform(words, lambda w, i: F.struct(second(i, 0).alias("start"), second(i, F.when(i % 7 == 3, 0).otherwise(250)).alias("end"), w.alias("word"), F.lit(0.5).alias("probability")))
+    segments = table(spark, d, "conversations").select("conv_id", "turn", F.struct((F.col("turn") * 100).cast("double").alias("start"), (F.col("turn") * 100 + 99).cast("double").alias("end"), F.col("text"), each.alias("words")).alias("s"))
+    # a conversation's turns are one document of the recogniser
+    whole = segments.groupBy("conv_id").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("turn", "s"))), lambda x: x["s"])).alias("found"))
+    return recognised.words_from_json(whole, "conv_id", "found").select("conv_id", "text", "start_ms", "end_ms", "word_index")

@@ -226,12 +226,13 @@ def jsonl_round_trip(spark, d):
     return found.filter("problem IS NULL").select("value.*")
 
 
-@query("""WITH c AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 ELSE 2 END, o_totalprice, o_orderkey) AS r FROM orders) SELECT o_custkey, o_orderkey FROM c WHERE r = 1""")
+@query("""WITH o AS (SELECT o_custkey, o_orderpriority AS kind, CASE o_orderkey % 3 WHEN 0 THEN 'tr' WHEN 1 THEN 'tr-' || o_orderstatus || o_orderkey % 100 ELSE 'trx' END AS code FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')),
+r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY kind, code <> 'tr', length(code), code) AS r FROM o WHERE code = 'tr' OR starts_with(code, 'tr-')) SELECT o_custkey, kind, code FROM r WHERE r = 1""")
 def ranked_choice_orders(spark, d):
-    orders = table(spark, d, "orders")
-    rank = F.when(F.col("o_orderpriority") == "1-URGENT", 0).when(F.col("o_orderpriority") == "2-HIGH", 1).otherwise(2)
-    by = Window.partitionBy("o_custkey").orderBy("rank", "o_totalprice", "o_orderkey")
-    return orders.withColumn("rank", rank).withColumn("r", F.row_number().over(by)).filter("r = 1").select("o_custkey", "o_orderkey")
+    rest = F.col("o_orderkey") % 3
+    code = F.when(rest == 0, "tr").when(rest == 1, F.concat(F.lit("tr-"), "o_orderstatus", (F.col("o_orderkey") % 100).cast("string"))).otherwise("trx")
+    rows = table(spark, d, "orders").select("o_custkey", F.col("o_orderpriority").alias("kind"), code.alias("code"))
+    return select.ranked_choice(rows, ["o_custkey"], "kind", ["1-URGENT", "2-HIGH"], "code", "tr").select("o_custkey", "kind", "code")
 
 
 @query(f"""WITH {IV}, u AS (SELECT user_id, event_id AS i, start_ms, end_ms, event_type AS text FROM iv WHERE event_type = 'view' UNION ALL SELECT user_id, event_id, start_ms, end_ms, event_type FROM iv WHERE event_type = 'click')
