@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from spanframe.functions import text
 from spanframe.operators import intervals as iv
 from spanframe.operators import sequences, validate
+from spanframe.operators.ordering import written
 
 
 def final_qa(blocks: DataFrame, keys: Sequence[str], uid: str, source: str, target: str, rules: Sequence[tuple[str, str, str]] = (), names: Sequence[str] = (), units: Sequence[str] = (), most_cps: float = 17.0, line_limit: int = 42, music: Sequence[str] = ()) -> DataFrame:
@@ -47,41 +48,55 @@ def qa_report(issues: DataFrame, codes: Mapping[str, str] | Sequence[str]) -> Da
     return out.withColumn("passed", F.col("errors") == 0)
 
 
-def displaced_texts(blocks: DataFrame, keys: Sequence[str], index: str, source: str, back: str, width: int = 6, high: float = 0.78, margin: float = 0.18, moderate: float = 0.62, small: float = 0.10) -> DataFrame:
+def displaced_texts(blocks: DataFrame, keys: Sequence[str], index: str, source: str, back: str, width: int = 6, high: float = 0.78, margin: float = 0.18, moderate: float = 0.62, small: float = 0.10, names: Sequence[str] = (), stop_words: Sequence[str] = (), anchored: float = 0.55, unlike: float = 0.36) -> DataFrame:
     """(keys, index, offset, score, own_score, reason): texts that came back for another block.
 
-    A text is scored against its own source and those up to width blocks away. One
-    that is exactly one near block's source, or far better there than here, is
-    flagged. One that is exactly the source of one other block anywhere in its key,
-    or rather better near by, counts if its neighbour is displaced by as much.
-    Sources are met by an equi join on the normalised text, so the whole key is searched.
+    A text is scored against its own source and, if it isn't quite that, those up
+    to width blocks away. One that is exactly one near block's source, or far better
+    there than here, is flagged; so is one whose anchors (names and numbers) all
+    stand in the best near source and not all here, and one without any content
+    token of its own source that is hardly like it. One that is exactly the source
+    of one other block anywhere in its key, or rather better near by, counts if its
+    neighbour is displaced by as much. Sources are met by an equi join on the
+    normalised text, so the whole key is searched.
     """
-    rows = blocks.select(*keys, index, F.col(source).alias("s"), F.col(back).alias("b"))
-    own = rows.withColumn("own_score", text.blended_similarity(F.col("b"), F.col("s"))).withColumn("same", text.lexical(F.col("b")))
-    pairs = iv.band_join(own.drop("same"), keys, index, width, ["s"]).withColumn("score", text.blended_similarity(F.col("b"), F.col("other_s")))
-    near = pairs.withColumn("r", F.row_number().over(Window.partitionBy(*keys, index).orderBy(F.desc("score"), "offset"))).filter("r = 1").select(*keys, index, F.col("offset").alias("near_offset"), F.col("score").alias("near_score"))
+    by = [*keys, index]
+    rows = blocks.select(*by, F.col(source).alias("s"), F.col(back).alias("b"))
+    scored = rows.withColumn("own_score", text.blended_similarity(F.col("b"), F.col("s"))).withColumn("same", text.lexical(F.col("b"))).withColumn("itself", text.lexical(F.col("s")) == F.col("same"))
+    # only these can be anywhere else; written, so that they are scored once
+    own = written(scored.filter("own_score < 1"), "unlike")
+    offsets = F.filter(F.sequence(F.lit(-width), F.lit(width)), lambda o: o != 0)
+    sources = rows.select(*keys, F.col(index).alias("__at"), F.col("s").alias("other_s"))
+    pairs = own.select(*by, "b", "same", F.explode(offsets).alias("offset")).withColumn("__at", F.col(index) + F.col("offset")).join(sources, [*keys, "__at"])
+    met = written(pairs.select(*by, "offset", "other_s", text.blended_similarity(F.col("b"), F.col("other_s")).alias("score"), (text.lexical(F.col("other_s")) == F.col("same")).alias("equal")), "near")
+    near = met.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("score"), "offset"))).filter("r = 1").select(*by, F.col("offset").alias("near_offset"), F.col("score").alias("near_score"), F.col("other_s").alias("near_s"))
+    exact_near = met.filter("equal").groupBy(*by).agg(F.count("*").alias("n_near"), F.min("offset").alias("exact_offset")).filter("n_near = 1").drop("n_near")
     # places are counted for each text, and only a text with one place goes on
     places = blocks.select(*keys, F.col(index).alias("at"), text.lexical(F.col(source)).alias("same")).filter("same <> ''").distinct()
     alone = places.groupBy(*keys, "same").agg(F.count("*").alias("n"), F.min("at").alias("place")).filter("n = 1").drop("n")
-    exact_far = own.join(alone, [*keys, "same"]).filter(F.col("place") != F.col(index)).select(*keys, index, (F.col("place") - F.col(index)).alias("far_offset"))
-    close = iv.band_join(own.select(*keys, index, "same", "s"), keys, index, width, ["s"])
-    exact_near = close.filter(text.lexical(F.col("other_s")) == F.col("same")).groupBy(*keys, index).agg(F.count("*").alias("n_near"), F.min("offset").alias("exact_offset")).filter("n_near = 1")
-    by = [*keys, index]
-    all_ = own.withColumn("itself", text.lexical(F.col("s")) == F.col("same")).join(near, by, "left").join(exact_near.drop("n_near"), by, "left").join(exact_far, by, "left")
+    exact_far = own.join(alone, [*keys, "same"]).filter(F.col("place") != F.col(index)).select(*by, (F.col("place") - F.col(index)).alias("far_offset"))
+    all_ = own.join(near, by, "left").join(exact_near, by, "left").join(exact_far, by, "left")
     gain = F.col("near_score") - F.col("own_score")
-    elsewhere = ~F.col("itself") & (F.col("own_score") < 1)
+    anchors = lambda c: F.array_distinct(F.concat(text.names_present(F.col(c), names), text.number_anchors(F.col(c))))
+    shared = lambda c: F.size(F.array_intersect(anchors("b"), anchors(c)))
+    by_anchor = (F.size(anchors("b")) > 0) & (gain > 0) & (F.col("near_score") >= anchored) & (shared("near_s") == F.size(anchors("b"))) & (shared("near_s") > shared("s"))
+    content = lambda c: text.content_tokens(F.when(F.col("own_score") < unlike, F.col(c)).otherwise(""), stop_words)
+    told = all_.withColumn("__mine", content("s")).withColumn("__got", content("b"))
+    unsupported = (F.col("own_score") < unlike) & (F.size("__mine") >= 2) & (F.size("__got") >= 2) & ~F.arrays_overlap("__mine", "__got")
     kind = (
-        F.when(elsewhere & F.col("exact_offset").isNotNull(), "exact_neighbour")
-        .when(elsewhere & F.col("far_offset").isNotNull(), "exact_elsewhere")
+        F.when(~F.col("itself") & F.col("exact_offset").isNotNull(), "exact_neighbour")
+        .when(~F.col("itself") & F.col("far_offset").isNotNull(), "exact_elsewhere")
         .when((F.col("near_score") >= high) & (gain >= margin), "better_neighbour")
+        .when(by_anchor, "anchors_of_neighbour")
+        .when(unsupported, "unsupported")
         .when((F.col("near_score") >= moderate) & (gain >= small), "rather_better")
     )
-    marked = all_.withColumn("kind", kind).filter("kind IS NOT NULL")
-    offset = F.when(F.col("kind") == "exact_neighbour", F.col("exact_offset")).when(F.col("kind") == "exact_elsewhere", F.col("far_offset")).otherwise(F.col("near_offset"))
-    score = F.when(F.col("kind").startswith("exact"), 1.0).otherwise(F.col("near_score"))
+    marked = told.withColumn("kind", kind).filter("kind IS NOT NULL")
+    offset = F.when(F.col("kind") == "exact_neighbour", F.col("exact_offset")).when(F.col("kind") == "exact_elsewhere", F.col("far_offset")).when(F.col("kind") == "unsupported", 0).otherwise(F.col("near_offset"))
+    score = F.when(F.col("kind").startswith("exact"), 1.0).when(F.col("kind") == "unsupported", F.col("own_score")).otherwise(F.col("near_score"))
     runs = sequences.islands(marked.withColumn("offset", offset).withColumn("score", score), keys, index, "offset")
-    strong = F.when(F.col("kind").isin("exact_neighbour", "better_neighbour"), F.col("kind"))
-    return runs.withColumn("reason", F.coalesce(strong, F.when(F.col("in_run"), "displaced_run"))).filter("reason IS NOT NULL").select(*keys, index, "offset", "score", "own_score", "reason")
+    strong = F.when(~F.col("kind").isin("exact_elsewhere", "rather_better"), F.col("kind"))
+    return runs.withColumn("reason", F.coalesce(strong, F.when(F.col("in_run"), "displaced_run"))).filter("reason IS NOT NULL").select(*by, "offset", "score", "own_score", "reason")
 
 
 def anchor_displacements(blocks: DataFrame, keys: Sequence[str], index: str, source: str, target: str, names: Sequence[str], width: int | None = 6) -> DataFrame:

@@ -112,7 +112,12 @@ def displaced_texts_conversations(spark, d):
     from pyspark.sql import Window
 
     rows = table(spark, d, "conversations").select("conv_id", "turn", F.col("text").alias("source"))
-    moved = F.when(F.col("conv_id") % 3 == 0, F.coalesce(F.lead("source").over(Window.partitionBy("conv_id").orderBy("turn")), F.col("source"))).otherwise(F.col("source"))
+    behind = F.coalesce(F.lead("source").over(Window.partitionBy("conv_id").orderBy("turn")), F.col("source"))
+    # of some conversations the next turn comes back, of others the first half of it with a number of its own, or words that are nowhere
+    numbered = F.concat(F.col("source"), F.lit(" "), F.col("turn").cast("string"))
+    rows = rows.withColumn("source", F.when(F.col("conv_id") % 3 == 1, numbered).otherwise(F.col("source")))
+    half = F.concat(F.array_join(F.slice(F.split("source", " "), 1, F.floor(F.size(F.split("source", " ")) / 2).cast("int") + 1), " "), F.lit(" "), (F.col("turn") + 1).cast("string"))
+    moved = F.when(F.col("conv_id") % 3 == 0, behind).when((F.col("conv_id") % 3 == 1) & (F.col("turn") % 4 == 1), half).when((F.col("conv_id") % 3 == 1) & (F.col("turn") % 4 == 2), "quite unrelated xyzzy").otherwise(F.col("source"))
     return checks.displaced_texts(rows.withColumn("back", moved), ["conv_id"], "turn", "source", "back").select("conv_id", "turn", "offset", "reason")
 
 
