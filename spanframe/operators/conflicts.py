@@ -11,10 +11,11 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanframe.operators.ordering import written
+from spanframe.operators.ordering import each_group, written
 from spanframe.operators.sequences import sessions
 
 Word = tuple[int, int, str | None]  # start, end, speaker
@@ -145,29 +146,33 @@ def _clusters(pairs: frozenset[tuple[str, str]]) -> list[list[str]]:
 
 
 def improved_once(members: Sequence[str], bounds: Mapping[str, tuple[int, int]], options: Mapping[str, Sequence[Sequence[Word]]], scores: Mapping[str, Sequence[tuple]], selected: Mapping[str, int], radius: int, most_gap: int, most_checks: int) -> dict[str, int]:
-    """One round: each cluster of conflicting members, with up to radius neighbours on both sides that no gap over most_gap parts from it, is given options that conflict with nothing; this counts only if the conflicts left are a strict subset of those before.
+    """One round: each cluster of conflicting members, with up to radius neighbours on both sides that no gap over most_gap parts from it, is given options that conflict with nothing. So the conflicts left are always a strict subset of those before.
 
     members are in order; bounds are their coarse times.
     """
     now, at = dict(selected), {u: k for k, u in enumerate(members)}
-    signature = lambda chosen: overlapping_pairs({u: options[u][chosen[u]] for u in members})
+    box = {u: [(min((w[0] for w in o), default=0), max((w[1] for w in o), default=0)) for o in options[u]] for u in members}
     apart = lambda k: bounds[members[k]][0] - bounds[members[k - 1]][1] > most_gap
-    for seed in sorted(_clusters(signature(now)), key=lambda c: min(at[u] for u in c)):
-        before = signature(now)
-        if not any(a in seed or b in seed for a, b in before):
+    left = overlapping_pairs({u: options[u][now[u]] for u in members})
+    for seed in sorted(_clusters(left), key=lambda c: min(at[u] for u in c)):
+        if not any(a in seed or b in seed for a, b in left):
             continue
         low, high = min(at[u] for u in seed), max(at[u] for u in seed)
         first = next((k for k in range(low, max(0, low - radius), -1) if apart(k)), max(0, low - radius))
         last = next((k - 1 for k in range(high + 1, min(len(members), high + radius + 1)) if apart(k)), min(len(members), high + radius + 1) - 1)
         inside = members[first : last + 1]
-        fixed = [options[u][now[u]] for u in members if u not in set(inside)]
-        fits = {u: [i for i, o in enumerate(options[u]) if not any(conflict(o, f) for f in fixed)] for u in inside}
+        held = set(inside)
+        begin, end = min(b[0] for u in inside for b in box[u]), max(b[1] for u in inside for b in box[u])
+        # of the others only what lies where options of these may lie
+        fixed = [(box[u][now[u]], options[u][now[u]]) for u in members if u not in held and box[u][now[u]][0] < end and begin < box[u][now[u]][1]]
+        free = lambda u, i, fixed=fixed: not any(b[0] < box[u][i][1] and box[u][i][0] < b[1] and conflict(options[u][i], f) for b, f in fixed)
+        fits = {u: [i for i in range(len(options[u])) if free(u, i)] for u in inside}
         found = best_selection({u: [options[u][i] for i in k] for u, k in fits.items()}, {u: [scores[u][i] for i in k] for u, k in fits.items()}, most_checks) if all(fits.values()) else None
         if found is None:
             continue
-        trial = now | {u: fits[u][k] for u, k in found.items()}
-        if signature(trial) < before:
-            now = trial
+        now |= {u: fits[u][k] for u, k in found.items()}
+        # these conflict with nothing now, and nothing else has moved: fewer conflicts are left, none of them new
+        left = frozenset(p for p in left if p[0] not in held and p[1] not in held)
     return now
 
 
@@ -191,30 +196,34 @@ def stabilized(df: DataFrame, keys: Sequence[str], uid: str, position: str, star
     to_come = F.min("__begin").over(by.rowsBetween(0, Window.unboundedFollowing))
     cut = sessions(marked.withColumn("__far", to_come - so_far > most_gap), keys, [position], F.col("__far"), "__section").drop("__reach", "__begin", "__far")
     columns = [*keys, "__section", uid, position, start, end, options, selected]
-    now = written(cut.select(*columns).withColumn("round", F.lit(0)), "selection")
+    whole = Window.partitionBy(*keys, "__section")
+    sections = written(cut.select(*columns).withColumn("round", F.lit(0)).withColumn("__n", F.count("*").over(whole)), "selection")
+    # a member alone has no conflict
+    done, now = [sections.filter("__n = 1").drop("__n")], sections.filter("__n > 1").drop("__n")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in now.schema.fields)
+    at = {c: k for k, c in enumerate(now.columns)}
 
-    def a_round(number: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-        def run(rows: pd.DataFrame) -> pd.DataFrame:
-            rows = rows.sort_values(position).reset_index(drop=True)
+    def a_round(number: int) -> Callable[[tuple, pa.Table], list[tuple]]:
+        def run(key: tuple, table: pa.Table) -> list[tuple]:
+            rows = list(zip(*(c.to_pylist() for c in table.columns), strict=True))
             names = [f"{k:09d}" for k in range(len(rows))]  # in order as text, too
-            words = {u: [[(w["start_ms"], w["end_ms"], w["speaker_id"]) for w in o["words"]] for o in found] for u, found in zip(names, rows[options], strict=True)}
-            scores = {u: [tuple(o["score"]) for o in found] for u, found in zip(names, rows[options], strict=True)}
-            before = dict(zip(names, rows[selected].tolist(), strict=True))
-            after = improved_once(names, dict(zip(names, zip(rows[start], rows[end], strict=True), strict=True)), words, scores, before, radius, most_gap, most_checks)
-            rows["round"] = [number if after[u] != before[u] else r for u, r in zip(names, rows["round"], strict=True)]
-            rows[selected] = [after[u] for u in names]
-            return rows
+            given = dict(zip(names, rows, strict=True))
+            words = {u: [[(w["start_ms"], w["end_ms"], w["speaker_id"]) for w in o["words"]] for o in r[at[options]]] for u, r in given.items()}
+            before = {u: r[at[selected]] for u, r in given.items()}
+            if not overlapping_pairs({u: words[u][before[u]] for u in names}):
+                return rows
+            scores = {u: [tuple(o["score"]) for o in r[at[options]]] for u, r in given.items()}
+            after = improved_once(names, {u: (r[at[start]], r[at[end]]) for u, r in given.items()}, words, scores, before, radius, most_gap, most_checks)
+            new = lambda u, c, old: after[u] if c == selected else number if c == "round" and after[u] != before[u] else old
+            return [tuple(new(u, c, x) for c, x in zip(at, r, strict=True)) for u, r in given.items()]
 
         return run
 
-    done = []
     for number in range(1, rounds + 1):
-        after = written(now.groupBy(*keys, "__section").applyInPandas(a_round(number), kinds), "selection")
-        done_here = Window.partitionBy(*keys, "__section")
-        split = after.withColumn("__moved", F.max("round").over(done_here) == number)
-        done.append(split.filter(~F.col("__moved")).drop("__moved"))
-        now = written(split.filter("__moved").drop("__moved"), "selection")
+        after = written(each_group(now, [*keys, "__section"], [position], a_round(number), kinds), "selection")
+        split = written(after.withColumn("__moved", F.max("round").over(whole) == number), "selection")
+        done.append(split.filter("NOT __moved").drop("__moved"))
+        now = split.filter("__moved").drop("__moved")
         if now.isEmpty():
             break
     done.append(now)

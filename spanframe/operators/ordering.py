@@ -11,11 +11,13 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: Rows of a block of a chain.
 BLOCK_ROWS = 50_000
@@ -48,6 +50,44 @@ def same_rows(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> DataFrame:
     return a.join(other, [F.col(c).eqNullSafe(F.col(f"__b_{c}")) for c in columns]).drop(*[f"__b_{c}" for c in columns])
 
 
+def each_group(df: DataFrame, by: Sequence[str], order: Sequence[str], run: Callable[[tuple, pa.Table], list[tuple]], schema: str) -> DataFrame:
+    """run(key, rows in order) of every group as one relation of schema; run gives rows as tuples.
+
+    Groups follow each other in sorted partitions and are cut there, so that many
+    small ones cost little; a task holds one group and one batch.
+    """
+    kind = to_arrow_schema(StructType.fromDDL(schema))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        key: tuple = ()
+
+        def made(found: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*found, strict=True)) if found else [()] * len(kind)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind, strict=True)], schema=kind)
+
+        for batch in batches:
+            table, out, first = pa.Table.from_batches([batch]), [], 0
+            keys = list(zip(*(table.column(c).to_pylist() for c in by), strict=True))
+            for k in range(len(keys)):
+                if held and first == k == 0 and keys[0] == key:
+                    continue
+                if k == 0 or keys[k] != keys[k - 1]:
+                    if held or k:
+                        out += run(key, pa.concat_tables([*held, table.slice(first, k - first)]))
+                    held, first, key = [], k, keys[k]
+            if keys:
+                held.append(table.slice(first))
+            if out:
+                yield made(out)
+        if held:
+            yield made(run(key, pa.concat_tables(held)))
+
+    # a number of its own keeps small tables from being one task, whatever each group costs
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *by).sortWithinPartitions(*by, *order).mapInArrow(cut, schema)
+
+
 def ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """df with __range, written: rows dealt by keys and order to as many ranges as there are shuffle partitions; equal rows are in one range."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -92,18 +132,11 @@ def chained(df: DataFrame, keys: Sequence[str], position: str, columns: Sequence
 
     def of_block(table: pa.Table) -> tuple[int, int, list[list]]:
         """(position of the first row, rows of the block itself, columns) in order."""
-        table = table.sort_by("__p")
         return table.column("__p")[0].as_py(), sum(table.column("__own").to_pylist()), [table.column(f"__c{i}").to_pylist() for i in range(len(lists))]
 
-    def keyed(key: tuple, n: int) -> dict:
-        return {k: pa.array([v.as_py()] * n, v.type) for k, v in zip(keys, key, strict=False)}
-
-    def longs(**columns) -> dict:
-        return {k: pa.array(v, pa.int64()) for k, v in columns.items()}
-
-    def maps(key: tuple, table: pa.Table) -> pa.Table:
+    def maps(key: tuple, table: pa.Table) -> list[tuple]:
         """Of each row at which a chain may enter the block: where it leaves it, and how many groups it opens there."""
-        block = key[-1].as_py()
+        block = key[-1]
         first, n_own, data = of_block(table)
         # the first row, those that the block before sees, and the one behind these
         entries = range(min(n_own, 1 + sum(x - block * width <= reach for x in data[0][:n_own])))
@@ -117,10 +150,9 @@ def chained(df: DataFrame, keys: Sequence[str], position: str, columns: Sequence
             for p in reversed(path):
                 groups += 1
                 known[p] = leaves, groups
-        n = len(entries)
-        return pa.table({**keyed(key, n), **longs(block=[block] * n, entry=[first + e for e in entries], leaves=[first + known[e][0] for e in entries], groups=[known[e][1] for e in entries])})
+        return [(*key, first + e, first + known[e][0], known[e][1]) for e in entries]
 
-    def entered(key: tuple, table: pa.Table) -> pa.Table:
+    def entered(key: tuple, table: pa.Table) -> list[tuple]:
         """A key's chain from block to block: where each is entered, if at all, and the groups opened before."""
         hops = {e: (b, x, g) for b, e, x, g in zip(*(table.column(c).to_pylist() for c in ("block", "entry", "leaves", "groups")), strict=True)}
         first_of: dict[int, int] = {}
@@ -129,26 +161,27 @@ def chained(df: DataFrame, keys: Sequence[str], position: str, columns: Sequence
         at, before, out = 0, 0, []
         for block in sorted(first_of, key=first_of.get):
             inside = at in hops and hops[at][0] == block
-            out.append((block, at if inside else None, before))
+            out.append((*key, block, at if inside else None, before))
             if inside:
                 _, at, groups = hops[at]
                 before += groups
-        return pa.table({**keyed(key, len(out)), **longs(__block=[o[0] for o in out], __entry=[o[1] for o in out], __before=[o[2] for o in out])})
+        return out
 
-    def parts(key: tuple, table: pa.Table) -> pa.Table:
+    def parts(key: tuple, table: pa.Table) -> list[tuple]:
         first, n_own, data = of_block(table)
         entry, number = table.column("__entry")[0].as_py(), table.column("__before")[0].as_py() - 1
-        opens = n_own if entry is None else entry - first
-        out = []
+        opens, out = n_own if entry is None else entry - first, []
         for k in range(n_own):
             if k == opens:
                 number, opens = number + 1, step(k, len(data[0]), *data[1:])
-            out.append(number)
-        return pa.table({**keyed(key, n_own), **longs(__p=range(first, first + n_own), __part=out)})
+            out.append((*key[:-1], first + k, number))
+        return out
 
-    hops = both.groupBy(*keys, "__block").applyInArrow(maps, f"{kinds}block bigint, entry bigint, leaves bigint, groups bigint")
+    block_of = [*keys, "__block"]
+    hops = each_group(both, block_of, ["__p"], maps, f"{kinds}block bigint, entry bigint, leaves bigint, groups bigint")
     # of a key, what its blocks show of themselves: reach of every width
-    entries = written(hops.groupBy(*keys).applyInArrow(entered, f"{kinds}__block bigint, __entry bigint, __before bigint"), "entries")
-    found = same_rows(both, entries, [*keys, "__block"]).groupBy(*keys, "__block").applyInArrow(parts, f"{kinds}__p bigint, __part bigint")
+    every = hops if keys else hops.withColumn("__all", F.lit(0))
+    entries = written(each_group(every, keys or ["__all"], ["entry"], entered if keys else lambda key, table: entered((), table), f"{kinds}__block bigint, __entry bigint, __before bigint"), "entries")
+    found = each_group(same_rows(both, entries, block_of), block_of, ["__p"], parts, f"{kinds}__p bigint, __part bigint")
     numbers = found.withColumnRenamed("__p", position)
     return same_rows(df, numbers, [*keys, position]).withColumnRenamed("__part", name)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanframe.operators.ordering import numbered, running, same_rows, written
+from spanframe.operators.ordering import each_group, numbered, running, same_rows, written
 
 
 def priority(reasons: Column, weights: Mapping[str, int], default: int = 0) -> Column:
@@ -44,20 +44,19 @@ def budgeted(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, bool
     sizes = slim.groupBy(*keys).agg(F.count("*").alias("__n"))
     kinds = "".join(f"`{k}` {df.schema[k].dataType.simpleString()}, " for k in keys)
 
-    def scan(key: tuple, table: pa.Table) -> pa.Table:
-        table = table.sort_by("__at")
+    def scan(key: tuple, table: pa.Table) -> list[tuple]:
         left, taken = budget, []
         for at, c in zip(table.column("__at").to_pylist(), table.column("__cost").to_pylist(), strict=True):
             if len(taken) == most:
                 break
             if c <= left:
                 left -= c
-                taken.append(at)
-        named = {k: pa.array([v.as_py()] * len(taken), v.type) for k, v in zip(keys, key, strict=False)}
-        return pa.table({**named, "__at": pa.array(taken, pa.int64())})
+                taken.append((*key[: len(keys)], at))
+        return taken
 
     by_size = same_rows(slim, sizes, keys)
-    taken = by_size.filter(F.col("__n") <= task_rows).drop("__n", "__range").groupBy(*keys).applyInArrow(scan, f"{kinds}__at bigint")
+    few = by_size.filter(F.col("__n") <= task_rows).drop("__n", "__range").withColumn("__all", F.lit(0))
+    taken = each_group(few, keys or ["__all"], ["__at"], scan, f"{kinds}__at bigint")
     large = by_size.filter(F.col("__n") > task_rows).drop("__n")
     if not large.isEmpty():
         taken = taken.unionByName(_in_rounds(written(large, "large"), keys, most, budget))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanframe.operators.intervals import interval_join
-from spanframe.operators.ordering import chained, numbered, ranged, running, same_rows, written
+from spanframe.operators.ordering import chained, each_group, numbered, ranged, running, same_rows, written
 
 
 def _barred(bounds: DataFrame, trusted: DataFrame, keys: Sequence[str], trusted_bounds: tuple[str, str]) -> DataFrame:
@@ -28,24 +28,21 @@ def _accepted(rows: DataFrame, keys: Sequence[str], kinds: str) -> DataFrame:
     gaps are taken in order of size and place, each joining the two runs beside it.
     """
 
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        table = table.sort_by("position")
+    def run(key: tuple, table: pa.Table) -> list[tuple]:
         at, starts, ends, caps = (table.column(c).to_pylist() for c in ("position", "__start", "__end", "__cap"))
         n = len(at)
         first, last = list(range(n)), list(range(n))  # of the run that begins, or ends, at a row
         least = list(caps)  # by the first row of a run
-        taken, gaps = [], []
+        taken = []
         for gap, left in sorted((starts[k + 1] - ends[k], k) for k in range(n - 1)):
             begin, stop = first[left], last[left + 1]
             cap = min(least[begin], least[left + 1])
             if ends[stop] - starts[begin] <= cap:
                 first[stop], last[begin], least[begin] = begin, stop, cap
-                taken.append(at[left])
-                gaps.append(gap)
-        named = {k: pa.array([v.as_py()] * len(taken), v.type) for k, v in zip(keys, key, strict=False)}
-        return pa.table({**named, "position": pa.array(taken, pa.int64()), "gap": pa.array(gaps, pa.int64())})
+                taken.append((*key[:-1], at[left], gap))
+        return taken
 
-    return rows.groupBy(*keys, "__chunk").applyInArrow(run, f"{kinds}position bigint, gap bigint")
+    return each_group(rows, [*keys, "__chunk"], ["position"], run, f"{kinds}position bigint, gap bigint")
 
 
 def budgeted_merge(spans: DataFrame, keys: Sequence[str], limit: int, trusted: DataFrame | None = None, start: str = "start_ms", end: str = "end_ms", trusted_bounds: tuple[str, str] = ("start_ms", "end_ms"), longest: int | None = None, cap: str | None = None, lock: str | None = None, sets: Sequence[str] = ()) -> DataFrame:
