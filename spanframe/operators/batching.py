@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -80,18 +81,21 @@ def part_cuts(gap_ends: Sequence[int], total: int, target: int = 3_600_000, guar
     """Cuts of one timeline: each at the first pause that ends at least target behind the last cut, guard before its end.
 
     With forced_after, a cut is made at target where no pause follows within that time.
+    More than most_parts parts are an error, not a longer last part.
     """
+    ends = sorted(g - guard for g in gap_ends)
     cuts, last = [], 0
-    while len(cuts) < most_parts - 1:
-        options = [g - guard for g in sorted(gap_ends) if g - guard >= last + target and g - guard < total]
-        cut = options[0] if options else None
+    while True:
+        k = bisect_left(ends, last + target)
+        cut = ends[k] if k < len(ends) and ends[k] < total else None
         if forced_after is not None and last + target < total and (cut is None or cut > last + target + forced_after):
             cut = last + target
         if cut is None:
-            break
+            return cuts
+        if len(cuts) == most_parts - 1:
+            raise ValueError(f"a timeline would have over {most_parts} parts")
         cuts.append(cut)
         last = cut
-    return cuts
 
 
 def planned_parts(busy: DataFrame, keys: Sequence[str], totals: DataFrame, total: str = "total_ms", least_gap: int = 1000, start: str = "start_ms", end: str = "end_ms", **cutting) -> DataFrame:

@@ -280,15 +280,21 @@ def test_orphan_captions(spark, sf_dir, events):
     assert got == want
 
 
-def test_planned_parts_tile_their_range(spark, sf_dir):
-    rows = collected(spark, sf_dir, "planned_parts_events")
-    assert rows
-    names = rows[0].__fields__
-    key = [n for n in names if n.endswith("_id")]
-    start, end = next(n for n in names if "start" in n), next(n for n in names if "end" in n)
-    by = defaultdict(list)
-    for r in rows:
-        by[tuple(r[k] for k in key)].append((r[start], r[end]))
-    for found in by.values():
-        found.sort()
-        assert all(a < b for a, b in found) and all(x[1] == y[0] for x, y in itertools.pairwise(found))
+def test_planned_parts(spark, sf_dir, events):
+    """Each user's timeline cut at the first pause of a second that ends a day or more behind the last cut."""
+    origin, by = min(e["start"] for e in events), defaultdict(list)
+    for e in events:
+        by[e["user_id"]].append((e["start"] - origin, e["end"] - origin))
+    want = set()
+    for user, spans in by.items():
+        busy, total = united(spans), max(e for _, e in spans)
+        pauses = [b[0] for a, b in itertools.pairwise(busy) if b[0] - a[1] >= 1000]
+        cuts = [0]
+        while True:
+            after = [p - 120 for p in pauses if p - 120 >= cuts[-1] + 86_400_000 and p - 120 < total]
+            if not after:
+                break
+            cuts.append(min(after))
+        want |= {(user, k, a, b) for k, (a, b) in enumerate(itertools.pairwise([*cuts, total]))}
+    assert {(r["user_id"], r["part"], r["part_start"], r["part_end"]) for r in collected(spark, sf_dir, "planned_parts_events")} == want
+    assert any(k for _, k, _, _ in want)

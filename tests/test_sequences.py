@@ -2,6 +2,7 @@ import itertools
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from spanframe.operators import batching, select, sequences, validate
@@ -113,6 +114,8 @@ def test_batches(spark):
 
 def test_part_cuts(spark):
     assert batching.part_cuts([3_603_000], 7_200_001) == [3_602_880]
+    with pytest.raises(ValueError, match="over 3 parts"):
+        batching.part_cuts([], 9_000_000, target=2_000_000, forced_after=0, most_parts=3)
     assert batching.part_cuts([], 9_000_000) == [] and batching.part_cuts([], 9_000_000, forced_after=90_000) == [3_600_000, 7_200_000]
     busy = spark.createDataFrame([(1, 0, 3_599_000), (1, 3_603_000, 7_199_000)], "k int, start_ms bigint, end_ms bigint")
     parts = batching.planned_parts(busy, KEYS, spark.createDataFrame([(1, 7_200_001)], "k int, total_ms bigint"))
