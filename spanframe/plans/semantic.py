@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from spanframe.functions import text
 from spanframe.operators import intervals as iv
@@ -148,20 +151,24 @@ def exact_results(windows: DataFrame, candidates: DataFrame, keys: Sequence[str]
     needle = candidates.withColumn("needle", F.split(text.normalized(F.col("text")), " "))
     named = needle.groupBy(*by, "needle").agg(F.min(F.struct("priority", "candidate")).alias("c")).groupBy(*by).agg(F.collect_list(F.struct("c.priority", "c.candidate", "needle")).alias("found"))
 
-    def cover(batches):
-        for rows in batches:
-            out = []
-            for row in rows.to_dict("records"):
-                words = row["words"]
-                gaps = [None, *(b["start_ms"] - a["end_ms"] for a, b in zip(words, words[1:], strict=False))]
-                low = safe_from(gaps, [w["speaker_id"] for w in words], [w["scene_id"] for w in words], most_gap)
-                path = exact_cover([w["normalized"] for w in words], [(f["priority"], f["candidate"], list(f["needle"])) for f in row["found"]], lambda first, last, low=low: first >= low[last])
-                out += [[*(row[k] for k in by), *span] for span in path or []]
-            yield pd.DataFrame(out, columns=[*by, "first", "last", "candidate"])
-
-    joined = own.join(named, by)
+    joined = own.join(named, by).select(*by, "words", "found")
+    kind = to_arrow_schema(StructType([*(joined.schema[c] for c in by), *StructType.fromDDL("first bigint, last bigint, candidate bigint").fields]))
+
+    def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 16):  # a few windows' words at once as Python's objects
+                out = []
+                part = batch.slice(at, 16)
+                for key, words, found in zip(zip(*(c.to_pylist() for c in part.columns[:-2]), strict=True), part.column(len(by)).to_pylist(), part.column(len(by) + 1).to_pylist(), strict=True):
+                    gaps = [None, *(b["start_ms"] - a["end_ms"] for a, b in zip(words, words[1:], strict=False))]
+                    low = safe_from(gaps, [w["speaker_id"] for w in words], [w["scene_id"] for w in words], most_gap)
+                    path = exact_cover([w["normalized"] for w in words], [(f["priority"], f["candidate"], f["needle"]) for f in found], lambda first, last, low=low: first >= low[last])
+                    out += [(*key, *span) for span in path or []]
+                columns = list(zip(*out, strict=True)) if out else [()] * len(kind)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind, strict=True)], schema=kind)
+
     kinds = ", ".join(f"`{c}` {joined.schema[c].dataType.simpleString()}" for c in by)
-    return joined.mapInPandas(cover, f"{kinds}, first bigint, last bigint, candidate bigint")
+    return joined.mapInArrow(cover, f"{kinds}, first bigint, last bigint, candidate bigint")
 
 
 def final_blocks(blocks: DataFrame, keys: Sequence[str], lead: int = 80, tail: int = 220, guard: int = 80) -> DataFrame:
