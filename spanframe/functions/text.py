@@ -299,8 +299,8 @@ def bigram_dice(a: Column, b: Column) -> Column:
 
 
 def ratio(a: str, b: str, junk: bool = False) -> float:
-    """Matching blocks over both lengths."""
-    return SequenceMatcher(None, a, b, autojunk=junk).ratio()
+    """Matching blocks over both lengths; equal texts need no matching."""
+    return 1.0 if a == b else SequenceMatcher(None, a, b, autojunk=junk).ratio()
 
 
 def similarity(a: Column, b: Column, junk: bool = False) -> Column:
@@ -313,6 +313,24 @@ def similarity(a: Column, b: Column, junk: bool = False) -> Column:
     return udf(a, b)
 
 
+def below(a: str, b: str, bound: float) -> bool:
+    """Whether ratio is below a bound; bounds by length and by characters in common are asked first."""
+    if a == b:
+        return bound > 1.0
+    matcher = SequenceMatcher(None, a, b, autojunk=False)
+    return matcher.real_quick_ratio() < bound or matcher.quick_ratio() < bound or matcher.ratio() < bound
+
+
+def less_similar(a: Column, b: Column, bound: float) -> Column:
+    """below of columns; null of a null text."""
+
+    @F.pandas_udf("boolean")
+    def udf(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([None if p is None or q is None else below(p, q, bound) for p, q in zip(x, y, strict=True)], dtype="object")
+
+    return udf(a, b)
+
+
 def blended(a: str, b: str) -> float:
     """The better of characters with token overlap and of token order with characters, of normalised texts; tokens are multisets."""
     if not a or not b:

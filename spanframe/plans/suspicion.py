@@ -25,8 +25,8 @@ WEIGHTS = {
 }
 
 
-def reasons_of(segments: DataFrame, names: Sequence[str] = (), markers: Sequence[str] = (), word_probability: float = 0.55, logprob: float = -0.8, no_speech: float = 0.6, gap: int = 1500, similarity: float = 0.55) -> Column:
-    """Sorted reasons of a segment (text, words, avg_logprob, no_speech_prob, caption, caption_similarity).
+def reasons_of(segments: DataFrame, names: Sequence[str] = (), markers: Sequence[str] = (), word_probability: float = 0.55, logprob: float = -0.8, no_speech: float = 0.6, gap: int = 1500) -> Column:
+    """Sorted reasons of a segment (text, words, avg_logprob, no_speech_prob, caption, caption_differs).
 
     words: array of (start_ms, end_ms, probability). Null values give no reason;
     a blank text only looks strange.
@@ -45,23 +45,24 @@ def reasons_of(segments: DataFrame, names: Sequence[str] = (), markers: Sequence
         "possible_speaker_change": said.rlike(r"(?:^|\n)\s*[-–—]\s*\S") | said.rlike(r"\s[-–—]\s"),
         "music": said.rlike("(?i)" + "|".join(markers)) if markers else F.lit(False),
         "sensitive_term": text.contains_phrase(said, names),
-        "caption_conflict": ~blank & (F.col("caption") != "") & (F.col("caption_similarity") < similarity),
+        "caption_conflict": ~blank & (F.col("caption") != "") & F.col("caption_differs"),
     }
     return F.array_sort(F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), n) for n, c in rules.items()])))
 
 
-def suspicious_spans(segments: DataFrame, captions: DataFrame, keys: Sequence[str], segment_id: str, names: Sequence[str] = (), markers: Sequence[str] = (), merge_gap: int = 1200, longest: int = 45_000, **bounds) -> DataFrame:
+def suspicious_spans(segments: DataFrame, captions: DataFrame, keys: Sequence[str], segment_id: str, names: Sequence[str] = (), markers: Sequence[str] = (), merge_gap: int = 1200, longest: int = 45_000, similarity: float = 0.55, **bounds) -> DataFrame:
     """(keys, span, start_ms, end_ms, n_spans, reasons, segment_ids, priority, primary_text, caption_text): segments with a reason, merged under a gap and a cap.
 
     A span has the reasons of its segments, the greatest weight among them, and
     their texts in order. A segment's caption is what of the captions overlaps it,
-    in order, without repeats; only where there is one are texts compared.
+    in order, without repeats; only where there is one are texts compared (it differs
+    if its similarity is below the bound).
     Segments that overlap nothing, and an empty relation, do no harm.
     """
     by = [*keys, segment_id]
     over = intervals.interval_join(segments.select(*by, "start_ms", "end_ms"), captions.select(*keys, F.col("start_ms").alias("cs"), F.col("end_ms").alias("ce"), F.col("text").alias("caption")), keys, ("start_ms", "end_ms"), ("cs", "ce"))
     heard = over.groupBy(*by).agg(F.array_join(text.compacted_texts(F.transform(F.array_sort(F.collect_list(F.struct("cs", "ce", "caption"))), lambda x: x["caption"])), " ").alias("caption"))
-    compared = segments.select(*by, "text").join(heard.filter("caption <> ''"), by).select(*by, "caption", text.similarity(text.normalized(F.col("text")), text.normalized(F.col("caption"))).alias("caption_similarity"))
+    compared = segments.select(*by, "text").join(heard.filter("caption <> ''"), by).select(*by, "caption", text.less_similar(text.normalized(F.col("text")), text.normalized(F.col("caption")), similarity).alias("caption_differs"))
     rows = segments.join(compared, by, "left").fillna("", ["caption"])
     marked = rows.withColumn("reasons", reasons_of(rows, names, markers, **bounds)).filter(F.size("reasons") > 0)
     scored = marked.withColumns({"priority": select.priority(F.col("reasons"), WEIGHTS, 10), "segment_ids": F.array(F.col(segment_id)), "primary_text": F.trim("text"), "caption_text": F.col("caption")})
