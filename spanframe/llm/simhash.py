@@ -12,10 +12,11 @@ more than NODE_ROWS fingerprints being cut in blocks, so that no task holds more
 than two blocks. The levels below are walked inside a task on sorted arrays. A
 task returns a forest, not all its pairs, so large groups stay linear in size.
 
-one_of_each asks for a similarity instead. Fingerprints of texts at 0.8 differ in
+one_of_each asks for a similarity besides. Its links are those of the same walks,
+confirmed by the shingles themselves. But fingerprints of texts at 0.8 differ in
 about 10 bits, and a trie with such a budget is next to a comparison of all pairs;
-so its candidates come from bands of minima of the same shingle hashes, and each is
-confirmed by the shingles themselves.
+so texts that the walks leave apart are then compared where bands of minima of the
+same shingle hashes are equal, and confirmed likewise.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ AT_ONCE = 1 << 20
 #: Bands of one_of_each and minima in a band: of pairs at 0.8, 1 - (1 - 0.8 ** 5) ** 24 = 0.9999 share one.
 BANDS, BAND_ROWS = 24, 5
 
+#: Texts sketched at once.
+SKETCH_ROWS = 1024
 #: Rows and bytes of text of a bucket's block.
 BUCKET_ROWS, BUCKET_BYTES = 2048, 4 << 20
 #: How many standard deviations fewer minima than expected may agree: 3 of 100,000 pairs at the threshold have fewer.
@@ -290,22 +293,26 @@ def band_keys(least: np.ndarray) -> np.ndarray:
 
 
 def sketches(rows: DataFrame, shingle: int) -> DataFrame:
-    """rows: (id, tie, text). (id, tie, digest, bands, marks): the digest of the words in lower case, band_keys of the shingles, and 16 bits of each of their minima."""
+    """rows: (id, tie, text). (id, tie, digest, fp, bands, marks): the digest of the words in lower case, the fingerprint and band_keys of the shingles, and 16 bits of each of their minima."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            digests, keys, marks = [], [], []
-            for text in batch.column(2):
-                words = words_of(text.as_py())
-                digests.append(xxhash.xxh3_128_digest(b" ".join(words).lower()))
-                least = minima(np.array(shingle_hashes(words, shingle), np.uint64))
-                keys.append(band_keys(least).view(np.int64))
-                marks.append((least >> np.uint64(40)).astype("<u2").tobytes())
-            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            bands = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * BANDS, pa.int32()), pa.array(flat, pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digests, pa.binary()), bands, pa.array(marks, pa.binary())], names=["id", "tie", "digest", "bands", "marks"])
-
-    return rows.mapInArrow(run, "id bigint, tie bigint, digest binary, bands array<bigint>, marks binary")
+        for whole in batches:
+            for s in range(0, whole.num_rows, SKETCH_ROWS):
+                batch = whole.slice(s, SKETCH_ROWS)
+                digests, hashes, keys, marks = [], [], [], []
+                for text in batch.column(2):
+                    words = words_of(text.as_py())
+                    digests.append(xxhash.xxh3_128_digest(b" ".join(words).lower()))
+                    hashes.append(np.array(shingle_hashes(words, shingle), np.uint64))
+                    least = minima(hashes[-1])
+                    keys.append(band_keys(least).view(np.int64))
+                    marks.append((least >> np.uint64(40)).astype("<u2").tobytes())
+                fp = majority(np.concatenate(hashes), np.array(list(map(len, hashes)), np.int64))
+                bands = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * BANDS, pa.int32()), pa.array(np.concatenate(keys), pa.int64()))
+                columns = [batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(fp.view(np.int64), pa.int64()), bands, pa.array(marks, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "tie", "digest", "fp", "bands", "marks"])
+
+    return rows.mapInArrow(run, "id bigint, tie bigint, digest binary, fp bigint, bands array<bigint>, marks binary")
 
 
 def likely(x: int, right: np.ndarray, band: int, keys: np.ndarray, marks: np.ndarray, enough: int) -> np.ndarray:
@@ -410,28 +417,42 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: floa
     return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
+def walked_pairs(reps: DataFrame, bits: int = 4) -> DataFrame:
+    """reps: (node, fp). Pairs (a, b), a < b, that join what fingerprints of at most bits differing bits join: those of similar_fingerprints, and of an equal fingerprint each node with the least."""
+    prints = written(reps.groupBy("fp").agg(F.min("node").alias("rep")), "prints")
+    equal = reps.join(prints, "fp").filter("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b"))
+    links = similar_fingerprints(prints, bits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return links.unionByName(equal).distinct()
+
+
 def similar_rows(rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """rows: (id, tie, text) with no null id. (id, tie, component): id and tie of each text, once, and the component of all confirmed links.
 
-    Candidates are texts with an equal band. A bucket of equal bands is first
+    Links come from the trie of fingerprints first. What these leave apart are
+    candidates where a band is equal. A bucket of equal bands is first
     compared with its hub, the node that shares most, which joins dense groups in
     linear work; of the others, those in different components so far are compared
     inside tasks, by their minima and, where these agree often enough, by their shingles.
     """
     own = written(sketches(rows, shingle), "sketches")
-    reps = own.groupBy("digest").agg(F.min(F.struct("id", "tie", "bands", "marks")).alias("r"))
+    reps = own.groupBy("digest").agg(F.min(F.struct("id", "tie", "fp", "bands", "marks")).alias("r"))
     reps = written(reps.select(F.monotonically_increasing_id().alias("node"), "r.*"), "texts")
+    walked = written(walked_pairs(reps.select("node", "fp")), "walked")
     banded = reps.select("node", F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")
     sharing = written(banded.join(shared, ["band", "key"]), "sharing")
+    used = sharing.select("node").unionByName(walked.select(F.explode(F.array("a", "b")).alias("node"))).distinct().join(reps.select("node", "id", "tie"), "node")
+    texts = written(rows.join(used, ["id", "tie"]).select("node", "text", F.octet_length("text").cast("bigint").alias("n_bytes")).dropDuplicates(["node"]), "candidates")
+    links = written(confirmed(walked, texts, shingle, similarity), "links")
+    parts = connected_components(links, "near")
     # the node that shares most buckets with most others is likely the text that the others were made from
     weight = written(sharing.groupBy("node").agg(F.sum("n").alias("w")), "weights")
     hubs = written(sharing.join(weight, "node").groupBy("band", "key").agg(F.min(F.struct(-F.col("w"), "node")).alias("h")).select("band", "key", F.col("h.node").alias("hub")), "hubs")
-    members = written(sharing.drop("n").join(hubs, ["band", "key"]), "buckets")
-    used = members.select("node").distinct().join(reps.select("node", "id", "tie"), "node")
-    texts = written(rows.join(used, ["id", "tie"]).select("node", "text", F.octet_length("text").cast("bigint").alias("n_bytes")).dropDuplicates(["node"]), "candidates")
-    stars = written(members.filter("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct(), "stars")
-    links = written(confirmed(stars, texts, shingle, similarity), "links")
+    hub_parts = hubs.join(parts.withColumnRenamed("node", "hub"), "hub", "left").select("band", "key", "hub", F.coalesce("component", "hub").alias("hub_part"))
+    members = written(sharing.drop("n").join(hub_parts, ["band", "key"]), "buckets")
+    apart = members.join(parts, "node", "left").filter(F.coalesce("component", "node") != F.col("hub_part"))
+    stars = written(apart.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct(), "stars")
+    links = links.unionByName(written(confirmed(stars, texts, shingle, similarity), "links"))
     parts = connected_components(links, "near")
     placed = members.join(parts, "node", "left").select("band", "key", "node", F.coalesce("component", "node").alias("part"))
     mixed = placed.groupBy("band", "key").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("band", "key")

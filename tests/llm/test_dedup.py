@@ -211,6 +211,26 @@ def test_one_of_each_follows_chains_within_a_bucket(spark, monkeypatch):
     assert sorted(r[0] for r in simhash.one_of_each(rows, shingle=5).collect()) == [0, 8]
 
 
+def test_one_of_each_links_by_the_trie(spark, monkeypatch):
+    """Without any equal bands, fingerprints that differ in 4 bits at most and confirmed shingles are links; unlike texts of one fingerprint aren't."""
+    import random
+
+    monkeypatch.setattr(simhash, "band_keys", lambda least: np.frombuffer(np.random.bytes(8 * simhash.BANDS), np.uint64))
+    rng = random.Random(2)
+    texts = []
+    for k in range(40):
+        base = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        texts += [" ".join(base), " ".join([*base[:150], f"x{k}", *base[151:]])]
+    # the shingle that all repeat sets every bit
+    texts += [" ".join(["na"] * 3000 + [f"y{k}-{n}" for n in range(700)]) for k in range(2)]
+    fps = simhash.fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), shingle=5)
+    fp = {r["doc_id"]: r["fp"] & (1 << 64) - 1 for r in fps.collect()}
+    near = {2 * k + 1 for k in range(40) if (fp[2 * k] ^ fp[2 * k + 1]).bit_count() <= 4}
+    assert len(near) > 20 and fp[80] == fp[81]
+    kept = simhash.one_of_each(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), shingle=5)
+    assert {r["doc_id"] for r in kept.collect()} == set(range(len(texts))) - near
+
+
 def test_components_of_long_paths_and_stars(spark):
     edges = [(k, k + 1) for k in range(60)] + [(1000, k) for k in range(1001, 1400)] + [(2000, 2000)]
     got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()))
