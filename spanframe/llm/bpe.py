@@ -17,17 +17,17 @@ import hashlib
 import os
 import re
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Entries of a worker's table of encoded pieces, which starts anew beyond that: what costs most to encode is kept longest.
-MEMO_ENTRIES = {"tiktoken": 250_000, "tokenizers": 1_000_000}
+#: Entries of a worker's table of encoded pieces, of 0.15 to 0.25 KB each: two workers have to stand beside an executor's full heap.
+MEMO_ENTRIES = {"tiktoken": 250_000, "tokenizers": 600_000}
 #: Characters of text that are encoded together.
-CHUNK_CHARS = 4 << 20
+CHUNK_CHARS = 2 << 20
 #: Words in one call of the library.
 JOINED = 256
 
@@ -40,6 +40,27 @@ def _ids_bytes(ids) -> bytes:
     return array("I", ids).tobytes()
 
 
+class Memo:
+    """A table in two generations, of about most entries: when the new one has half as many, it becomes the old one, and what is asked for again moves on."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.now: dict[str, bytes | None] = {}
+        self.old: dict[str, bytes | None] = {}
+
+    def turn(self) -> None:
+        if len(self.now) > self.most // 2:
+            self.old, self.now = self.now, {}
+
+    def missing(self, keys: set[str]) -> set[str]:
+        """Those of keys that it doesn't hold; all others are in now."""
+        new = keys.difference(self.now)
+        held = [k for k in new if k in self.old]
+        self.now.update(zip(held, map(self.old.__getitem__, held), strict=True))
+        new.difference_update(held)
+        return new
+
+
 class PieceEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids.
 
@@ -51,10 +72,9 @@ class PieceEncoder:
     """
 
     def __init__(self, many: Callable[[list[str]], list], spaced: np.ndarray, most: int):
-        self.many, self.spaced, self.most = many, spaced, most
-        self.after: dict[str, bytes | None] = {}  # by piece without the space in front; None: not a safe piece
-        self.words: dict[str, bytes] = {}  # by word without the space in front
-        self.rests: dict[str, bytes] = {"": b""}
+        self.many, self.spaced = many, spaced
+        self.after = Memo(most)  # by piece, and by its letters alone, without the space in front; None: not a safe piece
+        self.rests = Memo(most)
 
     def _encode(self, strings: list[str]) -> list[bytes]:
         return [_ids_bytes(x) for x in self.many(strings)] if strings else []
@@ -65,43 +85,41 @@ class PieceEncoder:
             ids = np.array(ids, np.uint32)
             cuts = np.flatnonzero(self.spaced[ids])
             if len(cuts) != len(run) or cuts[0]:
-                self.words.update(zip(run, self._encode([f" {w}" for w in run]), strict=True))
+                self.after.now.update(zip(run, self._encode([f" {w}" for w in run]), strict=True))
                 continue
             data, ends = ids.astype("<u4").tobytes(), [*(4 * cuts[1:]).tolist(), 4 * len(ids)]
-            begin = 0
-            for w, end in zip(run, ends, strict=True):
-                self.words[w] = data[begin:end]
-                begin = end
+            self.after.now.update(zip(run, [data[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
 
     def _learn(self, found: set[str]) -> None:
-        split, whole = [], []
-        for p in found.difference(self.after):
-            m = _letters.match(p)
+        words, split, whole = [], [], []
+        after, letters = self.after.now, _letters.match
+        for p in self.after.missing(found):
+            m = letters(p)
             if m is None:
                 if p and not p[0].isspace() and not p[-1].isspace():
                     whole.append(p)
                 else:
-                    self.after[p] = None
+                    after[p] = None
                 continue
             k = m.end()
-            rest = p[k:]
-            if rest and p[-1].isspace():
-                self.after[p] = None
-            elif rest and rest[0] > "\x7f":  # perhaps a letter
+            if k == len(p):
+                words.append(p)
+            elif p[-1].isspace():
+                after[p] = None
+            elif p[k] > "\x7f":  # perhaps a letter
                 whole.append(p)
             else:
-                split.append((p, p[:k], rest))
-        self._learn_words(list({w for _, w, _ in split}.difference(self.words)))
-        rests = list({r for _, _, r in split}.difference(self.rests))
-        self.rests.update(zip(rests, self._encode(rests), strict=True))
-        self.after.update((p, self.words[w] + self.rests[r]) for p, w, r in split)
-        self.after.update(zip(whole, self._encode([f" {p}" for p in whole]), strict=True))
+                split.append((p, p[:k], p[k:]))
+        others = self.after.missing({w for _, w, _ in split})
+        self._learn_words(words + list(others.difference(words)))
+        rests = list(self.rests.missing({r for _, _, r in split}))
+        self.rests.now.update(zip(rests, self._encode(rests), strict=True))
+        after.update([(p, after[w] + self.rests.now[r]) for p, w, r in split])
+        after.update(zip(whole, self._encode([f" {p}" for p in whole]), strict=True))
 
     def texts(self, texts: list[str]) -> list[bytes]:
-        for table in (self.after, self.words, self.rests):
-            if len(table) > self.most:
-                table.clear()
-        self.rests[""] = b""
+        self.after.turn()
+        self.rests.turn()
         split = [t.split(" ") for t in texts]
         found: set[str] = set()
         for parts in split:
@@ -114,7 +132,7 @@ class PieceEncoder:
                 # a head that ends in white space would join the space behind it
                 if parts[0][-1:].isspace() and len(parts) > 1:
                     raise TypeError
-                out.append(head + b"".join(map(self.after.__getitem__, parts[1:])))
+                out.append(head + b"".join(map(self.after.now.__getitem__, parts[1:])))
             except TypeError:  # white space beside a space: split only where it is safe
                 out.append(b"".join(self._encode(_safe.split(text))))
         return out
@@ -156,7 +174,7 @@ def tokenizers_encoder(path: str) -> PieceEncoder:
     return _made["tokenizers", path][0]
 
 
-def chunks(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
+def chunks(texts: Iterable[str | None]) -> Iterator[tuple[int, list[str]]]:
     """(first index, texts) of runs of about CHUNK_CHARS; null is empty."""
     first, run, size = 0, [], 0
     for i, t in enumerate(texts):
@@ -182,7 +200,7 @@ def encode_decode(docs: DataFrame, rank_file: str, id_col: str = "doc_id", text_
         encoder, encoding = tiktoken_encoder(rank_file)
         sha = lambda b: hashlib.sha256(b).hexdigest()
         for batch in batches:
-            for first, texts in chunks(batch.column(1).to_pylist()):
+            for first, texts in chunks(x.as_py() for x in batch.column(1)):
                 coded = encoder.texts(texts)
                 plain = [encoding.decode_bytes(array("I", x).tolist()) if x else b"" for x in coded]
                 columns = [

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from array import array
 from collections import Counter
@@ -37,6 +38,19 @@ def test_pieces_encode_as_whole_texts(tokenizer):
         assert tik.texts([t])[0] == array("I", encoding.encode_ordinary(t)).tobytes()
 
 
+def test_encoders_hold_bounded_tables(tokenizer):
+    """However many unlike words a worker meets, it holds little, and codes them as the library does."""
+    ours, rng = bpe.tokenizers_encoder(public_tokenizers.path("byte_bpe_50k.json")), random.Random(8)
+    texts = [" ".join(f"{rng.choice('abcdefghij')}{''.join(rng.choices('aeioulmnrst', k=7))}, known words" for _ in range(25_000)) for _ in range(28)]
+    tracemalloc.start()
+    for t in texts[:-1]:
+        ours.texts([t])
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 140e6
+    assert ours.texts([texts[-1]])[0] == array("I", tokenizer.encode(texts[-1], add_special_tokens=False).ids).tobytes()
+
+
 def test_encode_decode(spark):
     encoding = bpe.tiktoken_encoding(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     sha = lambda b: hashlib.sha256(b).hexdigest()
@@ -295,3 +309,12 @@ def test_classifier_edges(spark):
     nothing = classifier.fit(empty(spark), labels.limit(0))
     assert classifier.scored(documents(spark), nothing).select("score").distinct().count() == 1
     assert classifier.scored(empty(spark), model).count() == 0
+
+
+def test_memo_keeps_what_is_asked_for_again():
+    memo = bpe.Memo(100)
+    for k in range(40):
+        memo.turn()
+        asked = {"often", *(f"{k}-{n}" for n in range(20))}
+        memo.now.update(dict.fromkeys(new := memo.missing(asked), b""))
+        assert asked <= set(memo.now) and len(memo.now) + len(memo.old) <= 150 and ("often" in new) == (k == 0)
