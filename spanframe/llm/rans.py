@@ -87,7 +87,7 @@ def encode_frame(ids: np.ndarray, lengths: np.ndarray, doc_ids: np.ndarray) -> b
     begin = np.concatenate(([0], np.cumsum(BLOCK_IDS - put))).astype("<u4")
     crcs = np.array([zlib.crc32(ids[b * BLOCK_IDS : (b + 1) * BLOCK_IDS].astype("<u4").tobytes()) for b in range(blocks)], "<u4")
     table = zlib.compress(np.diff(symbols.astype("<u4"), prepend=np.uint32(0)).tobytes() + freq.astype("<u4").tobytes(), 1)
-    flat = words[np.arange(BLOCK_IDS) >= put[:, None]].astype("<u4")
+    flat = words[np.arange(BLOCK_IDS) >= put[:, None]].astype("<u4", copy=False)
     return b"".join((head(bits, len(symbols), blocks), struct.pack("<I", len(docs)), docs, struct.pack("<I", len(table)), table, states.astype("<u8").tobytes(), begin.tobytes(), crcs.tobytes(), flat.tobytes()))
 
 
@@ -171,16 +171,17 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, i
 
         def closed() -> pa.RecordBatch:
             nonlocal frame, before, ids, names, held
-            all_ids = np.frombuffer(b"".join(ids), "<u4")
+            lengths, all_ids = np.array([len(x) // 4 for x in ids]), np.frombuffer(b"".join(ids), "<u4")
+            n_docs, ids = len(ids), []
             # the smallest bigint stands for a null id
-            body = encode_frame(all_ids, np.array([len(x) // 4 for x in ids]), np.array([-(1 << 63) if x is None else x for x in names], np.int64))
-            row = {"part": [part], "frame": [frame], "part_start": [before], "n_docs": [len(ids)], "n_ids": [len(all_ids)], "body": [body]}
-            frame, before, ids, names, held = frame + 1, before + len(all_ids), [], [], 0
+            body = encode_frame(all_ids, lengths, np.array([-(1 << 63) if x is None else x for x in names], np.int64))
+            row = {"part": [part], "frame": [frame], "part_start": [before], "n_docs": [n_docs], "n_ids": [len(all_ids)], "body": [body]}
+            frame, before, names, held = frame + 1, before + len(all_ids), [], 0
             return pa.RecordBatch.from_pydict(row, pa.schema([("part", pa.int32()), ("frame", pa.int32()), ("part_start", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("body", pa.binary())]))
 
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            for first, texts in bpe.chunks(batch.column(1).to_pylist()):
+            for first, texts in bpe.chunks(x.as_py() for x in batch.column(1)):
                 for k, coded in enumerate(encoder.texts(texts)):
                     ids.append(coded + end)
                     names.append(doc_ids[first + k])
