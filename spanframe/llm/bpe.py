@@ -1,10 +1,12 @@
 """Byte-level BPE: encoding and decoding of whole texts.
 
 Texts are split where no pre-token of the usual byte-level pattern can
-straddle: in front of a single space that stands between two characters that
-aren't white space. Each piece is then encoded by the tokenizer's own library;
-pieces recur, so a worker keeps what it has encoded, in a table of bounded size.
-A long text needs no more memory than its pieces.
+straddle: in front of a space that stands behind a character other than white
+space, and between a letter and an ASCII character that is none. Arrow numbers
+the pieces of many texts by their distinct ones; each of these is then encoded
+by the tokenizer's own library; pieces recur, so a worker keeps what it has
+encoded, in a table of bounded size, and Arrow puts the ids of each text
+together. A long text needs no more memory than its pieces.
 
 Null and empty texts have no ids. Other columns pass through untouched where
 an operator keeps them; an operator's own columns replace like-named ones.
@@ -15,7 +17,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
-import re
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 
@@ -28,31 +29,36 @@ from pyspark.sql import functions as F
 MEMO_ENTRIES = {"tiktoken": 250_000, "tokenizers": 600_000}
 #: Characters of text that are encoded together.
 CHUNK_CHARS = 2 << 20
-#: Words in one call of the library.
+#: Words in one string that the library gets.
 JOINED = 256
 
-_safe = re.compile(r"(?<=\S)(?= \S)")
-#: Letters in front of a piece, of ranges that every version of Unicode has as letters.
-_letters = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
-
+#: Last bytes of white space beyond ASCII, and bytes in front of them.
+_white_last, _white_before = np.zeros(256, bool), np.zeros(256, bool)
+_white_last[[0x85, *range(0x80, 0x8B), 0x8E, 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]] = True
+_white_before[[0xC2, 0x9A, 0x80, 0x81, 0xA0]] = True
 
 def _ids_bytes(ids) -> bytes:
     return array("I", ids).tobytes()
 
 
+def _binary(ends: np.ndarray, data) -> pa.Array:
+    """Values of data between neighbouring ends."""
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
 class Memo:
     """A table in two generations, of about most entries: when the new one has half as many, it becomes the old one, and what is asked for again moves on."""
 
     def __init__(self, most: int):
         self.most = most
-        self.now: dict[str, bytes | None] = {}
-        self.old: dict[str, bytes | None] = {}
+        self.now: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def turn(self) -> None:
         if len(self.now) > self.most // 2:
             self.old, self.now = self.now, {}
 
-    def missing(self, keys: set[str]) -> set[str]:
+    def missing(self, keys: set[bytes]) -> set[bytes]:
         """Those of keys that it doesn't hold; all others are in now."""
         new = keys.difference(self.now)
         held = [k for k in new if k in self.old]
@@ -61,81 +67,76 @@ class Memo:
         return new
 
 
+def cuts(data: np.ndarray) -> np.ndarray:
+    """Where UTF-8 bytes may be cut: no pre-token goes on there, whatever stands on either side.
+
+    Letters are those of ranges that every version of Unicode has as letters; what may be white space beyond ASCII counts as such.
+    """
+    ascii_letter = ((data | 32) - np.uint8(97)) < 26
+    letter = ascii_letter.copy()  # at a letter's last byte
+    lead = np.flatnonzero((data - np.uint8(0xC3)) < 7)  # U+00C0 to U+024F
+    first, last = data[lead], data[lead + 1]
+    letter[lead + 1] = np.where(first == 0xC3, (last != 0x97) & (last != 0xB7), (first != 0xC9) | (last < 0x90))
+    space = data == 32
+    cut = np.zeros(len(data), bool)
+    cut[1:] = (letter[:-1] & (data[1:] < 128) & ~ascii_letter[1:]) | (space[1:] & ((data[:-1] - np.uint8(33)) < 94))
+    high = np.flatnonzero(space[2:] & (data[1:-1] >= 128)) + 2
+    cut[high] |= ~(_white_last[data[high - 1]] & _white_before[data[high - 2]])
+    return cut
+
+
 class PieceEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids.
 
     many: encodes a list of strings to a list of id sequences, each string by
-    itself. spaced: for each id, whether its token begins with a space. A run of
-    letters with its space is a pre-token of its own, so a piece is coded as its
-    letters and the rest; words are sent to the library in long strings, and since
-    only their first tokens begin with a space, the ids can be dealt to them again.
+    itself. spaced: for each id, whether its token begins with a space. Pieces of
+    a space and what isn't white space are sent to the library in long strings,
+    and since only their first tokens begin with a space, the ids can be dealt to
+    them again.
     """
 
     def __init__(self, many: Callable[[list[str]], list], spaced: np.ndarray, most: int):
         self.many, self.spaced = many, spaced
-        self.after = Memo(most)  # by piece, and by its letters alone, without the space in front; None: not a safe piece
-        self.rests = Memo(most)
+        self.pieces = Memo(most)
 
     def _encode(self, strings: list[str]) -> list[bytes]:
         return [_ids_bytes(x) for x in self.many(strings)] if strings else []
 
-    def _learn_words(self, new: list[str]) -> None:
-        runs = [new[s : s + JOINED] for s in range(0, len(new), JOINED)]
-        for run, ids in zip(runs, self.many(["".join(f" {w}" for w in run) for run in runs]) if runs else [], strict=True):
+    def _learn(self, new: list[bytes]) -> None:
+        words, others, now = [], [], self.pieces.now
+        for p in new:
+            text = p.decode()
+            (words if text[:1] == " " and text.split() == [text[1:]] else others).append((p, text))
+        now.update(zip((p for p, _ in others), self._encode([t for _, t in others]), strict=True))
+        runs = [words[s : s + JOINED] for s in range(0, len(words), JOINED)]
+        for run, ids in zip(runs, self.many(["".join(t for _, t in run) for run in runs]) if runs else [], strict=True):
             ids = np.array(ids, np.uint32)
-            cuts = np.flatnonzero(self.spaced[ids])
-            if len(cuts) != len(run) or cuts[0]:
-                self.after.now.update(zip(run, self._encode([f" {w}" for w in run]), strict=True))
-                continue
-            data, ends = ids.astype("<u4").tobytes(), [*(4 * cuts[1:]).tolist(), 4 * len(ids)]
-            self.after.now.update(zip(run, [data[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
-
-    def _learn(self, found: set[str]) -> None:
-        words, split, whole = [], [], []
-        after, letters = self.after.now, _letters.match
-        for p in self.after.missing(found):
-            m = letters(p)
-            if m is None:
-                if p and not p[0].isspace() and not p[-1].isspace():
-                    whole.append(p)
-                else:
-                    after[p] = None
+            at = np.flatnonzero(self.spaced[ids])
+            if len(at) != len(run) or at[0]:
+                now.update(zip((p for p, _ in run), self._encode([t for _, t in run]), strict=True))
                 continue
-            k = m.end()
-            if k == len(p):
-                words.append(p)
-            elif p[-1].isspace():
-                after[p] = None
-            elif p[k] > "\x7f":  # perhaps a letter
-                whole.append(p)
-            else:
-                split.append((p, p[:k], p[k:]))
-        others = self.after.missing({w for _, w, _ in split})
-        self._learn_words(words + list(others.difference(words)))
-        rests = list(self.rests.missing({r for _, _, r in split}))
-        self.rests.now.update(zip(rests, self._encode(rests), strict=True))
-        after.update([(p, after[w] + self.rests.now[r]) for p, w, r in split])
-        after.update(zip(whole, self._encode([f" {p}" for p in whole]), strict=True))
+            data, ends = ids.astype("<u4").tobytes(), [*(4 * at[1:]).tolist(), 4 * len(ids)]
+            now.update(zip((p for p, _ in run), [data[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
 
     def texts(self, texts: list[str]) -> list[bytes]:
-        self.after.turn()
-        self.rests.turn()
-        split = [t.split(" ") for t in texts]
-        found: set[str] = set()
-        for parts in split:
-            found.update(parts[1:])
-        self._learn(found)
-        heads = self._encode([parts[0] for parts in split])
-        out = []
-        for text, parts, head in zip(texts, split, heads, strict=True):
-            try:
-                # a head that ends in white space would join the space behind it
-                if parts[0][-1:].isspace() and len(parts) > 1:
-                    raise TypeError
-                out.append(head + b"".join(map(self.after.now.__getitem__, parts[1:])))
-            except TypeError:  # white space beside a space: split only where it is safe
-                out.append(b"".join(self._encode(_safe.split(text))))
-        return out
+        self.pieces.turn()
+        _, ends, data = pa.array(texts, pa.large_string()).buffers()
+        ends = np.frombuffer(ends, np.int64, len(texts) + 1)
+        if not ends[-1]:
+            return [b""] * len(texts)
+        cut = cuts(np.frombuffer(data, np.uint8, ends[-1]))
+        cut[ends[ends < ends[-1]]] = True
+        starts = np.append(np.flatnonzero(cut), ends[-1])
+        found = _binary(starts, data).dictionary_encode()
+        distinct = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.pieces.now.get, distinct))
+        if absent := {p for p, x in zip(distinct, ids, strict=True) if x is None}:
+            self._learn(list(self.pieces.missing(absent)))
+            ids = [self.pieces.now[p] if x is None else x for p, x in zip(distinct, ids, strict=True)]
+        id_ends = np.cumsum([0, *map(len, ids)], dtype=np.int64)
+        coded = _binary(id_ends, b"".join(ids)).take(found.indices)
+        own = np.frombuffer(coded.buffers()[1], np.int64, len(starts))[np.searchsorted(starts, ends)]
+        return _binary(own, coded.buffers()[2]).to_pylist()
 
 
 def tiktoken_encoding(path: str):

@@ -4,7 +4,7 @@ A frame is what one row of the file holds: up to FRAME_IDS ids of consecutive
 documents. Its frequency table is shared by all its blocks; a block is
 BLOCK_IDS ids, coded by two interleaved states, and can be decoded alone from
 its checkpoint: the states, and where its words begin. Every block has a crc32.
-Blocks of a frame are coded side by side, a numpy lane for each.
+Blocks of a frame are coded side by side, two numpy lanes for each.
 
 File: Parquet rows (part, frame, part_start, n_docs, n_ids, body), in ascending
 document order by (part, frame). Spark's own writers and readers move them, so
@@ -51,6 +51,15 @@ def shared_table(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, i
     return symbols.astype(np.uint32), index.astype(np.uint32), freq.astype(np.uint32), bits
 
 
+def _by_steps(grid: np.ndarray) -> np.ndarray:
+    """Blocks of ids by steps: in a step each of the two states takes an id of every block."""
+    return np.ascontiguousarray(grid.T).reshape(-1, 2, len(grid))
+
+
+def _by_blocks(steps: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(steps.reshape(BLOCK_IDS, -1).T)
+
+
 def encode_frame(ids: np.ndarray, lengths: np.ndarray, doc_ids: np.ndarray) -> bytes:
     """The body of a frame. ids: all ids of its documents; lengths: ids of each document."""
     n = len(ids)
@@ -61,33 +70,28 @@ def encode_frame(ids: np.ndarray, lengths: np.ndarray, doc_ids: np.ndarray) -> b
     symbols, index, freq, bits = shared_table(ids)
     start = np.concatenate(([0], np.cumsum(freq[:-1], dtype=np.uint64))).astype(np.uint64)
     blocks = -(-n // BLOCK_IDS)
-    grid = np.zeros(blocks * BLOCK_IDS, np.uint32)
+    grid = np.zeros(blocks * BLOCK_IDS, np.intp)
     grid[:n] = index
-    grid = grid.reshape(blocks, BLOCK_IDS)
-    f64, up = freq.astype(np.uint64), np.uint64(bits)
-    limit = f64 << np.uint64(63 - bits)
+    grid = _by_steps(grid.reshape(blocks, BLOCK_IDS))
+    f64, rest = freq.astype(np.uint64), np.uint64(1 << bits) - freq
     states = np.full((2, blocks), LOW, np.uint64)
-    words = np.zeros((blocks, BLOCK_IDS), np.uint32)
-    put = np.full(blocks, BLOCK_IDS, np.int64)
-    rows = np.arange(blocks)
+    words, full = np.zeros(grid.shape, np.uint32), np.zeros(grid.shape, bool)
     last = n - (blocks - 1) * BLOCK_IDS
-    for i in range(BLOCK_IDS - 1, -1, -1):
-        k = blocks if i < last else blocks - 1  # the last block may be short
-        if not k:
-            continue
-        symbol, x = grid[:k, i], states[i & 1, :k]
-        full = x >= limit[symbol]
-        at = rows[:k][full]
-        put[at] -= 1
-        words[at, put[at]] = x[full].astype(np.uint32)
-        x = np.where(full, x >> np.uint64(32), x)
+    for i in range(len(grid) - 1, -1, -1):
+        symbol, x = grid[i], states
         f = f64[symbol]
-        q = x // f
-        states[i & 1, :k] = (q << up) + (x - q * f) + start[symbol]
-    begin = np.concatenate(([0], np.cumsum(BLOCK_IDS - put))).astype("<u4")
+        np.greater_equal(x, f << np.uint64(63 - bits), out=full[i])
+        if 2 * i + 2 > last:  # the last block may be short
+            full[i, max(0, last - 2 * i) :, -1] = False
+        words[i] = x
+        x = x >> (full[i] * np.uint64(32))
+        states = x + x // f * rest[symbol] + start[symbol]
+        if 2 * i + 2 > last:
+            states[max(0, last - 2 * i) :, -1] = LOW
+    begin = np.concatenate(([0], np.cumsum(full.sum((0, 1))))).astype("<u4")
     crcs = np.array([zlib.crc32(ids[b * BLOCK_IDS : (b + 1) * BLOCK_IDS].astype("<u4").tobytes()) for b in range(blocks)], "<u4")
     table = zlib.compress(np.diff(symbols.astype("<u4"), prepend=np.uint32(0)).tobytes() + freq.astype("<u4").tobytes(), 1)
-    flat = words[np.arange(BLOCK_IDS) >= put[:, None]].astype("<u4", copy=False)
+    flat = _by_blocks(words)[_by_blocks(full)].astype("<u4", copy=False)
     return b"".join((head(bits, len(symbols), blocks), struct.pack("<I", len(docs)), docs, struct.pack("<I", len(table)), table, states.astype("<u8").tobytes(), begin.tobytes(), crcs.tobytes(), flat.tobytes()))
 
 
@@ -122,23 +126,24 @@ def decode_frame(body: bytes, only: range | None = None) -> tuple[np.ndarray, np
     words = take("<u4", int(begin[-1]))
     chosen = np.arange(blocks)[slice(None) if only is None else slice(only.start, only.stop)]
     x2, at_word = states[:, chosen].copy(), begin[chosen].astype(np.int64)
-    words = np.concatenate((words, np.zeros(1, "<u4")))
+    words = np.concatenate((words, np.zeros(2, "<u4")))
     start = np.concatenate(([0], np.cumsum(freq[:-1], dtype=np.uint64))).astype(np.uint64)
     of_slot = np.repeat(np.arange(n_symbols, dtype=np.uint32), freq)
     f64, up, mask = freq.astype(np.uint64), np.uint64(bits), np.uint64((1 << bits) - 1)
     sizes = np.minimum(BLOCK_IDS, n - chosen * BLOCK_IDS)
-    grid = np.zeros((len(chosen), BLOCK_IDS), np.uint32)
-    for i in range(int(sizes.max(initial=0))):
-        k = len(chosen) if i < sizes[-1] else len(chosen) - 1
-        x = x2[i & 1, :k]
-        slot = x & mask
-        symbol = of_slot[slot]
-        grid[:k, i] = symbol
-        x = f64[symbol] * (x >> up) + slot - start[symbol]
+    grid = np.zeros((BLOCK_IDS // 2, 2, len(chosen)), np.uint32)
+    for i in range(-(-int(sizes.max(initial=0)) // 2)):
+        slot = x2 & mask
+        symbol = of_slot[slot.view(np.int64)].astype(np.intp)
+        grid[i] = symbol
+        x = f64[symbol] * (x2 >> up) + slot - start[symbol]
         low = x < LOW
-        x = np.where(low, (x << np.uint64(32)) | words[np.where(low, at_word[:k], len(words) - 1)], x)
-        at_word[:k] += low
-        x2[i & 1, :k] = x
+        if 2 * i + 2 > sizes[-1]:  # the last block may be short
+            low[max(0, sizes[-1] - 2 * i) :, -1] = False
+        x2 = np.where(low, (x << np.uint64(32)) | words[np.stack((at_word, at_word + low[0]))], x)
+        at_word += low[0]
+        at_word += low[1]
+    grid = _by_blocks(grid)
     ids = symbols[grid.reshape(-1)[: int(sizes.sum())]] if len(chosen) else np.zeros(0, np.uint32)
     for k, b in enumerate(chosen):
         if zlib.crc32(ids[k * BLOCK_IDS : (k + 1) * BLOCK_IDS].astype("<u4").tobytes()) != crcs[b]:

@@ -51,6 +51,20 @@ def test_encoders_hold_bounded_tables(tokenizer):
     assert ours.texts([texts[-1]])[0] == array("I", tokenizer.encode(texts[-1], add_special_tokens=False).ids).tobytes()
 
 
+def test_known_pieces_are_not_sent_again(tokenizer):
+    """Words with marks are sent as words and marks; once known, no part of a text goes to the library, whatever white space it has."""
+    made, sent = bpe.tokenizers_encoder(public_tokenizers.path("byte_bpe_50k.json")), []
+    ours = bpe.PieceEncoder(lambda strings: sent.extend(strings) or made.many(strings), made.spaced, 10_000)
+    words = [f"{a}{b}zé{c}" for a in "abcdefgh" for b in "aeiou" for c in "klmnop"]
+    ours.texts([" ".join(w + mark for w in words for mark in ("", ",", "***", "'s"))])
+    assert sum(map(len, sent)) < 2 * sum(map(len, words))
+    text = "Known  words.\n And\tsome \n\n " + " ".join(words) + " \n"
+    want = array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+    assert ours.texts([text, "", text]) == [want, b"", want]
+    sent.clear()
+    assert ours.texts(["", text]) == [b"", want] and not sent
+
+
 def test_encode_decode(spark):
     encoding = bpe.tiktoken_encoding(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     sha = lambda b: hashlib.sha256(b).hexdigest()
