@@ -8,8 +8,12 @@ their homes has one on each side, so one of them is within half of that of the
 border: every link is found, whatever the centroids are. Only the number of
 cells that a vector is put into depends on the data.
 
-Equal vectors are compared once and counted by their number. A task compares two
-blocks of at most BLOCK_ROWS vectors of one cell and returns a count for each
+Equal vectors are compared once and counted by their number. Vectors are packed
+in blocks of whole cells, at most about BLOCK_ROWS of them, a row a block; blocks
+meet as a Cartesian product of that small table with itself, so no copy of a
+vector is shuffled for the cells that it visits. A task works out which vectors
+visit which cells of the other block, multiplies those in single precision, looks
+again at what is next to the threshold in double, and returns a count for each
 vector and a forest of its links, so groups of any size stay bounded.
 """
 
@@ -19,8 +23,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from spanframe.llm.common import written
 from spanframe.llm.components import connected_components, forest
@@ -29,7 +34,10 @@ from spanframe.llm.components import connected_components, forest
 SAMPLE_ROWS = 20_000
 #: Distinct vectors for which there is one cell, and the most cells.
 CELL_ROWS, MOST_CELLS = 500, 2048
-BLOCK_ROWS = 4096
+#: Vectors of a block at most, about, and the least number of blocks of a table that isn't small.
+BLOCK_ROWS, LEAST_BLOCKS = 16_384, 24
+#: Products looked at at once.
+PRODUCTS = 1 << 20
 ROUNDS = 8
 
 
@@ -59,9 +67,14 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def _numbers(rows: DataFrame, vector_col: str) -> Column:
+    """The vector as doubles; floats stay floats, which are half as large and the same numbers."""
+    return F.col(vector_col) if rows.schema[vector_col].dataType == ArrayType(FloatType()) else F.col(vector_col).cast("array<double>")
+
+
 def distinct_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(v, rep, n): each usable vector once, with its smallest id and its number of rows."""
-    v = F.col(vector_col).cast("array<double>")
+    v = _numbers(rows, vector_col)
     usable = v.isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists(v, lambda x: x != 0)
     return rows.filter(usable & F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), v.alias("v")).groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
 
@@ -77,7 +90,7 @@ def near_vectors(rows: DataFrame, threshold: float = 0.9, id_col: str = "vec_id"
     Further columns are not read.
     """
     spark = rows.sparkSession
-    own = rows.select(F.col(id_col).cast("bigint").alias(id_col), F.col(vector_col).cast("array<double>").alias("v"))
+    own = rows.select(F.col(id_col).cast("bigint").alias(id_col), _numbers(rows, vector_col).alias("v"))
     groups = written(distinct_vectors(rows, id_col, vector_col), "vectors")
     sizes = groups.groupBy(F.size("v").alias("width")).count().collect()  # a row for each length of vectors
     edges, counts = spark.createDataFrame([], "a bigint, b bigint"), groups.select("rep", (F.col("n") - 1).alias("links"))
@@ -102,72 +115,136 @@ def _links(groups: DataFrame, n: int, threshold: float) -> DataFrame:
     if not len(sample):  # a few vectors, none of them in the sample: one cell holds them all
         centroids = None
 
+    def at_home(batch: pa.RecordBatch) -> np.ndarray:
+        found = [np.zeros(0, np.int64)]
+        for s in range(0, batch.num_rows, 2048):
+            x = _unit(_matrix(batch.column(0).slice(s, 2048)))
+            found.append((x @ centroids.T).argmax(axis=1) if centroids is not None else np.zeros(len(x), np.int64))
+        return np.concatenate(found)
+
+    def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell, times = np.unique(at_home(batch), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(times, pa.int64())], names=["home", "times"])
+
+    # a row a cell
+    sizes = dict(map(tuple, groups.select("v").mapInArrow(homes, "home int, times bigint").groupBy("home").agg(F.sum("times")).collect()))
+    block_rows = max(1, min(BLOCK_ROWS, -(-n // LEAST_BLOCKS)))
+    first, parts, block, held = {}, {}, 0, 0
+    for cell in sorted(sizes):
+        if held and held + sizes[cell] > block_rows:
+            block, held = block + 1, 0
+        # a larger cell is cut by a hash of ids
+        first[cell], parts[cell], held = block, -(-sizes[cell] // block_rows), held + sizes[cell]
+        if parts[cell] > 1:
+            block, held = block + parts[cell], 0
+    n_blocks = block + 1
+    first_of, parts_of = (np.array([of.get(cell, default) for cell in range(max(sizes, default=0) + 1)]) for of, default in ((first, 0), (parts, 1)))
+
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        between = None
         for batch in batches:
-            for s in range(0, batch.num_rows, 2048):
-                part = batch.slice(s, 2048)
-                x = _unit(_matrix(part.column(0)))
-                c = centroids if centroids is not None else np.eye(1, x.shape[1])
-                if between is None:
-                    between = margin * np.sqrt(np.maximum(0, 2 - 2 * (c @ c.T)))
-                dots = x @ c.T
-                home = dots.argmax(axis=1)
-                near = dots[np.arange(len(x)), home][:, None] - dots <= between[home]
-                near[np.arange(len(x)), home] = False
-                at, other = np.nonzero(near)
-                cuts = np.concatenate(([0], np.cumsum(near.sum(axis=1)))).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(other.astype(np.int32)))
-                flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * x.shape[1]), len(x), [None, pa.py_buffer(np.ascontiguousarray(x).tobytes())])
-                yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), pa.array(home.astype(np.int32)), lists, flat.cast(pa.binary())], names=["rep", "n", "home", "near", "x"])
-
-    placed = written(groups.select("v", "rep", "n").mapInArrow(dealt, "rep bigint, n bigint, home int, near array<int>, x binary"), "placed")
-    at_home = placed.groupBy("home").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("n_home"))  # a row a cell
-    visiting = placed.select(F.explode("near").alias("home")).groupBy("home").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("n_visit"))
-    blocks = written(at_home.join(visiting, "home", "left").select("home", "n_home", F.coalesce("n_visit", F.lit(0)).alias("n_visit")), "cells")
-    salt = lambda many: F.expr(f"cast(pmod(xxhash64(rep), {many}) as int)")
-    seq = lambda many: F.filter(F.sequence(F.lit(0), many), lambda k: k < many)
-    # a task (cell, i, kind, j) compares home block i with home block j >= i, or with visiting block j
-    mine = placed.join(F.broadcast(blocks), "home").withColumn("i", salt("n_home"))
-    tasks = F.concat(
-        F.transform(seq(F.col("n_home")), lambda k: F.struct(F.least("i", k).alias("i"), F.lit(0).alias("kind"), F.greatest("i", k).alias("j"), (k < F.col("i")).cast("int").alias("side"))),
-        F.transform(seq(F.col("n_visit")), lambda k: F.struct(F.col("i").alias("i"), F.lit(1).alias("kind"), k.alias("j"), F.lit(0).alias("side"))),
-    )
-    homes = mine.select("rep", "n", F.col("home").alias("cell"), "home", "near", "x", F.explode(tasks).alias("t"))
-    guests = placed.withColumn("cell", F.explode("near")).join(F.broadcast(blocks.withColumnRenamed("home", "cell")), "cell").withColumn("j", salt("n_visit"))
-    guests = guests.select("rep", "n", "cell", "home", F.array().cast("array<int>").alias("near"), "x", F.explode(F.transform(seq(F.col("n_home")), lambda k: F.struct(k.alias("i"), F.lit(1).alias("kind"), F.col("j").alias("j"), F.lit(1).alias("side")))).alias("t"))
-    all_tasks = homes.unionByName(guests).select("rep", "n", "cell", "home", "near", "x", "t.*")
-
-    def compared(key: tuple, table: pa.Table) -> pa.Table:
-        cell, i, kind, j = (k.as_py() for k in key)
-        rep, weight, home, side = (table.column(c).to_numpy() for c in ("rep", "n", "home", "side"))
-        x = np.frombuffer(b"".join(table.column("x").to_pylist()), np.float64).reshape(len(rep), -1)
-        same = kind == 0 and i == j
-        left = np.flatnonzero(side == 0)
-        right = left if same else np.flatnonzero(side == 1)
-        sums = np.zeros(len(rep), np.int64)
-        known: list[tuple[np.ndarray, np.ndarray]] = []
-        also = None
-        if kind:  # whether a home vector visits the home of its guest: then the lower of the two cells counts the pair
-            near = table.column("near").combine_chunks()
-            also = np.zeros((len(rep), 1 + max(int(home.max(initial=0)), int(near.values.to_numpy().max(initial=0)))), bool)
-            also[np.repeat(np.arange(len(rep)), near.value_lengths().to_numpy()), near.flatten().to_numpy()] = True
-        for s in range(0, len(left), 512):
-            p, q = np.nonzero(x[left[s : s + 512]] @ x[right].T >= threshold)
-            a, b = left[s : s + 512][p], right[q]
-            ok = a < b if same else np.ones(len(a), bool)
-            if kind:
-                ok = ~(also[a, home[b]] & (home[b] < cell))
-            a, b = a[ok], b[ok]
-            np.add.at(sums, a, weight[b])
-            np.add.at(sums, b, weight[a])
-            known.append(forest(a, b, len(rep)))
-        a, b = forest(np.concatenate([k[0] for k in known]), np.concatenate([k[1] for k in known]), len(rep)) if known else (np.zeros(0, int), np.zeros(0, int))
-        some = np.flatnonzero(sums)
-        return pa.table({
-            "a": pa.array(np.concatenate((rep[some], rep[a])), pa.int64()),
-            "b": pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(rep[b], pa.int64())]),
-            "links": pa.array(np.concatenate((sums[some], np.zeros(len(a), np.int64))), pa.int64()),
-        })
-
-    return all_tasks.groupBy("cell", "i", "kind", "j").applyInArrow(compared, "a bigint, b bigint, links bigint")
+            home, rep = at_home(batch), batch.column(1).to_numpy()
+            at = first_of[home] + ((rep.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % parts_of[home]
+            x = batch.column(0)
+            raw = x.flatten().to_numpy(zero_copy_only=False)
+            flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(len(raw) // max(1, len(x)) * raw.itemsize), len(x), [None, pa.py_buffer(np.ascontiguousarray(raw).tobytes())])
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(rep), batch.column(2), pa.array(home.astype(np.int32)), flat.cast(pa.binary())], names=["block", "rep", "n", "home", "x"])
+
+    def packed(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("home", "ascending"), ("rep", "ascending")])
+        columns = {c: [table.column(c).to_numpy().tobytes()] for c in ("rep", "n", "home")}
+        return pa.table({"block": table.column("block").slice(0, 1), **{c: pa.array(v, pa.binary()) for c, v in columns.items()}, "x": pa.array([b"".join(table.column("x").to_pylist())], pa.binary())})
+
+    kind = np.float32 if groups.schema["v"].dataType == ArrayType(FloatType()) else np.float64
+    vectors_of = groups.select("v", "rep", "n").mapInArrow(dealt, "block int, rep bigint, n bigint, home int, x binary")
+    blocks = written(vectors_of.repartition(n_blocks, "block").groupBy("block").applyInArrow(packed, "block int, rep binary, n binary, home binary, x binary"), "blocks")
+
+    def unpacked(batch: pa.RecordBatch, side: str, k: int) -> tuple:
+        rep, weight, home, x = (np.frombuffer(batch.column(f"{side}_{c}")[k].as_buffer(), t) for c, t in (("rep", np.int64), ("n", np.int64), ("home", np.int32), ("x", kind)))
+        x = _unit(x.astype(np.float64).reshape(len(rep), -1))
+        cells, starts = np.unique(home, return_index=True)
+        return rep, weight, x, x.astype(np.float32), cells, np.append(starts, len(rep))
+
+    def visits(a: tuple, b: tuple) -> np.ndarray:
+        """Whether a vector of a visits a cell of b, by vector and cell."""
+        x, cells, others = a[2], a[4], b[4]
+        if centroids is None:
+            return np.ones((len(x), len(others)), bool)
+        mine, theirs = centroids[cells], centroids[others]
+        between = margin * np.sqrt(np.maximum(0, 2 - 2 * (mine @ theirs.T)))
+        of = np.repeat(np.arange(len(cells)), np.diff(a[5]))
+        return np.einsum("ij,ij->i", x, mine[of])[:, None] - x @ theirs.T <= between[of]
+
+    def near(a: tuple, p: np.ndarray, b: tuple, q: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of rows, p of a and q of b, at the threshold or above."""
+        slack = 1.2e-7 * (a[2].shape[1] + 8)  # more than single precision loses
+        y = b[3][q]
+        step = max(1, PRODUCTS // max(1, len(q)))
+        for s in range(0, len(p), step):
+            rows = p[s : s + step]
+            product = a[3][rows] @ y.T
+            if not product.size or product.max() < threshold - slack:
+                continue
+            i, j = np.nonzero(product >= threshold - slack)
+            unsure = product[i, j] < threshold + slack
+            if unsure.sum() > 4096:
+                i, j = np.nonzero(a[2][rows] @ b[2][q].T >= threshold)
+            elif unsure.any():
+                ok = ~unsure
+                ok[unsure] = np.einsum("ij,ij->i", a[2][rows[i[unsure]]], b[2][q[j[unsure]]]) >= threshold
+                i, j = i[ok], j[ok]
+            yield rows[i], q[j]
+
+    def linked(a: tuple, b: tuple, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(sums, x, y): links of the rows of a and, behind them unless it is the same block, of b, and a forest of these."""
+        n_a = len(a[0])
+        shift = 0 if same else n_a
+        weight = a[1] if same else np.concatenate((a[1], b[1]))
+        total, sums, known, held = len(weight), np.zeros(len(weight)), [], 0
+        there, back = visits(a, b), visits(b, a)
+        # whether any vector of one cell visits the other
+        any_there, any_back = np.logical_or.reduceat(there, a[5][:-1], axis=0), np.logical_or.reduceat(back, b[5][:-1], axis=0)
+        for g, cell in enumerate(a[4]):
+            mine = np.arange(a[5][g], a[5][g + 1])
+            for h in np.flatnonzero(any_there[g] | any_back[:, g] | (b[4] == cell)):
+                other = np.arange(b[5][h], b[5][h + 1])
+                if same and h < g:
+                    continue
+                if b[4][h] == cell:
+                    pairs = [(mine, other)]
+                else:
+                    goes = there[mine, h]
+                    pairs = [(mine[goes], other), (mine[~goes], other[back[other, g]])]
+                for p, q in pairs:
+                    for x, y in near(a, p, b, q) if len(p) and len(q) else ():
+                        if same and h == g:
+                            x, y = x[x < y], y[x < y]
+                        y = y + shift
+                        sums += np.bincount(x, weight[y], total) + np.bincount(y, weight[x], total)
+                        known.append((x, y))
+                        held += len(x)
+                        if held > 2 * PRODUCTS:
+                            known = [forest(*map(np.concatenate, zip(*known, strict=True)), total)]
+                            held = 0
+        return sums.astype(np.int64), *(forest(*map(np.concatenate, zip(*known, strict=True)), total) if known else (np.zeros(0, int), np.zeros(0, int)))
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                same = batch.column("l_block")[k] == batch.column("r_block")[k]
+                a = unpacked(batch, "l", k)
+                b = a if same else unpacked(batch, "r", k)
+                sums, x, y = linked(a, b, same)
+                rep = a[0] if same else np.concatenate((a[0], b[0]))
+                some = np.flatnonzero(sums)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.concatenate((rep[some], rep[x])), pa.int64()),
+                    pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(rep[y], pa.int64())]),
+                    pa.array(np.concatenate((sums[some], np.zeros(len(x), np.int64))), pa.int64()),
+                ], names=["a", "b", "links"])
+
+    left, right = (blocks.select(*[F.col(c).alias(f"{side}_{c}") for c in blocks.columns]) for side in "lr")
+    i, j = F.col("l_block"), F.col("r_block")
+    # each pair once, dealt evenly over both halves of the product
+    meet = (i == j) | ((i < j) & ((i + j) % 2 == 0)) | ((i > j) & ((i + j) % 2 == 1))
+    return left.hint("shuffle_replicate_nl").join(right, meet).mapInArrow(compared, "a bigint, b bigint, links bigint")

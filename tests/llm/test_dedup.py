@@ -303,6 +303,20 @@ def test_vectors_match_brute_force(spark, monkeypatch, rows_a_cell):
     assert vectors.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_vectors_meet_without_shuffled_copies(spark, monkeypatch):
+    """Vectors without structure visit many cells; none of the visits may be a copy that is shuffled."""
+    monkeypatch.setattr(vectors, "CELL_ROWS", 50)
+    rng = np.random.default_rng(5)
+    data = rng.normal(size=(600, 5)).astype(np.float32)
+    data[:40] = data[0] + rng.normal(scale=0.02, size=(40, 5))
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(data)], "vec_id bigint, embedding array<float>")
+    want = brute_links([(k, v.tolist()) for k, v in enumerate(data)], 0.9)
+    assert set(map(tuple, vectors.near_vectors(frame).collect())) == want
+    groups = vectors.distinct_vectors(frame, "vec_id", "embedding")
+    plan = vectors._links(groups, 600, 0.9)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+
+
 def test_rows_without_an_id_whose_32_bit_hashes_are_equal(spark):
     """Texts of one 32-bit hash are two documents: only the one that repeats a passage loses it."""
     passage = "\n".join(f"a line that many texts share {k}" for k in range(12))
