@@ -8,6 +8,7 @@ starts) are composed of what each block does to the rows at which it can be ente
 
 from __future__ import annotations
 
+import math
 import re
 import tempfile
 import uuid
@@ -88,6 +89,57 @@ def each_group(df: DataFrame, by: Sequence[str], order: Sequence[str], run: Call
     return df.repartition(n, *by).sortWithinPartitions(*by, *order).mapInArrow(cut, schema)
 
 
+def scanned(df: DataFrame, by: Sequence[str], order: Sequence[str], columns: Sequence[str], begin: Callable[[], Callable[..., tuple | None]], adds: str) -> DataFrame:
+    """df with what a recurrence gives each row in the columns of adds (DDL); nulls of order come last, as do those of pandas.
+
+    begin() makes a step for a group; step(*values, following) of the columns' values
+    and those of the group's next row (None behind the last) gives a row's new
+    values, or None for a row that goes. Null values are NaN for it. Groups of any number and any size
+    follow each other in sorted partitions; a task holds one batch and one row.
+    """
+    added = to_arrow_schema(StructType.fromDDL(adds))
+
+    def values_of(column: pa.ChunkedArray) -> list:
+        return [math.nan if v is None else v for v in column.to_pylist()] if column.null_count else column.to_pylist()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step, now, held = None, None, None
+
+        def stepped(table: pa.Table, n: int) -> pa.Table:
+            """The first n rows of table; the row behind them is only looked at."""
+            nonlocal step, now
+            keys = list(zip(*(table.column(c).to_pylist() for c in by), strict=True))
+            rows = list(zip(*(values_of(table.column(c)) for c in columns), strict=True))
+            keep, made = [], []
+            for k in range(n):
+                if step is None or keys[k] != now:
+                    step, now = begin(), keys[k]
+                new = step(*rows[k], rows[k + 1] if k + 1 < len(rows) and keys[k + 1] == now else None)
+                if new is not None:
+                    keep.append(k)
+                    made.append(new)
+            out = table.slice(0, n) if len(keep) == n else table.take(pa.array(keep, pa.int64()))
+            found = list(zip(*made, strict=True)) if made else [()] * len(added)
+            for f, values in zip(added, found, strict=True):
+                out = out.append_column(f, pa.array(values, f.type, from_pandas=True))
+            return out
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            if held is not None:
+                table = pa.concat_tables([held, table])
+            yield from stepped(table, table.num_rows - 1).combine_chunks().to_batches()
+            held = table.slice(table.num_rows - 1)
+        if held is not None:
+            yield from stepped(held, 1).to_batches()
+
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    return df.repartition(n, *by).sortWithinPartitions(*by, *[F.col(c).asc_nulls_last() for c in order]).mapInArrow(run, f"{kinds}, {adds}")
+
+
 def ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """df with __range, written: rows dealt by keys and order to as many ranges as there are shuffle partitions; equal rows are in one range."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -2,7 +2,7 @@
 
 Order is data: every operator takes the columns that order a key's rows. Windows
 and aggregations do the work; only recurrences that depend on what they have
-emitted themselves run in applyInPandas, one key's sequence at a time.
+emitted themselves run in Python, down sorted rows or one key's sequence at a time.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanframe.operators import segmentation
-from spanframe.operators.ordering import same_rows, shared_folder
+from spanframe.operators.ordering import same_rows, scanned, shared_folder
 
 SENTENCE_END = r"[.!?…][\"'”’»)]*\s*$"
 CLAUSE_END = r"[,;:][\"'”’»)]*\s*$"
@@ -158,16 +158,20 @@ def _apart(df: DataFrame, keys: Sequence[str], order: Sequence[str], start: str,
 def capped_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], start: str, end: str, size: str, longest: int = 6000, most: int = 78, gap: int = 3500, name: str = "part") -> DataFrame:
     """Greedy grouping: a row opens a group if the group would last over longest, hold over most of size, or the gap is over gap."""
 
-    def number(rows: pd.DataFrame) -> Iterable[int]:
-        group, begin, last, held = -1, 0, 0, 0
-        for s, e, n in zip(rows[start], rows[end], rows[size], strict=True):
-            if group < 0 or e - begin > longest or held + n > most or s - last > gap:
-                group, begin, held, last = group + 1, s, 0, e
+    def begin() -> Callable[..., tuple[int]]:
+        group, first, last, held = -1, 0, 0, 0
+
+        def step(s: int, e: int, n: int, following: tuple | None) -> tuple[int]:
+            nonlocal group, first, last, held
+            if group < 0 or e - first > longest or held + n > most or s - last > gap:
+                group, first, held, last = group + 1, s, 0, e
             held, last = held + n, max(last, e)
-            yield group
+            return (group,)
+
+        return step
 
     # such a gap opens a group whatever came before
-    found = _grouped(_apart(df, keys, order, start, end, gap), [*keys, "__chunk"], order, "__part", number)
+    found = scanned(_apart(df, keys, order, start, end, gap), [*keys, "__chunk"], order, [start, end, size], begin, "__part bigint")
     return found.withColumn(name, (F.dense_rank().over(Window.partitionBy(*keys).orderBy("__chunk", "__part")) - 1).cast("bigint")).drop("__chunk", "__part")
 
 

@@ -280,7 +280,7 @@ f AS (SELECT user_id, event_id, r, CAST(0 AS BIGINT) AS part, start_ms AS began,
  FROM f JOIN (SELECT * FROM o) o ON o.user_id = f.user_id AND o.r = f.r + 1, LATERAL (SELECT CASE WHEN o.end_ms - f.began > 86400000 OR f.held + 1 > 5 OR o.start_ms - f.reach > 40000000 THEN 1 ELSE 0 END AS x))
 SELECT event_id, part FROM f""")
 def capped_groups_events(spark, d):
-    ev = event_intervals(spark, d).withColumn("one", F.lit(1))
+    ev = event_intervals(spark, d).select("user_id", "event_id", "start_ms", "end_ms", F.lit(1).alias("one"))
     return sequences.capped_groups(ev, USER, ORDER, "start_ms", "end_ms", "one", 86_400_000, 5, 40_000_000).select("event_id", "part")
 
 
