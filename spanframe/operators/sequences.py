@@ -226,26 +226,25 @@ def reading_cost(starts: list[int], ends: list[int], texts: list[str], following
 def trimmed_overlaps(df: DataFrame, keys: Sequence[str], start: str, end: str, least: int = 400, ties: Sequence[str] = ()) -> DataFrame:
     """Sequential trim, in order of start, end and ties: a row starts no earlier than the row before now ends, and short ones grow to least into free time; rows left without time go."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([start, end, *ties], kind="stable").reset_index(drop=True)
-        begins, stops = rows[start].tolist(), rows[end].tolist()
-        last, keep = None, []
-        for k in range(len(rows)):
-            begin = begins[k] if last is None else max(begins[k], last)
-            stop = stops[k]
-            if stop - begin < least:
-                stop = max(stop, min(begin + least, begins[k + 1] if k + 1 < len(rows) else begin + least))
-            if stop <= begin:
-                continue
-            keep.append((k, begin, stop))
-            last = stop
-        out = rows.iloc[[k for k, _, _ in keep]].copy()
-        out[start], out[end] = [b for _, b, _ in keep], [s for _, _, s in keep]
-        return out
+    def begin() -> Callable[..., tuple[int, int] | None]:
+        last = None
+
+        def step(s: int, e: int, following: tuple | None) -> tuple[int, int] | None:
+            nonlocal last
+            first = s if last is None else max(s, last)
+            if e - first < least:
+                e = max(e, min(first + least, following[0] if following is not None else first + least))
+            if e <= first:
+                return None
+            last = e
+            return first, e
+
+        return step
 
     # a row behind all before it, and behind what they may grow to, depends on none of them
     apart = _apart(df, keys, [start, end, *ties], start, end, least)
-    return apart.groupBy(*keys, "__chunk").applyInPandas(lambda rows: run(rows).drop(columns="__chunk"), df.schema)
+    found = scanned(apart, [*keys, "__chunk"], [start, end, *ties], [start, end], begin, "__begin bigint, __end bigint")
+    return found.withColumns({start: F.col("__begin").cast(df.schema[start].dataType), end: F.col("__end").cast(df.schema[end].dataType)}).select(*df.columns)
 
 
 def interval_components(df: DataFrame, keys: Sequence[str], node: str, start: str, end: str) -> DataFrame:
