@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,6 +13,7 @@ from pyspark.sql.types import StructType
 from spanframe.functions import text
 from spanframe.operators import intervals as iv
 from spanframe.operators import sequences
+from spanframe.operators.ordering import scanned
 
 
 def word_timeline(words: DataFrame, vad: DataFrame, keys: Sequence[str], quarantined: Sequence[str] = ()) -> DataFrame:
@@ -36,19 +36,19 @@ def semantic_windows(timeline: DataFrame, keys: Sequence[str], hard_gap: int = 1
     soft = sequences.ends_sentence(F.lag("text").over(by)) & (gap >= sentence_gap)
     rows = sequences.sessions(rows.withColumn("hard", F.coalesce(hard, F.lit(False))).withColumn("soft", F.coalesce(soft, F.lit(False))), keys, ["sequence_index"], F.col("hard"), "run").drop("hard")
 
-    def number(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("sequence_index").reset_index(drop=True)
-        part, n, begin, out = 0, 0, None, []
-        for s, e, soft_end in zip(frame["start_ms"], frame["end_ms"], frame["soft"], strict=True):
-            if n and (n >= most_words or e - begin > longest or soft_end and n >= least_words):
-                part, n, begin = part + 1, 0, None
-            n, begin = n + 1, s if begin is None else begin
-            out.append(part)
-        return frame[[*keys, "run", "sequence_index"]].assign(part=out)
-
-    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in [*keys, "run", "sequence_index"])
-    parts = rows.select(*keys, "run", "sequence_index", "start_ms", "end_ms", "soft").groupBy(*keys, "run").applyInPandas(number, f"{kinds}, part bigint")
-    numbered = rows.join(parts, [*keys, "run", "sequence_index"])
+    def begin() -> Callable[..., tuple[int]]:
+        part, n, first = 0, 0, None
+
+        def step(s: int, e: int, soft_end: bool, following: tuple | None) -> tuple[int]:
+            nonlocal part, n, first
+            if n and (n >= most_words or e - first > longest or soft_end and n >= least_words):
+                part, n, first = part + 1, 0, None
+            n, first = n + 1, s if first is None else first
+            return (part,)
+
+        return step
+
+    numbered = scanned(rows, [*keys, "run"], ["sequence_index"], ["start_ms", "end_ms", "soft"], begin, "part bigint")
     window = F.dense_rank().over(Window.partitionBy(*keys).orderBy("run", "part")) - 1
     near = lambda a, b: F.array_join(F.collect_list("text").over(by.rowsBetween(a, b)), " ")
     out = numbered.withColumn("window", window).withColumn("before", near(-context, -1)).withColumn("after", near(1, context))
