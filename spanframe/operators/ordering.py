@@ -14,6 +14,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -140,6 +141,43 @@ def scanned(df: DataFrame, by: Sequence[str], order: Sequence[str], columns: Seq
     return df.repartition(n, *by).sortWithinPartitions(*by, *[F.col(c).asc_nulls_last() for c in order]).mapInArrow(run, f"{kinds}, {adds}")
 
 
+def group_batches(df: DataFrame, by: Sequence[str], order: Sequence[str], run: Callable[[pa.Table, np.ndarray], pa.Array], name: str, kind: str) -> DataFrame:
+    """df with name: run(rows of whole groups in order, where groups begin) gives its values. Nulls of order come last.
+
+    Groups follow each other in sorted partitions; a task holds one batch and one group.
+    """
+    added = to_arrow_schema(StructType.fromDDL(f"`{name}` {kind}"))[0]
+
+    def first_rows(table: pa.Table) -> np.ndarray:
+        keys = list(zip(*(table.column(c).to_pylist() for c in by), strict=True))
+        return np.array([k for k in range(len(keys)) if k == 0 or keys[k] != keys[k - 1]], np.int64)
+
+    def made(table: pa.Table, begins: np.ndarray) -> list[pa.RecordBatch]:
+        table = table.combine_chunks()
+        return table.append_column(added, run(table, begins)).combine_chunks().to_batches()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []  # of the last group
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            if held and all(table.column(c)[-1] == held[0].column(c)[0] or not (table.column(c)[-1].is_valid or held[0].column(c)[0].is_valid) for c in by):
+                held.append(table)
+                continue
+            table = pa.concat_tables([*held, table])
+            begins = first_rows(table)
+            if len(begins) > 1:
+                yield from made(table.slice(0, begins[-1]), begins[:-1])
+            held = [table.slice(begins[-1])]
+        if held:
+            yield from made(pa.concat_tables(held), np.zeros(1, np.int64))
+
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    return df.repartition(n, *by).sortWithinPartitions(*by, *[F.col(c).asc_nulls_last() for c in order]).mapInArrow(cut, f"{kinds}, `{name}` {kind}")
+
+
 def ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """df with __range, written: rows dealt by keys and order to as many ranges as there are shuffle partitions; equal rows are in one range."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

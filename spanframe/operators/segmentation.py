@@ -9,6 +9,7 @@ is solved as if alone, and the path is traced back from block to block.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -50,6 +51,74 @@ def solved(n: int, price: Price, most_rows: int, entries: dict[int, int], lead:
     return best, cut
 
 
+def reading_parts(starts: np.ndarray, ends: np.ndarray, texts: pa.Array, begins: np.ndarray, most_rows: int, most_chars: int, longest: int, least: int, chars_per_second: float, wanted_chars: float) -> np.ndarray:
+    """The part of each row, from 0 in each group, of the least-cost segmentation of many groups at once by sequences.reading_cost; as solved gives it.
+
+    begins: where groups begin among the rows. Groups go forward together, a row
+    of each at a time; squares and shares come from tables of the formula's own values.
+    """
+    n, none = len(starts), 1 << 61
+    sizes = np.diff(np.append(begins, n))
+    group = np.repeat(np.arange(len(begins)), sizes)
+    inside = np.arange(n) - begins[group]
+    # what the end of a text adds, by distinct text: alone, and behind others
+    coded = texts.dictionary_encode()
+    said = coded.dictionary.to_pylist()
+    bare = [t.rstrip("\"'”’»)") for t in said]
+    tail = [2 if t[-1:] and t[-1:] in ",;:" else 0 for t in said]
+    alone = np.array([5 if b[-1:] in ".!?…" else t for b, t in zip(bare, tail, strict=True)], np.float64)
+    behind = np.array([5 if b and b[-1] in ".!?…" else t for b, t in zip(bare, tail, strict=True)], np.float64)
+    code = coded.indices.to_numpy()
+    chars = np.array([len(t) for t in said], np.int64)[code]
+    alone, behind = alone[code], behind[code]
+    before = np.append(0, np.cumsum(chars + 1))  # each with the space in front of it
+    last = np.append(begins[1:], n)[group] - 1 == np.arange(n)
+    following = np.append(starts[1:], 0)
+    by_length = range(most_chars + 1)
+    needs = np.array([max(least, math.ceil(k / chars_per_second * 1000)) for k in by_length], np.int64)
+    expected = np.array([max(1200, min(6500, round(k / 17 * 1000))) for k in by_length], np.int64)
+    of_chars = np.array([((k - wanted_chars) / 35) ** 2 for k in by_length])
+    of_time = np.array([(k / 1000) ** 2 for k in range(-6500, longest + 1)])
+    gap = np.where(last, 0, np.minimum(np.maximum(0, following - ends), 800)) / 180
+    cost = np.full((n, most_rows), none, np.int64)  # by last row and, from the right, number of rows
+    for rows in range(1, min(most_rows, int(sizes.max(initial=0))) + 1):
+        k = np.flatnonzero(inside >= rows - 1)
+        begin = starts[k - rows + 1]
+        length = before[k + 1] - before[k + 1 - rows] - 1
+        ok = (length <= most_chars) & (ends[k] - begin <= longest)
+        k, begin, length = k[ok], begin[ok], length[ok]
+        needed = np.maximum(ends[k], begin + needs[length])
+        ok = (needed <= begin + longest) & (last[k] | (needed <= following[k] - 1))
+        k, length, lasts = k[ok], length[ok], (needed - begin)[ok]
+        total = of_time[lasts - expected[length] + 6500] + of_chars[length]
+        total = total + (8 if rows == 1 else np.where(length < 12, 3, 0) if rows == 2 else 0)
+        total = total - (alone if rows == 1 else behind)[k] - gap[k]
+        cost[k, most_rows - rows] = np.rint(total * COST_UNIT).astype(np.int64)
+    cost[cost[:, -1] == none, -1] = ALONE * COST_UNIT
+    # place q of group g stands at base[g] + most_rows + q, behind places that are none
+    base = begins + np.arange(len(begins)) * (most_rows + 1)
+    best = np.full(n + len(begins) * (most_rows + 1), none, np.int64)
+    best[base + most_rows] = 0
+    taken = np.zeros(n, np.int64)
+    ordered = np.argsort(-sizes, kind="stable")
+    still = np.searchsorted(-sizes[ordered], -np.arange(1, int(sizes.max(initial=0)) + 1), side="right")
+    back = np.arange(most_rows)
+    for step, many in enumerate(still):
+        now = ordered[:many]
+        row = begins[now] + step
+        sums = best[(base[now] + step + 1)[:, None] + back] + cost[row]
+        found = most_rows - 1 - sums[:, ::-1].argmin(axis=1)  # of equal costs the shortest last group
+        best[base[now] + most_rows + step + 1] = sums[np.arange(many), found]
+        taken[row] = most_rows - found
+    opens, at = np.zeros(n, np.int64), begins + sizes
+    while len(at):
+        at = at - taken[at - 1]
+        opens[at] = 1
+        at = at[inside[at] > 0]
+    parts = np.cumsum(opens)
+    return parts - parts[begins][group]
+
+
 def path_from(cut: Sequence[int], at: int, lead: int = 0) -> list[int]:
     """Places where groups begin, from the last one back to the first place at or in front of lead."""
     out = []

@@ -10,12 +10,15 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterable, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType
 
 from spanframe.operators import segmentation
-from spanframe.operators.ordering import same_rows, scanned, shared_folder
+from spanframe.operators.ordering import group_batches, same_rows, scanned, shared_folder
 
 SENTENCE_END = r"[.!?…][\"'”’»)]*\s*$"
 CLAUSE_END = r"[,;:][\"'”’»)]*\s*$"
@@ -181,7 +184,7 @@ def optimal_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], sta
     cost(starts, ends, texts, following) gives a group's cost, None where it may not be; following is the
     next row's start, or with following_text its (start, text).
     A row that no feasible group holds stands alone. Keys of up to block_rows rows
-    are a task each; longer ones are solved by blocks that compose (segmentation).
+    are solved together, many at once where the cost is reading_cost; longer ones by blocks that compose (segmentation).
     """
     price = cost or (lambda s, e, t, nxt: reading_cost(s, e, t, nxt, **limits))
 
@@ -197,14 +200,26 @@ def optimal_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], sta
             group += k in marks
             yield group
 
+    def parts(rows: pa.Table, begins: np.ndarray) -> pa.Array:
+        return pa.array(segmentation.reading_parts(rows.column(start).to_numpy(), rows.column(end).to_numpy(), rows.column(text).combine_chunks(), begins, most_rows, **{**READING, **limits}), pa.int64())
+
+    def grouped(rows: DataFrame) -> DataFrame:
+        if cost is None and all(isinstance(limits.get(k, READING[k]), int) and 0 <= limits.get(k, READING[k]) <= 100_000 for k in ("most_chars", "longest", "least")) and all(rows.schema[c].dataType in (LongType(), IntegerType()) for c in (start, end)):
+            return group_batches(rows, keys, order, parts, name, "bigint")
+        return _grouped(rows, keys, order, name, number)
+
     sizes = df.groupBy(*keys).agg(F.count("*").alias("__n"))
     long = sizes.filter(F.col("__n") > block_rows).drop("__n")
     if long.isEmpty():
-        return _grouped(df, keys, order, name, number)
+        return grouped(df)
     same = long.withColumnsRenamed({k: f"__l_{k}" for k in keys})
     short = df.join(same, [F.col(k).eqNullSafe(F.col(f"__l_{k}")) for k in keys], "left_anti")
     blocks = segmentation.segmented(same_rows(df, long, keys), keys, order, [start, end, text], of_rows, most_rows, block_rows, name)
-    return _grouped(short, keys, order, name, number).unionByName(blocks)
+    return grouped(short).unionByName(blocks)
+
+
+#: Limits of reading_cost unless others are given.
+READING = {"most_chars": 84, "longest": 7000, "least": 700, "chars_per_second": 20.0, "wanted_chars": 58.8}
 
 
 def reading_cost(starts: list[int], ends: list[int], texts: list[str], following: int | None, most_chars: int = 84, longest: int = 7000, least: int = 700, chars_per_second: float = 20.0, wanted_chars: float = 58.8) -> float | None:

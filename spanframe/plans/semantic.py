@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from spanframe.functions import text
 from spanframe.operators import intervals as iv
 from spanframe.operators import sequences
-from spanframe.operators.ordering import scanned
+from spanframe.operators.ordering import scanned, written
 
 
 def word_timeline(words: DataFrame, vad: DataFrame, keys: Sequence[str], quarantined: Sequence[str] = ()) -> DataFrame:
@@ -190,7 +190,8 @@ def words_to_blocks(words: DataFrame, keys: Sequence[str], hard_gap: int = 1000,
     rows = words.withColumn("speaker_id", F.coalesce("speaker_id", F.lit("")))
     marked = sequences.hard_boundaries(rows, lane, ["start_ms", "end_ms"], "start_ms", "end_ms", "text", hard_gap=hard_gap).withColumn("opens", F.size("reasons") > 0)
     chunks = sequences.sessions(marked, lane, ["start_ms", "end_ms"], F.col("opens"), "chunk").drop("opens", "reasons", "gap_ms")
-    grouped = sequences.optimal_groups(chunks, [*lane, "chunk"], ["start_ms", "end_ms"], "start_ms", "end_ms", "text", **limits)
+    # written, since groups are counted before they are cut
+    grouped = sequences.optimal_groups(written(chunks, "chunks"), [*lane, "chunk"], ["start_ms", "end_ms"], "start_ms", "end_ms", "text", **limits)
     blocks = grouped.groupBy(*lane, "chunk", "part").agg(F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("last_ms"), text.joined_words(F.transform(F.array_sort(F.collect_list(F.struct("start_ms", "end_ms", "text"))), lambda x: x["text"])).alias("text"), F.count("*").alias("n_words"), F.min("probability").alias("least_probability"))
     timed = sequences.assigned_timings(blocks, lane, "start_ms", "last_ms", "text")
     order = Window.partitionBy(*keys).orderBy("start_ms", "speaker_id")
