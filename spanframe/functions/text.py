@@ -7,6 +7,7 @@ arguments: the library holds none.
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections import Counter
@@ -285,72 +286,153 @@ def clip_bounds(start: Column, end: Column, total: Column, padding: int = 750, l
 # --- similarity ------------------------------------------------------------------------------
 
 
-def bigram_dice(a: Column, b: Column) -> Column:
+def dice(a: str, b: str) -> float:
     """Dice coefficient of the multisets of character pairs; 1 for equal texts, 0 where one has no pair."""
-    pairs = lambda x: F.when(F.length(x) < 2, F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(F.length(x) - 1, F.lit(1))), lambda i: F.substring(x, i, F.lit(2))))
-    times = lambda xs, g: F.size(F.filter(xs, lambda e: e == g))
-    common = lambda x, y: F.aggregate(F.array_distinct(x), F.lit(0), lambda acc, g: acc + F.least(times(x, g), times(y, g)))
+    if a == b:
+        return 1.0
+    if len(a) < 2 or len(b) < 2:
+        return 0.0
+    pairs = lambda x: Counter(map(str.__add__, x, x[1:]))
+    return 2.0 * (pairs(a) & pairs(b)).total() / (len(a) + len(b) - 2)
+
 
-    def of(p: Column, q: Column) -> Column:
-        shared = let(pairs(p), lambda x: let(pairs(q), lambda y: common(x, y)))
-        return F.when(p == q, 1.0).when((F.length(p) < 2) | (F.length(q) < 2), 0.0).otherwise(2.0 * shared / (F.length(p) + F.length(q) - 2))
+def _of_both(a: Column, b: Column, of: Callable[[str, str], object], kind: str) -> Column:
+    """of two texts, null if one is null."""
+
+    @F.pandas_udf(kind)
+    def udf(x: pd.Series, y: pd.Series) -> pd.Series:
+        found = [None if p is None or q is None else of(p, q) for p, q in zip(x, y, strict=True)]
+        return pd.Series(found, dtype="float64" if kind == "double" else "object")
+
+    return udf(a, b)
 
-    return let(a, lambda p: let(b, lambda q: of(p, q)))
+
+def bigram_dice(a: Column, b: Column) -> Column:
+    """dice of columns."""
+    return _of_both(a, b, dice, "double")
+
+
+#: Bits of a table of equal characters at most; SequenceMatcher takes longer texts.
+TABLE_BITS = 1 << 26
+
+
+def matched(a: Sequence, b: Sequence, least: int = 0, enough: int | None = None) -> int:
+    """Characters in SequenceMatcher's matching blocks without junk: the longest block, of equal ones the first in a, then in b, and those on either side of it.
+
+    The table of equal characters is one whole number, a row a character of a; runs
+    along diagonals come from it by shifts, doubled while any is left. Ends with
+    some smaller number once least can't be reached, and with one not below enough
+    once that is.
+    """
+    n, m = len(a), len(b)
+    size = m // 8 + 1  # a free column at least, so that no run goes on in the next row
+    width = 8 * size
+    if n * width > TABLE_BITS:
+        return sum(block.size for block in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks())
+    masks: dict = {}
+    for j, c in enumerate(b):
+        masks[c] = masks.get(c, 0) | 1 << j
+    rows = {c: masks.get(c, 0).to_bytes(size, "little") for c in set(a)}
+    table = int.from_bytes(b"".join([rows[c] for c in a]), "little")
+    if not table:
+        return 0
+    total, left = 0, min(n, m)
+    # tables of parts of a, with the columns that count, a bit a row, and how many rows
+    todo = [(table, 0, m, int.from_bytes((b"\1" + bytes(size - 1)) * n, "little"), n)]
+    while todo:
+        table, low, high, ones, n_rows = todo.pop()
+        left -= min(n_rows, high - low)
+        runs, length, now = [table], 1, table
+        while longer := now & now >> length * (width + 1):
+            runs.append(longer)
+            now, length = longer, 2 * length
+        step = length
+        for shorter in runs[-2::-1]:
+            step //= 2
+            if longer := now & shorter >> length * (width + 1):
+                now, length = longer, length + step
+        i, j = divmod((now & -now).bit_length() - 1, width)
+        total += length
+        if enough is not None and total >= enough:
+            return total
+        parts = []
+        if i and j > low:
+            own = ones & (1 << i * width) - 1
+            parts.append((table & (own << j) - (own << low), low, j, own, i))
+        i, j = i + length, j + length
+        if i < n_rows and j < high:
+            own = ones >> i * width
+            parts.append((table >> i * width & (own << high) - (own << j), j, high, own, n_rows - i))
+        parts = sorted((x for x in parts if x[0]), key=lambda x: min(x[4], x[2] - x[1]))
+        left += sum(min(x[4], x[2] - x[1]) for x in parts)
+        if total + left < least:
+            return total
+        todo += parts
+    return total
 
 
 def ratio(a: str, b: str, junk: bool = False) -> float:
     """Matching blocks over both lengths; equal texts need no matching."""
-    return 1.0 if a == b else SequenceMatcher(None, a, b, autojunk=junk).ratio()
+    if a == b:
+        return 1.0
+    return SequenceMatcher(None, a, b, autojunk=True).ratio() if junk else 2.0 * matched(a, b) / (len(a) + len(b))
 
 
 def similarity(a: Column, b: Column, junk: bool = False) -> Column:
     """SequenceMatcher's ratio; junk: its heuristic for popular characters of long texts."""
-
-    @F.pandas_udf("double")
-    def udf(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([None if p is None or q is None else ratio(p, q, junk) for p, q in zip(x, y, strict=True)], dtype="float64")
-
-    return udf(a, b)
+    return _of_both(a, b, lambda p, q: ratio(p, q, junk), "double")
 
 
 def below(a: str, b: str, bound: float) -> bool:
-    """Whether ratio is below a bound; bounds by length and by characters in common are asked first."""
+    """Whether ratio is below a bound; matching ends once that is known."""
     if a == b:
         return bound > 1.0
-    matcher = SequenceMatcher(None, a, b, autojunk=False)
-    return matcher.real_quick_ratio() < bound or matcher.quick_ratio() < bound or matcher.ratio() < bound
+    n = len(a) + len(b)
+    wanted = max(0, math.floor(bound * n / 2) - 1)
+    while 2.0 * wanted / n < bound:
+        wanted += 1
+    return min(len(a), len(b)) < wanted or matched(a, b, wanted, wanted) < wanted
 
 
 def less_similar(a: Column, b: Column, bound: float) -> Column:
     """below of columns; null of a null text."""
-
-    @F.pandas_udf("boolean")
-    def udf(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([None if p is None or q is None else below(p, q, bound) for p, q in zip(x, y, strict=True)], dtype="object")
-
-    return udf(a, b)
+    return _of_both(a, b, lambda p, q: below(p, q, bound), "boolean")
 
 
-def blended(a: str, b: str) -> float:
-    """The better of characters with token overlap and of token order with characters, of normalised texts; tokens are multisets."""
+def blended(a: str, b: str, least: float = 0.0) -> float | None:
+    """The better of characters with token overlap and of token order with characters, of normalised texts; tokens are multisets. None if it is below least, where that shows early."""
     if not a or not b:
         return 0.0
     if a == b:
         return 1.0
     x, y = a.split(), b.split()
-    chars, order = ratio(a, b), SequenceMatcher(None, x, y, autojunk=False).ratio()
     dice = 2 * (Counter(x) & Counter(y)).total() / (len(x) + len(y))
-    return max(0.65 * chars + 0.35 * dice, 0.55 * order + 0.45 * chars)
+    # no order of tokens has more in common than their multisets
+    wanted = (min((least - 0.35 * dice) / 0.65, (least - 0.55 * dice) / 0.45) - 1e-9) * (len(a) + len(b)) / 2
+    if min(len(a), len(b)) < wanted:
+        return None
+    same = matched(a, b, max(0, math.ceil(wanted)))
+    if same < wanted:
+        return None
+    chars = 2.0 * same / (len(a) + len(b))
+    first = 0.65 * chars + 0.35 * dice
+    if chars > dice + 1e-9:
+        return first
+    order = 2.0 * matched(x, y) / (len(x) + len(y))
+    return max(first, 0.55 * order + 0.45 * chars)
 
 
-def blended_similarity(a: Column, b: Column) -> Column:
+def blended_similarity(a: Column, b: Column, least: Column | None = None) -> Column:
+    """blended of columns; null of a null text. With least, scores below it may be null."""
     clean = normal_form(form="NFC")
+    if least is None:
+        return _of_both(a, b, lambda p, q: blended(clean(p), clean(q)), "double")
 
     @F.pandas_udf("double")
-    def udf(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([None if p is None or q is None else blended(clean(p), clean(q)) for p, q in zip(x, y, strict=True)], dtype="float64")
+    def udf(x: pd.Series, y: pd.Series, bound: pd.Series) -> pd.Series:
+        return pd.Series([None if p is None or q is None else blended(clean(p), clean(q), z) for p, q, z in zip(x, y, bound, strict=True)], dtype="float64")
 
-    return udf(a, b)
+    return udf(a, b, least)
 
 
 def edits(a: Sequence[str], b: Sequence[str]) -> list[tuple[str, int, int, str | None, str | None]]:

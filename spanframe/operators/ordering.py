@@ -52,6 +52,11 @@ def same_rows(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> DataFrame:
     return a.join(other, [F.col(c).eqNullSafe(F.col(f"__b_{c}")) for c in columns]).drop(*[f"__b_{c}" for c in columns])
 
 
+def dealt(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """df dealt by columns to as many tasks as there are shuffle partitions, however few bytes it has: for rows that cost much each."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def each_group(df: DataFrame, by: Sequence[str], order: Sequence[str], run: Callable[[tuple, pa.Table], list[tuple]], schema: str) -> DataFrame:
     """run(key, rows in order) of every group as one relation of schema; run gives rows as tuples.
 

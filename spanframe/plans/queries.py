@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spanframe.functions import identity, text
 from spanframe.operators import batching, intervals, select, sequences, validate
+from spanframe.operators.ordering import dealt
 from spanframe.plans.coverage import coverage_report
 from spanframe.plans.relations import IV, REGIONS, event_intervals, items, regions, table, union_sql
 from spanframe.sources import subtitles
@@ -439,7 +440,8 @@ def shared_tokens_of_turns(spark, d):
 def similar_turns(spark, d):
     turns = table(spark, d, "conversations").select("conv_id", "turn", F.col("text").alias("a"))
     after = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("a").alias("b"))
-    return turns.join(after, ["conv_id", "turn"]).select("conv_id", "turn", text.similarity(F.col("a"), F.col("b")).alias("ratio"), text.blended_similarity(F.col("a"), F.col("b")).alias("blended"), text.bigram_dice(F.col("a"), F.col("b")).alias("dice"))
+    pairs = dealt(turns.join(after, ["conv_id", "turn"]), ["conv_id", "turn"])
+    return pairs.select("conv_id", "turn", text.similarity(F.col("a"), F.col("b")).alias("ratio"), text.blended_similarity(F.col("a"), F.col("b")).alias("blended"), text.bigram_dice(F.col("a"), F.col("b")).alias("dice"))
 
 
 @query("""WITH t AS (SELECT conv_id, turn, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS t FROM conversations), e AS (SELECT conv_id, turn, len(t) AS n, unnest(t) AS token, generate_subscripts(t, 1) - 1 AS i FROM t)
