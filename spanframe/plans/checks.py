@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from spanframe.functions import text
 from spanframe.operators import intervals as iv
 from spanframe.operators import sequences, validate
-from spanframe.operators.ordering import written
+from spanframe.operators.ordering import dealt, written
 
 
 def final_qa(blocks: DataFrame, keys: Sequence[str], uid: str, source: str, target: str, rules: Sequence[tuple[str, str, str]] = (), names: Sequence[str] = (), units: Sequence[str] = (), most_cps: float = 17.0, line_limit: int = 42, music: Sequence[str] = ()) -> DataFrame:
@@ -58,17 +58,22 @@ def displaced_texts(blocks: DataFrame, keys: Sequence[str], index: str, source:
     token of its own source that is hardly like it. One that is exactly the source
     of one other block anywhere in its key, or rather better near by, counts if its
     neighbour is displaced by as much. Sources are met by an equi join on the
-    normalised text, so the whole key is searched.
+    normalised text, so the whole key is searched. Near scores that can't count
+    aren't worked out.
     """
     by = [*keys, index]
     rows = blocks.select(*by, F.col(source).alias("s"), F.col(back).alias("b"))
-    scored = rows.withColumn("own_score", text.blended_similarity(F.col("b"), F.col("s"))).withColumn("same", text.lexical(F.col("b"))).withColumn("itself", text.lexical(F.col("s")) == F.col("same"))
+    anchors = lambda c: F.array_distinct(F.concat(text.names_present(F.col(c), names), text.number_anchors(F.col(c))))
+    # matching costs much a row, so rows are dealt to all tasks first
+    scored = dealt(rows, by).withColumn("own_score", text.blended_similarity(F.col("b"), F.col("s"))).withColumn("same", text.lexical(F.col("b"))).withColumn("itself", text.lexical(F.col("s")) == F.col("same"))
     # only these can be anywhere else; written, so that they are scored once
     own = written(scored.filter("own_score < 1"), "unlike")
+    # a near score counts from here on; one that stays below is never the best that counts
+    counts = F.greatest("own_score", F.when(F.size(anchors("b")) > 0, F.lit(min(anchored, moderate, high))).otherwise(F.lit(min(moderate, high))))
     offsets = F.filter(F.sequence(F.lit(-width), F.lit(width)), lambda o: o != 0)
     sources = rows.select(*keys, F.col(index).alias("__at"), F.col("s").alias("other_s"))
-    pairs = own.select(*by, "b", "same", F.explode(offsets).alias("offset")).withColumn("__at", F.col(index) + F.col("offset")).join(sources, [*keys, "__at"])
-    met = written(pairs.select(*by, "offset", "other_s", text.blended_similarity(F.col("b"), F.col("other_s")).alias("score"), (text.lexical(F.col("other_s")) == F.col("same")).alias("equal")), "near")
+    pairs = own.select(*by, "b", "same", counts.alias("least"), F.explode(offsets).alias("offset")).withColumn("__at", F.col(index) + F.col("offset")).join(sources, [*keys, "__at"])
+    met = written(dealt(pairs, [*by, "offset"]).select(*by, "offset", "other_s", text.blended_similarity(F.col("b"), F.col("other_s"), F.col("least")).alias("score"), (text.lexical(F.col("other_s")) == F.col("same")).alias("equal")), "near")
     near = met.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("score"), "offset"))).filter("r = 1").select(*by, F.col("offset").alias("near_offset"), F.col("score").alias("near_score"), F.col("other_s").alias("near_s"))
     exact_near = met.filter("equal").groupBy(*by).agg(F.count("*").alias("n_near"), F.min("offset").alias("exact_offset")).filter("n_near = 1").drop("n_near")
     # places are counted for each text, and only a text with one place goes on
@@ -77,7 +82,6 @@ def displaced_texts(blocks: DataFrame, keys: Sequence[str], index: str, source:
     exact_far = own.join(alone, [*keys, "same"]).filter(F.col("place") != F.col(index)).select(*by, (F.col("place") - F.col(index)).alias("far_offset"))
     all_ = own.join(near, by, "left").join(exact_near, by, "left").join(exact_far, by, "left")
     gain = F.col("near_score") - F.col("own_score")
-    anchors = lambda c: F.array_distinct(F.concat(text.names_present(F.col(c), names), text.number_anchors(F.col(c))))
     shared = lambda c: F.size(F.array_intersect(anchors("b"), anchors(c)))
     by_anchor = (F.size(anchors("b")) > 0) & (gain > 0) & (F.col("near_score") >= anchored) & (shared("near_s") == F.size(anchors("b"))) & (shared("near_s") > shared("s"))
     content = lambda c: text.content_tokens(F.when(F.col("own_score") < unlike, F.col(c)).otherwise(""), stop_words)
