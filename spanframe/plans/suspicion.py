@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spanframe.functions import text
 from spanframe.operators import intervals, select, spans
+from spanframe.operators.ordering import dealt
 
 #: What each reason weighs.
 WEIGHTS = {
@@ -62,7 +63,9 @@ def suspicious_spans(segments: DataFrame, captions: DataFrame, keys: Sequence[st
     by = [*keys, segment_id]
     over = intervals.interval_join(segments.select(*by, "start_ms", "end_ms"), captions.select(*keys, F.col("start_ms").alias("cs"), F.col("end_ms").alias("ce"), F.col("text").alias("caption")), keys, ("start_ms", "end_ms"), ("cs", "ce"))
     heard = over.groupBy(*by).agg(F.array_join(text.compacted_texts(F.transform(F.array_sort(F.collect_list(F.struct("cs", "ce", "caption"))), lambda x: x["caption"])), " ").alias("caption"))
-    compared = segments.select(*by, "text").join(heard.filter("caption <> ''"), by).select(*by, "caption", text.less_similar(text.normalized(F.col("text")), text.normalized(F.col("caption")), similarity).alias("caption_differs"))
+    # matching costs much a row, so rows are dealt to all tasks first
+    both = dealt(segments.select(*by, "text").join(heard.filter("caption <> ''"), by), by)
+    compared = both.select(*by, "caption", text.less_similar(text.normalized(F.col("text")), text.normalized(F.col("caption")), similarity).alias("caption_differs"))
     rows = segments.join(compared, by, "left").fillna("", ["caption"])
     marked = rows.withColumn("reasons", reasons_of(rows, names, markers, **bounds)).filter(F.size("reasons") > 0)
     scored = marked.withColumns({"priority": select.priority(F.col("reasons"), WEIGHTS, 10), "segment_ids": F.array(F.col(segment_id)), "primary_text": F.trim("text"), "caption_text": F.col("caption")})
