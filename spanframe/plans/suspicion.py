@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from spanframe.functions import text
 from spanframe.operators import intervals, select, spans
-from spanframe.operators.ordering import dealt
+from spanframe.operators.ordering import dealt, written
 
 #: What each reason weighs.
 WEIGHTS = {
@@ -69,4 +69,6 @@ def suspicious_spans(segments: DataFrame, captions: DataFrame, keys: Sequence[st
     rows = segments.join(compared, by, "left").fillna("", ["caption"])
     marked = rows.withColumn("reasons", reasons_of(rows, names, markers, **bounds)).filter(F.size("reasons") > 0)
     scored = marked.withColumns({"priority": select.priority(F.col("reasons"), WEIGHTS, 10), "segment_ids": F.array(F.col(segment_id)), "primary_text": F.trim("text"), "caption_text": F.col("caption")})
-    return spans.capped_merge(scored, keys, gap=merge_gap, longest=longest, ties=[segment_id], sets=["reasons", "segment_ids"], greatest=["priority"], texts=["primary_text", "caption_text"])
+    # written with what the merge reads, since dealing by ranges would work it out twice
+    slim = written(scored.select(*by, "start_ms", "end_ms", "reasons", "priority", "segment_ids", "primary_text", "caption_text"), "suspicious")
+    return spans.capped_merge(slim, keys, gap=merge_gap, longest=longest, ties=[segment_id], sets=["reasons", "segment_ids"], greatest=["priority"], texts=["primary_text", "caption_text"])
